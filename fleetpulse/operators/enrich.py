@@ -32,6 +32,7 @@ from ..functions.columns import (
 LAG_METRICS = ("rpm", "temp_coolant_c")
 _PID = "_lag_pid"
 _HEAD = "_lag_head"
+_ROW = "_lag_row"
 
 
 def add_time_parts(df: DataFrame, ts: str = "timestamp") -> DataFrame:
@@ -60,7 +61,7 @@ def _delta_name(c: str) -> str:
     return f"{c.removesuffix('_c')}_delta" if c == "temp_coolant_c" else f"{c}_delta"
 
 
-def _local_lag_fn(key: str, metrics: Sequence[str], prev_names: Sequence[str]):
+def _local_lag_fn(key: str, metrics: Sequence[str], prev_names: Sequence[str], packed: str = "_row"):
     """Arrow kernel run once per range partition, batches in sorted order.
     Emits the in-partition previous value (NULL across a machine change) and
     marks the partition's first row for the cross-partition patch."""
@@ -86,11 +87,12 @@ def _local_lag_fn(key: str, metrics: Sequence[str], prev_names: Sequence[str]):
                 head[0] = True
             else:
                 ext, offset = pa.concat_batches([carry, batch]), 1
-            keys = ext.column(key)
+            row = ext.column(packed)
+            keys = row.field(key)
             same = same_key(keys, shifted(keys))
             cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
             for c, p in zip(metrics, prev_names):
-                vals = ext.column(c)
+                vals = row.field(c)
                 prev = pc.if_else(same, shifted(vals), pa.nulls(len(vals), type=vals.type))
                 cols[p] = prev.slice(offset)
             cols[_HEAD] = pa.array(head)
@@ -126,34 +128,37 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
         # reuse they would sample different bounds. Fall back to the window.
         return add_previous_values(df, key, order, metrics, num_partitions, "window")
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    sort_cols = _sort_columns(key, order)
     all_cols = list(df.columns)
-    # One range shuffle with an explicit partition count (AQE keeps the
-    # count, so partition ids mean the same thing to every reader of it).
-    ranged = df.repartitionByRange(n, *sort_cols)
+    # The whole row travels through the shuffle as one struct, so both reads
+    # of the shuffle below need exactly the same input (no reader can have
+    # columns pruned or constants folded away), and the planner reuses the
+    # exchange: both see the same partition bounds.
+    packed = df.select(F.struct(*[F.col(c) for c in all_cols]).alias(_ROW))
+    row = F.col(_ROW)
+    sort_cols = [row.getField(key).asc_nulls_first()] + [row.getField(c).asc_nulls_first() for c in order]
+    # Explicit partition count: AQE keeps it, so partition ids mean the same
+    # thing to every reader of the shuffle.
+    ranged = packed.repartitionByRange(n, *sort_cols)
 
     # 1) previous value inside each range partition (sorted, Arrow kernel)
     tagged = ranged.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
-    in_fields = list(tagged.schema.fields)
-    metric_types = {f.name: f.dataType for f in in_fields}
-    out_schema = StructType(in_fields
+    metric_types = {f.name: f.dataType for f in df.schema.fields}
+    out_schema = StructType(list(tagged.schema.fields)
                             + [StructField(p, metric_types[c], True) for c, p in zip(metrics, prev_names)]
                             + [StructField(_HEAD, BooleanType(), False)])
-    local = tagged.mapInArrow(_local_lag_fn(key, list(metrics), prev_names), out_schema)
+    local = tagged.mapInArrow(_local_lag_fn(key, list(metrics), prev_names, _ROW), out_schema)
 
     # 2) first and last row of every partition, read from the same shuffle
-    #    output without sorting it. The row fingerprint references every
-    #    column, so both reads have the same exchange and the planner reuses
-    #    it (same bounds). mode(pid) is a typed aggregate: with it Spark plans
-    #    an object hash aggregate (no sort) for the struct-valued max_by.
-    order_struct = F.struct(*[F.col(c) for c in [key, *order]])
-    fp = F.xxhash64(*[F.col(c) for c in all_cols])
+    #    output without sorting it. mode(pid) is a typed aggregate: with it
+    #    Spark plans an object hash aggregate (no sort) for the struct-valued
+    #    min_by / max_by.
+    order_struct = F.struct(*[row.getField(c).alias(c) for c in [key, *order]])
     edges = (ranged.withColumn(_PID, F.spark_partition_id())
              .groupBy(_PID)
              .agg(F.mode(F.col(_PID)).alias("_m"),
-                  F.min_by(fp, order_struct).alias("head_fp"),
-                  F.max_by(F.struct(F.col(key).alias("_k"), *[F.col(c) for c in metrics]), order_struct)
-                  .alias("t")))
+                  F.min_by(F.xxhash64(row), order_struct).alias("head_fp"),
+                  F.max_by(F.struct(row.getField(key).alias("_k"), *[row.getField(c).alias(c) for c in metrics]),
+                           order_struct).alias("t")))
     # last row of the nearest earlier non-empty partition (N rows, one task)
     prev_tail = (edges.withColumn("p", F.lag("t", 1).over(Window.orderBy(_PID)))
                  .select(F.col(_PID), "_m", "head_fp", "p"))
@@ -163,15 +168,12 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
     joined = local.join(F.broadcast(prev_tail), _PID, "left")
     # Guard: this partition's first row must be the one the edge read saw
     # (``_m`` is read here too, so the optimizer keeps the typed aggregate).
-    diverged = F.col(_HEAD) & ((F.xxhash64(*[F.col(c) for c in all_cols]) != F.col("head_fp"))
-                               | (F.col("_m") != F.col(_PID)))
-    patch = F.col(_HEAD) & F.col("p").isNotNull() & F.col("p._k").eqNullSafe(F.col(key))
-    out = joined.withColumns({
-        p: F.when(diverged, F.raise_error(F.lit("range partitions diverged between reads")).cast(metric_types[c]))
-            .when(patch, F.col(f"p.{c}")).otherwise(F.col(p))
-        for c, p in zip(metrics, prev_names)
-    })
-    return out.drop(_PID, _HEAD, "p", "head_fp", "_m")
+    diverged = F.col(_HEAD) & ((F.xxhash64(row) != F.col("head_fp")) | (F.col("_m") != F.col(_PID)))
+    patch = F.col(_HEAD) & F.col("p").isNotNull() & F.col("p._k").eqNullSafe(row.getField(key))
+    prevs = [F.when(diverged, F.raise_error(F.lit("range partitions diverged between reads")).cast(metric_types[c]))
+             .when(patch, F.col(f"p.{c}")).otherwise(F.col(p)).alias(p)
+             for c, p in zip(metrics, prev_names)]
+    return joined.select(*[row.getField(c).alias(c) for c in all_cols], *prevs)
 
 
 def add_prev_and_delta(df: DataFrame, key: str = "equipment_id",

@@ -286,3 +286,39 @@ ORACLE_SQL: dict[str, str] = {
     "data_checks_bronze": _with(SENSORS, LABELLED) + _checks_report("labelled"),
     "data_checks_silver": _with(SENSORS, CLEAN, SILVER) + _checks_report("silver"),
 }
+
+
+def _envelope_values() -> str:
+    from .constants import ENVELOPE_COLUMNS, TYPE_ENVELOPES
+    rows = [f"('{t}', '{c}', {float(TYPE_ENVELOPES[t][m][0])}, {float(TYPE_ENVELOPES[t][m][1])})"
+            for t in TYPE_ENVELOPES for m, c in ENVELOPE_COLUMNS.items()]
+    return "env(equipment_type, metric, lo, hi) AS (VALUES " + ", ".join(rows) + ")"
+
+
+_METRICS = ("rpm, temp_coolant_c, temp_oil_c, pressure_oil_bar, fuel_rate_lh, nox_ppm, "
+            "pm25_mg_m3, co2_pct, load_pct")
+
+ORACLE_SQL.update({
+    "bronze_json_scan": _with(SENSORS) + "SELECT * FROM sensors",
+    "idempotent_append": _with(SENSORS) + "SELECT DISTINCT * FROM sensors",
+    "silver_job": _with(SENSORS, CLEAN, SILVER) + "SELECT * FROM silver",
+    "incremental_refresh": _with(SENSORS, CLEAN, SILVER) + "SELECT * FROM silver",
+    "gold_table": _with(SENSORS, CLEAN, SILVER, KPI) + f"SELECT {GOLD_COLS} FROM kpi",
+    "type_envelope_check": _with(SENSORS, CLEAN, _envelope_values()) + (
+        "SELECT u.equipment_type, u.metric, COUNT(u.value) AS readings, "
+        "COUNT(CASE WHEN u.value < e.lo THEN 1 END) AS below, "
+        "COUNT(CASE WHEN u.value > e.hi THEN 1 END) AS above "
+        f"FROM (UNPIVOT (SELECT equipment_type, {_METRICS} FROM clean) ON {_METRICS} "
+        "INTO NAME metric VALUE value) u JOIN env e ON u.equipment_type = e.equipment_type "
+        "AND u.metric = e.metric GROUP BY u.equipment_type, u.metric"),
+    "stream_ingest": _with(SENSORS) + "SELECT DISTINCT * FROM sensors",
+    "stream_daily_counts": _with(SENSORS) + (
+        "SELECT CAST(CAST(CAST(timestamp AS TIMESTAMP) AS DATE) AS VARCHAR) AS event_date, equipment_id, "
+        "COUNT(event_id) AS total_readings, COUNT(CASE WHEN is_anomaly THEN 1 END) AS total_anomalies, "
+        "COUNT(CASE WHEN nox_ppm > 350 THEN 1 END) AS nox_violations, "
+        "COUNT(CASE WHEN temp_coolant_c > 105 THEN 1 END) AS overheating_events "
+        "FROM sensors GROUP BY 1, 2"),
+    "stream_prev_delta": _with(SENSORS, CLEAN, SILVER) + (
+        "SELECT event_id, equipment_id, timestamp, rpm, rpm_prev, rpm_delta, temp_coolant_c, "
+        "temp_coolant_prev, temp_coolant_delta FROM silver"),
+})

@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, NOTEBOOK_QUALITY_RULES
+from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, NOTEBOOK_QUALITY_RULES, SENSOR_COLUMNS
 from .functions.columns import anomaly_flag_array
 from .operators import checks as C
 from .operators.enrich import add_labels, add_prev_and_delta, add_time_parts
@@ -28,7 +28,17 @@ from .operators.quality import (
 )
 from .plans.gold import build_gold, build_gold_compact, build_report
 from .plans.silver import build_silver, clean_readings
+from .operators.envelope import envelope_summary
+from .plans.bronze import ingest_to_bronze
+from .plans.gold import materialize_gold
+from .plans.silver import transform_bronze_to_silver
+from .session import scratch_path
 from .sources.fixture import load_sensors
+from .sources.json_source import read_sensor_json, split_corrupt
+from .sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer
+from .streaming.daily_counts import read_daily_counts, start_daily_counts
+from .streaming.ingest import start_stream_ingest
+from .streaming.prev_delta import read_prev_delta, start_stream_prev_delta
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -242,3 +252,137 @@ def data_checks_bronze(spark, sf_dir):
 def data_checks_silver(spark, sf_dir):
     """M1-M4: the twelve tests on silver (all zero when silver is right)."""
     return C.run_checks(_silver_no_lag(spark, sf_dir))
+
+
+# --- sources and sinks on staged files ----------------------------------------
+# These write data Spark derives from ``events`` under the shared checkpoint
+# root (a new folder per call), run the layer jobs, and read the result back.
+
+def _stage_json(spark, df: DataFrame, name: str) -> str:
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").json(path)
+    return path
+
+
+@query
+def bronze_json_scan(spark, sf_dir):
+    """A1/A2: readings as line-delimited JSON, read back under the explicit
+    schema; records that do not parse would go to quarantine."""
+    src = _stage_json(spark, _bronze(spark, sf_dir), "json-src")
+    good, _bad = split_corrupt(read_sensor_json(spark, src))
+    return good.select(*SENSOR_COLUMNS)
+
+
+@query
+def idempotent_append(spark, sf_dir):
+    """One JSON batch ingested twice into a partitioned
+    bronze table; the second run appends nothing."""
+    src = _stage_json(spark, _bronze(spark, sf_dir), "json-src")
+    bronze = scratch_path(spark, "bronze")
+    ingest_to_bronze(spark, src, bronze)
+    ingest_to_bronze(spark, src, bronze)
+    return read_layer(spark, bronze, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
+
+
+def _ingested_layers(spark, sf_dir, incremental: bool):
+    """Bronze + silver jobs on staged JSON. With ``incremental`` the last
+    three ingestion dates arrive in a second batch and silver is refreshed
+    for those dates only."""
+    sensors = _bronze(spark, sf_dir)
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    src_all = _stage_json(spark, sensors, "json-all")
+    if not incremental:
+        ingest_to_bronze(spark, src_all, bronze)
+        transform_bronze_to_silver(spark, bronze, silver)
+        return bronze, silver
+    dates = sorted(r[0] for r in sensors.select("ingestion_date").distinct().collect())
+    cut = dates[-3] if len(dates) > 3 else dates[-1]
+    src_first = _stage_json(spark, sensors.filter(F.col("ingestion_date") < cut), "json-first")
+    ingest_to_bronze(spark, src_first, bronze)
+    transform_bronze_to_silver(spark, bronze, silver)
+    ingest_to_bronze(spark, src_all, bronze)                      # only the new dates are appended
+    transform_bronze_to_silver(spark, bronze, silver, dates=[d for d in dates if d >= cut])
+    return bronze, silver
+
+
+_SILVER_OUT = [c for c in SILVER_SCHEMA.fieldNames()
+               if c not in ("_ingested_at", "_source_path", "_pipeline_version", "_transformed_at")]
+
+
+@query
+def silver_job(spark, sf_dir):
+    """B1/B2/A4: bronze and silver jobs end to end, silver read back by path."""
+    _, silver = _ingested_layers(spark, sf_dir, incremental=False)
+    return read_layer(spark, silver, SILVER_SCHEMA).select(*_SILVER_OUT)
+
+
+@query
+def incremental_refresh(spark, sf_dir):
+    """First dates ingested and transformed, then the last three dates
+    appended and refreshed by dynamic partition overwrite; equals a full build."""
+    _, silver = _ingested_layers(spark, sf_dir, incremental=True)
+    return read_layer(spark, silver, SILVER_SCHEMA).select(*_SILVER_OUT)
+
+
+@query
+def gold_table(spark, sf_dir):
+    """Gold materialised partitioned by date and clustered by machine,
+    then read back (stamp left out)."""
+    _, silver = _ingested_layers(spark, sf_dir, incremental=False)
+    gold = scratch_path(spark, "gold")
+    materialize_gold(spark, silver, gold)
+    # declared schema: partition discovery alone would make ingestion_date a date
+    schema = build_gold(read_layer(spark, silver, SILVER_SCHEMA), updated_at=True).schema
+    return read_layer(spark, gold, schema).drop("_updated_at")
+
+
+@query
+def type_envelope_check(spark, sf_dir):
+    """Clean readings against their type's normal operating envelope."""
+    return envelope_summary(clean_readings(_bronze(spark, sf_dir)))
+
+
+# --- streaming ---------------------------------------------------------------
+
+def _run(q) -> None:
+    try:
+        q.awaitTermination()
+    finally:
+        if q.isActive:
+            q.stop()
+    if q.exception() is not None:
+        raise RuntimeError(str(q.exception()))
+
+
+@query
+def stream_ingest(spark, sf_dir):
+    """K1: streaming bronze ingest run twice over the same files (exactly-once
+    file tracking + duplicate drop within the watermark)."""
+    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    out, ckpt = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-bronze-ckpt")
+    for _ in range(2):
+        _run(start_stream_ingest(spark, src, out, ckpt, watermark="3650 days"))
+    return read_layer(spark, out, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
+
+
+@query
+def stream_daily_counts(spark, sf_dir):
+    """K2: per-day, per-machine counts from a stream (update mode, versioned
+    batch output, newest version per key)."""
+    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    out, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "stream-daily-ckpt")
+    _run(start_daily_counts(spark, src, out, ckpt, watermark="3650 days"))
+    return read_daily_counts(spark, out)
+
+
+@query
+def stream_prev_delta(spark, sf_dir):
+    """K3: previous-reading deltas computed on a stream with a carried
+    last reading per machine."""
+    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    out, state = scratch_path(spark, "stream-prev"), scratch_path(spark, "stream-prev-state")
+    ckpt = scratch_path(spark, "stream-prev-ckpt")
+    _run(start_stream_prev_delta(spark, src, out, state, ckpt))
+    return read_prev_delta(spark, out).select(
+        "event_id", "equipment_id", "timestamp", "rpm", "rpm_prev", "rpm_delta",
+        "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")
