@@ -107,15 +107,17 @@ def run_checks(df: DataFrame, checks: list[Check] | None = None) -> DataFrame:
     return report.orderBy("pos").drop("pos")
 
 
-def bronze_summary(df: DataFrame) -> DataFrame:
+def bronze_summary(df: DataFrame, approx: bool = False) -> DataFrame:
     """One row: total_records, null_event_id, null_equipment_id,
-    distinct_equipment (NULL counted as a value, like DISTINCT), anomaly_records."""
+    distinct_equipment (NULL counted as a value, like DISTINCT), anomaly_records.
+    ``approx`` swaps the exact distinct count (one extra shuffle of the
+    distinct ids) for a HyperLogLog sketch merged map-side."""
+    distinct = F.approx_count_distinct("equipment_id") if approx else F.count_distinct("equipment_id")
     return df.agg(
         F.count(F.lit(1)).alias("total_records"),
         F.count_if(F.col("event_id").isNull()).alias("null_event_id"),
         F.count_if(F.col("equipment_id").isNull()).alias("null_equipment_id"),
-        (F.count_distinct("equipment_id")
-         + F.max(F.col("equipment_id").isNull().cast("int"))).alias("distinct_equipment"),
+        (distinct + F.max(F.col("equipment_id").isNull().cast("int"))).alias("distinct_equipment"),
         F.count_if(F.col("is_anomaly")).alias("anomaly_records"),
     ).withColumn("distinct_equipment", F.coalesce(F.col("distinct_equipment"), F.lit(0)).cast("long"))
 

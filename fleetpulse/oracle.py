@@ -257,6 +257,7 @@ ORACLE_SQL: dict[str, str] = {
     "anomaly_flags": _with(SENSORS) + f"SELECT event_id, anomaly_flags, {_flag_count()} AS n_flags FROM sensors",
     "silver_readings": _with(SENSORS, CLEAN, SILVER) + "SELECT * FROM silver",
     "gold_kpis": _with(SENSORS, CLEAN, SILVER, KPI) + f"SELECT {GOLD_COLS} FROM kpi",
+    "gold_kpis_sql": _with(SENSORS, CLEAN, SILVER, KPI) + f"SELECT {GOLD_COLS} FROM kpi",
     "gold_kpis_compact": _with(SENSORS, CLEAN, SILVER, KPI) + f"SELECT {COMPACT_COLS} FROM kpi",
     "compliance_score": _with(SENSORS, CLEAN, SILVER, KPI) + (
         f"SELECT {KEYS}, total_readings, nox_violations, pm25_violations, overheating_events, "

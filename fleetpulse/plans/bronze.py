@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION
 from ..operators.checks import bronze_summary
-from ..sinks.writers import append_partitioned, new_rows_only, path_exists
+from ..sinks.writers import _range_layout, append_partitioned, new_rows_only, path_exists
 from ..sources.json_source import read_sensor_json, split_corrupt
 from ..sources.layers import BRONZE_SCHEMA, read_layer
 
@@ -54,10 +54,14 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
         # the batch's dates (one per day, a small list) prune the stored side
         dates = [r[0] for r in good.select("ingestion_date").distinct().collect()]
     to_add = prepare_bronze_batch(spark, good, bronze_path, idempotent, fmt, dates)
+    # Lay rows out by partition directory first, then observe: the metrics
+    # node must sit above every exchange (the range layout samples its input
+    # in a separate job that must not report metrics).
+    laid = _range_layout(to_add.select(*BRONZE_SCHEMA.fieldNames()), BRONZE_PARTITIONS, [], None)
     obs = Observation("bronze_ingest")
-    to_add = to_add.observe(obs, F.count(F.lit(1)).alias("rows_written"),
-                            F.count_if(F.col("event_id").isNull()).alias("null_event_id"))
-    append_partitioned(to_add.select(*BRONZE_SCHEMA.fieldNames()), bronze_path, BRONZE_PARTITIONS, fmt)
+    laid = laid.observe(obs, F.count(F.lit(1)).alias("rows_written"),
+                        F.count_if(F.col("event_id").isNull()).alias("null_event_id"))
+    append_partitioned(laid, bronze_path, BRONZE_PARTITIONS, fmt, layout=False)
     return dict(obs.get)
 
 

@@ -165,6 +165,13 @@ def gold_kpis(spark, sf_dir):
     return build_gold(_silver_no_lag(spark, sf_dir))
 
 
+@query
+def gold_kpis_sql(spark, sf_dir):
+    """The same KPI table through Spark SQL over a named silver view."""
+    from .plans.gold_sql import gold_kpis_sql as run_sql
+    return run_sql(spark, _silver_no_lag(spark, sf_dir), view="silver_sensor_readings")
+
+
 @query
 def gold_kpis_compact(spark, sf_dir):
     """The notebook's KPI variant, with engine_issues (F32)."""

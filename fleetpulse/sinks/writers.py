@@ -24,7 +24,13 @@ def _range_layout(df: DataFrame, partition_by: list[str], cluster_by: list[str],
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
-def append_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet") -> None:
+def append_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet",
+                       layout: bool = True, num_partitions: int | None = None) -> None:
+    """Append into partition directories. With ``layout`` the rows are first
+    range-partitioned on the partition columns, so each task writes a few
+    directories instead of every task writing a file into every directory."""
+    if layout:
+        df = _range_layout(df, partition_by, [], num_partitions)
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 

@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import SENSOR_COLUMNS
+from .spread import spread_if_narrow
 
 # FIXED VALUES of the derivation (shared with the SQL oracle):
 # every 50th event is sent twice, every 997th has no event_id, every 89th has
@@ -86,4 +87,4 @@ def sensors_from_events(events: DataFrame) -> DataFrame:
 def load_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read ``events`` from a table folder and derive the readings."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return sensors_from_events(events)
+    return sensors_from_events(spread_if_narrow(events))

@@ -80,3 +80,12 @@ class LayerRegistry:
     def read(self, spark: SparkSession, layer: str) -> DataFrame:
         schema = {"bronze": BRONZE_SCHEMA, "silver": SILVER_SCHEMA}.get(layer)
         return read_layer(spark, self.path(layer), schema, self.fmt)
+
+
+def readings_from_records(spark: SparkSession, records: list[dict]) -> DataFrame:
+    """A small list of reading dicts (e.g. a sample fetched by a client) as a
+    DataFrame under the declared schema, so types and column order do not
+    depend on inference. For anything large, write files and scan them."""
+    from ..constants import SENSOR_COLUMNS
+    nullable = StructType([StructField(f.name, f.dataType, True) for f in SENSOR_SCHEMA.fields])
+    return spark.createDataFrame([tuple(r.get(c) for c in SENSOR_COLUMNS) for r in records], nullable)

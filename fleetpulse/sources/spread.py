@@ -1,0 +1,17 @@
+"""Parallelism guard for narrow inputs."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin the rows over ``min_partitions`` tasks (default: the
+    session's default parallelism) when the scan yields fewer splits, e.g. a
+    single-row-group Parquet file or an unsplittable JSON array. A scan of
+    many files already has enough splits and is returned unchanged (no
+    shuffle)."""
+    sc = df.sparkSession.sparkContext
+    want = min_partitions or sc.defaultParallelism
+    have = df.rdd.getNumPartitions()
+    return df.repartition(want) if have < want else df

@@ -16,7 +16,8 @@ def spark():
 
     from fleetpulse.session import DEFAULT_CONF
     b = (SparkSession.builder.master("local[*]").appName("fleetpulse-tests")
-         .config("spark.sql.shuffle.partitions", "8"))
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="fleetpulse-test-wh-")))
     for k, v in DEFAULT_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
