@@ -1,9 +1,10 @@
 """Gold layer: daily per-machine KPIs, compliance score, health, report.
 
 One ``groupBy(...).agg(...)`` computes every measure of both gold variants.
-All aggregation buffers are fixed-width (counts, sums, min/max of doubles),
-so Spark plans a partial hash aggregate before the shuffle: a machine-day that
-holds a third of all rows is reduced on the map side to one row per task.
+All aggregation buffers are mutable in place (counts, decimal sums, min/max
+of doubles), so Spark plans a partial hash aggregate before the shuffle: a
+machine-day that holds a third of all rows is reduced on the map side to one
+row per task.
 """
 
 from __future__ import annotations

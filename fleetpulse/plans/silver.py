@@ -57,9 +57,8 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
     overwrite; other dates untouched). The first reading of each machine in
     the batch then takes its previous values from the machine's last silver
     reading of the ``lookback_days`` before the batch, and ids already in
-    that window are not inserted again. Carried rows and stored ids are cut
-    from the silver path by a reliable checkpoint before silver is written.
-    Exact when event time and ingestion date agree in order.
+    that window are not inserted again (``lookback_days=None``: all earlier
+    dates). Exact when event time and ingestion date agree in order.
     """
     from datetime import date, timedelta
 
@@ -90,9 +89,11 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
         prior = read_layer(spark, silver_path, SILVER_SCHEMA, fmt).filter(F.col("ingestion_date") < dates[0])
         if lookback_days is not None:
             prior = prior.filter(F.col("ingestion_date") >= (first - timedelta(days=lookback_days)).isoformat())
-        carry = latest_per_key(prior.select(*timed_cols)).checkpoint(eager=True)
-        known = prior.select("event_id").checkpoint(eager=True)
-        clean = clean.join(known, "event_id", "left_anti")
+        # Reads only dates before the batch (partition pruning); the write
+        # below replaces only the batch's dates, so reading and writing the
+        # same table do not overlap.
+        carry = latest_per_key(prior.select(*timed_cols))
+        clean = clean.join(prior.select("event_id"), "event_id", "left_anti")
     rows = clean.withColumn("_carry", F.lit(False))
     if carry is not None:
         rows = rows.unionByName(carry.withColumn("_carry", F.lit(True)))
