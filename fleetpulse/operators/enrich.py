@@ -102,20 +102,45 @@ def _local_lag_fn(key: str, metrics: Sequence[str], prev_names: Sequence[str], p
     return run
 
 
+WINDOW_MAX_BYTES_CONF = "fleetpulse.lag.windowMaxBytes"
+WINDOW_MAX_BYTES_DEFAULT = 64 << 20
+
+
+def estimated_bytes(df: DataFrame) -> int | None:
+    """Catalyst's size estimate of a plan (from file sizes, no job run)."""
+    try:
+        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    except Exception:
+        return None
+
+
+def choose_lag_strategy(df: DataFrame) -> str:
+    """``window`` when the whole input is estimated below the threshold (then
+    even one task holding every row is cheap), else ``range``. Like a
+    broadcast join, the single-task form is used only behind a size check."""
+    limit = int(df.sparkSession.conf.get(WINDOW_MAX_BYTES_CONF, str(WINDOW_MAX_BYTES_DEFAULT)))
+    est = estimated_bytes(df)
+    return "window" if est is not None and est <= limit else "range"
+
+
 def add_previous_values(df: DataFrame, key: str = "equipment_id",
                         order: Sequence[str] = ("timestamp", "event_id"),
                         metrics: Sequence[str] = LAG_METRICS,
                         num_partitions: int | None = None,
-                        strategy: str = "range") -> DataFrame:
+                        strategy: str = "auto") -> DataFrame:
     """Add ``<metric>_prev`` = the metric of the previous row of the same key in
     ``order`` (NULL for a key's first row); NULL order values sort first.
 
-    ``strategy="range"`` (default) scales with rows, not with keys (see module
+    ``strategy="range"`` scales with rows, not with keys (see module
     docstring): one range shuffle; the two reads of it below are the same
     exchange, reused by the planner, so they see the same partition bounds.
     ``strategy="window"`` is the plain window, one task per key.
+    ``strategy="auto"`` (default) picks ``window`` only for inputs estimated
+    below ``fleetpulse.lag.windowMaxBytes`` (64 MB), else ``range``.
     """
     prev_names = [_prev_name(c) for c in metrics]
+    if strategy == "auto":
+        strategy = choose_lag_strategy(df)
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return df.withColumns({p: F.lag(c, 1).over(w) for c, p in zip(metrics, prev_names)})
@@ -179,7 +204,7 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
 def add_prev_and_delta(df: DataFrame, key: str = "equipment_id",
                        order: Sequence[str] = ("timestamp", "event_id"),
                        metrics: Sequence[str] = LAG_METRICS,
-                       num_partitions: int | None = None, strategy: str = "range") -> DataFrame:
+                       num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
     """``rpm_prev``, ``rpm_delta``, ``temp_coolant_prev``, ``temp_coolant_delta``
     (delta = current - previous, NULL on a machine's first reading), in the
     silver column order."""
@@ -193,7 +218,7 @@ def add_prev_and_delta(df: DataFrame, key: str = "equipment_id",
 
 
 def enrich_readings(df: DataFrame, key: str = "equipment_id", num_partitions: int | None = None,
-                    strategy: str = "range", transformed_at: bool = False) -> DataFrame:
+                    strategy: str = "auto", transformed_at: bool = False) -> DataFrame:
     """All silver derived columns, in order: time parts, previous values and
     deltas, severity, status (and the transform stamp when asked)."""
     out = add_labels(add_prev_and_delta(add_time_parts(df), key=key,

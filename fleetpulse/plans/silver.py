@@ -20,7 +20,7 @@ def clean_readings(bronze: DataFrame, rules: dict | None = None) -> DataFrame:
 
 
 def build_silver(bronze: DataFrame, rules: dict | None = None, with_lag: bool = True,
-                 strategy: str = "range", num_partitions: int | None = None,
+                 strategy: str = "auto", num_partitions: int | None = None,
                  transformed_at: bool = False) -> DataFrame:
     """The silver layout: bronze columns (timestamp parsed in place),
     ``_quality_passed``, ``hour_of_day``, ``day_of_week``, previous values and
@@ -49,7 +49,7 @@ def latest_per_key(df: DataFrame, key: str = "equipment_id",
 
 def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: str = "parquet",
                                dates: list[str] | None = None, lookback_days: int | None = 7,
-                               strategy: str = "range", num_partitions: int | None = None) -> dict:
+                               strategy: str = "auto", num_partitions: int | None = None) -> dict:
     """Bronze -> silver in one write action; counts from an Observation.
 
     ``dates=None`` rebuilds silver (static overwrite). With ``dates`` only

@@ -129,6 +129,15 @@ def prev_and_delta(spark, sf_dir):
                      "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")
 
 
+@query
+def prev_and_delta_range(spark, sf_dir):
+    """G1-G3 with the range-partitioned strategy forced (the one chosen for
+    inputs above the size threshold), so it is checked at every scale."""
+    df = add_prev_and_delta(add_time_parts(clean_readings(_bronze(spark, sf_dir))), strategy="range")
+    return df.select("event_id", "equipment_id", "timestamp", "rpm", "rpm_prev", "rpm_delta",
+                     "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")
+
+
 @query
 def emissions_severity(spark, sf_dir):
     """Severity on every raw reading (NULL NOx is NORMAL)."""

@@ -74,7 +74,7 @@ def test_range_lag_matches_brute_force_with_hot_machine(spark, seed, parts):
         ts = None if rnd.random() < 0.01 else f"2024-01-01 {sec // 3600:02d}:{sec % 3600 // 60:02d}:{sec % 60:02d}"
         rows.append(reading(event_id=f"E{i:05d}", equipment_id=m, timestamp=ts, rpm=float(rnd.randint(0, 3000))))
     df = add_time_parts(to_df(spark, rows).repartition(5))
-    out = add_previous_values(df, num_partitions=parts)
+    out = add_previous_values(df, num_partitions=parts, strategy="range")
     got = {r.event_id: r.rpm_prev for r in out.select("event_id", "rpm_prev").collect()}
     assert got == _brute(rows)
     # the plain window agrees
@@ -86,7 +86,7 @@ def test_deltas_and_columns(spark):
     rows = [reading(event_id="a", timestamp="2024-01-01 10:00:00", rpm=1000.0, temp_coolant_c=90.0),
             reading(event_id="b", timestamp="2024-01-01 10:00:10", rpm=1200.0, temp_coolant_c=91.5),
             reading(event_id="c", equipment_id="EQ-002", timestamp="2024-01-01 09:00:00", rpm=800.0)]
-    out = add_prev_and_delta(add_time_parts(to_df(spark, rows)))
+    out = add_prev_and_delta(add_time_parts(to_df(spark, rows)), strategy="range")
     assert out.columns[-4:] == ["rpm_prev", "rpm_delta", "temp_coolant_prev", "temp_coolant_delta"]
     got = {r.event_id: (r.rpm_prev, r.rpm_delta, r.temp_coolant_delta) for r in out.collect()}
     assert got == {"a": (None, None, None), "b": (1000.0, 200.0, 1.5), "c": (None, None, None)}
@@ -94,9 +94,23 @@ def test_deltas_and_columns(spark):
 
 def test_range_lag_reuses_one_shuffle(spark):
     rows = [reading(event_id=f"E{i}", timestamp=f"2024-01-01 10:{i // 60:02d}:{i % 60:02d}") for i in range(300)]
-    out = add_previous_values(add_time_parts(to_df(spark, rows)), num_partitions=4)
+    out = add_previous_values(add_time_parts(to_df(spark, rows)), num_partitions=4, strategy="range")
     out.collect()
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("rangepartitioning") >= 1
     assert "ReusedExchange" in plan
     assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_auto_strategy_uses_size_estimate(spark, tmp_dir):
+    from fleetpulse.operators.enrich import WINDOW_MAX_BYTES_CONF, choose_lag_strategy
+    # an in-memory RDD has no size statistics: unbounded, so range
+    assert choose_lag_strategy(add_time_parts(to_df(spark, [reading()]))) == "range"
+    to_df(spark, [reading()]).write.parquet(tmp_dir)
+    df = add_time_parts(spark.read.parquet(tmp_dir))
+    assert choose_lag_strategy(df) == "window"
+    spark.conf.set(WINDOW_MAX_BYTES_CONF, "0")
+    try:
+        assert choose_lag_strategy(df) == "range"
+    finally:
+        spark.conf.unset(WINDOW_MAX_BYTES_CONF)
