@@ -11,31 +11,37 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from ..constants import ENVELOPE_COLUMNS, TYPE_ENVELOPES
 
 
+def _values(rows: list[tuple], names: list[str]) -> str:
+    """A SQL VALUES relation from fixed, trusted constants (JVM-side local
+    relation with known size: no Python worker, no data-sized input)."""
+    def lit(v):
+        return f"'{v}'" if isinstance(v, str) else f"CAST({float(v)!r} AS DOUBLE)"
+    body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
+    return f"SELECT * FROM VALUES {body} AS t({', '.join(names)})"
+
+
 def envelope_table(spark: SparkSession) -> DataFrame:
     """Wide envelope: equipment_type, <column>_lo, <column>_hi per metric."""
-    fields = [StructField("equipment_type", StringType(), False)]
+    names = ["equipment_type"]
     for col in ENVELOPE_COLUMNS.values():
-        fields += [StructField(f"{col}_lo", DoubleType(), False), StructField(f"{col}_hi", DoubleType(), False)]
+        names += [f"{col}_lo", f"{col}_hi"]
     rows = []
     for etype, ranges in TYPE_ENVELOPES.items():
         row = [etype]
         for metric in ENVELOPE_COLUMNS:
-            lo, hi = ranges[metric]
-            row += [float(lo), float(hi)]
+            row += list(ranges[metric])
         rows.append(tuple(row))
-    return spark.createDataFrame(rows, StructType(fields))
+    return spark.sql(_values(rows, names))
 
 
 def envelope_long(spark: SparkSession) -> DataFrame:
     """Long form: (equipment_type, metric, lo, hi), 45 rows."""
-    rows = [(t, c, float(TYPE_ENVELOPES[t][m][0]), float(TYPE_ENVELOPES[t][m][1]))
-            for t in TYPE_ENVELOPES for m, c in ENVELOPE_COLUMNS.items()]
-    return spark.createDataFrame(rows, "equipment_type string, metric string, lo double, hi double")
+    rows = [(t, c, *TYPE_ENVELOPES[t][m]) for t in TYPE_ENVELOPES for m, c in ENVELOPE_COLUMNS.items()]
+    return spark.sql(_values(rows, ["equipment_type", "metric", "lo", "hi"]))
 
 
 def with_envelope_violations(readings: DataFrame) -> DataFrame:

@@ -49,6 +49,21 @@ def batch_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(out)
 
 
+def _fs_path(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    jpath = jvm.org.apache.hadoop.fs.Path(path)
+    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+
+
+def retain_versions(spark: SparkSession, state_path: str, keep: int = 3) -> None:
+    """Delete all but the newest ``keep`` carry versions (like a checkpoint's
+    minimum batches to retain), so the listing stays small forever."""
+    ids = batch_versions(spark, state_path)
+    for old in ids[:-keep] if len(ids) > keep else []:
+        fs, p = _fs_path(spark, f"{state_path}/_batch_id={old}")
+        fs.delete(p, True)
+
+
 def clean_batch(batch: DataFrame) -> DataFrame:
     """Passing readings with an id, one per id, time parsed (this batch only)."""
     return add_time_parts(clean_readings(batch)).select(*PREV_COLUMNS)
@@ -91,6 +106,9 @@ def start_stream_prev_delta(spark: SparkSession, source_dir: str, out_path: str,
         # their batch-id folder, so a retry of this batch is idempotent.
         new_carry.write.mode("overwrite").parquet(f"{state_path}/_batch_id={batch_id}")
         out.write.mode("overwrite").parquet(f"{out_path}/_batch_id={batch_id}")
+        fs, p = _fs_path(s, staged)
+        fs.delete(p, True)
+        retain_versions(s, state_path)
 
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
