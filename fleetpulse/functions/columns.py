@@ -1,15 +1,12 @@
 """Column expressions of the telemetry layers.
 
-Every function returns a ``Column`` built from JVM-side functions, so that a
+Every function returns a ``Column`` of built-in SQL functions, so that a
 whole layer compiles into one code-generated projection; no Python runs per
 row.
 """
 
 from __future__ import annotations
 
-import operator
-from functools import reduce
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -25,30 +22,36 @@ from ..constants import (
     SEVERITY_LEVELS,
 )
 
-_OPS = {">": operator.gt, "<": operator.lt, ">=": operator.ge, "<=": operator.le}
-
 MICROS_PER_HOUR = 3_600_000_000
 MICROS_PER_DAY = 86_400_000_000
 
 
-def _col(c: str | Column) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+# Rules are rendered as SQL text and parsed once by the JVM: one call per
+# expression instead of one per node, which keeps plan construction cheap
+# (it is paid again for every micro-batch of a stream).
+
+def _q(name: str) -> str:
+    return f"`{name}`"
+
 
+def _num(v: float) -> str:
+    return repr(float(v)) if isinstance(v, float) else str(v)
 
-def _first_match(rules: list[tuple[Column, str]], default: str) -> Column:
-    """CASE WHEN c1 THEN l1 WHEN c2 THEN l2 ... ELSE default END."""
-    expr = None
-    for cond, label in rules:
-        expr = F.when(cond, F.lit(label)) if expr is None else expr.when(cond, F.lit(label))
-    return expr.otherwise(F.lit(default)) if expr is not None else F.lit(default)
 
+def _rule_sql(column: str, lo: float, hi: float) -> str:
+    c = _q(column)
+    return f"({c} IS NOT NULL AND {c} BETWEEN {_num(lo)} AND {_num(hi)})"
+
+
+def _case_sql(branches: list[tuple[str, str]], default: str | None) -> str:
+    body = " ".join(f"WHEN {cond} THEN '{label}'" for cond, label in branches)
+    tail = f" ELSE '{default}'" if default is not None else ""
+    return f"CASE {body}{tail} END"
 
-# --- quality rules ---------------------------------------------------------
 
 def rule_passes(column: str, lo: float, hi: float) -> Column:
     """Not NULL and inside [lo, hi]. Two-valued: NULL and NaN fail."""
-    c = F.col(column)
-    return c.isNotNull() & c.between(lo, hi)
+    return F.expr(_rule_sql(column, lo, hi))
 
 
 def active_rules(columns: list[str], rules: dict[str, tuple[float, float]] | None = None
@@ -61,70 +64,72 @@ def active_rules(columns: list[str], rules: dict[str, tuple[float, float]] | Non
 
 def quality_predicate(columns: list[str], rules: dict[str, tuple[float, float]] | None = None) -> Column:
     """Conjunction of all applicable rules; no rule at all passes every row."""
-    conds = [rule_passes(c, lo, hi) for c, (lo, hi) in active_rules(columns, rules).items()]
-    return reduce(operator.and_, conds) if conds else F.lit(True)
+    conds = [_rule_sql(c, lo, hi) for c, (lo, hi) in active_rules(columns, rules).items()]
+    return F.expr(" AND ".join(conds)) if conds else F.lit(True)
 
 
 def failed_rules(columns: list[str], rules: dict[str, tuple[float, float]] | None = None) -> Column:
     """Array of the names of the rules a row breaks, in rule order."""
-    items = [F.when(~rule_passes(c, lo, hi), F.lit(c))
+    items = [f"CASE WHEN NOT {_rule_sql(c, lo, hi)} THEN '{c}' END"
              for c, (lo, hi) in active_rules(columns, rules).items()]
     if not items:
         return F.array().cast("array<string>")
-    return F.filter(F.array(*items), lambda x: x.isNotNull())
+    return F.expr(f"filter(array({', '.join(items)}), x -> x IS NOT NULL)")
 
 
 # --- enrichment ------------------------------------------------------------
 
-_OFFSET_SUFFIX = r"(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+_OFFSET_SUFFIX = "(Z|[+-][0-9]{2}(:?[0-9]{2})?)$"
+
+
+def parse_event_time_sql(column: str = "timestamp") -> str:
+    s = f"trim({_q(column)})"
+    return f"try_to_timestamp(CASE WHEN {s} RLIKE '{_OFFSET_SUFFIX}' THEN {s} ELSE concat({s}, 'Z') END)"
 
 
-def parse_event_time(c: str | Column = "timestamp") -> Column:
+def parse_event_time(column: str = "timestamp") -> Column:
     """ISO-8601 text to an instant. Text without an offset is read as UTC
     whatever the session zone; unparseable text gives NULL, not an error."""
-    s = F.trim(_col(c))
-    with_zone = F.when(s.rlike(_OFFSET_SUFFIX), s).otherwise(F.concat(s, F.lit("Z")))
-    return F.try_to_timestamp(with_zone)
+    return F.expr(parse_event_time_sql(column))
 
 
-def hour_of_day(ts: str | Column = "timestamp") -> Column:
+def hour_of_day(ts: str = "timestamp") -> Column:
     """Hour 0-23 of the instant in UTC, by integer arithmetic on epoch micros."""
-    micros = F.unix_micros(_col(ts))
-    return (F.pmod(micros, F.lit(MICROS_PER_DAY)) / F.lit(MICROS_PER_HOUR)).cast("int")
+    return F.expr(f"CAST(pmod(unix_micros({_q(ts)}), {MICROS_PER_DAY}) / {MICROS_PER_HOUR} AS INT)")
 
 
-def day_of_week(ts: str | Column = "timestamp") -> Column:
+def day_of_week(ts: str = "timestamp") -> Column:
     """Day of week in UTC, 1 = Sunday .. 7 = Saturday (the Spark convention).
     1970-01-01 was a Thursday (5)."""
-    micros = F.unix_micros(_col(ts))
-    days = (micros - F.pmod(micros, F.lit(MICROS_PER_DAY))) / F.lit(MICROS_PER_DAY)
-    return (F.pmod(days.cast("long") + F.lit(4), F.lit(7)) + F.lit(1)).cast("int")
+    m = f"unix_micros({_q(ts)})"
+    days = f"CAST(({m} - pmod({m}, {MICROS_PER_DAY})) / {MICROS_PER_DAY} AS BIGINT)"
+    return F.expr(f"CAST(pmod({days} + 4, 7) + 1 AS INT)")
 
 
-def emissions_severity(nox: str | Column = "nox_ppm") -> Column:
+def emissions_severity(nox: str = "nox_ppm") -> Column:
     """CRITICAL / HIGH / MEDIUM on strict NOx thresholds, else NORMAL (NULL too)."""
-    n = _col(nox)
-    return _first_match([(n > t, label) for t, label in SEVERITY_LEVELS], SEVERITY_DEFAULT)
+    return F.expr(_case_sql([(f"{_q(nox)} > {_num(t)}", label) for t, label in SEVERITY_LEVELS],
+                            SEVERITY_DEFAULT))
 
 
 def engine_status() -> Column:
     """First matching rule wins: OVERHEATING, LOW_OIL_PRESSURE, HIGH_RPM, NORMAL."""
-    return _first_match([(_OPS[op](F.col(c), t), label) for c, op, t, label in ENGINE_STATUS_RULES],
-                        ENGINE_STATUS_DEFAULT)
+    return F.expr(_case_sql([(f"{_q(c)} {op} {_num(t)}", label) for c, op, t, label in ENGINE_STATUS_RULES],
+                            ENGINE_STATUS_DEFAULT))
 
 
-def _flag_items() -> list[Column]:
-    return [F.when(_OPS[op](F.col(c), t), F.lit(code)) for c, op, t, code in ANOMALY_FLAG_RULES]
+def _flag_items_sql() -> list[str]:
+    return [f"CASE WHEN {_q(c)} {op} {_num(t)} THEN '{code}' END" for c, op, t, code in ANOMALY_FLAG_RULES]
 
 
 def anomaly_flags() -> Column:
     """Comma-joined threshold codes in fixed order; NULL when none applies."""
-    return F.nullif(F.concat_ws(",", *_flag_items()), F.lit(""))
+    return F.expr(f"nullif(concat_ws(',', {', '.join(_flag_items_sql())}), '')")
 
 
 def anomaly_flag_array() -> Column:
     """The same codes as an array (empty when none applies)."""
-    return F.filter(F.array(*_flag_items()), lambda x: x.isNotNull())
+    return F.expr(f"filter(array({', '.join(_flag_items_sql())}), x -> x IS NOT NULL)")
 
 
 # --- metadata stamps -------------------------------------------------------
@@ -161,7 +166,6 @@ def compliance_score(readings: str = "total_readings", nox: str = "nox_violation
         f" + ({overheat} * 1.0 / {d} * 100)), 1) AS DOUBLE)")
 
 
-def health_status(rate: str | Column = "anomaly_rate_pct") -> Column:
+def health_status(rate: str = "anomaly_rate_pct") -> Column:
     """Banding of the rounded anomaly rate; a NULL rate is HEALTHY."""
-    r = _col(rate)
-    return _first_match([(r > t, label) for t, label in HEALTH_LEVELS], HEALTH_DEFAULT)
+    return F.expr(_case_sql([(f"{_q(rate)} > {_num(t)}", label) for t, label in HEALTH_LEVELS], HEALTH_DEFAULT))

@@ -43,59 +43,63 @@ REPORT_COLUMNS = [
 ]
 
 
-def _r(expr, places: int):
-    return F.round(expr, places)
+# Measures as SQL text: each is parsed once in the JVM (one call per
+# measure), the same plan as the Column API at a fraction of the driver time.
 
-
-def _avg(column: str, places: int):
+def _avg(column: str, places: int) -> str:
     """Rounded mean computed in decimal: the sum is exact, so the result does
     not depend on partitioning or row order (a double sum does, and can flip
     a rounded value at a tie). NaN, not representable, is left out."""
-    return F.round(F.avg(F.col(column).try_cast(_DEC)), places).cast("double")
-
-
-def _sum(column: str, places: int):
-    return F.round(F.sum(F.col(column).try_cast(_DEC)), places).cast("double")
-
-
-_DEC = "decimal(18,6)"
+    return f"CAST(ROUND(AVG(TRY_CAST(`{column}` AS {_DEC})), {places}) AS DOUBLE)"
+
+
+def _sum(column: str, places: int) -> str:
+    return f"CAST(ROUND(SUM(TRY_CAST(`{column}` AS {_DEC})), {places}) AS DOUBLE)"
+
+
+def _ext(fn: str, column: str, places: int) -> str:
+    return f"ROUND({fn}(`{column}`), {places})"
+
+
+_DEC = "DECIMAL(18,6)"
+
+_MEASURES = [
+    ("total_readings", "COUNT(event_id)"),
+    ("total_anomalies", "COUNT_IF(is_anomaly)"),
+    ("avg_rpm", _avg("rpm", 1)),
+    ("max_rpm", _ext("MAX", "rpm", 1)),
+    ("min_rpm", _ext("MIN", "rpm", 1)),
+    ("avg_load_pct", _avg("load_pct", 1)),
+    ("avg_temp_coolant_c", _avg("temp_coolant_c", 1)),
+    ("max_temp_coolant_c", _ext("MAX", "temp_coolant_c", 1)),
+    ("avg_temp_oil_c", _avg("temp_oil_c", 1)),
+    ("max_temp_oil_c", _ext("MAX", "temp_oil_c", 1)),
+    ("avg_pressure_oil_bar", _avg("pressure_oil_bar", 2)),
+    ("min_pressure_oil_bar", _ext("MIN", "pressure_oil_bar", 2)),
+    # Sum of a rate in L/h kept for parity; it is not a volume.
+    ("total_fuel_consumed_l", _sum("fuel_rate_lh", 2)),
+    ("avg_fuel_rate_lh", _avg("fuel_rate_lh", 2)),
+    ("avg_nox_ppm", _avg("nox_ppm", 1)),
+    ("max_nox_ppm", _ext("MAX", "nox_ppm", 1)),
+    ("avg_pm25_mg_m3", _avg("pm25_mg_m3", 2)),
+    ("max_pm25_mg_m3", _ext("MAX", "pm25_mg_m3", 2)),
+    ("avg_co2_pct", _avg("co2_pct", 2)),
+    ("nox_violations", f"COUNT_IF(nox_ppm > {NOX_LIMIT})"),
+    ("pm25_violations", f"COUNT_IF(pm25_mg_m3 > {PM25_LIMIT})"),
+    ("overheating_events", f"COUNT_IF(temp_coolant_c > {COOLANT_LIMIT})"),
+    ("low_pressure_events", f"COUNT_IF(pressure_oil_bar < {OIL_PRESSURE_LIMIT})"),
+    ("critical_emissions", "COUNT_IF(emissions_severity = 'CRITICAL')"),
+    ("high_emissions", "COUNT_IF(emissions_severity = 'HIGH')"),
+    ("medium_emissions", "COUNT_IF(emissions_severity = 'MEDIUM')"),
+    ("normal_emissions", "COUNT_IF(emissions_severity = 'NORMAL')"),
+]
 
 
 def _measures(columns: list[str]) -> list:
-    c = F.col
-    aggs = [
-        F.count("event_id").alias("total_readings"),
-        F.count_if(c("is_anomaly")).alias("total_anomalies"),
-        _avg("rpm", 1).alias("avg_rpm"),
-        _r(F.max("rpm"), 1).alias("max_rpm"),
-        _r(F.min("rpm"), 1).alias("min_rpm"),
-        _avg("load_pct", 1).alias("avg_load_pct"),
-        _avg("temp_coolant_c", 1).alias("avg_temp_coolant_c"),
-        _r(F.max("temp_coolant_c"), 1).alias("max_temp_coolant_c"),
-        _avg("temp_oil_c", 1).alias("avg_temp_oil_c"),
-        _r(F.max("temp_oil_c"), 1).alias("max_temp_oil_c"),
-        _avg("pressure_oil_bar", 2).alias("avg_pressure_oil_bar"),
-        _r(F.min("pressure_oil_bar"), 2).alias("min_pressure_oil_bar"),
-        # Sum of a rate in L/h kept for parity; it is not a volume.
-        _sum("fuel_rate_lh", 2).alias("total_fuel_consumed_l"),
-        _avg("fuel_rate_lh", 2).alias("avg_fuel_rate_lh"),
-        _avg("nox_ppm", 1).alias("avg_nox_ppm"),
-        _r(F.max("nox_ppm"), 1).alias("max_nox_ppm"),
-        _avg("pm25_mg_m3", 2).alias("avg_pm25_mg_m3"),
-        _r(F.max("pm25_mg_m3"), 2).alias("max_pm25_mg_m3"),
-        _avg("co2_pct", 2).alias("avg_co2_pct"),
-        F.count_if(c("nox_ppm") > NOX_LIMIT).alias("nox_violations"),
-        F.count_if(c("pm25_mg_m3") > PM25_LIMIT).alias("pm25_violations"),
-        F.count_if(c("temp_coolant_c") > COOLANT_LIMIT).alias("overheating_events"),
-        F.count_if(c("pressure_oil_bar") < OIL_PRESSURE_LIMIT).alias("low_pressure_events"),
-        F.count_if(c("emissions_severity") == "CRITICAL").alias("critical_emissions"),
-        F.count_if(c("emissions_severity") == "HIGH").alias("high_emissions"),
-        F.count_if(c("emissions_severity") == "MEDIUM").alias("medium_emissions"),
-        F.count_if(c("emissions_severity") == "NORMAL").alias("normal_emissions"),
-    ]
+    items = list(_MEASURES)
     if "engine_status" in columns:
-        aggs.append(F.count_if(c("engine_status") != "NORMAL").alias("engine_issues"))
-    return aggs
+        items.append(("engine_issues", "COUNT_IF(engine_status <> 'NORMAL')"))
+    return [F.expr(sql).alias(name) for name, sql in items]
 
 
 def daily_kpis(silver: DataFrame, keys: list[str] | None = None, updated_at: bool = False) -> DataFrame:

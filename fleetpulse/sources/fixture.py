@@ -11,8 +11,7 @@ a second scan.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import SENSOR_COLUMNS
 from .spread import spread_if_narrow
@@ -28,56 +27,46 @@ EQUIPMENT_TYPES = ["excavator", "bulldozer", "wheel_loader", "dump_truck", "moto
 EQUIPMENT_MODELS = ["M-A", "M-B", "M-C", "M-D", None]
 
 
-def _scaled(n: Column, base: int, mult: int, mod: int, div: int) -> Column:
+def _scaled(base: int, mult: int, mod: int, div: int) -> str:
     """(base + (n * mult) % mod) / div, exact in 64-bit integers."""
-    return (F.lit(base) + (n * F.lit(mult)) % F.lit(mod)).cast("double") / F.lit(div)
+    return f"CAST({base} + (n * {mult}) % {mod} AS DOUBLE) / {div}"
 
 
-def _pick(index: Column, values: list) -> Column:
-    expr = None
-    for i, v in enumerate(values):
-        expr = (F.when(index == i, F.lit(v)) if expr is None else expr.when(index == i, F.lit(v)))
-    return expr
+def _pick(values: list) -> str:
+    branches = " ".join(f"WHEN {i} THEN {'NULL' if v is None else repr(v)}" for i, v in enumerate(values))
+    return f"CAST(CASE u {branches} END AS STRING)"
 
 
 def sensors_from_events(events: DataFrame) -> DataFrame:
     """Map an ``events`` DataFrame to the 20-column raw reading layout."""
-    n = F.col("event_id")
-    u = F.col("user_id") % 5
-    k = F.get_json_object("props", "$.k").cast("int")
-    copies = F.when(n % REPEAT_EVERY == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
-    base = events.select(
-        n.alias("n"), "ts", u.alias("u"), "event_type", k.alias("k"),
-        F.explode(copies).alias("_copy"),
+    base = events.selectExpr(
+        "event_id AS n", "ts", "user_id % 5 AS u", "event_type",
+        "CAST(get_json_object(props, '$.k') AS INT) AS k",
+        f"explode(CASE WHEN event_id % {REPEAT_EVERY} = 0 THEN array(0, 1) ELSE array(0) END) AS _copy",
     )
-    n = F.col("n")
-    u = F.col("u")
-    k = F.col("k")
-    coolant = ((F.lit(700) + (n * F.lit(104729)) % F.lit(400)
-                + F.when(n % HOT_COOLANT_EVERY == 0, F.lit(300)).otherwise(F.lit(0))).cast("double")
-               / F.lit(10))
-    s = base.select(
-        F.when(n % NULL_ID_EVERY == 0, F.lit(None).cast("string"))
-         .otherwise(F.concat(F.lit("E-"), n.cast("string"))).alias("event_id"),
-        F.concat(F.lit("EQ-00"), (u + 1).cast("string")).alias("equipment_id"),
-        _pick(u, EQUIPMENT_TYPES).alias("equipment_type"),
-        _pick(u, EQUIPMENT_MODELS).cast("string").alias("equipment_model"),
-        (F.lit(2019) + u).cast("int").alias("equipment_year"),
-        F.date_trunc("second", F.col("ts")).cast("string").alias("timestamp"),
-        F.when(n % NULL_RPM_EVERY == 0, F.lit(None).cast("double"))
-         .otherwise(_scaled(n, 5000, 7919, 26000, 10)).alias("rpm"),
-        coolant.alias("temp_coolant_c"),
-        _scaled(n, 780, 1299709, 500, 10).alias("temp_oil_c"),
-        _scaled(n, 200, 15485863, 450, 100).alias("pressure_oil_bar"),
-        _scaled(n, 1000, 31337, 5500, 100).alias("fuel_rate_lh"),
-        _scaled(n, 350, 27644437, 4200, 10).alias("nox_ppm"),
-        _scaled(n, 30, 6700417, 1170, 100).alias("pm25_mg_m3"),
-        _scaled(n, 300, 2147483, 700, 100).alias("co2_pct"),
-        k.cast("double").alias("load_pct"),
-        ((F.col("event_type") == "error") & (k < 50)).alias("is_anomaly"),
-        ((F.lit(-23550500) + (n * F.lit(3571)) % F.lit(500000)).cast("double") / F.lit(1000000)).alias("location_lat"),
-        ((F.lit(-46633300) + (n * F.lit(6113)) % F.lit(500000)).cast("double") / F.lit(1000000)).alias("location_lon"),
-        F.col("ts").cast("date").cast("string").alias("ingestion_date"),
+    s = base.selectExpr(
+        f"CASE WHEN n % {NULL_ID_EVERY} = 0 THEN CAST(NULL AS STRING) ELSE concat('E-', CAST(n AS STRING)) END"
+        " AS event_id",
+        "concat('EQ-00', CAST(u + 1 AS STRING)) AS equipment_id",
+        f"{_pick(EQUIPMENT_TYPES)} AS equipment_type",
+        f"{_pick(EQUIPMENT_MODELS)} AS equipment_model",
+        "CAST(2019 + u AS INT) AS equipment_year",
+        "CAST(date_trunc('second', ts) AS STRING) AS timestamp",
+        f"CASE WHEN n % {NULL_RPM_EVERY} = 0 THEN CAST(NULL AS DOUBLE) ELSE {_scaled(5000, 7919, 26000, 10)} END"
+        " AS rpm",
+        f"CAST(700 + (n * 104729) % 400 + CASE WHEN n % {HOT_COOLANT_EVERY} = 0 THEN 300 ELSE 0 END AS DOUBLE)"
+        " / 10 AS temp_coolant_c",
+        f"{_scaled(780, 1299709, 500, 10)} AS temp_oil_c",
+        f"{_scaled(200, 15485863, 450, 100)} AS pressure_oil_bar",
+        f"{_scaled(1000, 31337, 5500, 100)} AS fuel_rate_lh",
+        f"{_scaled(350, 27644437, 4200, 10)} AS nox_ppm",
+        f"{_scaled(30, 6700417, 1170, 100)} AS pm25_mg_m3",
+        f"{_scaled(300, 2147483, 700, 100)} AS co2_pct",
+        "CAST(k AS DOUBLE) AS load_pct",
+        "(event_type = 'error' AND k < 50) AS is_anomaly",
+        "CAST(-23550500 + (n * 3571) % 500000 AS DOUBLE) / 1000000 AS location_lat",
+        "CAST(-46633300 + (n * 6113) % 500000 AS DOUBLE) / 1000000 AS location_lon",
+        "CAST(CAST(ts AS DATE) AS STRING) AS ingestion_date",
     )
     # Imported here to keep the module graph acyclic (functions -> constants).
     from ..functions.columns import anomaly_flags
