@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
+from ..sizing import estimated_bytes, partitions_for
 from ..functions.columns import (
     day_of_week,
     emissions_severity,
@@ -106,14 +107,6 @@ WINDOW_MAX_BYTES_CONF = "fleetpulse.lag.windowMaxBytes"
 WINDOW_MAX_BYTES_DEFAULT = 64 << 20
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (from file sizes, no job run)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:
-        return None
-
-
 def choose_lag_strategy(df: DataFrame) -> str:
     """``window`` when the whole input is estimated below the threshold (then
     even one task holding every row is cheap), else ``range``. Like a
@@ -152,7 +145,7 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
         # Both reads below must see one range partitioning; without exchange
         # reuse they would sample different bounds. Fall back to the window.
         return add_previous_values(df, key, order, metrics, num_partitions, "window")
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions_for(df, num_partitions)
     all_cols = list(df.columns)
     # The whole row travels through the shuffle as one struct, so both reads
     # of the shuffle below need exactly the same input (no reader can have

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe_events
+from ..sizing import partitions_for
 
 INGEST_KEY = "_ingest_key"
 
@@ -20,7 +21,7 @@ def _range_layout(df: DataFrame, partition_by: list[str], cluster_by: list[str],
     keys = [*partition_by, *cluster_by]
     if not keys:
         return df
-    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions_for(df, num_partitions)
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 

@@ -114,3 +114,20 @@ def test_auto_strategy_uses_size_estimate(spark, tmp_dir):
         assert choose_lag_strategy(df) == "range"
     finally:
         spark.conf.unset(WINDOW_MAX_BYTES_CONF)
+
+
+def test_partition_count_follows_size_estimate(spark, tmp_dir):
+    from fleetpulse.sizing import MAX_PARTITIONS_CONF, TARGET_BYTES_CONF, partitions_for
+    to_df(spark, [reading(event_id=str(i)) for i in range(200)]).write.parquet(tmp_dir)
+    df = spark.read.parquet(tmp_dir)
+    assert partitions_for(df) == 8                      # small: the configured count
+    assert partitions_for(df, 3) == 3                   # explicit request wins
+    spark.conf.set(TARGET_BYTES_CONF, "100")
+    spark.conf.set(MAX_PARTITIONS_CONF, "50")
+    try:
+        assert partitions_for(df) == 50                 # grows with size, capped
+    finally:
+        spark.conf.unset(TARGET_BYTES_CONF)
+        spark.conf.unset(MAX_PARTITIONS_CONF)
+    # an in-memory RDD has no estimate: the configured count
+    assert partitions_for(to_df(spark, [reading()])) == 8
