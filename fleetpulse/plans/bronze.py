@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION
 from ..operators.checks import bronze_summary
-from ..sinks.writers import _range_layout, append_partitioned, new_rows_only, path_exists
+from ..session import scratch_path
+from ..sinks.writers import _range_layout, append_partitioned, new_rows_only, path_exists, remove_path
 from ..sources.json_source import read_sensor_json, split_corrupt
 from ..sources.layers import BRONZE_SCHEMA, read_layer
 
@@ -41,6 +42,12 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
     Re-running the same files appends nothing (``idempotent``)."""
     raw = read_sensor_json(spark, source_path, multi_line=multi_line).withColumn(
         "_src", F.col("_metadata.file_path"))
+    # Parse the JSON once into typed columnar staging under the shared
+    # checkpoint root; the date list, quarantine, anti join and append all
+    # read that copy (a retried task reads the same rows).
+    staging = scratch_path(spark, "bronze-staging")
+    raw.write.parquet(staging)
+    raw = spark.read.parquet(staging)
     good, bad = split_corrupt(raw)
     if quarantine_path is not None:
         bad.write.mode("append").format(fmt).save(quarantine_path)
@@ -62,7 +69,9 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
     laid = laid.observe(obs, F.count(F.lit(1)).alias("rows_written"),
                         F.count_if(F.col("event_id").isNull()).alias("null_event_id"))
     append_partitioned(laid, bronze_path, BRONZE_PARTITIONS, fmt, layout=False)
-    return dict(obs.get)
+    stats = dict(obs.get)
+    remove_path(spark, staging)
+    return stats
 
 
 def validate_bronze(spark: SparkSession, bronze_path: str, fmt: str = "parquet") -> dict:
