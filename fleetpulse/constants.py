@@ -58,8 +58,8 @@ QUALITY_RULES: dict[str, tuple[float, float]] = {
     "load_pct": (0, 100),
 }
 
-# The notebook variant of the silver rules (six metrics, chained filters).
-NOTEBOOK_QUALITY_RULES: dict[str, tuple[float, float]] = {
+# The six-metric variant of the silver rules (chained filters, no fuel, CO2, load).
+SIX_METRIC_QUALITY_RULES: dict[str, tuple[float, float]] = {
     "rpm": (0, 3000),
     "temp_coolant_c": (50, 130),
     "temp_oil_c": (50, 150),

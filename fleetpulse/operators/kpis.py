@@ -28,7 +28,7 @@ GOLD_MEASURES = [
 ]
 GOLD_SCORES = ["compliance_score", "equipment_health_status"]
 
-# The notebook's smaller variant, under the SQL model's names, plus engine_issues.
+# The compact variant: fewer measures under the same names, plus engine_issues.
 COMPACT_MEASURES = [
     "total_readings", "total_anomalies", "avg_rpm", "max_rpm", "avg_temp_coolant_c",
     "max_temp_coolant_c", "avg_nox_ppm", "max_nox_ppm", "avg_pm25_mg_m3", "total_fuel_consumed_l",
@@ -105,7 +105,7 @@ def _measures(columns: list[str]) -> list:
 def daily_kpis(silver: DataFrame, keys: list[str] | None = None, updated_at: bool = False) -> DataFrame:
     """Every gold measure per (machine, type, model, year, ingestion date),
     NULL keys forming their own group. Returns the SQL model's columns in its
-    order, then ``engine_issues`` (the notebook's extra measure)."""
+    order, then ``engine_issues`` (the compact variant's extra measure)."""
     keys = keys or GROUP_KEYS
     agg = silver.groupBy(*keys).agg(*_measures(silver.columns))
     agg = agg.withColumn("anomaly_rate_pct", anomaly_rate_pct())
@@ -129,7 +129,7 @@ def gold_view(kpis: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def compact_view(kpis: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """The notebook's variant: fewer measures plus ``engine_issues``."""
+    """The compact variant: fewer measures plus ``engine_issues``."""
     keys = keys or GROUP_KEYS
     return kpis.select(*keys, *COMPACT_MEASURES)
 

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import NOTEBOOK_QUALITY_RULES, QUALITY_RULES
+from ..constants import SIX_METRIC_QUALITY_RULES, QUALITY_RULES
 from ..functions.columns import active_rules, failed_rules, quality_predicate, rule_passes
 
 QUALITY_FLAG = "_quality_passed"
@@ -52,9 +52,9 @@ def quality_failure_counts(df: DataFrame, rules: dict | None = None) -> DataFram
 
 
 def chained_range_filters(df: DataFrame, rules: dict | None = None) -> DataFrame:
-    """The notebook's form: one ``between`` filter per metric (NULL fails).
+    """Chained form: one ``between`` filter per metric (NULL fails).
     Catalyst merges the chain into a single pushed-down Filter."""
-    rules = NOTEBOOK_QUALITY_RULES if rules is None else rules
+    rules = SIX_METRIC_QUALITY_RULES if rules is None else rules
     return reduce(lambda acc, kv: acc.filter(F.col(kv[0]).between(*kv[1])),
                   [kv for kv in rules.items() if kv[0] in df.columns], df)
 

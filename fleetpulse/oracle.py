@@ -241,7 +241,7 @@ ORACLE_SQL: dict[str, str] = {
         [f"SELECT '{c}' AS rule, COUNT(CASE WHEN NOT {_rule(c, lo, hi)} THEN 1 END) AS failing_rows FROM sensors"
          for c, lo, hi in RULES]
         + [f"SELECT '_any' AS rule, COUNT(CASE WHEN NOT ({ALL_RULES}) THEN 1 END) AS failing_rows FROM sensors"]),
-    "quality_notebook_rules": _with(SENSORS) + (
+    "quality_six_rules": _with(SENSORS) + (
         "SELECT * FROM sensors WHERE " + " AND ".join(f"{c} BETWEEN {lo} AND {hi}" for c, lo, hi in NB_RULES)
         + " AND event_id IS NOT NULL"),
     "null_event_ids": _with(SENSORS) + "SELECT * FROM sensors WHERE event_id IS NULL",

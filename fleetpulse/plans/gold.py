@@ -13,7 +13,7 @@ def build_gold(silver: DataFrame, updated_at: bool = False) -> DataFrame:
 
 
 def build_gold_compact(silver: DataFrame) -> DataFrame:
-    """The notebook's gold variant, with ``engine_issues``."""
+    """The compact gold variant, with ``engine_issues``."""
     return compact_view(daily_kpis(silver))
 
 

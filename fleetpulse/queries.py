@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, NOTEBOOK_QUALITY_RULES, SENSOR_COLUMNS
+from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, SIX_METRIC_QUALITY_RULES, SENSOR_COLUMNS
 from .functions.columns import anomaly_flag_array
 from .operators import checks as C
 from .operators.enrich import add_labels, add_prev_and_delta, add_time_parts
@@ -89,9 +89,9 @@ def quality_failed_by_rule(spark, sf_dir):
 
 
 @query
-def quality_notebook_rules(spark, sf_dir):
+def quality_six_rules(spark, sf_dir):
     """The six chained range filters, then NULL ids dropped."""
-    return drop_null_key(chained_range_filters(_bronze(spark, sf_dir), NOTEBOOK_QUALITY_RULES))
+    return drop_null_key(chained_range_filters(_bronze(spark, sf_dir), SIX_METRIC_QUALITY_RULES))
 
 
 @query
@@ -183,7 +183,7 @@ def gold_kpis_sql(spark, sf_dir):
 
 @query
 def gold_kpis_compact(spark, sf_dir):
-    """The notebook's KPI variant, with engine_issues (F32)."""
+    """The compact KPI variant, with engine_issues (F32)."""
     return build_gold_compact(_silver_no_lag(spark, sf_dir))
 
 
