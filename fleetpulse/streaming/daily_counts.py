@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import COOLANT_LIMIT, NOX_LIMIT
 from ..functions.columns import parse_event_time
-from .sources import read_sensor_stream
+from .sources import prefer_rocksdb_state, read_sensor_stream
 
 DAILY_KEYS = ["event_date", "equipment_id"]
 
@@ -35,6 +35,7 @@ def daily_counts_plan(readings: DataFrame, watermark: str) -> DataFrame:
 def start_daily_counts(spark: SparkSession, source_dir: str, out_path: str, checkpoint_dir: str,
                        watermark: str = "2 days", available_now: bool = True,
                        max_files_per_trigger: int | None = None) -> StreamingQuery:
+    prefer_rocksdb_state(spark)
     plan = daily_counts_plan(read_sensor_stream(spark, source_dir, max_files_per_trigger), watermark)
 
     def write_batch(batch: DataFrame, batch_id: int) -> None:

@@ -15,12 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION, SENSOR_COLUMNS
 from ..functions.columns import parse_event_time
 from ..sinks.writers import INGEST_KEY, ingest_key
-from .sources import read_sensor_stream
+from .sources import prefer_rocksdb_state, read_sensor_stream
 
 
 def start_stream_ingest(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint_dir: str,
                         watermark: str = "1 day", available_now: bool = True,
                         max_files_per_trigger: int | None = None) -> StreamingQuery:
+    prefer_rocksdb_state(spark)
     raw = read_sensor_stream(spark, source_dir, max_files_per_trigger)
     keyed = raw.withColumns({
         "_event_time": parse_event_time("timestamp"),

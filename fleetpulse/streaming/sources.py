@@ -18,3 +18,15 @@ def read_sensor_stream(spark: SparkSession, source_dir: str, max_files_per_trigg
     if max_bytes_per_trigger:
         reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
     return reader.json(source_dir)
+
+
+STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def prefer_rocksdb_state(spark: SparkSession) -> None:
+    """Use the RocksDB state store (state on local disk, not in executor
+    heap) unless the session already chose a provider. De-duplication state
+    grows with the ids inside the watermark."""
+    if spark.conf.get(STATE_PROVIDER_CONF, None) is None:
+        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)

@@ -131,3 +131,21 @@ def test_partition_count_follows_size_estimate(spark, tmp_dir):
         spark.conf.unset(MAX_PARTITIONS_CONF)
     # an in-memory RDD has no estimate: the configured count
     assert partitions_for(to_df(spark, [reading()])) == 8
+
+
+def test_range_partitions_split_a_hot_machine(spark, tmp_dir):
+    """90% of the rows on one machine still spread evenly over the tasks,
+    where the plain per-machine window would give one task 90% of them."""
+    rnd = random.Random(7)
+    rows = [reading(event_id=f"E{i:05d}", equipment_id="EQ-HOT" if rnd.random() < 0.9 else "EQ-002",
+                    timestamp=f"2024-01-01 {i // 3600 % 24:02d}:{i // 60 % 60:02d}:{i % 60:02d}")
+            for i in range(4000)]
+    to_df(spark, rows).write.parquet(tmp_dir)
+    df = add_time_parts(spark.read.parquet(tmp_dir))
+    ranged = df.repartitionByRange(16, "equipment_id", "timestamp", "event_id")
+    sizes = [r["count"] for r in ranged.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert max(sizes) <= 2.5 * (4000 / 16)
+    per_machine = [r["count"] for r in df.groupBy("equipment_id").count().collect()]
+    assert max(per_machine) > 0.85 * 4000          # what one window task would hold
+    out = add_previous_values(df, num_partitions=16, strategy="range")
+    assert out.filter(F.col("rpm_prev").isNull()).count() == 2   # one first reading per machine
