@@ -13,10 +13,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, SIX_METRIC_QUALITY_RULES, SENSOR_COLUMNS
+from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, SENSOR_COLUMNS, SIX_METRIC_QUALITY_RULES
 from .functions.columns import anomaly_flag_array
 from .operators import checks as C
 from .operators.enrich import add_labels, add_prev_and_delta, add_time_parts
+from .operators.envelope import envelope_summary
 from .operators.kpis import daily_kpis
 from .operators.quality import (
     chained_range_filters,
@@ -26,12 +27,9 @@ from .operators.quality import (
     quality_failure_counts,
     with_failed_rules,
 )
-from .plans.gold import build_gold, build_gold_compact, build_report
-from .plans.silver import build_silver, clean_readings
-from .operators.envelope import envelope_summary
 from .plans.bronze import ingest_to_bronze
-from .plans.gold import materialize_gold
-from .plans.silver import transform_bronze_to_silver
+from .plans.gold import build_gold, build_gold_compact, build_report, materialize_gold
+from .plans.silver import build_silver, clean_readings, transform_bronze_to_silver
 from .session import scratch_path
 from .sources.fixture import load_sensors
 from .sources.json_source import read_sensor_json, split_corrupt

@@ -11,7 +11,7 @@ from fleetpulse.plans.silver import transform_bronze_to_silver
 from fleetpulse.session import scratch_path
 from fleetpulse.sinks.writers import overwrite_partitioned, write_clustered
 from fleetpulse.sources.json_source import read_sensor_json, split_corrupt
-from fleetpulse.sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, LayerRegistry, inspect, read_layer
+from fleetpulse.sources.layers import BRONZE_SCHEMA, LayerRegistry, inspect, read_layer
 
 
 def _local(path: str) -> str:

@@ -3,7 +3,6 @@ import os
 import time
 
 from conftest import reading
-from fleetpulse.constants import SENSOR_COLUMNS
 from fleetpulse.session import scratch_path
 from fleetpulse.sources.layers import BRONZE_SCHEMA, read_layer
 from fleetpulse.streaming.daily_counts import read_daily_counts, start_daily_counts
