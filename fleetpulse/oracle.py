@@ -322,6 +322,7 @@ ORACLE_SQL.update({
         "COUNT(CASE WHEN nox_ppm > 350 THEN 1 END) AS nox_violations, "
         "COUNT(CASE WHEN temp_coolant_c > 105 THEN 1 END) AS overheating_events "
         "FROM sensors GROUP BY 1, 2"),
+    "stream_daily_kpis": _with(SENSORS, CLEAN, SILVER, KPI) + f"SELECT {GOLD_COLS}, engine_issues FROM kpi",
     "stream_prev_delta": _with(SENSORS, CLEAN, SILVER) + (
         "SELECT event_id, equipment_id, timestamp, rpm, rpm_prev, rpm_delta, temp_coolant_c, "
         "temp_coolant_prev, temp_coolant_delta FROM silver"),

@@ -35,6 +35,7 @@ from .sources.fixture import load_sensors
 from .sources.json_source import read_sensor_json, split_corrupt
 from .sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer
 from .streaming.daily_counts import read_daily_counts, start_daily_counts
+from .streaming.daily_kpis import read_daily_kpis, start_daily_kpis
 from .streaming.ingest import start_stream_ingest
 from .streaming.prev_delta import read_prev_delta, start_stream_prev_delta
 
@@ -389,6 +390,16 @@ def stream_daily_counts(spark, sf_dir):
     return read_daily_counts(spark, out)
 
 
+@query
+def stream_daily_kpis(spark, sf_dir):
+    """Streaming gold: the full daily KPI table from partial aggregates kept
+    by a stream (counts, decimal sums, extremes), merged by the reader."""
+    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    out, ckpt = scratch_path(spark, "stream-kpis"), scratch_path(spark, "stream-kpis-ckpt")
+    _run(start_daily_kpis(spark, src, out, ckpt, watermark="3650 days"))
+    return read_daily_kpis(spark, out)
+
+
 @query
 def stream_prev_delta(spark, sf_dir):
     """K3: previous-reading deltas computed on a stream with a carried

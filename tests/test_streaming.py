@@ -68,3 +68,28 @@ def test_stream_prev_delta_carries_across_batches(spark):
     assert got["b"] == (1000.0, 100.0, False)
     assert got["c"] == (1100.0, 200.0, False)      # previous reading came from the carried state
     assert got["z"][2] is True                      # older than the carried reading: flagged late
+
+
+def test_stream_daily_kpis_equal_batch_gold_across_batches(spark):
+    from pyspark.sql import functions as F
+
+    from conftest import to_df
+    from fleetpulse.plans.gold import build_gold
+    from fleetpulse.plans.silver import build_silver
+    from fleetpulse.streaming.daily_kpis import read_daily_kpis, start_daily_kpis
+    src = scratch_path(spark, "src")
+    out, ckpt = scratch_path(spark, "kpis"), scratch_path(spark, "ckpt")
+    b1 = [reading(event_id="a", timestamp="2024-01-01 10:00:00", rpm=1000.0, nox_ppm=360.0, is_anomaly=True),
+          reading(event_id="b", timestamp="2024-01-01 11:00:00", rpm=1500.5, fuel_rate_lh=12.34)]
+    b2 = [reading(event_id="b", timestamp="2024-01-01 11:00:00", rpm=1500.5, fuel_rate_lh=12.34),  # re-sent
+          reading(event_id="c", timestamp="2024-01-01 12:00:00", rpm=700.0, temp_coolant_c=107.0),
+          reading(event_id="d", timestamp="2024-01-02 01:00:00", ingestion_date="2024-01-02", rpm=9000.0)]
+    _drop(_local(src), "1.json", b1)
+    _run(start_daily_kpis(spark, src, out, ckpt, watermark="30 days"))
+    _drop(_local(src), "2.json", b2)
+    _run(start_daily_kpis(spark, src, out, ckpt, watermark="30 days"))
+    got = read_daily_kpis(spark, out)
+    want = build_gold(build_silver(to_df(spark, b1 + b2), with_lag=False))
+    cols = want.columns
+    assert got.select(*cols).exceptAll(want).count() == 0 and want.exceptAll(got.select(*cols)).count() == 0
+    assert got.filter(F.col("ingestion_date") == "2024-01-01").first().total_readings == 3
