@@ -8,11 +8,16 @@ from pyspark.sql import functions as F
 from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION
 from ..operators.checks import bronze_summary
 from ..session import scratch_path
+from ..sizing import estimated_bytes
 from ..sinks.writers import _range_layout, append_partitioned, new_rows_only, path_exists, remove_path
 from ..sources.json_source import read_sensor_json, split_corrupt
 from ..sources.layers import BRONZE_SCHEMA, read_layer
 
 
+STAGE_MIN_BYTES_CONF = "fleetpulse.ingest.stageMinBytes"
+STAGE_MIN_BYTES_DEFAULT = 256 << 20
+
+
 def stamp_bronze(df: DataFrame, version: str = PIPELINE_VERSION, source: str | None = None) -> DataFrame:
     """Add ingestion metadata; the data columns are not touched.
     ``_source_path`` is the file each row came from (or a fixed label)."""
@@ -42,12 +47,15 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
     Re-running the same files appends nothing (``idempotent``)."""
     raw = read_sensor_json(spark, source_path, multi_line=multi_line).withColumn(
         "_src", F.col("_metadata.file_path"))
-    # Parse the JSON once into typed columnar staging under the shared
-    # checkpoint root; the date list, quarantine, anti join and append all
-    # read that copy (a retried task reads the same rows).
-    staging = scratch_path(spark, "bronze-staging")
-    raw.write.parquet(staging)
-    raw = spark.read.parquet(staging)
+    # A large batch is parsed once into typed columnar staging under the
+    # shared checkpoint root; the date list, quarantine, anti join and append
+    # then read that copy. A small one is cheaper to parse twice.
+    staging = None
+    est = estimated_bytes(raw)
+    if est is None or est > int(spark.conf.get(STAGE_MIN_BYTES_CONF, str(STAGE_MIN_BYTES_DEFAULT))):
+        staging = scratch_path(spark, "bronze-staging")
+        raw.write.parquet(staging)
+        raw = spark.read.parquet(staging)
     good, bad = split_corrupt(raw)
     if quarantine_path is not None:
         bad.write.mode("append").format(fmt).save(quarantine_path)
@@ -70,7 +78,8 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
                         F.count_if(F.col("event_id").isNull()).alias("null_event_id"))
     append_partitioned(laid, bronze_path, BRONZE_PARTITIONS, fmt, layout=False)
     stats = dict(obs.get)
-    remove_path(spark, staging)
+    if staging is not None:
+        remove_path(spark, staging)
     return stats
 
 

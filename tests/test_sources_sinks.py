@@ -141,3 +141,19 @@ def test_gold_sql_equals_dataframe_form(spark):
     a, b = build_gold(silver), gold_kpis_sql(spark, silver)
     assert a.columns == b.columns
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_ingest_with_and_without_staging_agree(spark, tmp_dir):
+    from fleetpulse.plans.bronze import STAGE_MIN_BYTES_CONF
+    src = _local(tmp_dir) + "/src"
+    _write_ndjson(src, [reading(event_id="a"), reading(event_id="a"), reading(event_id="b")])
+    out = {}
+    for threshold in ("0", str(1 << 40)):                 # always stage / never stage
+        spark.conf.set(STAGE_MIN_BYTES_CONF, threshold)
+        bronze = scratch_path(spark, "bronze")
+        try:
+            assert ingest_to_bronze(spark, "file:" + src, bronze)["rows_written"] == 2
+        finally:
+            spark.conf.unset(STAGE_MIN_BYTES_CONF)
+        out[threshold] = sorted(r.event_id for r in read_layer(spark, bronze, BRONZE_SCHEMA).collect())
+    assert out["0"] == out[str(1 << 40)] == ["a", "b"]
