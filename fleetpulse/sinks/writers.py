@@ -86,7 +86,12 @@ def new_rows_only(batch: DataFrame, existing: DataFrame | None, key: str = "even
     stored = existing
     if scope_column is not None and scope_values is not None:
         stored = stored.filter(F.col(scope_column).isin(scope_values))
-    stored_keys = stored.select(ingest_key([c for c in cols], key).alias(INGEST_KEY))
+    # Stored keys in two reads: rows with an id need only the id column;
+    # the content hash (all columns) is computed only for id-less rows,
+    # whose IS NULL filter lets Parquet skip row groups without NULL ids.
+    with_id = stored.filter(F.col(key).isNotNull()).select(F.col(key).alias(INGEST_KEY))
+    no_id = stored.filter(F.col(key).isNull()).select(ingest_key(cols, key).alias(INGEST_KEY))
+    stored_keys = with_id.unionByName(no_id)
     return deduped.join(stored_keys, INGEST_KEY, "left_anti").drop(INGEST_KEY)
 
 

@@ -157,3 +157,19 @@ def test_ingest_with_and_without_staging_agree(spark, tmp_dir):
             spark.conf.unset(STAGE_MIN_BYTES_CONF)
         out[threshold] = sorted(r.event_id for r in read_layer(spark, bronze, BRONZE_SCHEMA).collect())
     assert out["0"] == out[str(1 << 40)] == ["a", "b"]
+
+
+def test_stored_keys_read_only_the_id_column(spark, tmp_dir):
+    import re
+
+    from fleetpulse.constants import BRONZE_PARTITIONS
+    from fleetpulse.sinks.writers import new_rows_only
+    spark.conf.set("spark.sql.maxMetadataStringLength", "1000")
+    df = to_df(spark, [reading(event_id=f"e{i}") for i in range(5)]).withColumns(
+        {"_ingested_at": F.current_timestamp(), "_source_path": F.lit("x"), "_pipeline_version": F.lit("1")})
+    overwrite_partitioned(df.select(*BRONZE_SCHEMA.fieldNames()), tmp_dir, BRONZE_PARTITIONS)
+    out = new_rows_only(df, read_layer(spark, tmp_dir, BRONZE_SCHEMA), scope_values=["2024-01-01"])
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "struct<event_id:string>" in re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
+    assert "IsNull(event_id)" in plan and "ingestion_date" in "".join(re.findall(r"PartitionFilters: \[[^\]]*\]", plan))
+    assert out.count() == 0
