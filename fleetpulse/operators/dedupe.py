@@ -16,7 +16,10 @@ def default_order(df: DataFrame, key: str = "event_id") -> list[Column]:
     if "timestamp" in df.columns and dict(df.dtypes)["timestamp"] == "string":
         ts = parse_event_time("timestamp")
     order = [ts.asc_nulls_last()] if "timestamp" in df.columns else []
-    payload = [c for c in SENSOR_COLUMNS + METRIC_COLUMNS if c in df.columns and c not in (key, "timestamp")]
+    # payload, then provenance stamps: copies differing only in stamps still
+    # resolve the same way on every run
+    payload = [c for c in SENSOR_COLUMNS + METRIC_COLUMNS + ["_source_path", "_ingested_at"]
+               if c in df.columns and c not in (key, "timestamp")]
     seen: set[str] = set()
     for c in payload:
         if c not in seen:

@@ -135,6 +135,8 @@ def compact_view(kpis: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def equipment_report(kpis: DataFrame) -> DataFrame:
-    """Eleven-column fleet report ordered by machine (a global sort over the
-    small KPI table; range-partitioned by Spark, no single-task collect)."""
-    return kpis.select(*REPORT_COLUMNS).orderBy(F.col("equipment_id").asc_nulls_first())
+    """Eleven-column fleet report ordered by machine, then day (a global sort
+    over the small KPI table; range-partitioned by Spark, no single-task
+    collect)."""
+    return (kpis.orderBy(F.col("equipment_id").asc_nulls_first(), F.col("ingestion_date").asc_nulls_first())
+                .select(*REPORT_COLUMNS))
