@@ -17,7 +17,7 @@ from collections.abc import Iterator, Sequence
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
@@ -50,10 +50,6 @@ def add_labels(df: DataFrame) -> DataFrame:
     return df.withColumns({"emissions_severity": emissions_severity(), "engine_status": engine_status()})
 
 
-def _sort_columns(key: str, order: Sequence[str]) -> list[Column]:
-    return [F.col(key).asc_nulls_first()] + [F.col(c).asc_nulls_first() for c in order]
-
-
 def _prev_name(c: str) -> str:
     return f"{c.removesuffix('_c')}_prev" if c == "temp_coolant_c" else f"{c}_prev"
 

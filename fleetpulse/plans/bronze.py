@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION
+from ..functions.columns import ingested_at, pipeline_version, source_file
 from ..operators.checks import bronze_summary
 from ..session import scratch_path
 from ..sizing import estimated_bytes
@@ -18,14 +19,13 @@ STAGE_MIN_BYTES_CONF = "fleetpulse.ingest.stageMinBytes"
 STAGE_MIN_BYTES_DEFAULT = 256 << 20
 
 
-def stamp_bronze(df: DataFrame, version: str = PIPELINE_VERSION, source: str | None = None) -> DataFrame:
+def stamp_bronze(df: DataFrame, source: Column, version: str = PIPELINE_VERSION) -> DataFrame:
     """Add ingestion metadata; the data columns are not touched.
-    ``_source_path`` is the file each row came from (or a fixed label)."""
-    src = F.lit(source) if source is not None else F.col("_metadata.file_path")
+    ``source`` is the file each row came from (or a fixed label)."""
     return df.withColumns({
-        "_ingested_at": F.current_timestamp(),
-        "_source_path": src,
-        "_pipeline_version": F.lit(version),
+        "_ingested_at": ingested_at(),
+        "_source_path": source,
+        "_pipeline_version": pipeline_version(version),
     })
 
 
@@ -45,8 +45,7 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
     """Read raw JSON, stamp it and append it to bronze in one write action.
     Counts come from an Observation on that write (no extra count scans).
     Re-running the same files appends nothing (``idempotent``)."""
-    raw = read_sensor_json(spark, source_path, multi_line=multi_line).withColumn(
-        "_src", F.col("_metadata.file_path"))
+    raw = read_sensor_json(spark, source_path, multi_line=multi_line).withColumn("_src", source_file())
     # A large batch is parsed once into typed columnar staging under the
     # shared checkpoint root; the date list, quarantine, anti join and append
     # then read that copy. A small one is cheaper to parse twice.
@@ -59,11 +58,7 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
     good, bad = split_corrupt(raw)
     if quarantine_path is not None:
         bad.write.mode("append").format(fmt).save(quarantine_path)
-    good = good.withColumns({
-        "_ingested_at": F.current_timestamp(),
-        "_source_path": F.col("_src"),
-        "_pipeline_version": F.lit(PIPELINE_VERSION),
-    }).drop("_src")
+    good = stamp_bronze(good, F.col("_src")).drop("_src")
     dates = None
     if idempotent:
         # the batch's dates (one per day, a small list) prune the stored side

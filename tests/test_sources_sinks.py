@@ -173,3 +173,15 @@ def test_stored_keys_read_only_the_id_column(spark, tmp_dir):
     assert "struct<event_id:string>" in re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert "IsNull(event_id)" in plan and "ingestion_date" in "".join(re.findall(r"PartitionFilters: \[[^\]]*\]", plan))
     assert out.count() == 0
+
+
+def test_envelope_row_flags_and_long_form(spark):
+    from fleetpulse.operators.envelope import envelope_long, with_envelope_violations
+    rows = [reading(event_id="in"), reading(event_id="out", rpm=2500.0, load_pct=5.0),
+            reading(event_id="unknown", equipment_type="crane")]
+    got = {r.event_id: r.out_of_envelope for r in with_envelope_violations(to_df(spark, rows)).collect()}
+    assert got == {"in": [], "out": ["rpm", "load_pct"], "unknown": None}
+    long = envelope_long(spark)
+    assert long.count() == 45
+    r = long.filter("equipment_type = 'excavator' AND metric = 'rpm'").first()
+    assert (r.lo, r.hi) == (600.0, 1800.0)
