@@ -9,13 +9,14 @@ to the driver.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..constants import COOLANT_LIMIT, NOX_LIMIT
 from ..functions.columns import parse_event_time
 from .sources import prefer_rocksdb_state, read_sensor_stream
+from .versions import BATCH_COL, compact_versions, newest_per_key
 
 DAILY_KEYS = ["event_date", "equipment_id"]
 
@@ -50,6 +51,9 @@ def start_daily_counts(spark: SparkSession, source_dir: str, out_path: str, chec
 
 def read_daily_counts(spark: SparkSession, out_path: str) -> DataFrame:
     """Newest version of every (event_date, machine) across the batch folders."""
-    versions = spark.read.parquet(out_path)
-    w = Window.partitionBy(*DAILY_KEYS).orderBy(F.col("_batch_id").desc())
-    return versions.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn", "_batch_id")
+    return newest_per_key(spark.read.parquet(out_path), DAILY_KEYS).drop(BATCH_COL)
+
+
+def compact_daily_counts(spark: SparkSession, out_path: str) -> int | None:
+    """Fold committed batch folders into one (see ``versions.compact_versions``)."""
+    return compact_versions(spark, out_path, DAILY_KEYS)

@@ -13,7 +13,7 @@ gold table over the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -23,6 +23,7 @@ from ..operators.enrich import add_labels
 from ..operators.kpis import GOLD_MEASURES, GOLD_SCORES
 from ..operators.quality import drop_null_key, filter_quality
 from .sources import prefer_rocksdb_state, read_sensor_stream
+from .versions import compact_versions, newest_per_key
 
 _DEC = "DECIMAL(18,6)"
 # (gold name, metric, rounding places) of the means and of the fuel sum
@@ -80,9 +81,7 @@ def start_daily_kpis(spark: SparkSession, source_dir: str, out_path: str, checkp
 def read_daily_kpis(spark: SparkSession, out_path: str) -> DataFrame:
     """The gold KPI table (SQL model columns plus ``engine_issues``) from the
     stream's versioned partial aggregates."""
-    versions = spark.read.parquet(out_path)
-    w = Window.partitionBy(*_STATE_KEYS).orderBy(F.col("_batch_id").desc())
-    latest = versions.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+    latest = newest_per_key(spark.read.parquet(out_path), _STATE_KEYS)
     merge = [F.sum(name).alias(name) for name, _ in _COUNTS]
     for _, m, _ in _MEANS:
         merge += [F.sum(f"s_{m}").alias(f"s_{m}"), F.sum(f"c_{m}").alias(f"c_{m}")]
@@ -98,3 +97,8 @@ def read_daily_kpis(spark: SparkSession, out_path: str) -> DataFrame:
     g = g.withColumns({"compliance_score": compliance_score(),
                        "equipment_health_status": health_status("anomaly_rate_pct")})
     return g.select(*GROUP_KEYS, *GOLD_MEASURES, *GOLD_SCORES, "engine_issues")
+
+
+def compact_daily_kpis(spark: SparkSession, out_path: str) -> int | None:
+    """Fold committed batch folders into one (see ``versions.compact_versions``)."""
+    return compact_versions(spark, out_path, _STATE_KEYS)

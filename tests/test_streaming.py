@@ -93,3 +93,23 @@ def test_stream_daily_kpis_equal_batch_gold_across_batches(spark):
     cols = want.columns
     assert got.select(*cols).exceptAll(want).count() == 0 and want.exceptAll(got.select(*cols)).count() == 0
     assert got.filter(F.col("ingestion_date") == "2024-01-01").first().total_readings == 3
+
+
+def test_compaction_keeps_reader_result(spark):
+    from fleetpulse.streaming.daily_counts import compact_daily_counts
+    from fleetpulse.streaming.versions import batch_ids
+    src = scratch_path(spark, "src")
+    out, ckpt = scratch_path(spark, "daily"), scratch_path(spark, "ckpt")
+    for i, day in enumerate(["01", "01", "02", "01"]):
+        _drop(_local(src), f"{i}.json", [reading(event_id=f"e{i}", timestamp=f"2024-01-{day} 10:00:0{i}")])
+        _run(start_daily_counts(spark, src, out, ckpt, watermark="30 days"))
+    before = sorted(tuple(r) for r in read_daily_counts(spark, out).collect())
+    ids = batch_ids(spark, out)
+    assert len(ids) >= 4                                     # data batches (+ no-data watermark batches)
+    assert compact_daily_counts(spark, out) == ids[-2]
+    assert len(batch_ids(spark, out)) == 2                   # merged folder + the newest batch
+    assert sorted(tuple(r) for r in read_daily_counts(spark, out).collect()) == before
+    _drop(_local(src), "9.json", [reading(event_id="e9", timestamp="2024-01-02 11:00:00")])
+    _run(start_daily_counts(spark, src, out, ckpt, watermark="30 days"))   # stream continues after it
+    got = {r.event_date: r.total_readings for r in read_daily_counts(spark, out).collect()}
+    assert got == {"2024-01-01": 3, "2024-01-02": 2}
