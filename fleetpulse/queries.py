@@ -407,7 +407,7 @@ def stream_prev_delta(spark, sf_dir):
     src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
     out, state = scratch_path(spark, "stream-prev"), scratch_path(spark, "stream-prev-state")
     ckpt = scratch_path(spark, "stream-prev-ckpt")
-    _run(start_stream_prev_delta(spark, src, out, state, ckpt))
+    _run(start_stream_prev_delta(spark, src, out, state, ckpt, watermark="3650 days"))
     return read_prev_delta(spark, out).select(
         "event_id", "equipment_id", "timestamp", "rpm", "rpm_prev", "rpm_delta",
         "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")

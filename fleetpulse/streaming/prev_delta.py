@@ -8,7 +8,9 @@ seeded with a small carry table: the last reading of every machine so far
 batch reads the carry its first attempt read and writes the same output.
 A reading older than its machine's carried reading is emitted with
 ``_late = true``; its previous value then comes only from older rows of the
-same batch.
+same batch. Ids already seen within the watermark are dropped across batches
+(first arriving copy kept; batch silver keeps the earliest by event time, the
+same row when copies are exact re-sends).
 """
 
 from __future__ import annotations
@@ -20,7 +22,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.enrich import add_prev_and_delta, add_time_parts
 from ..plans.silver import clean_readings, latest_per_key
 from ..sinks.writers import path_exists
-from .sources import read_sensor_stream
+from ..functions.columns import parse_event_time
+from ..operators.quality import drop_null_key, filter_quality
+from .sources import prefer_rocksdb_state, read_sensor_stream
 
 PREV_COLUMNS = ["event_id", "equipment_id", "timestamp", "rpm", "temp_coolant_c"]
 
@@ -91,8 +95,17 @@ def process_batch(clean: DataFrame, carry: DataFrame | None) -> tuple[DataFrame,
 
 def start_stream_prev_delta(spark: SparkSession, source_dir: str, out_path: str, state_path: str,
                             checkpoint_dir: str, available_now: bool = True,
-                            max_files_per_trigger: int | None = None) -> StreamingQuery:
-    stream = read_sensor_stream(spark, source_dir, max_files_per_trigger)
+                            max_files_per_trigger: int | None = None,
+                            watermark: str = "1 day") -> StreamingQuery:
+    # Stateless rules first (a failing copy must not shadow a valid one),
+    # then ids already seen within the watermark are dropped across batches.
+    prefer_rocksdb_state(spark)
+    raw = read_sensor_stream(spark, source_dir, max_files_per_trigger)
+    stream = (drop_null_key(filter_quality(raw))
+              .withColumn("_event_time", parse_event_time("timestamp"))
+              .withWatermark("_event_time", watermark)
+              .dropDuplicatesWithinWatermark(["event_id"])
+              .drop("_event_time", "_quality_passed"))
 
     def run(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession

@@ -61,9 +61,12 @@ def test_stream_prev_delta_carries_across_batches(spark):
                                   reading(event_id="b", timestamp="2024-01-01 10:00:05", rpm=1100.0)])
     _run(start_stream_prev_delta(spark, src, out, state, ckpt))
     _drop(_local(src), "2.json", [reading(event_id="c", timestamp="2024-01-01 10:00:09", rpm=1300.0),
-                                  reading(event_id="z", timestamp="2024-01-01 09:00:00", rpm=900.0)])
+                                  reading(event_id="z", timestamp="2024-01-01 09:00:00", rpm=900.0),
+                                  reading(event_id="b", timestamp="2024-01-01 10:00:05", rpm=1100.0)])  # re-sent
     _run(start_stream_prev_delta(spark, src, out, state, ckpt))
-    got = {r.event_id: (r.rpm_prev, r.rpm_delta, r._late) for r in read_prev_delta(spark, out).collect()}
+    rows = read_prev_delta(spark, out).collect()
+    assert sorted(r.event_id for r in rows) == ["a", "b", "c", "z"]          # the re-sent id is dropped
+    got = {r.event_id: (r.rpm_prev, r.rpm_delta, r._late) for r in rows}
     assert got["a"] == (None, None, False)
     assert got["b"] == (1000.0, 100.0, False)
     assert got["c"] == (1100.0, 200.0, False)      # previous reading came from the carried state
