@@ -23,13 +23,22 @@ DEFAULT_CONF = {
 }
 
 
+def _driver_memory() -> str:
+    """Local driver heap: 60% of physical memory, at most 8 GB."""
+    try:
+        total = os.sysconf("SC_PAGE_SIZE") * os.sysconf("SC_PHYS_PAGES")
+    except (ValueError, OSError, AttributeError):
+        return "4g"
+    return f"{max(1, min(8, int(total * 0.6) >> 30))}g"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "fleetpulse",
                   extra: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks. On a cluster use the
     session the platform hands you; the library never builds its own."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-               .config("spark.driver.memory", "8g"))
+               .config("spark.driver.memory", _driver_memory()))
     for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
