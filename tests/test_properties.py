@@ -77,3 +77,41 @@ def test_health_bands_match_python(spark, rates):
     for i, r in enumerate(rates):
         want = next((label for t, label in HEALTH_LEVELS if r is not None and r > t), "HEALTHY")
         assert got[i] == want
+
+
+copy = st.fixed_dictionaries({
+    "id": st.sampled_from(["A", "B", "C"]),
+    "sec": st.integers(0, 3),                                   # many equal times
+    "zone": st.sampled_from(["", "+00:00", "-03:00"]),
+    "rpm": st.sampled_from([100.0, 200.0, None]),
+    "nox": st.sampled_from([10.0, 20.0]),
+})
+
+
+def _instant(c):
+    from datetime import datetime, timedelta, timezone
+    base = datetime(2024, 1, 1, 10, 0, c["sec"], tzinfo=timezone.utc)
+    return base + (timedelta(hours=3) if c["zone"] == "-03:00" else timedelta(0))
+
+
+@settings(max_examples=15, deadline=None)
+@given(st.lists(copy, min_size=1, max_size=10), st.sampled_from([1, 3]))
+def test_dedupe_keep_first_matches_python(spark, copies, parts):
+    from fleetpulse.operators.dedupe import dedupe_events
+    rows = [reading(event_id=c["id"], timestamp=f"2024-01-01T10:00:0{c['sec']}{c['zone']}", rpm=c["rpm"],
+                    nox_ppm=c["nox"]) for c in copies]
+    got = {r.event_id: (r.timestamp, r.rpm, r.nox_ppm)
+           for r in dedupe_events(to_df(spark, rows).repartition(parts)).collect()}
+    # keep-first: earliest instant, then payload in schema order (rpm before
+    # nox_ppm), NULL first; the timestamp text is not part of the payload
+    want = {}
+    for c, r in zip(copies, rows):
+        key = (_instant(c), r["rpm"] is not None, r["rpm"] or 0.0, r["nox_ppm"])
+        if c["id"] not in want or key < want[c["id"]][0]:
+            want[c["id"]] = (key, (r["timestamp"], r["rpm"], r["nox_ppm"]))
+    for k, (key, val) in want.items():
+        g = got[k]
+        # equal instants with different offsets are ties: compare the values
+        # that decide the order, not the text of the winning timestamp
+        assert (g[1], g[2]) == (val[1], val[2]), (copies, got)
+    assert set(got) == set(want)
