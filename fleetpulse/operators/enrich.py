@@ -123,6 +123,9 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
     ``strategy="range"`` scales with rows, not with keys (see module
     docstring): one range shuffle; the two reads of it below are the same
     exchange, reused by the planner, so they see the same partition bounds.
+    ``strategy="range_jvm"`` is the same operator with the in-partition step
+    as a window keyed by range partition id instead of the Arrow kernel (no
+    Python; one more shuffle and sort).
     ``strategy="window"`` is the plain window, one task per key.
     ``strategy="auto"`` (default) picks ``window`` only for inputs estimated
     below ``fleetpulse.lag.windowMaxBytes`` (64 MB), else ``range``.
@@ -133,7 +136,7 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return df.withColumns({p: F.lag(c, 1).over(w) for c, p in zip(metrics, prev_names)})
-    if strategy != "range":
+    if strategy not in ("range", "range_jvm"):
         raise ValueError(f"unknown strategy {strategy!r}")
 
     spark = df.sparkSession
@@ -141,6 +144,7 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
         # Both reads below must see one range partitioning; without exchange
         # reuse they would sample different bounds. Fall back to the window.
         return add_previous_values(df, key, order, metrics, num_partitions, "window")
+    jvm_local = strategy == "range_jvm"
     n = partitions_for(df, num_partitions)
     all_cols = list(df.columns)
     # The whole row travels through the shuffle as one struct, so both reads
@@ -154,13 +158,24 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
     # thing to every reader of the shuffle.
     ranged = packed.repartitionByRange(n, *sort_cols)
 
-    # 1) previous value inside each range partition (sorted, Arrow kernel)
-    tagged = ranged.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
     metric_types = {f.name: f.dataType for f in df.schema.fields}
-    out_schema = StructType(list(tagged.schema.fields)
-                            + [StructField(p, metric_types[c], True) for c, p in zip(metrics, prev_names)]
-                            + [StructField(_HEAD, BooleanType(), False)])
-    local = tagged.mapInArrow(_local_lag_fn(key, list(metrics), prev_names, _ROW), out_schema)
+    if jvm_local:
+        # 1') previous value inside each range partition with a window keyed
+        #     by the partition id: no Python, one more shuffle (by id) + sort.
+        tagged = ranged.withColumn(_PID, F.spark_partition_id())
+        w = Window.partitionBy(_PID).orderBy(*sort_cols)
+        same = F.lag(row.getField(key), 1).over(w).eqNullSafe(row.getField(key))
+        local = tagged.select(
+            _ROW, _PID,
+            *[F.when(same, F.lag(row.getField(c), 1).over(w)).alias(p) for c, p in zip(metrics, prev_names)],
+            (F.row_number().over(w) == 1).alias(_HEAD))
+    else:
+        # 1) previous value inside each range partition (sorted, Arrow kernel)
+        tagged = ranged.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
+        out_schema = StructType(list(tagged.schema.fields)
+                                + [StructField(p, metric_types[c], True) for c, p in zip(metrics, prev_names)]
+                                + [StructField(_HEAD, BooleanType(), False)])
+        local = tagged.mapInArrow(_local_lag_fn(key, list(metrics), prev_names, _ROW), out_schema)
 
     # 2) first and last row of every partition, read from the same shuffle
     #    output without sorting it. mode(pid) is a typed aggregate: with it

@@ -254,6 +254,9 @@ ORACLE_SQL: dict[str, str] = {
     "prev_and_delta_range": _with(SENSORS, CLEAN, SILVER) + (
         "SELECT event_id, equipment_id, timestamp, rpm, rpm_prev, rpm_delta, temp_coolant_c, "
         "temp_coolant_prev, temp_coolant_delta FROM silver"),
+    "prev_and_delta_range_jvm": _with(SENSORS, CLEAN, SILVER) + (
+        "SELECT event_id, equipment_id, timestamp, rpm, rpm_prev, rpm_delta, temp_coolant_c, "
+        "temp_coolant_prev, temp_coolant_delta FROM silver"),
     "emissions_severity": _with(SENSORS) + f"SELECT event_id, nox_ppm, {SEVERITY} AS emissions_severity FROM sensors",
     "engine_status": _with(SENSORS) + (
         f"SELECT event_id, temp_coolant_c, pressure_oil_bar, rpm, {STATUS} AS engine_status FROM sensors"),

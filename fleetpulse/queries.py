@@ -137,6 +137,15 @@ def prev_and_delta_range(spark, sf_dir):
                      "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")
 
 
+@query
+def prev_and_delta_range_jvm(spark, sf_dir):
+    """G1-G3 with the range strategy's JVM-only form (window per range
+    partition instead of the Arrow kernel)."""
+    df = add_prev_and_delta(add_time_parts(clean_readings(_bronze(spark, sf_dir))), strategy="range_jvm")
+    return df.select("event_id", "equipment_id", "timestamp", "rpm", "rpm_prev", "rpm_delta",
+                     "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")
+
+
 @query
 def emissions_severity(spark, sf_dir):
     """Severity on every raw reading (NULL NOx is NORMAL)."""

@@ -64,8 +64,9 @@ def _brute(rows):
     return {r.event_id: (None if pd.isna(r.bp) else r.bp) for r in pdf.itertuples()}
 
 
-@pytest.mark.parametrize("seed,parts", [(1, 8), (2, 37), (3, 1), (4, 64)])
-def test_range_lag_matches_brute_force_with_hot_machine(spark, seed, parts):
+@pytest.mark.parametrize("seed,parts,strategy", [(1, 8, "range"), (2, 37, "range"), (3, 1, "range"),
+                                                 (4, 64, "range"), (5, 8, "range_jvm"), (6, 37, "range_jvm")])
+def test_range_lag_matches_brute_force_with_hot_machine(spark, seed, parts, strategy):
     rnd = random.Random(seed)
     rows = []
     for i in range(3000):
@@ -74,7 +75,7 @@ def test_range_lag_matches_brute_force_with_hot_machine(spark, seed, parts):
         ts = None if rnd.random() < 0.01 else f"2024-01-01 {sec // 3600:02d}:{sec % 3600 // 60:02d}:{sec % 60:02d}"
         rows.append(reading(event_id=f"E{i:05d}", equipment_id=m, timestamp=ts, rpm=float(rnd.randint(0, 3000))))
     df = add_time_parts(to_df(spark, rows).repartition(5))
-    out = add_previous_values(df, num_partitions=parts, strategy="range")
+    out = add_previous_values(df, num_partitions=parts, strategy=strategy)
     got = {r.event_id: r.rpm_prev for r in out.select("event_id", "rpm_prev").collect()}
     assert got == _brute(rows)
     # the plain window agrees
