@@ -237,6 +237,8 @@ ORACLE_SQL: dict[str, str] = {
         f"SELECT event_id, equipment_id, timestamp, ({ALL_RULES}) AS _quality_passed, "
         f"{_failed_rules_text()} AS failed_rules FROM sensors"),
     "quality_passed": _with(SENSORS) + f"SELECT *, TRUE AS _quality_passed FROM sensors WHERE {ALL_RULES}",
+    "quality_quarantine": _with(SENSORS) + (
+        f"SELECT *, {_failed_rules_text()} AS failed_rules FROM sensors WHERE NOT ({ALL_RULES})"),
     "quality_failed_by_rule": _with(SENSORS) + "\nUNION ALL ".join(
         [f"SELECT '{c}' AS rule, COUNT(CASE WHEN NOT {_rule(c, lo, hi)} THEN 1 END) AS failing_rows FROM sensors"
          for c, lo, hi in RULES]

@@ -25,6 +25,7 @@ from .operators.quality import (
     filter_quality,
     flag_quality,
     quality_failure_counts,
+    split_quality,
     with_failed_rules,
 )
 from .plans.bronze import ingest_to_bronze
@@ -81,6 +82,13 @@ def quality_passed(spark, sf_dir):
     return filter_quality(_bronze(spark, sf_dir))
 
 
+@query
+def quality_quarantine(spark, sf_dir):
+    """The quarantined side of the split, with the broken rule names."""
+    _passed, failed = split_quality(_bronze(spark, sf_dir))
+    return failed.select(*SENSOR_COLUMNS, F.array_join("failed_rules", ",").alias("failed_rules"))
+
+
 @query
 def quality_failed_by_rule(spark, sf_dir):
     """Failing rows per rule and overall, one scan."""
