@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, outliers
+from . import decontam, line_dedup, mixing, outliers, substring_dedup
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -27,6 +27,13 @@ def op1_outliers(spark, sf_dir):
                        "s.n_dup_lines", "s.n_repeat_words", "base_failed", "kept", "distance")
 
 
+@query
+def op2_substring_dedup(spark, sf_dir):
+    rows = substring_dedup.remove_repeats(read_table(spark, sf_dir, "documents"))
+    return rows.select("doc_id", "n_words", "n_removed",
+                       F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 @query
 def op8_mix_sources(spark, sf_dir):
     plan = mixing.mixing_plan(read_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
@@ -40,6 +47,11 @@ def op9_line_dedup(spark, sf_dir):
     return rows.select("__d.doc_id", "__d.source", "n_lines", "n_dropped", F.col("clean").alias("text"))
 
 
+@query
+def op10_decontamination(spark, sf_dir):
+    return decontam.leaks(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
 ORACLE_SQL["op8_mix_sources"] = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
