@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, forest_join, line_dedup, mixing, outliers, substring_dedup
+from . import decontam, forest_join, licenses, line_dedup, mixing, outliers, substring_dedup
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,6 +34,12 @@ def op2_substring_dedup(spark, sf_dir):
                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op4_license_scan(spark, sf_dir):
+    rows = licenses.labelled(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("__d.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
+
+
 @query
 def op7_forest_join(spark, sf_dir):
     rows = forest_join.near_duplicates(read_table(spark, sf_dir, "documents"))
