@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, forest_join, licenses, line_dedup, mixing, outliers, substring_dedup
+from . import decontam, forest_join, licenses, line_dedup, mixing, outliers, pii_crf, quotes, substring_dedup
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -34,12 +34,28 @@ def op2_substring_dedup(spark, sf_dir):
                        F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
 
 
+@query
+def op3_quotation_linking(spark, sf_dir):
+    return quotes.conversations(read_table(spark, sf_dir, "conversations"))
+
+
 @query
 def op4_license_scan(spark, sf_dir):
     rows = licenses.labelled(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return rows.select("__d.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+@query
+def op6_pii_crf(spark, sf_dir):
+    rows = pii_crf.find(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+    line = lambda a: F.array_join(F.transform(
+        a, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return rows.select("doc_id", *[count(k) for k in pii_crf.KINDS],
+                       F.sha2(line(base).cast("binary"), 256).alias("base_sha256"), line(F.col("spans")).alias("spans"))
+
+
 @query
 def op7_forest_join(spark, sf_dir):
     rows = forest_join.near_duplicates(read_table(spark, sf_dir, "documents"))
@@ -110,3 +126,52 @@ SELECT doc_id, source, coalesce(len(l), 0)::BIGINT AS n_lines,
        array_to_string(k, chr(10)) AS text
 FROM kept
 """
+
+ORACLE_SQL["op3_quotation_linking"] = r"""
+WITH RECURSIVE
+msgs AS (SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+numbered AS (SELECT *, string_split(text, chr(10)) AS ls FROM msgs),
+lines AS (
+  SELECT conv_id, turn, role, text, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS k FROM numbered),
+parsed AS (
+  SELECT *, regexp_extract(line, '^[ \t>]*', 0) AS lead FROM lines),
+leveled AS (
+  SELECT *, length(lead) - length(replace(lead, '>', '')) AS lvl, substr(line, length(lead) + 1) AS body FROM parsed),
+built AS (
+  SELECT conv_id, turn, role, text, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (lvl = 0), '') AS own,
+         count(*) FILTER (lvl > 0) AS n_quoted
+  FROM leveled GROUP BY conv_id, turn, role, text),
+own_keys AS (
+  SELECT conv_id, turn, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS s FROM leveled WHERE lvl = 0
+  UNION SELECT conv_id, turn, lower(trim(regexp_replace(own, '[\x20\x09-\x0D]+', ' ', 'g'))) FROM built),
+originals AS (SELECT conv_id, s, min(turn) AS wrote FROM own_keys
+              WHERE s <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, s),
+quoted AS (
+  SELECT conv_id, turn, lvl, lower(trim(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g'))) AS s
+  FROM leveled WHERE lvl > 0
+  UNION
+  SELECT conv_id, turn, lvl, lower(trim(regexp_replace(string_agg(body, ' ' ORDER BY k), '[\x20\x09-\x0D]+', ' ', 'g')))
+  FROM leveled WHERE lvl > 0 GROUP BY conv_id, turn, role, text, lvl),
+found AS (
+  SELECT q.conv_id, q.turn, q.lvl, o.wrote, count(*) AS n
+  FROM quoted q JOIN originals o ON q.conv_id = o.conv_id AND q.s = o.s
+  WHERE q.s <> '' AND o.wrote < q.turn GROUP BY q.conv_id, q.turn, q.lvl, o.wrote),
+links AS (
+  SELECT conv_id, turn, wrote AS reply_to FROM found
+  QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY lvl, n DESC, wrote DESC) = 1),
+climb AS (
+  SELECT conv_id, turn, reply_to AS top FROM links
+  UNION ALL
+  SELECT c.conv_id, c.turn, l.reply_to FROM climb c JOIN links l ON c.conv_id = l.conv_id AND c.top = l.turn),
+tops AS (SELECT conv_id, turn, min(top) AS thread FROM climb GROUP BY conv_id, turn),
+placed AS (
+  SELECT b.conv_id, b.turn, b.role, b.own, b.n_quoted, l.reply_to, coalesce(t.thread, b.turn) AS thread,
+         CASE WHEN b.conv_id IS NULL THEN md5(concat_ws(':', b.turn, b.role, b.own)) END AS alone
+  FROM built b LEFT JOIN links l ON b.conv_id = l.conv_id AND b.turn = l.turn
+  LEFT JOIN tops t ON b.conv_id = t.conv_id AND b.turn = t.turn)
+SELECT conv_id, floor(thread / 512)::BIGINT AS thread_part, floor(turn / 512)::BIGINT AS turn_part,
+       count(*) AS n_messages, count(reply_to) AS n_replies, sum(n_quoted)::BIGINT AS n_quoted,
+       string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || own, chr(10)
+                  ORDER BY thread NULLS LAST, turn NULLS LAST, coalesce(role, ''), own) AS chat
+FROM placed GROUP BY conv_id, alone, floor(thread / 512), floor(turn / 512)
+"""
