@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, forest_join, licenses, line_dedup, mixing, outliers, pii_crf, quotes, substring_dedup
+from . import decontam, forest_join, html_blocks, licenses, line_dedup, mixing, outliers, pii_crf, quotes, substring_dedup
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -45,6 +45,12 @@ def op4_license_scan(spark, sf_dir):
     return rows.select("__d.doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
+@query
+def op5_html_blocks(spark, sf_dir):
+    rows = html_blocks.extract(read_table(spark, sf_dir, "pages"))
+    return rows.withColumn("n_chars", F.length("text").cast("long"))
+
+
 @query
 def op6_pii_crf(spark, sf_dir):
     rows = pii_crf.find(read_table(spark, sf_dir, "documents"))
