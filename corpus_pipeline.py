@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from fleetpulse.llm import line_dedup, mixing, outliers
+from fleetpulse.llm import decontam, forest_join, line_dedup, mixing, outliers
 from fleetpulse.llm.common import read_table, stage
 
 
@@ -23,12 +23,23 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return line_dedup.drop_boilerplate(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """7: one document of every group of near copies stays."""
+    return forest_join.keep_one(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """10: documents that hold passages of the benchmark go."""
+    return decontam.drop_leaked(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """8: every document as often as its source's target asks."""
     return mixing.mix(docs)
 
 
-STAGES = [("quality", quality), ("line_dedup", lines), ("mixing", mixture)]
+STAGES = [("quality", quality), ("line_dedup", lines), ("near_duplicates", near_duplicates),
+          ("decontamination", decontaminate), ("mixing", mixture)]
 
 #: Estimates by repeated concentration steps and signature tries have no SQL
 #: form; tests hold the stages against brute force.
