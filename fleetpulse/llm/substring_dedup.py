@@ -314,7 +314,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     by one space, and the removed intervals of words, end exclusive."""
     partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     bits = max(6, (partitions - 1).bit_length())
-    n_docs = 8 * partitions + 1
+    n_docs = 3 * partitions + 1     # marks leave a hash bucket in at most so many rows
     text = F.coalesce(F.col(text_col), F.lit(""))
     tag = F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF))
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), tag.alias("tag"), text.cast("binary").alias("text"))
