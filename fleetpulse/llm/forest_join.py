@@ -50,6 +50,7 @@ MAX_DEPTH = 10
 TARGET_RECALL = 0.999
 BLOCK = 256
 CHUNK = 32_768          # shingles hashed at a time
+CHUNK_BYTES = 2_000_000 # text split into words at a time
 COLUMNS = 8192          # shingles multiplied at a time
 
 _RNG = np.random.default_rng(5)
@@ -94,9 +95,7 @@ def shingles(texts: list[bytes | None]) -> tuple[np.ndarray, np.ndarray]:
     return _mix(h), n
 
 
-def labels(texts: list[bytes | None], depth: int, trees: int = TREES) -> tuple[np.ndarray, np.ndarray]:
-    """(labels, shingle counts): a row of ``trees`` 64-bit hashes of the first
-    ``depth`` min-hashes a text; texts without words get zeros."""
+def _label_chunk(texts: list[bytes | None], depth: int, trees: int) -> tuple[np.ndarray, np.ndarray]:
     out = np.zeros((len(texts), trees), np.uint64)
     h, n = shingles(texts)
     some = np.flatnonzero(n)
@@ -116,6 +115,21 @@ def labels(texts: list[bytes | None], depth: int, trees: int = TREES) -> tuple[n
     return out, n
 
 
+def labels(texts: list[bytes | None], depth: int, trees: int = TREES) -> tuple[np.ndarray, np.ndarray]:
+    """(labels, shingle counts): a row of ``trees`` 64-bit hashes of the first
+    ``depth`` min-hashes a text; texts without words get zeros. Texts are split
+    into words ``CHUNK_BYTES`` at a time."""
+    parts, a = [(np.zeros((0, trees), np.uint64), np.zeros(0, np.int64))], 0
+    while a < len(texts):
+        size, b = 0, a
+        while b < len(texts) and (b == a or size + len(texts[b] or b"") <= CHUNK_BYTES):
+            size += len(texts[b] or b"")
+            b += 1
+        parts.append(_label_chunk(texts[a:b], depth, trees))
+        a = b
+    return np.concatenate([x for x, _ in parts]), np.concatenate([n for _, n in parts])
+
+
 def _text_key(text: Column) -> Column:
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
 
