@@ -100,6 +100,14 @@ PM25_LIMIT = 8.0
 COOLANT_LIMIT = 105
 OIL_PRESSURE_LIMIT = 2.5
 
+# Compliance score: 100 minus these weights times the percentage of readings
+# with the violation.
+COMPLIANCE_WEIGHTS: dict[str, float] = {
+    "nox_violations": 2.0,
+    "pm25_violations": 1.5,
+    "overheating_events": 1.0,
+}
+
 # Health banding on the rounded anomaly rate (percent), first match wins.
 HEALTH_LEVELS: list[tuple[float, str]] = [
     (20, "CRITICAL"),
@@ -114,15 +122,6 @@ ACCEPTED_EQUIPMENT_TYPES = ["excavator", "bulldozer", "wheel_loader", "dump_truc
 ACCEPTED_SEVERITIES = ["NORMAL", "MEDIUM", "HIGH", "CRITICAL"]
 ACCEPTED_ENGINE_STATUSES = ["NORMAL", "OVERHEATING", "LOW_OIL_PRESSURE", "HIGH_RPM"]
 
-# Fleet dimension: (equipment_id, equipment_type, equipment_model, equipment_year).
-FLEET = [
-    ("EQ-001", "excavator", "CAT 390F", 2020),
-    ("EQ-002", "bulldozer", "Komatsu D375A", 2019),
-    ("EQ-003", "wheel_loader", "Volvo L350H", 2021),
-    ("EQ-004", "dump_truck", "Volvo A45G", 2022),
-    ("EQ-005", "motor_grader", "John Deere 872G", 2020),
-]
-
 # Normal operating envelope per equipment type: metric -> (lo, hi).
 # Metrics in order: rpm, temp_coolant, temp_oil, pressure_oil, fuel_rate,
 # nox_ppm, pm25_mg, co2_pct, load_pct.

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..constants import (
     ANOMALY_FLAG_RULES,
+    COMPLIANCE_WEIGHTS,
     ENGINE_STATUS_DEFAULT,
     ENGINE_STATUS_RULES,
     HEALTH_DEFAULT,
@@ -152,20 +153,29 @@ def pipeline_version(version: str = PIPELINE_VERSION) -> Column:
 # decimals), then expose doubles. Division goes through try_divide / NULLIF so
 # a group without counted ids gives NULL instead of failing under ANSI mode.
 
-def anomaly_rate_pct(anomalies: str = "total_anomalies", readings: str = "total_readings") -> Column:
-    return F.expr(f"CAST(ROUND(try_divide({anomalies} * 100.0, {readings}), 2) AS DOUBLE)")
+def anomaly_rate_sql(anomalies: str = "total_anomalies", readings: str = "total_readings") -> str:
+    return f"CAST(ROUND(try_divide({anomalies} * 100.0, {readings}), 2) AS DOUBLE)"
 
 
-def compliance_score(readings: str = "total_readings", nox: str = "nox_violations",
-                     pm25: str = "pm25_violations", overheat: str = "overheating_events") -> Column:
-    """100 minus weighted violation percentages (weights 2.0, 1.5, 1.0).
-    Not clamped: a group violating everything scores below zero."""
-    d = f"NULLIF({readings}, 0)"
-    return F.expr(
-        f"CAST(ROUND(100 - (({nox} * 2.0 / {d} * 100) + ({pm25} * 1.5 / {d} * 100)"
-        f" + ({overheat} * 1.0 / {d} * 100)), 1) AS DOUBLE)")
+def compliance_sql(readings: str = "total_readings") -> str:
+    """100 minus weighted violation percentages. Not clamped: a group violating
+    everything scores below zero."""
+    parts = " + ".join(f"({c} * {w} / NULLIF({readings}, 0) * 100)" for c, w in COMPLIANCE_WEIGHTS.items())
+    return f"CAST(ROUND(100 - ({parts}), 1) AS DOUBLE)"
 
 
-def health_status(rate: str = "anomaly_rate_pct") -> Column:
+def health_sql(rate: str = "anomaly_rate_pct") -> str:
     """Banding of the rounded anomaly rate; a NULL rate is HEALTHY."""
-    return F.expr(_case_sql([(f"{_q(rate)} > {_num(t)}", label) for t, label in HEALTH_LEVELS], HEALTH_DEFAULT))
+    return _case_sql([(f"{_q(rate)} > {_num(t)}", label) for t, label in HEALTH_LEVELS], HEALTH_DEFAULT)
+
+
+def anomaly_rate_pct() -> Column:
+    return F.expr(anomaly_rate_sql())
+
+
+def compliance_score() -> Column:
+    return F.expr(compliance_sql())
+
+
+def health_status(rate: str = "anomaly_rate_pct") -> Column:
+    return F.expr(health_sql(rate))

@@ -25,6 +25,8 @@ def default_order(df: DataFrame, key: str = "event_id") -> list[Column]:
         if c not in seen:
             seen.add(c)
             order.append(F.col(c).asc_nulls_first())
+    if "timestamp" in df.columns:   # one instant may be written with different offsets
+        order.append(F.col("timestamp").asc_nulls_first())
     return order
 
 

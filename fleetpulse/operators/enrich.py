@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, StructField, StructType
 
-from ..sizing import estimated_bytes, partitions_for
+from ..sizing import partitions_for
 from ..functions.columns import (
     day_of_week,
     emissions_severity,
@@ -99,24 +99,16 @@ def _local_lag_fn(key: str, metrics: Sequence[str], prev_names: Sequence[str], p
     return run
 
 
-WINDOW_MAX_BYTES_CONF = "fleetpulse.lag.windowMaxBytes"
-WINDOW_MAX_BYTES_DEFAULT = 64 << 20
-
-
-def choose_lag_strategy(df: DataFrame) -> str:
-    """``window`` when the whole input is estimated below the threshold (then
-    even one task holding every row is cheap), else ``range``. Like a
-    broadcast join, the single-task form is used only behind a size check."""
-    limit = int(df.sparkSession.conf.get(WINDOW_MAX_BYTES_CONF, str(WINDOW_MAX_BYTES_DEFAULT)))
-    est = estimated_bytes(df)
-    return "window" if est is not None and est <= limit else "range"
+#: Above so many partitions the per-partition edge rows are joined by a shuffle
+#: instead of being broadcast (an edge row is a few dozen bytes).
+EDGE_BROADCAST_PARTITIONS = 100_000
 
 
 def add_previous_values(df: DataFrame, key: str = "equipment_id",
                         order: Sequence[str] = ("timestamp", "event_id"),
                         metrics: Sequence[str] = LAG_METRICS,
                         num_partitions: int | None = None,
-                        strategy: str = "auto") -> DataFrame:
+                        strategy: str = "range") -> DataFrame:
     """Add ``<metric>_prev`` = the metric of the previous row of the same key in
     ``order`` (NULL for a key's first row); NULL order values sort first.
 
@@ -126,13 +118,10 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
     ``strategy="range_jvm"`` is the same operator with the in-partition step
     as a window keyed by range partition id instead of the Arrow kernel (no
     Python; one more shuffle and sort).
-    ``strategy="window"`` is the plain window, one task per key.
-    ``strategy="auto"`` (default) picks ``window`` only for inputs estimated
-    below ``fleetpulse.lag.windowMaxBytes`` (64 MB), else ``range``.
+    ``strategy="window"`` is the plain window, one task per key; it is used
+    only where the caller asks for it.
     """
     prev_names = [_prev_name(c) for c in metrics]
-    if strategy == "auto":
-        strategy = choose_lag_strategy(df)
     if strategy == "window":
         w = Window.partitionBy(key).orderBy(*[F.col(c).asc_nulls_first() for c in order])
         return df.withColumns({p: F.lag(c, 1).over(w) for c, p in zip(metrics, prev_names)})
@@ -142,8 +131,8 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
     spark = df.sparkSession
     if spark.conf.get("spark.sql.exchange.reuse", "true").lower() != "true":
         # Both reads below must see one range partitioning; without exchange
-        # reuse they would sample different bounds. Fall back to the window.
-        return add_previous_values(df, key, order, metrics, num_partitions, "window")
+        # reuse they would sample different bounds.
+        raise ValueError("the range strategy needs spark.sql.exchange.reuse=true")
     jvm_local = strategy == "range_jvm"
     n = partitions_for(df, num_partitions)
     all_cols = list(df.columns)
@@ -193,8 +182,9 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
                  .select(F.col(_PID), "_m", "head_fp", "p"))
 
     # 3) patch the first row of each partition; prev_tail has one row per
-    #    partition, a size fixed by the partition count, so it is broadcast.
-    joined = local.join(F.broadcast(prev_tail), _PID, "left")
+    #    partition: it is broadcast while their number bounds its size, and
+    #    joined by a shuffle beyond that.
+    joined = local.join(F.broadcast(prev_tail) if n <= EDGE_BROADCAST_PARTITIONS else prev_tail, _PID, "left")
     # Guard: this partition's first row must be the one the edge read saw
     # (``_m`` is read here too, so the optimizer keeps the typed aggregate).
     diverged = F.col(_HEAD) & ((F.xxhash64(row) != F.col("head_fp")) | (F.col("_m") != F.col(_PID)))
@@ -208,7 +198,7 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
 def add_prev_and_delta(df: DataFrame, key: str = "equipment_id",
                        order: Sequence[str] = ("timestamp", "event_id"),
                        metrics: Sequence[str] = LAG_METRICS,
-                       num_partitions: int | None = None, strategy: str = "auto") -> DataFrame:
+                       num_partitions: int | None = None, strategy: str = "range") -> DataFrame:
     """``rpm_prev``, ``rpm_delta``, ``temp_coolant_prev``, ``temp_coolant_delta``
     (delta = current - previous, NULL on a machine's first reading), in the
     silver column order."""
@@ -222,7 +212,7 @@ def add_prev_and_delta(df: DataFrame, key: str = "equipment_id",
 
 
 def enrich_readings(df: DataFrame, key: str = "equipment_id", num_partitions: int | None = None,
-                    strategy: str = "auto", transformed_at: bool = False) -> DataFrame:
+                    strategy: str = "range", transformed_at: bool = False) -> DataFrame:
     """All silver derived columns, in order: time parts, previous values and
     deltas, severity, status (and the transform stamp when asked)."""
     out = add_labels(add_prev_and_delta(add_time_parts(df), key=key,

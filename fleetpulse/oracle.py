@@ -18,19 +18,23 @@ sensors_base AS (
 ), sensors_raw AS (
   SELECT
     CASE WHEN n % 997 = 0 THEN NULL ELSE CONCAT('E-', CAST(n AS VARCHAR)) END AS event_id,
-    CONCAT('EQ-00', CAST(user_id % 5 + 1 AS VARCHAR)) AS equipment_id,
-    CASE user_id % 5 WHEN 0 THEN 'excavator' WHEN 1 THEN 'bulldozer' WHEN 2 THEN 'wheel_loader'
-      WHEN 3 THEN 'dump_truck' ELSE 'motor_grader' END AS equipment_type,
+    CASE WHEN n % 149 = 0 THEN 'EQ-999' WHEN n % 241 = 0 THEN NULL
+      ELSE CONCAT('EQ-00', CAST(user_id % 5 + 1 AS VARCHAR)) END AS equipment_id,
+    CASE WHEN n % 173 = 0 THEN 'crane' WHEN n % 181 = 0 THEN NULL ELSE
+      CASE user_id % 5 WHEN 0 THEN 'excavator' WHEN 1 THEN 'bulldozer' WHEN 2 THEN 'wheel_loader'
+      WHEN 3 THEN 'dump_truck' ELSE 'motor_grader' END END AS equipment_type,
     CASE user_id % 5 WHEN 0 THEN 'M-A' WHEN 1 THEN 'M-B' WHEN 2 THEN 'M-C'
       WHEN 3 THEN 'M-D' ELSE NULL END AS equipment_model,
     CAST(2019 + user_id % 5 AS INTEGER) AS equipment_year,
     CAST(date_trunc('second', ts) AS VARCHAR) AS timestamp,
     CASE WHEN n % 89 = 0 THEN NULL ELSE CAST(5000 + (n * 7919) % 26000 AS DOUBLE) / 10 END AS rpm,
-    CAST(700 + (n * 104729) % 400 + CASE WHEN n % 211 = 0 THEN 300 ELSE 0 END AS DOUBLE) / 10 AS temp_coolant_c,
+    CASE WHEN n % 229 = 0 THEN NULL ELSE
+      CAST(700 + (n * 104729) % 400 + CASE WHEN n % 211 = 0 THEN 300 ELSE 0 END AS DOUBLE) / 10 END AS temp_coolant_c,
     CAST(780 + (n * 1299709) % 500 AS DOUBLE) / 10 AS temp_oil_c,
     CAST(200 + (n * 15485863) % 450 AS DOUBLE) / 100 AS pressure_oil_bar,
     CAST(1000 + (n * 31337) % 5500 AS DOUBLE) / 100 AS fuel_rate_lh,
-    CAST(350 + (n * 27644437) % 4200 AS DOUBLE) / 10 AS nox_ppm,
+    CASE WHEN n % 193 = 0 THEN CAST(-1 AS DOUBLE) WHEN n % 227 = 0 THEN NULL
+      ELSE CAST(350 + (n * 27644437) % 4200 AS DOUBLE) / 10 END AS nox_ppm,
     CAST(30 + (n * 6700417) % 1170 AS DOUBLE) / 100 AS pm25_mg_m3,
     CAST(300 + (n * 2147483) % 700 AS DOUBLE) / 100 AS co2_pct,
     CAST(k AS DOUBLE) AS load_pct,
@@ -297,11 +301,24 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 
+# Normal operating envelope per type (fixed values, written out here so that
+# the oracle does not share them with the library): rpm, coolant, oil, oil
+# pressure, fuel rate, NOx, PM2.5, CO2, load; lowest and highest.
+ENVELOPES = """
+  ('excavator', 600, 1800, 75, 105, 80, 120, 2.5, 5.5, 15, 45, 50, 350, 0.5, 8.0, 3.5, 8.0, 20, 95),
+  ('bulldozer', 700, 1900, 80, 108, 85, 125, 3.0, 6.0, 20, 55, 60, 400, 0.8, 10.0, 4.0, 9.0, 30, 100),
+  ('wheel_loader', 650, 1750, 75, 102, 78, 118, 2.8, 5.8, 12, 40, 40, 300, 0.4, 7.0, 3.0, 7.5, 15, 90),
+  ('dump_truck', 600, 2000, 80, 110, 85, 130, 3.5, 6.5, 25, 65, 80, 450, 1.0, 12.0, 4.5, 10.0, 40, 100),
+  ('motor_grader', 650, 1800, 75, 100, 80, 115, 2.5, 5.5, 10, 35, 35, 280, 0.3, 6.0, 3.0, 7.0, 10, 85)"""
+
+
 def _envelope_values() -> str:
-    from .constants import ENVELOPE_COLUMNS, TYPE_ENVELOPES
-    rows = [f"('{t}', '{c}', {float(TYPE_ENVELOPES[t][m][0])}, {float(TYPE_ENVELOPES[t][m][1])})"
-            for t in TYPE_ENVELOPES for m, c in ENVELOPE_COLUMNS.items()]
-    return "env(equipment_type, metric, lo, hi) AS (VALUES " + ", ".join(rows) + ")"
+    metrics = _METRICS.split(", ")
+    cols = ", ".join(f"lo{i}, hi{i}" for i in range(9))
+    rows = " UNION ALL ".join(f"SELECT t, '{m}', CAST(lo{i} AS DOUBLE), CAST(hi{i} AS DOUBLE) FROM env_wide"
+                              for i, m in enumerate(metrics))
+    return (f"env_wide(t, {cols}) AS (VALUES {ENVELOPES}), "
+            f"env(equipment_type, metric, lo, hi) AS ({rows})")
 
 
 _METRICS = ("rpm, temp_coolant_c, temp_oil_c, pressure_oil_bar, fuel_rate_lh, nox_ppm, "
@@ -332,3 +349,70 @@ ORACLE_SQL.update({
         "SELECT event_id, equipment_id, timestamp, rpm, rpm_prev, rpm_delta, temp_coolant_c, "
         "temp_coolant_prev, temp_coolant_delta FROM silver"),
 })
+
+
+# --- layers under re-sends, gaps and junk -----------------------------------
+
+_SILVER_FULL = _with(SENSORS, CLEAN, SILVER) + "SELECT * FROM silver"
+
+
+def _over(table: str, *ctes: str) -> tuple[str, ...]:
+    """The statements over another readings table."""
+    return tuple(c.replace("FROM sensors ", f"FROM {table} ") for c in ctes)
+
+
+_NUMBER = "CAST(substr(event_id, 3) AS BIGINT)"
+_FIRST_DAY = "(SELECT CAST(min(ingestion_date) AS DATE) FROM sensors)"
+_GAPPED = f"""
+gapped AS (SELECT * FROM sensors WHERE CAST(ingestion_date AS DATE) = {_FIRST_DAY}
+           OR CAST(ingestion_date AS DATE) >= {_FIRST_DAY} + 9)"""
+_RESENT = f"""
+resent AS (SELECT * FROM sensors UNION ALL
+  SELECT * REPLACE (CAST(CAST(timestamp AS TIMESTAMP) - INTERVAL 1 HOUR AS VARCHAR) AS timestamp,
+                    CAST({_FIRST_DAY} + 5 AS VARCHAR) AS ingestion_date)
+  FROM sensors WHERE {_NUMBER} % 7 = 0 AND CAST(ingestion_date AS DATE) = {_FIRST_DAY} + 2)"""
+_JUNK = (f"(event_id IS NOT NULL AND ({_NUMBER} % 101 = 0 OR {_NUMBER} % 103 = 0 "
+         f"OR {_NUMBER} % 107 = 0 OR {_NUMBER} % 109 = 0))")
+_TAMPERED = """
+tampered AS (SELECT * REPLACE (
+    CASE WHEN nox_ppm > 440 THEN 'EXTREME' ELSE emissions_severity END AS emissions_severity,
+    CASE WHEN rpm > 2900 THEN 'RUNAWAY' ELSE engine_status END AS engine_status) FROM labelled)"""
+_NARROW = f"""
+narrow AS (SELECT {SENSOR_COLS} FROM (
+    SELECT *, row_number() OVER (PARTITION BY event_id
+        ORDER BY CAST(timestamp AS TIMESTAMP) ASC NULLS LAST, {PAYLOAD_ORDER}) AS rn
+    FROM sensors WHERE {" AND ".join(_rule(*r) for r in NB_RULES)} AND event_id IS NOT NULL) WHERE rn = 1)"""
+
+ORACLE_SQL.update({
+    "incremental_gap": _with(SENSORS, _GAPPED, *_over("gapped", CLEAN), SILVER) + "SELECT * FROM silver",
+    "incremental_middle_day": _SILVER_FULL,
+    "incremental_split_dates": _SILVER_FULL,
+    "incremental_resent_id": _with(SENSORS, _RESENT, *_over("resent", CLEAN), SILVER) + "SELECT * FROM silver",
+    "bronze_quarantine": _with(SENSORS) + (
+        f"SELECT DISTINCT 'good' AS kind, event_id, NULL AS raw_record FROM sensors WHERE NOT {_JUNK} UNION ALL "
+        f"SELECT DISTINCT 'quarantined', NULL, CASE WHEN {_NUMBER} % 101 = 0 "
+        "THEN '{\"event_id\": \"' || event_id || '\", ' "
+        f"WHEN {_NUMBER} % 103 = 0 THEN '{{\"event_id\":\"' || event_id || '\",\"rpm\":\"abc\"}}' "
+        f"WHEN {_NUMBER} % 107 = 0 THEN '{{}}' ELSE '[' END FROM sensors WHERE {_JUNK}"),
+    "idempotent_append_resent": _with(SENSORS) + (
+        "SELECT DISTINCT * REPLACE (CASE WHEN event_id IS NOT NULL AND "
+        f"{_NUMBER} % 13 = 0 THEN NULL ELSE ingestion_date END AS ingestion_date) FROM sensors"),
+    "data_checks_tampered": _with(SENSORS, LABELLED, _TAMPERED) + _checks_report("tampered"),
+    "catalog_roundtrip": _with(SENSORS, CLEAN) + "SELECT * FROM clean",
+    "layer_stamps": _with(SENSORS, CLEAN, SILVER, KPI) + (
+        "SELECT 'bronze' AS layer, n AS \"rows\", n AS ingested, n AS sourced, n AS versioned, "
+        "CAST(0 AS BIGINT) AS transformed, CAST(0 AS BIGINT) AS updated "
+        "FROM (SELECT COUNT(*) AS n FROM (SELECT DISTINCT * FROM sensors)) UNION ALL "
+        "SELECT 'silver', COUNT(*), COUNT(*), COUNT(*), COUNT(*), COUNT(*), 0 FROM silver UNION ALL "
+        "SELECT 'gold', COUNT(*), 0, 0, 0, 0, COUNT(*) FROM kpi"),
+    "silver_narrow": _with(SENSORS, _NARROW) + (
+        "SELECT * REPLACE (CAST(timestamp AS TIMESTAMP) AS timestamp), "
+        "CAST(hour(CAST(timestamp AS TIMESTAMP)) AS INTEGER) AS hour_of_day, "
+        f"{SEVERITY} AS emissions_severity, {STATUS} AS engine_status FROM narrow"),
+    "gold_narrow": _with(SENSORS, CLEAN, SILVER, KPI) + (
+        f"SELECT {COMPACT_COLS} FROM kpi").replace("avg_pm25_mg_m3", "avg_pm25_mg_m3 AS avg_pm25")
+        .replace("total_fuel_consumed_l", "total_fuel_consumed_l AS total_fuel_lh")
+        .replace("equipment_health_status", "equipment_health_status AS equipment_health"),
+    "sample_by_id": _with(SENSORS, CLEAN) + "SELECT * FROM clean ORDER BY event_id LIMIT 20",
+    "stream_ingest": _with(SENSORS) + f"SELECT DISTINCT * FROM sensors WHERE NOT {_JUNK}",
+})

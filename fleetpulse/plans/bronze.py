@@ -9,14 +9,13 @@ from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION
 from ..functions.columns import ingested_at, pipeline_version, source_file
 from ..operators.checks import bronze_summary
 from ..session import scratch_path
-from ..sizing import estimated_bytes
-from ..sinks.writers import _range_layout, append_partitioned, new_rows_only, path_exists, remove_path
+from ..sinks.writers import append_partitioned, new_rows_only, path_exists, rebalanced, remove_path
 from ..sources.json_source import read_sensor_json, split_corrupt
 from ..sources.layers import BRONZE_SCHEMA, read_layer
 
-
-STAGE_MIN_BYTES_CONF = "fleetpulse.ingest.stageMinBytes"
-STAGE_MIN_BYTES_DEFAULT = 256 << 20
+#: Default quarantine folder: the bronze folder's name with this suffix.
+BESIDE = "_quarantine"
+QUARANTINE_SCHEMA = "raw_record string, _source_path string"
 
 
 def stamp_bronze(df: DataFrame, source: Column, version: str = PIPELINE_VERSION) -> DataFrame:
@@ -30,52 +29,64 @@ def stamp_bronze(df: DataFrame, source: Column, version: str = PIPELINE_VERSION)
 
 
 def prepare_bronze_batch(spark: SparkSession, batch: DataFrame, bronze_path: str,
-                         idempotent: bool = True, fmt: str = "parquet",
-                         scope_values: list | None = None) -> DataFrame:
+                         idempotent: bool = True, fmt: str = "parquet") -> DataFrame:
     """The rows an append would add: batch deduped and minus stored ids."""
     if not idempotent:
         return batch
     existing = read_layer(spark, bronze_path, BRONZE_SCHEMA, fmt) if path_exists(spark, bronze_path) else None
-    return new_rows_only(batch, existing, scope_values=scope_values)
+    return new_rows_only(batch, existing)
 
 
-def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
-                     quarantine_path: str | None = None, multi_line: bool = False,
-                     fmt: str = "parquet", idempotent: bool = True) -> dict:
-    """Read raw JSON, stamp it and append it to bronze in one write action.
-    Counts come from an Observation on that write (no extra count scans).
-    Re-running the same files appends nothing (``idempotent``)."""
-    raw = read_sensor_json(spark, source_path, multi_line=multi_line).withColumn("_src", source_file())
-    # A large batch is parsed once into typed columnar staging under the
-    # shared checkpoint root; the date list, quarantine, anti join and append
-    # then read that copy. A small one is cheaper to parse twice.
-    staging = None
-    est = estimated_bytes(raw)
-    if est is None or est > int(spark.conf.get(STAGE_MIN_BYTES_CONF, str(STAGE_MIN_BYTES_DEFAULT))):
-        staging = scratch_path(spark, "bronze-staging")
-        raw.write.parquet(staging)
-        raw = spark.read.parquet(staging)
-    good, bad = split_corrupt(raw)
-    if quarantine_path is not None:
-        bad.write.mode("append").format(fmt).save(quarantine_path)
+def store_quarantine(spark: SparkSession, bad: DataFrame, path: str, fmt: str = "parquet") -> None:
+    """Append the records that are not in the quarantine yet."""
+    bad = bad.distinct()
+    if path_exists(spark, path):
+        known = spark.read.schema(QUARANTINE_SCHEMA).format(fmt).load(path)
+        bad = bad.join(known, ["raw_record", "_source_path"], "left_anti")
+    bad.write.mode("append").format(fmt).save(path)
+
+
+def append_batch(spark: SparkSession, staged: DataFrame, bronze_path: str, quarantine_path: str | None,
+                 fmt: str = "parquet", idempotent: bool = True) -> dict:
+    """Staged raw records (parsed columns, corrupt text, ``_src``) to bronze and
+    quarantine; the step that batch and stream share."""
+    good, bad = split_corrupt(staged, F.col("_src"))
+    quarantined = bad.count()
+    if quarantine_path is not None and quarantined:
+        store_quarantine(spark, bad, quarantine_path, fmt)
     good = stamp_bronze(good, F.col("_src")).drop("_src")
-    dates = None
-    if idempotent:
-        # the batch's dates (one per day, a small list) prune the stored side
-        dates = [r[0] for r in good.select("ingestion_date").distinct().collect()]
-    to_add = prepare_bronze_batch(spark, good, bronze_path, idempotent, fmt, dates)
-    # Lay rows out by partition directory first, then observe: the metrics
-    # node must sit above every exchange (the range layout samples its input
-    # in a separate job that must not report metrics).
-    laid = _range_layout(to_add.select(*BRONZE_SCHEMA.fieldNames()), BRONZE_PARTITIONS, [], None)
+    to_add = prepare_bronze_batch(spark, good, bronze_path, idempotent, fmt)
+    # distribute by partition directory first, then observe: the metrics node
+    # must sit above every exchange
+    laid = rebalanced(to_add.select(*BRONZE_SCHEMA.fieldNames()), BRONZE_PARTITIONS)
     obs = Observation("bronze_ingest")
     laid = laid.observe(obs, F.count(F.lit(1)).alias("rows_written"),
                         F.count_if(F.col("event_id").isNull()).alias("null_event_id"))
     append_partitioned(laid, bronze_path, BRONZE_PARTITIONS, fmt, layout=False)
-    stats = dict(obs.get)
-    if staging is not None:
+    return dict(obs.get) | {"quarantined": quarantined}
+
+
+def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
+                     quarantine_path: str | None = BESIDE, multi_line: bool = False,
+                     fmt: str = "parquet", idempotent: bool = True) -> dict:
+    """Read raw JSON, stamp it and append it to bronze in one write action.
+
+    The JSON is parsed once, into typed columnar staging under the shared
+    checkpoint root; the quarantine, the anti join on stored ids and the append
+    read that copy. Records that do not parse go to the quarantine, by default
+    beside the bronze folder; ``quarantine_path=None`` drops them, and
+    ``quarantined`` counts them either way. Re-running the same files appends
+    nothing to either (``idempotent``)."""
+    if quarantine_path == BESIDE:
+        quarantine_path = bronze_path.rstrip("/") + BESIDE
+    staging = scratch_path(spark, "bronze-staging")
+    try:
+        raw = read_sensor_json(spark, source_path, multi_line=multi_line).withColumn("_src", source_file())
+        raw.write.parquet(staging)
+        staged = spark.read.schema(raw.schema).parquet(staging)
+        return append_batch(spark, staged, bronze_path, quarantine_path, fmt, idempotent)
+    finally:
         remove_path(spark, staging)
-    return stats
 
 
 def validate_bronze(spark: SparkSession, bronze_path: str, fmt: str = "parquet") -> dict:

@@ -1,69 +1,25 @@
-"""The gold KPI model as Spark SQL over a named silver view.
-
-Same result as ``plans.gold.build_gold`` (the DataFrame form); this is the
-form for teams that keep models as SQL. The silver input is any table or
-temporary view name.
+"""The gold KPI model as Spark SQL over a named silver view, for teams that keep
+models as SQL: the text is rendered from the measure table of
+``operators.kpis`` and the score expressions of ``functions.columns``, so both
+forms are one definition. The silver input is any table or view name.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-_AVG = "CAST(ROUND(AVG(TRY_CAST({c} AS DECIMAL(18,6))), {d}) AS DOUBLE)"
+from ..constants import GROUP_KEYS
+from ..functions.columns import anomaly_rate_sql, compliance_sql, health_sql
+from ..operators.kpis import GOLD_MEASURES, MEASURES, measure_sql
 
 
 def gold_kpis_sql_text(silver: str) -> str:
-    a = lambda c, d: _AVG.format(c=c, d=d)
-    return f"""
-WITH daily AS (
-  SELECT equipment_id, equipment_type, equipment_model, equipment_year, ingestion_date,
-         COUNT(event_id) AS total_readings,
-         COUNT_IF(is_anomaly) AS total_anomalies,
-         {a('rpm', 1)} AS avg_rpm,
-         ROUND(MAX(rpm), 1) AS max_rpm,
-         ROUND(MIN(rpm), 1) AS min_rpm,
-         {a('load_pct', 1)} AS avg_load_pct,
-         {a('temp_coolant_c', 1)} AS avg_temp_coolant_c,
-         ROUND(MAX(temp_coolant_c), 1) AS max_temp_coolant_c,
-         {a('temp_oil_c', 1)} AS avg_temp_oil_c,
-         ROUND(MAX(temp_oil_c), 1) AS max_temp_oil_c,
-         {a('pressure_oil_bar', 2)} AS avg_pressure_oil_bar,
-         ROUND(MIN(pressure_oil_bar), 2) AS min_pressure_oil_bar,
-         CAST(ROUND(SUM(TRY_CAST(fuel_rate_lh AS DECIMAL(18,6))), 2) AS DOUBLE) AS total_fuel_consumed_l,
-         {a('fuel_rate_lh', 2)} AS avg_fuel_rate_lh,
-         {a('nox_ppm', 1)} AS avg_nox_ppm,
-         ROUND(MAX(nox_ppm), 1) AS max_nox_ppm,
-         {a('pm25_mg_m3', 2)} AS avg_pm25_mg_m3,
-         ROUND(MAX(pm25_mg_m3), 2) AS max_pm25_mg_m3,
-         {a('co2_pct', 2)} AS avg_co2_pct,
-         COUNT_IF(nox_ppm > 350) AS nox_violations,
-         COUNT_IF(pm25_mg_m3 > 8.0) AS pm25_violations,
-         COUNT_IF(temp_coolant_c > 105) AS overheating_events,
-         COUNT_IF(pressure_oil_bar < 2.5) AS low_pressure_events,
-         COUNT_IF(emissions_severity = 'CRITICAL') AS critical_emissions,
-         COUNT_IF(emissions_severity = 'HIGH') AS high_emissions,
-         COUNT_IF(emissions_severity = 'MEDIUM') AS medium_emissions,
-         COUNT_IF(emissions_severity = 'NORMAL') AS normal_emissions
-  FROM {silver}
-  GROUP BY equipment_id, equipment_type, equipment_model, equipment_year, ingestion_date
-), rated AS (
-  SELECT *, CAST(ROUND(TRY_DIVIDE(total_anomalies * 100.0, total_readings), 2) AS DOUBLE) AS anomaly_rate_pct
-  FROM daily
-)
-SELECT equipment_id, equipment_type, equipment_model, equipment_year, ingestion_date,
-       total_readings, total_anomalies, anomaly_rate_pct, avg_rpm, max_rpm, min_rpm, avg_load_pct,
-       avg_temp_coolant_c, max_temp_coolant_c, avg_temp_oil_c, max_temp_oil_c, avg_pressure_oil_bar,
-       min_pressure_oil_bar, total_fuel_consumed_l, avg_fuel_rate_lh, avg_nox_ppm, max_nox_ppm,
-       avg_pm25_mg_m3, max_pm25_mg_m3, avg_co2_pct, nox_violations, pm25_violations, overheating_events,
-       low_pressure_events, critical_emissions, high_emissions, medium_emissions, normal_emissions,
-       CAST(ROUND(100 - (nox_violations * 2.0 / NULLIF(total_readings, 0) * 100
-                         + pm25_violations * 1.5 / NULLIF(total_readings, 0) * 100
-                         + overheating_events * 1.0 / NULLIF(total_readings, 0) * 100), 1) AS DOUBLE)
-         AS compliance_score,
-       CASE WHEN anomaly_rate_pct > 20 THEN 'CRITICAL' WHEN anomaly_rate_pct > 10 THEN 'WARNING'
-            WHEN anomaly_rate_pct > 5 THEN 'ATTENTION' ELSE 'HEALTHY' END AS equipment_health_status
-FROM rated
-"""
+    keys = ", ".join(GROUP_KEYS)
+    measures = ",\n    ".join(f"{measure_sql(kind, arg, places)} AS {name}" for name, kind, arg, places in MEASURES)
+    return (f"WITH daily AS (\n  SELECT {keys},\n    {measures}\n  FROM {silver}\n  GROUP BY {keys}\n),\n"
+            f"rated AS (SELECT *, {anomaly_rate_sql()} AS anomaly_rate_pct FROM daily)\n"
+            f"SELECT {keys}, {', '.join(GOLD_MEASURES)},\n  {compliance_sql()} AS compliance_score,\n"
+            f"  {health_sql()} AS equipment_health_status\nFROM rated")
 
 
 def gold_kpis_sql(spark: SparkSession, silver: str | DataFrame, view: str = "silver_sensor_readings") -> DataFrame:

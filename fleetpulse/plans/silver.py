@@ -20,7 +20,7 @@ def clean_readings(bronze: DataFrame, rules: dict | None = None) -> DataFrame:
 
 
 def build_silver(bronze: DataFrame, rules: dict | None = None, with_lag: bool = True,
-                 strategy: str = "auto", num_partitions: int | None = None,
+                 strategy: str = "range", num_partitions: int | None = None,
                  transformed_at: bool = False) -> DataFrame:
     """The silver layout: bronze columns (timestamp parsed in place),
     ``_quality_passed``, ``hour_of_day``, ``day_of_week``, previous values and
@@ -47,60 +47,93 @@ def latest_per_key(df: DataFrame, key: str = "equipment_id",
     return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
+#: What the previous-reading step needs of a silver row, and what it gives.
+_LIGHT = ["event_id", "equipment_id", "timestamp", "rpm", "temp_coolant_c", "ingestion_date", "equipment_type"]
+_PREVS = ["rpm_prev", "rpm_delta", "temp_coolant_prev", "temp_coolant_delta"]
+
+
 def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: str = "parquet",
-                               dates: list[str] | None = None, lookback_days: int | None = 7,
-                               strategy: str = "auto", num_partitions: int | None = None) -> dict:
+                               dates: list[str | None] | None = None, strategy: str = "range",
+                               num_partitions: int | None = None) -> dict:
     """Bronze -> silver in one write action; counts from an Observation.
 
-    ``dates=None`` rebuilds silver (static overwrite). With ``dates`` only
-    those ingestion dates are recomputed and replaced (dynamic partition
-    overwrite; other dates untouched). The first reading of each machine in
-    the batch then takes its previous values from the machine's last silver
-    reading of the ``lookback_days`` before the batch, and ids already in
-    that window are not inserted again (``lookback_days=None``: all earlier
-    dates). Exact when event time and ingestion date agree in order.
-    """
-    from datetime import date, timedelta
+    ``dates=None`` rebuilds silver (static overwrite). With ``dates`` (ingestion
+    dates, None for the NULL date) the result is the same as a rebuild, whatever
+    the order in which dates arrive:
 
+    * ids in the refreshed dates, in bronze or in silver, are cleaned again from
+      all their bronze copies, so an id stays unique over all dates;
+    * previous values are computed over seven columns of all readings, and rows
+      elsewhere whose previous reading changed are corrected;
+    * only the dates that hold such rows are rewritten, and partitions that end
+      up without rows are removed.
+    """
     from pyspark.sql import Observation
     from pyspark.sql import functions as F
 
     from ..constants import SILVER_PARTITIONS
     from ..operators.enrich import add_prev_and_delta
-    from ..sinks.writers import overwrite_partitioned, path_exists
+    from ..session import scratch_path
+    from ..sinks.writers import overwrite_partitioned, path_exists, remove_path
     from ..sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer
 
     bronze = read_layer(spark, bronze_path, BRONZE_SCHEMA, fmt)
     obs = Observation("silver")
-    if dates is None:
+    columns = SILVER_SCHEMA.fieldNames()
+    if dates is None or not path_exists(spark, silver_path):
         silver = build_silver(bronze, strategy=strategy, num_partitions=num_partitions, transformed_at=True)
         silver = silver.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-        overwrite_partitioned(silver.select(*SILVER_SCHEMA.fieldNames()), silver_path, SILVER_PARTITIONS,
-                              fmt, dynamic=False)
+        overwrite_partitioned(silver.select(*columns), silver_path, SILVER_PARTITIONS, fmt, dynamic=False)
         return dict(obs.get)
 
-    dates = sorted(dates)
-    batch = bronze.filter(F.col("ingestion_date").isin(dates))           # partition pruning
-    clean = add_time_parts(clean_readings(batch))
-    timed_cols = clean.columns
-    carry = None
-    if path_exists(spark, silver_path):
-        first = date.fromisoformat(dates[0])
-        prior = read_layer(spark, silver_path, SILVER_SCHEMA, fmt).filter(F.col("ingestion_date") < dates[0])
-        if lookback_days is not None:
-            prior = prior.filter(F.col("ingestion_date") >= (first - timedelta(days=lookback_days)).isoformat())
-        # Reads only dates before the batch (partition pruning); the write
-        # below replaces only the batch's dates, so reading and writing the
-        # same table do not overlap.
-        carry = latest_per_key(prior.select(*timed_cols))
-        clean = clean.join(prior.select("event_id"), "event_id", "left_anti")
-    rows = clean.withColumn("_carry", F.lit(False))
-    if carry is not None:
-        rows = rows.unionByName(carry.withColumn("_carry", F.lit(True)))
-    lagged = add_prev_and_delta(rows, strategy=strategy, num_partitions=num_partitions)
-    silver = add_labels(lagged.filter(~F.col("_carry")).drop("_carry")).withColumn(
-        "_transformed_at", F.current_timestamp())
-    silver = silver.observe(obs, F.count(F.lit(1)).alias("rows_written"))
-    overwrite_partitioned(silver.select(*SILVER_SCHEMA.fieldNames()), silver_path, SILVER_PARTITIONS,
-                          fmt, dynamic=True)
-    return dict(obs.get)
+    scratch = scratch_path(spark, "silver-refresh")
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{scratch}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
+
+    def in_dates(df: DataFrame, values: list[str | None]) -> DataFrame:
+        some = F.col("ingestion_date").isin([d for d in values if d is not None])
+        return df.filter(some | F.col("ingestion_date").isNull() if None in values else some)
+
+    try:
+        stored = read_layer(spark, silver_path, SILVER_SCHEMA, fmt)
+        ids = staged(in_dates(bronze, dates).select("event_id")
+                     .unionByName(in_dates(stored, dates).select("event_id"))
+                     .filter("event_id IS NOT NULL").distinct(), "ids")
+        fresh = staged(add_time_parts(clean_readings(bronze.join(ids, "event_id", "left_semi"))), "fresh")
+        kept = stored.join(ids, "event_id", "left_anti")
+        light = kept.select(*_LIGHT, *[F.col(c).alias(f"_old_{c}") for c in _PREVS], F.lit(False).alias("_fresh"))
+        light = light.unionByName(fresh.select(*_LIGHT, F.lit(True).alias("_fresh")), allowMissingColumns=True)
+        lagged = add_prev_and_delta(light, strategy=strategy, num_partitions=num_partitions)
+        same = F.lit(True)
+        for c in _PREVS:
+            same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
+        lagged = staged(lagged.select("event_id", "ingestion_date", *_PREVS, (F.col("_fresh") | ~same).alias("_changed")),
+                        "lagged")
+        # the table's partition dates that change: directory names, not rows
+        touched = {r[0] for r in lagged.filter("_changed").select("ingestion_date")
+                   .unionByName(stored.join(ids, "event_id", "left_semi").select("ingestion_date")).distinct().collect()}
+        touched |= set(dates)
+        part = in_dates(kept, list(touched)).drop(*_PREVS)
+        new = (add_labels(fresh).withColumn("_transformed_at", F.current_timestamp())
+               .unionByName(part, allowMissingColumns=True))
+        prevs = in_dates(lagged, list(touched)).select("event_id", *_PREVS)
+        silver = staged(new.join(prevs, "event_id").select(*columns), "silver")
+        before = {tuple(r) for r in in_dates(stored, list(touched)).select(*SILVER_PARTITIONS).distinct().collect()}
+        after = {tuple(r) for r in silver.select(*SILVER_PARTITIONS).distinct().collect()}
+        overwrite_partitioned(silver.observe(obs, F.count(F.lit(1)).alias("rows_written")), silver_path,
+                              SILVER_PARTITIONS, fmt, dynamic=True)
+        for values in before - after:
+            remove_path(spark, "/".join([silver_path.rstrip("/"), *map(partition_dir, SILVER_PARTITIONS, values)]))
+        return dict(obs.get)
+    finally:
+        remove_path(spark, scratch)
+
+
+def partition_dir(column: str, value: str | None) -> str:
+    """The directory name of a partition value, escaped as Spark writes it."""
+    if value is None or value == "":
+        return f"{column}=__HIVE_DEFAULT_PARTITION__"
+    special = set('"#%\'*/:=?\\\x7f{[]^') | {chr(i) for i in range(1, 32)}
+    return f"{column}=" + "".join(f"%{ord(c):02X}" if c in special else c for c in value)

@@ -8,17 +8,20 @@ out so results are deterministic.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, SENSOR_COLUMNS, SIX_METRIC_QUALITY_RULES
+from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, PIPELINE_VERSION, SENSOR_COLUMNS, SIX_METRIC_QUALITY_RULES
 from .functions.columns import anomaly_flag_array
 from .operators import checks as C
+from .operators.dedupe import dedupe_events as dedupe
 from .operators.enrich import add_labels, add_prev_and_delta, add_time_parts
 from .operators.envelope import envelope_summary
-from .operators.kpis import daily_kpis
+from .operators.kpis import daily_kpis, narrow_view
 from .operators.quality import (
     chained_range_filters,
     drop_null_key,
@@ -32,9 +35,10 @@ from .plans.bronze import ingest_to_bronze
 from .plans.gold import build_gold, build_gold_compact, build_report, materialize_gold
 from .plans.silver import build_silver, clean_readings, transform_bronze_to_silver
 from .session import scratch_path
+from .sinks.writers import save_as_table
 from .sources.fixture import load_sensors
 from .sources.json_source import read_sensor_json, split_corrupt
-from .sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer
+from .sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer, read_table
 from .streaming.daily_counts import read_daily_counts, start_daily_counts
 from .streaming.daily_kpis import read_daily_kpis, start_daily_kpis
 from .streaming.ingest import start_stream_ingest
@@ -243,11 +247,12 @@ def distinct_equipment(spark, sf_dir):
 def layer_row_counts(spark, sf_dir):
     """rows per layer (bronze, silver, gold)."""
     bronze = _bronze(spark, sf_dir)
-    silver = build_silver(bronze, with_lag=False)
-    gold = daily_kpis(silver)
-    parts = [C.row_count(df).select(F.lit(name).alias("layer"), "rows")
-             for name, df in [("bronze", bronze), ("silver", silver), ("gold", gold)]]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    groups = build_silver(bronze, with_lag=False).groupBy(*GROUP_KEYS).agg(F.count(F.lit(1)).alias("n"))
+    # one pass over silver gives its rows and the gold groups
+    both = groups.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("silver"), F.count(F.lit(1)).alias("gold"))
+    later = both.select(F.explode(F.array(*[F.struct(F.lit(x).alias("layer"), F.col(x).alias("rows"))
+                                            for x in ("silver", "gold")])).alias("r")).select("r.*")
+    return C.row_count(bronze).select(F.lit("bronze").alias("layer"), "rows").unionByName(later)
 
 
 @query
@@ -280,6 +285,16 @@ def data_checks_bronze(spark, sf_dir):
     return C.run_checks(add_labels(_bronze(spark, sf_dir)))
 
 
+@query
+def data_checks_tampered(spark, sf_dir):
+    """M1-M4: the twelve tests on readings whose labels were tampered with, so
+    that every test has failing rows."""
+    df = add_labels(_bronze(spark, sf_dir))
+    return C.run_checks(df.withColumns({
+        "emissions_severity": F.when(F.col("nox_ppm") > 440, F.lit("EXTREME")).otherwise(F.col("emissions_severity")),
+        "engine_status": F.when(F.col("rpm") > 2900, F.lit("RUNAWAY")).otherwise(F.col("engine_status"))}))
+
+
 @query
 def data_checks_silver(spark, sf_dir):
     """M1-M4: the twelve tests on silver (all zero when silver is right)."""
@@ -316,24 +331,74 @@ def idempotent_append(spark, sf_dir):
     return read_layer(spark, bronze, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
 
 
-def _ingested_layers(spark, sf_dir, incremental: bool):
-    """Bronze + silver jobs on staged JSON. With ``incremental`` the last
-    three ingestion dates arrive in a second batch and silver is refreshed
-    for those dates only."""
-    sensors = _bronze(spark, sf_dir)
+def _number():
+    """The event number of a reading with an id."""
+    return F.substring("event_id", 3, 20).cast("long")
+
+
+@query
+def idempotent_append_resent(spark, sf_dir):
+    """Some readings have no ingestion date; the file comes twice, and
+    then some ids once more under another date. Only the first copies stay."""
+    undated = F.when(F.col("event_id").isNotNull() & (_number() % 13 == 0), F.lit(None)).otherwise(F.col("ingestion_date"))
+    sensors = _bronze(spark, sf_dir).withColumn("ingestion_date", undated)
+    src = _stage_json(spark, sensors, "json-src")
+    other = _stage_json(spark, sensors.filter(_number() % 7 == 0).withColumn("ingestion_date", F.lit("2030-01-01")), "json-src")
+    bronze = scratch_path(spark, "bronze")
+    for path in (src, src, other):
+        ingest_to_bronze(spark, path, bronze)
+    return read_layer(spark, bronze, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
+
+
+def _with_junk(sensors: DataFrame) -> DataFrame:
+    """One JSON line a reading, some replaced by junk by a rule on the event
+    number: cut off, of the wrong type, empty, only a bracket."""
+    n = _number()
+    return sensors.select(
+        F.when(n % 101 == 0, F.concat(F.lit('{"event_id": "'), "event_id", F.lit('", ')))
+        .when(n % 103 == 0, F.concat(F.lit('{"event_id":"'), "event_id", F.lit('","rpm":"abc"}')))
+        .when(n % 107 == 0, F.lit("{}")).when(n % 109 == 0, F.lit("["))
+        .otherwise(F.to_json(F.struct(*SENSOR_COLUMNS))).alias("value"))
+
+
+@query
+def bronze_quarantine(spark, sf_dir):
+    """A file with junk lines ingested twice; the good rows and the
+    quarantined text."""
+    src, bronze = scratch_path(spark, "json-junk"), scratch_path(spark, "bronze")
+    _with_junk(_bronze(spark, sf_dir)).write.text(src)
+    for _ in range(2):
+        ingest_to_bronze(spark, src, bronze)
+    good = read_layer(spark, bronze, BRONZE_SCHEMA).select(F.lit("good").alias("kind"), "event_id",
+                                                           F.lit(None).cast("string").alias("raw_record"))
+    bad = spark.read.parquet(f"{bronze}_quarantine").select(
+        F.lit("quarantined").alias("kind"), F.lit(None).cast("string").alias("event_id"), "raw_record")
+    return good.distinct().unionByName(bad.distinct())
+
+
+def _edge_day(sensors: DataFrame, edge) -> date:
+    return date.fromisoformat(sensors.agg(edge("ingestion_date")).first()[0])
+
+
+def _day(first: date, offset: int) -> str:
+    return (first + timedelta(days=offset)).isoformat()
+
+
+def _refreshed(spark, steps: list[tuple[DataFrame, list[str] | None]], idempotent: bool = True) -> DataFrame:
+    """Bronze ingest and silver refresh per step: (readings, dates to refresh;
+    None for a full build). Returns the stored silver."""
     bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    src_all = _stage_json(spark, sensors, "json-all")
-    if not incremental:
-        ingest_to_bronze(spark, src_all, bronze)
-        transform_bronze_to_silver(spark, bronze, silver)
-        return bronze, silver
-    dates = sorted(r[0] for r in sensors.select("ingestion_date").distinct().collect())
-    cut = dates[-3] if len(dates) > 3 else dates[-1]
-    src_first = _stage_json(spark, sensors.filter(F.col("ingestion_date") < cut), "json-first")
-    ingest_to_bronze(spark, src_first, bronze)
+    for readings, dates in steps:
+        ingest_to_bronze(spark, _stage_json(spark, readings, "json-step"), bronze, idempotent=idempotent)
+        transform_bronze_to_silver(spark, bronze, silver, dates=dates)
+    return read_layer(spark, silver, SILVER_SCHEMA).select(*_SILVER_OUT)
+
+
+def _ingested_layers(spark, sf_dir):
+    """Bronze and silver jobs on staged JSON."""
+    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    ingest_to_bronze(spark, _stage_json(spark, _bronze(spark, sf_dir), "json-all"), bronze)
     transform_bronze_to_silver(spark, bronze, silver)
-    ingest_to_bronze(spark, src_all, bronze)                      # only the new dates are appended
-    transform_bronze_to_silver(spark, bronze, silver, dates=[d for d in dates if d >= cut])
     return bronze, silver
 
 
@@ -344,7 +409,7 @@ _SILVER_OUT = [c for c in SILVER_SCHEMA.fieldNames()
 @query
 def silver_job(spark, sf_dir):
     """B1/B2/A4: bronze and silver jobs end to end, silver read back by path."""
-    _, silver = _ingested_layers(spark, sf_dir, incremental=False)
+    _, silver = _ingested_layers(spark, sf_dir)
     return read_layer(spark, silver, SILVER_SCHEMA).select(*_SILVER_OUT)
 
 
@@ -352,15 +417,107 @@ def silver_job(spark, sf_dir):
 def incremental_refresh(spark, sf_dir):
     """First dates ingested and transformed, then the last three dates
     appended and refreshed by dynamic partition overwrite; equals a full build."""
-    _, silver = _ingested_layers(spark, sf_dir, incremental=True)
-    return read_layer(spark, silver, SILVER_SCHEMA).select(*_SILVER_OUT)
+    sensors = _bronze(spark, sf_dir)
+    last = _edge_day(sensors, F.max)
+    new = [_day(last, k) for k in (-2, -1, 0)]
+    return _refreshed(spark, [(sensors.filter(F.col("ingestion_date") < new[0]), None), (sensors, new)])
+
+
+@query
+def incremental_gap(spark, sf_dir):
+    """Machines idle for more than a week between two refreshes keep their
+    previous reading."""
+    sensors = _bronze(spark, sf_dir)
+    first, last = _edge_day(sensors, F.min), _edge_day(sensors, F.max)
+    later = sensors.filter(F.col("ingestion_date") >= _day(first, 9))
+    return _refreshed(spark, [(sensors.filter(F.col("ingestion_date") == _day(first, 0)), None),
+                              (later, [_day(first, k) for k in range(9, (last - first).days + 1)])])
+
+
+@query
+def incremental_middle_day(spark, sf_dir):
+    """A day arrives after the days behind it; their first readings get the
+    right previous value."""
+    sensors = _bronze(spark, sf_dir)
+    middle = _day(_edge_day(sensors, F.min), 10)
+    return _refreshed(spark, [(sensors.filter(F.col("ingestion_date") != middle), None), (sensors, [middle])])
+
+
+@query
+def incremental_split_dates(spark, sf_dir):
+    """Two days apart are refreshed at once, with stored days between."""
+    sensors = _bronze(spark, sf_dir)
+    first = _edge_day(sensors, F.min)
+    days = [_day(first, 4), _day(first, 12)]
+    return _refreshed(spark, [(sensors.filter(~F.col("ingestion_date").isin(days)), None), (sensors, days)])
+
+
+@query
+def incremental_resent_id(spark, sf_dir):
+    """Ids re-sent under another ingestion date with an earlier event time
+    move there and stay unique."""
+    sensors = _bronze(spark, sf_dir)
+    first = _edge_day(sensors, F.min)
+    again = sensors.filter((_number() % 7 == 0) & (F.col("ingestion_date") == _day(first, 2))).withColumns({
+        "timestamp": (F.to_timestamp("timestamp") - F.expr("INTERVAL 1 HOUR")).cast("string"),
+        "ingestion_date": F.lit(_day(first, 5))})
+    return _refreshed(spark, [(sensors, None), (again, [_day(first, 5)])], idempotent=False)
+
+
+@query
+def catalog_roundtrip(spark, sf_dir):
+    """Clean readings saved as a catalog table (twice: the second save
+    replaces the first) on the shared root, read back by name."""
+    clean, name = clean_readings(_bronze(spark, sf_dir)), f"fleetpulse_clean_{uuid.uuid4().hex[:8]}"
+    location = scratch_path(spark, "table")
+    for _ in range(2):
+        save_as_table(clean, name, location=location)
+    return read_table(spark, name)
+
+
+@query
+def layer_stamps(spark, sf_dir):
+    """Rows of every layer with each stamp present, and with the
+    pipeline's version."""
+    bronze, silver = (read_layer(spark, path, schema) for path, schema in
+                      zip(_ingested_layers(spark, sf_dir), (BRONZE_SCHEMA, SILVER_SCHEMA)))
+    none = F.lit(0).cast("long")
+    parts = []
+    for name, df in [("bronze", bronze), ("silver", silver), ("gold", build_gold(silver, updated_at=True))]:
+        counts = {out: F.count_if(F.col(c).isNotNull()) if c in df.columns else none
+                  for out, c in [("ingested", "_ingested_at"), ("sourced", "_source_path"),
+                                 ("transformed", "_transformed_at"), ("updated", "_updated_at")]}
+        counts["versioned"] = (F.count_if(F.col("_pipeline_version") == PIPELINE_VERSION)
+                               if "_pipeline_version" in df.columns else none)
+        parts.append(df.agg(F.count(F.lit(1)).alias("rows"), *[v.alias(k) for k, v in counts.items()])
+                     .withColumn("layer", F.lit(name)))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+@query
+def silver_narrow(spark, sf_dir):
+    """The narrow silver layout: six rules, one row per id, hour and labels."""
+    kept = dedupe(drop_null_key(chained_range_filters(_bronze(spark, sf_dir), SIX_METRIC_QUALITY_RULES)))
+    return add_labels(add_time_parts(kept).drop("day_of_week"))
+
+
+@query
+def gold_narrow(spark, sf_dir):
+    """The compact KPI table under its own names."""
+    return narrow_view(daily_kpis(_silver_no_lag(spark, sf_dir)))
+
+
+@query
+def sample_by_id(spark, sf_dir):
+    """H2/H3: the first twenty clean readings in the order of their ids."""
+    return clean_readings(_bronze(spark, sf_dir)).orderBy("event_id").limit(20)
 
 
 @query
 def gold_table(spark, sf_dir):
     """Gold materialised partitioned by date and clustered by machine,
     then read back (stamp left out)."""
-    _, silver = _ingested_layers(spark, sf_dir, incremental=False)
+    _, silver = _ingested_layers(spark, sf_dir)
     gold = scratch_path(spark, "gold")
     materialize_gold(spark, silver, gold)
     # declared schema: partition discovery alone would make ingestion_date a date
@@ -386,45 +543,61 @@ def _run(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+def _stage_stream(spark, sf_dir, junk: bool = False) -> str:
+    """Readings as files in the order of their days: three stretches, and last
+    the late readings of the first stretch. Streams read one file a
+    micro-batch."""
+    sensors = _bronze(spark, sf_dir)
+    first, day = _edge_day(sensors, F.min), F.col("ingestion_date")
+    early = day < _day(first, 10)
+    late = early & F.coalesce(_number() % 17 == 0, F.lit(False))
+    root = scratch_path(spark, "json-stream")
+    for k, rows in enumerate([early & ~late, ~early & (day < _day(first, 20)), day >= _day(first, 20), late]):
+        part = sensors.filter(rows)
+        if junk:
+            _with_junk(part).write.text(f"{root}/{k}")
+        else:
+            part.write.json(f"{root}/{k}")
+    return f"{root}/*"
+
+
 @query
 def stream_ingest(spark, sf_dir):
-    """K1: streaming bronze ingest run twice over the same files (exactly-once
-    file tracking + duplicate drop within the watermark)."""
-    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    """K1: streaming bronze ingest run twice over the same files, junk lines
+    and late readings among them; the same rows as a batch ingest."""
+    src = _stage_stream(spark, sf_dir, junk=True)
     out, ckpt = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-bronze-ckpt")
     for _ in range(2):
-        _run(start_stream_ingest(spark, src, out, ckpt, watermark="3650 days"))
+        _run(start_stream_ingest(spark, src, out, ckpt, max_files_per_trigger=1))
     return read_layer(spark, out, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
 
 
 @query
 def stream_daily_counts(spark, sf_dir):
-    """K2: per-day, per-machine counts from a stream (update mode, versioned
-    batch output, newest version per key)."""
-    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    """K2: per-day, per-machine counts from a stream, late rows included."""
+    src = _stage_stream(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "stream-daily-ckpt")
-    _run(start_daily_counts(spark, src, out, ckpt, watermark="3650 days"))
+    _run(start_daily_counts(spark, src, out, ckpt, max_files_per_trigger=1))
     return read_daily_counts(spark, out)
 
 
 @query
 def stream_daily_kpis(spark, sf_dir):
-    """Streaming gold: the full daily KPI table from partial aggregates kept
-    by a stream (counts, decimal sums, extremes), merged by the reader."""
-    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    """Streaming gold: the full daily KPI table from partial aggregates that
+    every micro-batch adds, merged by the reader."""
+    src = _stage_stream(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-kpis"), scratch_path(spark, "stream-kpis-ckpt")
-    _run(start_daily_kpis(spark, src, out, ckpt, watermark="3650 days"))
+    _run(start_daily_kpis(spark, src, out, ckpt, max_files_per_trigger=1))
     return read_daily_kpis(spark, out)
 
 
 @query
 def stream_prev_delta(spark, sf_dir):
-    """K3: previous-reading deltas computed on a stream with a carried
-    last reading per machine."""
-    src = _stage_json(spark, _bronze(spark, sf_dir), "json-stream")
+    """K3: previous-reading deltas on a stream, corrected for late readings."""
+    src = _stage_stream(spark, sf_dir)
     out, state = scratch_path(spark, "stream-prev"), scratch_path(spark, "stream-prev-state")
     ckpt = scratch_path(spark, "stream-prev-ckpt")
-    _run(start_stream_prev_delta(spark, src, out, state, ckpt, watermark="3650 days"))
+    _run(start_stream_prev_delta(spark, src, out, state, ckpt, max_files_per_trigger=1))
     return read_prev_delta(spark, out).select(
         "event_id", "equipment_id", "timestamp", "rpm", "rpm_prev", "rpm_delta",
         "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")

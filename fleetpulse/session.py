@@ -49,14 +49,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names in
-    ``spark.checkpoint.dir``. Only when it is unset (local runs, tests) is a
-    fresh folder created and registered."""
+    ``spark.checkpoint.dir``. Only where it is unset and the master is local
+    (tests, benchmarks) is a fresh folder created and registered; on a cluster
+    a machine-local folder would not be shared, so that raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not configured:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = tempfile.mkdtemp(prefix="fleetpulse-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

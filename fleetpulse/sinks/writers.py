@@ -25,13 +25,20 @@ def _range_layout(df: DataFrame, partition_by: list[str], cluster_by: list[str],
     return df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
 
 
+def rebalanced(df: DataFrame, partition_by: list[str]) -> DataFrame:
+    """Rows hash-distributed by the partition columns; AQE splits a directory
+    that is larger than its advisory size over several tasks and joins small
+    ones, from the sizes it sees, without a sampling pass."""
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
+
+
 def append_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt: str = "parquet",
-                       layout: bool = True, num_partitions: int | None = None) -> None:
+                       layout: bool = True) -> None:
     """Append into partition directories. With ``layout`` the rows are first
-    range-partitioned on the partition columns, so each task writes a few
-    directories instead of every task writing a file into every directory."""
+    ``rebalanced``, so each task writes a few directories instead of every task
+    writing a file into every directory."""
     if layout:
-        df = _range_layout(df, partition_by, [], num_partitions)
+        df = rebalanced(df, partition_by)
     df.write.format(fmt).mode("append").partitionBy(*partition_by).save(path)
 
 
@@ -47,8 +54,11 @@ def overwrite_partitioned(df: DataFrame, path: str, partition_by: list[str], fmt
 
 
 def save_as_table(df: DataFrame, name: str, fmt: str = "parquet", mode: str = "overwrite",
-                  partition_by: list[str] | None = None) -> None:
+                  partition_by: list[str] | None = None, location: str | None = None) -> None:
+    """Write a catalog table, in the warehouse or at ``location``."""
     w = df.write.format(fmt).mode(mode)
+    if location:
+        w = w.option("path", location)
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.saveAsTable(name)
@@ -69,30 +79,33 @@ def ingest_key(columns: list[str], key: str = "event_id") -> Column:
     return F.coalesce(F.col(key), F.concat(F.lit("#"), F.sha2(payload, 256)))
 
 
+def stored_keys(existing: DataFrame, key: str = "event_id", columns: list[str] | None = None) -> DataFrame:
+    """The ingest keys already stored, in two reads: rows with an id need only
+    the id column; the content hash (all columns) is computed only for id-less
+    rows, whose IS NULL filter lets Parquet skip row groups without NULL ids."""
+    with_id = existing.filter(F.col(key).isNotNull()).select(F.col(key).alias(INGEST_KEY))
+    no_id = existing.filter(F.col(key).isNull()).select(ingest_key(columns or existing.columns, key).alias(INGEST_KEY))
+    return with_id.unionByName(no_id)
+
+
 def new_rows_only(batch: DataFrame, existing: DataFrame | None, key: str = "event_id",
-                  scope_column: str | None = "ingestion_date",
-                  scope_values: list | None = None) -> DataFrame:
+                  scope_column: str | None = None, scope_values: list | None = None) -> DataFrame:
     """Rows of ``batch`` to append so that re-running the same batch adds
     nothing: one row per ingest key inside the batch (keep-first), then a
-    ``left_anti`` join against the keys already stored. With
-    ``scope_column`` the stored side is limited to the batch's partitions
-    (partition pruning); an id re-sent under another date is then not seen.
-    Pass ``scope_column=None`` for an anti join against all history."""
+    ``left_anti`` join against the keys already stored, under whatever date.
+    Only where the caller knows that an id is never re-sent under another value
+    of ``scope_column`` may ``scope_values`` limit the stored side (partition
+    pruning; NULL is a value like any other)."""
     cols = [c for c in batch.columns]
-    keyed = batch.withColumn(INGEST_KEY, ingest_key(cols, key))
-    deduped = dedupe_events(keyed, key=INGEST_KEY)
+    deduped = dedupe_events(batch.withColumn(INGEST_KEY, ingest_key(cols, key)), key=INGEST_KEY)
     if existing is None:
         return deduped.drop(INGEST_KEY)
-    stored = existing
     if scope_column is not None and scope_values is not None:
-        stored = stored.filter(F.col(scope_column).isin(scope_values))
-    # Stored keys in two reads: rows with an id need only the id column;
-    # the content hash (all columns) is computed only for id-less rows,
-    # whose IS NULL filter lets Parquet skip row groups without NULL ids.
-    with_id = stored.filter(F.col(key).isNotNull()).select(F.col(key).alias(INGEST_KEY))
-    no_id = stored.filter(F.col(key).isNull()).select(ingest_key(cols, key).alias(INGEST_KEY))
-    stored_keys = with_id.unionByName(no_id)
-    return deduped.join(stored_keys, INGEST_KEY, "left_anti").drop(INGEST_KEY)
+        inside = F.col(scope_column).isin([v for v in scope_values if v is not None])
+        if any(v is None for v in scope_values):
+            inside = inside | F.col(scope_column).isNull()
+        existing = existing.filter(inside)
+    return deduped.join(stored_keys(existing, key, cols), INGEST_KEY, "left_anti").drop(INGEST_KEY)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

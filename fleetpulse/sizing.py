@@ -1,36 +1,12 @@
-"""Partition counts sized from the data, not only from configuration."""
+"""Partition counts of explicit-count shuffles."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-TARGET_BYTES_CONF = "fleetpulse.partition.targetBytes"
-TARGET_BYTES_DEFAULT = 256 << 20
-MAX_PARTITIONS_CONF = "fleetpulse.partition.max"
-MAX_PARTITIONS_DEFAULT = 200_000
-
-
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan (from file sizes; no job is run)."""
-    try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
-    except Exception:
-        return None
-
 
 def partitions_for(df: DataFrame, requested: int | None = None) -> int:
-    """Partition count for an explicit-count shuffle (AQE does not resize
-    those): at least ``spark.sql.shuffle.partitions``, and enough that each
-    partition holds about ``fleetpulse.partition.targetBytes`` of the
-    estimated input, capped at ``fleetpulse.partition.max`` (which also
-    bounds any per-partition side table)."""
-    if requested:
-        return requested
-    conf = df.sparkSession.conf
-    base = int(conf.get("spark.sql.shuffle.partitions"))
-    target = int(conf.get(TARGET_BYTES_CONF, str(TARGET_BYTES_DEFAULT)))
-    cap = int(conf.get(MAX_PARTITIONS_CONF, str(MAX_PARTITIONS_DEFAULT)))
-    est = estimated_bytes(df)
-    if est is None or est >= 1 << 62:        # unknown size: the configured count
-        return base
-    return max(base, min(cap, -(-est // target)))
+    """Partition count for an explicit-count shuffle, which AQE does not resize:
+    the caller's, or ``spark.sql.shuffle.partitions`` (the one setting to raise
+    with the data)."""
+    return requested or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))

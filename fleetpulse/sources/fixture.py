@@ -14,15 +14,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from ..constants import SENSOR_COLUMNS
-from .spread import spread_if_narrow
 
 # FIXED VALUES of the derivation (shared with the SQL oracle):
 # every 50th event is sent twice, every 997th has no event_id, every 89th has
-# no rpm, every 211th gets +30.0 C of coolant; machine = user_id % 5.
+# no rpm, every 211th gets +30.0 C of coolant; machine = user_id % 5. Further
+# rows break the data tests: an unknown machine, none, an unknown type, none,
+# negative NOx, none, and no coolant temperature.
 REPEAT_EVERY = 50
 NULL_ID_EVERY = 997
 NULL_RPM_EVERY = 89
 HOT_COOLANT_EVERY = 211
+UNKNOWN_MACHINE_EVERY = 149
+NO_MACHINE_EVERY = 241
+UNKNOWN_TYPE_EVERY = 173
+NO_TYPE_EVERY = 181
+NEGATIVE_NOX_EVERY = 193
+NO_NOX_EVERY = 227
+NO_COOLANT_EVERY = 229
 EQUIPMENT_TYPES = ["excavator", "bulldozer", "wheel_loader", "dump_truck", "motor_grader"]
 EQUIPMENT_MODELS = ["M-A", "M-B", "M-C", "M-D", None]
 
@@ -47,19 +55,23 @@ def sensors_from_events(events: DataFrame) -> DataFrame:
     s = base.selectExpr(
         f"CASE WHEN n % {NULL_ID_EVERY} = 0 THEN CAST(NULL AS STRING) ELSE concat('E-', CAST(n AS STRING)) END"
         " AS event_id",
-        "concat('EQ-00', CAST(u + 1 AS STRING)) AS equipment_id",
-        f"{_pick(EQUIPMENT_TYPES)} AS equipment_type",
+        f"CASE WHEN n % {UNKNOWN_MACHINE_EVERY} = 0 THEN 'EQ-999' WHEN n % {NO_MACHINE_EVERY} = 0 THEN NULL"
+        " ELSE concat('EQ-00', CAST(u + 1 AS STRING)) END AS equipment_id",
+        f"CASE WHEN n % {UNKNOWN_TYPE_EVERY} = 0 THEN 'crane' WHEN n % {NO_TYPE_EVERY} = 0 THEN NULL"
+        f" ELSE {_pick(EQUIPMENT_TYPES)} END AS equipment_type",
         f"{_pick(EQUIPMENT_MODELS)} AS equipment_model",
         "CAST(2019 + u AS INT) AS equipment_year",
         "CAST(date_trunc('second', ts) AS STRING) AS timestamp",
         f"CASE WHEN n % {NULL_RPM_EVERY} = 0 THEN CAST(NULL AS DOUBLE) ELSE {_scaled(5000, 7919, 26000, 10)} END"
         " AS rpm",
+        f"CASE WHEN n % {NO_COOLANT_EVERY} = 0 THEN CAST(NULL AS DOUBLE) ELSE "
         f"CAST(700 + (n * 104729) % 400 + CASE WHEN n % {HOT_COOLANT_EVERY} = 0 THEN 300 ELSE 0 END AS DOUBLE)"
-        " / 10 AS temp_coolant_c",
+        " / 10 END AS temp_coolant_c",
         f"{_scaled(780, 1299709, 500, 10)} AS temp_oil_c",
         f"{_scaled(200, 15485863, 450, 100)} AS pressure_oil_bar",
         f"{_scaled(1000, 31337, 5500, 100)} AS fuel_rate_lh",
-        f"{_scaled(350, 27644437, 4200, 10)} AS nox_ppm",
+        f"CASE WHEN n % {NEGATIVE_NOX_EVERY} = 0 THEN CAST(-1 AS DOUBLE) WHEN n % {NO_NOX_EVERY} = 0"
+        f" THEN CAST(NULL AS DOUBLE) ELSE {_scaled(350, 27644437, 4200, 10)} END AS nox_ppm",
         f"{_scaled(30, 6700417, 1170, 100)} AS pm25_mg_m3",
         f"{_scaled(300, 2147483, 700, 100)} AS co2_pct",
         "CAST(k AS DOUBLE) AS load_pct",
@@ -76,4 +88,4 @@ def sensors_from_events(events: DataFrame) -> DataFrame:
 def load_sensors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read ``events`` from a table folder and derive the readings."""
     events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
-    return sensors_from_events(spread_if_narrow(events))
+    return sensors_from_events(events)

@@ -8,7 +8,7 @@ corrupt-record column so they can be routed to quarantine, not lost.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -29,15 +29,23 @@ def read_sensor_json(spark: SparkSession, path: str | list[str], multi_line: boo
     return reader.json(path)
 
 
-def split_corrupt(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(parsed rows without the corrupt column, quarantined raw records).
-    A blank or bracket-only line of an array read line by line parses to an
-    all-NULL row; it is quarantined too."""
-    fields = [c for c in df.columns if c != CORRUPT]
-    all_null = F.lit(True)
-    for c in fields:
-        all_null = all_null & F.col(c).isNull()
-    bad_cond = F.col(CORRUPT).isNotNull() | all_null
-    good = df.filter(~bad_cond).drop(CORRUPT)
-    bad = df.filter(bad_cond).select(F.col(CORRUPT).alias("raw_record"), F.col("_metadata.file_path").alias("_source_path"))
+def bad_record(df: DataFrame) -> Column:
+    """Records to quarantine: text that did not parse under the schema, and
+    records without any declared field (an empty object, a bracket-only line of
+    an array read line by line). Other columns of ``df`` do not count."""
+    empty = F.lit(True)
+    for f in SENSOR_SCHEMA.fields:
+        empty = empty & F.col(f.name).isNull()
+    return F.col(CORRUPT).isNotNull() | empty
+
+
+def split_corrupt(df: DataFrame, source: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(parsed rows without the corrupt column, quarantined raw records with
+    their file). ``source`` is the column with the file each record came from,
+    by default the file being scanned. ``df`` must be a staged copy or another
+    plan that reads more than the corrupt column."""
+    source = F.col("_metadata.file_path") if source is None else source
+    good = df.filter(~bad_record(df)).drop(CORRUPT)
+    bad = df.filter(bad_record(df)).select(F.coalesce(F.col(CORRUPT), F.lit("{}")).alias("raw_record"),
+                                           source.alias("_source_path"))
     return good, bad

@@ -1,14 +1,12 @@
 """Streaming gold: daily KPIs maintained from a stream of raw readings.
 
-The stream keeps *partial* aggregates per (event-day window, gold keys):
-counts, exact decimal sums, minima and maxima, i.e. only decomposable
-measures whose state is a few numbers per group, evicted by the watermark.
-Every micro-batch writes the groups it updated into its own
-``_batch_id=N`` folder (update mode, replay-safe). The reader keeps the
-newest version of each group, merges groups of the same gold key (a load
-date can span event days) and derives means, rates, compliance and health
-with the same formulas as the batch gold layer. The result equals the batch
-gold table over the same rows.
+Every micro-batch cleans its readings, drops ids that earlier batches stored
+(first arriving copy kept, an anti join on one column) and writes partial
+aggregates per gold key: counts, sums, minima and maxima, all of which merge.
+The reader merges them and derives means, rates, compliance and health with the
+batch layer's formulas, so the result equals the batch gold table over the same
+rows. Nothing is kept in memory between batches, and a row counts however late
+it comes.
 """
 
 from __future__ import annotations
@@ -17,82 +15,75 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import COOLANT_LIMIT, GROUP_KEYS, NOX_LIMIT, OIL_PRESSURE_LIMIT, PM25_LIMIT
-from ..functions.columns import anomaly_rate_pct, compliance_score, health_status, parse_event_time
+from ..constants import GROUP_KEYS
+from ..functions.columns import anomaly_rate_pct, compliance_score, health_status
 from ..operators.enrich import add_labels
-from ..operators.kpis import GOLD_MEASURES, GOLD_SCORES
-from ..operators.quality import drop_null_key, filter_quality
-from .sources import prefer_rocksdb_state, read_sensor_stream
-from .versions import compact_versions, newest_per_key
-
-_DEC = "DECIMAL(18,6)"
-# (gold name, metric, rounding places) of the means and of the fuel sum
-_MEANS = [("avg_rpm", "rpm", 1), ("avg_load_pct", "load_pct", 1), ("avg_temp_coolant_c", "temp_coolant_c", 1),
-          ("avg_temp_oil_c", "temp_oil_c", 1), ("avg_pressure_oil_bar", "pressure_oil_bar", 2),
-          ("avg_fuel_rate_lh", "fuel_rate_lh", 2), ("avg_nox_ppm", "nox_ppm", 1),
-          ("avg_pm25_mg_m3", "pm25_mg_m3", 2), ("avg_co2_pct", "co2_pct", 2)]
-_EXTREMES = [("max_rpm", "MAX", "rpm", 1), ("min_rpm", "MIN", "rpm", 1),
-             ("max_temp_coolant_c", "MAX", "temp_coolant_c", 1), ("max_temp_oil_c", "MAX", "temp_oil_c", 1),
-             ("min_pressure_oil_bar", "MIN", "pressure_oil_bar", 2), ("max_nox_ppm", "MAX", "nox_ppm", 1),
-             ("max_pm25_mg_m3", "MAX", "pm25_mg_m3", 2)]
-_COUNTS = [("total_readings", "COUNT(event_id)"), ("total_anomalies", "COUNT_IF(is_anomaly)"),
-           ("nox_violations", f"COUNT_IF(nox_ppm > {NOX_LIMIT})"),
-           ("pm25_violations", f"COUNT_IF(pm25_mg_m3 > {PM25_LIMIT})"),
-           ("overheating_events", f"COUNT_IF(temp_coolant_c > {COOLANT_LIMIT})"),
-           ("low_pressure_events", f"COUNT_IF(pressure_oil_bar < {OIL_PRESSURE_LIMIT})"),
-           ("critical_emissions", "COUNT_IF(emissions_severity = 'CRITICAL')"),
-           ("high_emissions", "COUNT_IF(emissions_severity = 'HIGH')"),
-           ("medium_emissions", "COUNT_IF(emissions_severity = 'MEDIUM')"),
-           ("normal_emissions", "COUNT_IF(emissions_severity = 'NORMAL')"),
-           ("engine_issues", "COUNT_IF(engine_status <> 'NORMAL')")]
-_STATE_KEYS = ["w_start", *GROUP_KEYS]
-
-
-def partial_kpis_plan(readings: DataFrame, watermark: str) -> DataFrame:
-    """Clean, de-duplicated readings -> partial aggregates per day window."""
-    timed = readings.withColumn("_event_time", parse_event_time("timestamp"))
-    clean = drop_null_key(filter_quality(timed)).withWatermark("_event_time", watermark) \
-        .dropDuplicatesWithinWatermark(["event_id"])
-    labelled = add_labels(clean)
-    aggs = [F.expr(sql).alias(name) for name, sql in _COUNTS]
-    for _, m, _ in _MEANS:
-        aggs += [F.expr(f"SUM(TRY_CAST({m} AS {_DEC}))").alias(f"s_{m}"), F.expr(f"COUNT({m})").alias(f"c_{m}")]
-    aggs += [F.expr(f"{fn}({m})").alias(f"x_{name}") for name, fn, m, _ in _EXTREMES]
-    out = labelled.groupBy(F.window("_event_time", "1 day").alias("w"), *GROUP_KEYS).agg(*aggs)
-    return out.withColumn("w_start", F.col("w.start")).drop("w")
+from ..operators.kpis import ENGINE_ISSUES, GOLD_MEASURES, GOLD_SCORES, MEASURES, exact_sql, inexact_sql
+from ..plans.silver import clean_readings
+from ..sources.json_source import CORRUPT, bad_record
+from .sources import MAX_BYTES_PER_TRIGGER, read_sensor_stream, start_batches
+from .versions import BATCH_COL, compact_versions, read_versions, write_batch
+
+_ALL = [*MEASURES, ENGINE_ISSUES]
+_SUMMED = list(dict.fromkeys(arg for _, kind, arg, _ in _ALL if kind in ("avg", "sum")))
+
+
+def partial_kpis(clean: DataFrame) -> DataFrame:
+    """Partial aggregates per gold key: counts and extremes under their own
+    names; per metric the exact sum, the double sum, the number of values and
+    of values that the exact sum does not hold."""
+    aggs = [F.expr(arg if kind == "count" else f"{kind.upper()}({arg})").alias(name)
+            for name, kind, arg, _ in _ALL if kind in ("count", "max", "min")]
+    for m in _SUMMED:
+        aggs += [F.expr(f"SUM({exact_sql(m)})").alias(f"exact_{m}"), F.sum(m).alias(f"double_{m}"),
+                 F.count(m).alias(f"n_{m}"), F.expr(inexact_sql(m)).alias(f"odd_{m}")]
+    return add_labels(clean).groupBy(*GROUP_KEYS).agg(*aggs)
+
+
+def merge_partials(parts: DataFrame) -> DataFrame:
+    aggs = [{"count": F.sum, "max": F.max, "min": F.min}[kind](name).alias(name)
+            for name, kind, _, _ in _ALL if kind in ("count", "max", "min")]
+    for m in _SUMMED:
+        aggs += [F.sum(f"exact_{m}").alias(f"exact_{m}"), F.sum(f"double_{m}").alias(f"double_{m}"),
+                 F.sum(f"n_{m}").alias(f"n_{m}"), F.sum(f"odd_{m}").alias(f"odd_{m}")]
+    return parts.groupBy(*GROUP_KEYS).agg(*aggs)
 
 
 def start_daily_kpis(spark: SparkSession, source_dir: str, out_path: str, checkpoint_dir: str,
-                     watermark: str = "2 days", available_now: bool = True,
-                     max_files_per_trigger: int | None = None) -> StreamingQuery:
-    prefer_rocksdb_state(spark)
-    plan = partial_kpis_plan(read_sensor_stream(spark, source_dir, max_files_per_trigger), watermark)
+                     available_now: bool = True, max_files_per_trigger: int | None = None,
+                     max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER) -> StreamingQuery:
+    ids_path = f"{out_path.rstrip('/')}_ids"
 
-    def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("overwrite") \
-            .parquet(f"{out_path}/_batch_id={batch_id}")
+    def run(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        clean = clean_readings(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"))
+        seen = read_versions(s, ids_path, before=batch_id)
+        if seen is not None:
+            clean = clean.join(seen.select("event_id"), "event_id", "left_anti")
+        # the partial aggregates first: ids without them would lose their rows
+        write_batch(partial_kpis(clean), out_path, batch_id)
+        write_batch(clean.select("event_id"), ids_path, batch_id)
 
-    writer = (plan.writeStream.outputMode("update").foreachBatch(write_batch)
-              .option("checkpointLocation", checkpoint_dir))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
+    return start_batches(stream, run, checkpoint_dir, available_now)
 
 
 def read_daily_kpis(spark: SparkSession, out_path: str) -> DataFrame:
-    """The gold KPI table (SQL model columns plus ``engine_issues``) from the
-    stream's versioned partial aggregates."""
-    latest = newest_per_key(spark.read.parquet(out_path), _STATE_KEYS)
-    merge = [F.sum(name).alias(name) for name, _ in _COUNTS]
-    for _, m, _ in _MEANS:
-        merge += [F.sum(f"s_{m}").alias(f"s_{m}"), F.sum(f"c_{m}").alias(f"c_{m}")]
-    merge += [(F.max if fn == "MAX" else F.min)(f"x_{name}").alias(f"x_{name}") for name, fn, _, _ in _EXTREMES]
-    g = latest.groupBy(*GROUP_KEYS).agg(*merge)
-    # mean = sum / count at the scale a decimal AVG uses (input scale + 4),
-    # then rounded: the same value the batch layer's AVG produces
-    derived = {name: F.expr(f"CAST(ROUND(CAST(try_divide(s_{m}, c_{m}) AS DECIMAL(22,10)), {d}) AS DOUBLE)")
-               for name, m, d in _MEANS}
-    derived["total_fuel_consumed_l"] = F.expr("CAST(ROUND(s_fuel_rate_lh, 2) AS DOUBLE)")
-    derived.update({name: F.round(F.col(f"x_{name}"), d) for name, _, _, d in _EXTREMES})
+    """The gold KPI table (SQL model columns plus ``engine_issues``)."""
+    g = merge_partials(read_versions(spark, out_path).drop(BATCH_COL))
+    derived = {}
+    for name, kind, arg, places in _ALL:
+        if kind == "count":
+            derived[name] = F.col(name).cast("long")
+        elif kind in ("max", "min"):
+            derived[name] = F.round(F.col(name), places)
+        else:
+            # the mean at the scale a decimal AVG uses (input scale + 4), then
+            # rounded: the value the batch layer's AVG gives
+            exact = (f"CAST(try_divide(exact_{arg}, n_{arg}) AS DECIMAL(22,10))" if kind == "avg" else f"exact_{arg}")
+            double = f"try_divide(double_{arg}, n_{arg})" if kind == "avg" else f"double_{arg}"
+            derived[name] = F.expr(f"CASE WHEN odd_{arg} = 0 THEN CAST(ROUND({exact}, {places}) AS DOUBLE) "
+                                   f"ELSE ROUND({double}, {places}) END")
     g = g.withColumns(derived).withColumn("anomaly_rate_pct", anomaly_rate_pct())
     g = g.withColumns({"compliance_score": compliance_score(),
                        "equipment_health_status": health_status("anomaly_rate_pct")})
@@ -101,4 +92,5 @@ def read_daily_kpis(spark: SparkSession, out_path: str) -> DataFrame:
 
 def compact_daily_kpis(spark: SparkSession, out_path: str) -> int | None:
     """Fold committed batch folders into one (see ``versions.compact_versions``)."""
-    return compact_versions(spark, out_path, _STATE_KEYS)
+    compact_versions(spark, f"{out_path.rstrip('/')}_ids", lambda ids: ids.select("event_id").distinct())
+    return compact_versions(spark, out_path, merge_partials)

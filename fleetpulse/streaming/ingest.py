@@ -1,40 +1,41 @@
-"""K1: streaming bronze ingest with exactly-once files and late-duplicate drop.
+"""K1: streaming bronze ingest.
 
-The file source records processed files in the checkpoint, the Parquet sink
-commits each batch in its metadata log, and duplicates (same ingest key) are
-dropped while their event time is within the watermark. Running the query
-again on the same folder adds nothing.
+The checkpoint records which files are done; every micro-batch goes through
+the same steps as a batch ingest: parsed once into staging, records that do not
+parse to the quarantine, one row per id inside the batch, an anti join on all
+stored ids (that column only), append. There is no watermark: a reading is
+never too late, and a re-sent one is never added twice, however late. A retried
+batch finds what its first attempt stored and adds only the rest. The price is
+one scan of the stored id column per micro-batch; the trigger limits decide how
+many batches a backlog takes.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION, SENSOR_COLUMNS
-from ..functions.columns import parse_event_time
-from ..sinks.writers import INGEST_KEY, ingest_key
-from .sources import prefer_rocksdb_state, read_sensor_stream
+from ..plans.bronze import BESIDE, append_batch
+from ..session import scratch_path
+from ..sinks.writers import remove_path
+from .sources import MAX_BYTES_PER_TRIGGER, read_sensor_stream, start_batches
 
 
 def start_stream_ingest(spark: SparkSession, source_dir: str, bronze_path: str, checkpoint_dir: str,
-                        watermark: str = "1 day", available_now: bool = True,
-                        max_files_per_trigger: int | None = None) -> StreamingQuery:
-    prefer_rocksdb_state(spark)
-    raw = read_sensor_stream(spark, source_dir, max_files_per_trigger)
-    keyed = raw.withColumns({
-        "_event_time": parse_event_time("timestamp"),
-        INGEST_KEY: ingest_key(SENSOR_COLUMNS),
-        "_source_path": F.col("_metadata.file_path"),
-    })
-    deduped = keyed.withWatermark("_event_time", watermark).dropDuplicatesWithinWatermark([INGEST_KEY])
-    out = deduped.select(*SENSOR_COLUMNS, "_source_path").withColumns({
-        "_ingested_at": F.current_timestamp(),
-        "_pipeline_version": F.lit(PIPELINE_VERSION),
-    })
-    writer = (out.writeStream.format("parquet").outputMode("append")
-              .partitionBy(*BRONZE_PARTITIONS)
-              .option("checkpointLocation", checkpoint_dir))
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start(bronze_path)
+                        available_now: bool = True, max_files_per_trigger: int | None = None,
+                        max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER,
+                        quarantine_path: str | None = BESIDE) -> StreamingQuery:
+    if quarantine_path == BESIDE:
+        quarantine_path = bronze_path.rstrip("/") + BESIDE
+
+    def run(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        staging = scratch_path(s, "stream-staging")
+        try:
+            batch.write.parquet(staging)
+            append_batch(s, s.read.schema(batch.schema).parquet(staging), bronze_path, quarantine_path)
+        finally:
+            remove_path(s, staging)
+
+    stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
+    return start_batches(stream, run, checkpoint_dir, available_now)

@@ -1,16 +1,12 @@
-"""K3: streaming previous-reading deltas.
-
-A plain ``lag`` is not allowed on a stream, and a per-machine state function
-would put each machine -- possibly a third of all rows -- into one task. So
-every micro-batch is processed by the same range-partitioned batch operator,
-seeded with a small carry table: the last reading of every machine so far
-(one row per machine). The carry is versioned per batch id, so a retried
-batch reads the carry its first attempt read and writes the same output.
-A reading older than its machine's carried reading is emitted with
-``_late = true``; its previous value then comes only from older rows of the
-same batch. Ids already seen within the watermark are dropped across batches
-(first arriving copy kept; batch silver keeps the earliest by event time, the
-same row when copies are exact re-sends).
+"""K3: streaming previous-reading deltas, corrected for late readings.
+
+Every micro-batch cleans its readings, drops ids that earlier batches stored
+and is run through the range-partitioned batch operator. Machines whose new
+readings all come after their stored ones need only their last reading (one row
+a machine, kept per batch). Machines with a late reading are computed anew over
+their stored rows: the late row gets its true previous value, and the row after
+it is written again. Outputs are versions per ``event_id``; readers take the
+newest. Nothing is kept in memory between batches, and no reading is too late.
 """
 
 from __future__ import annotations
@@ -21,51 +17,26 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.enrich import add_prev_and_delta, add_time_parts
 from ..plans.silver import clean_readings, latest_per_key
-from ..sinks.writers import path_exists
-from ..functions.columns import parse_event_time
-from ..operators.quality import drop_null_key, filter_quality
-from .sources import prefer_rocksdb_state, read_sensor_stream
+from ..sinks.writers import remove_path
+from ..sources.json_source import CORRUPT, bad_record
+from .sources import MAX_BYTES_PER_TRIGGER, read_sensor_stream, start_batches
+from .versions import BATCH_COL, batch_ids, compact_versions, newest_per_key, read_versions, write_batch
 
 PREV_COLUMNS = ["event_id", "equipment_id", "timestamp", "rpm", "temp_coolant_c"]
+_PREVS = ["rpm_prev", "rpm_delta", "temp_coolant_prev", "temp_coolant_delta"]
 
 
 def _carry_before(spark: SparkSession, state_path: str, batch_id: int) -> DataFrame | None:
-    """Carry table written by the newest earlier batch (None at the start)."""
-    if not path_exists(spark, state_path):
-        return None
-    ids = [i for i in batch_versions(spark, state_path) if i < batch_id]
-    if not ids:
-        return None
-    return spark.read.parquet(f"{state_path}/_batch_id={max(ids)}")
-
-
-def batch_versions(spark: SparkSession, path: str) -> list[int]:
-    """Batch ids of the ``_batch_id=N`` folders under ``path`` (a directory
-    listing on the driver; one entry per micro-batch)."""
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(jpath):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("_batch_id="):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
-
-
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    jpath = jvm.org.apache.hadoop.fs.Path(path)
-    return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
+    """The last readings as of the newest earlier batch."""
+    ids = [i for i in batch_ids(spark, state_path) if i < batch_id]
+    return spark.read.parquet(f"{state_path}/{BATCH_COL}={max(ids)}") if ids else None
 
 
 def retain_versions(spark: SparkSession, state_path: str, keep: int = 3) -> None:
     """Delete all but the newest ``keep`` carry versions (like a checkpoint's
     minimum batches to retain), so the listing stays small forever."""
-    ids = batch_versions(spark, state_path)
-    for old in ids[:-keep] if len(ids) > keep else []:
-        fs, p = _fs_path(spark, f"{state_path}/_batch_id={old}")
-        fs.delete(p, True)
+    for old in batch_ids(spark, state_path)[:-keep]:
+        remove_path(spark, f"{state_path}/{BATCH_COL}={old}")
 
 
 def clean_batch(batch: DataFrame) -> DataFrame:
@@ -73,60 +44,66 @@ def clean_batch(batch: DataFrame) -> DataFrame:
     return add_time_parts(clean_readings(batch)).select(*PREV_COLUMNS)
 
 
-def process_batch(clean: DataFrame, carry: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """(enriched rows of this batch, new carry table) from the cleaned rows."""
-    rows = clean.withColumn("_carry", F.lit(False))
-    if carry is not None:
-        rows = rows.unionByName(carry.select(*PREV_COLUMNS).withColumn("_carry", F.lit(True)))
-    lagged = add_prev_and_delta(rows)
-    out = lagged.filter(~F.col("_carry")).drop("_carry")
-    if carry is not None:
-        last = carry.select(F.col("equipment_id").alias("_k"), F.col("timestamp").alias("_ct"),
-                            F.col("event_id").alias("_ce"))
-        # one row per machine; AQE broadcasts it at run time when it is small
-        out = out.join(last, out.equipment_id.eqNullSafe(last._k), "left") \
-            .withColumn("_late", F.coalesce(F.struct("timestamp", "event_id") < F.struct("_ct", "_ce"),
-                                            F.lit(False))).drop("_k", "_ct", "_ce")
-    else:
-        out = out.withColumn("_late", F.lit(False))
-    new_carry = latest_per_key(clean if carry is None else clean.unionByName(carry.select(*PREV_COLUMNS)))
-    return out, new_carry
+def process_batch(new: DataFrame, carry: DataFrame, stored: DataFrame) -> DataFrame:
+    """The versions to write for the new rows, given each machine's last
+    stored reading and all stored rows."""
+    last = carry.select(F.col("equipment_id").alias("_k"), F.struct("timestamp", "event_id").alias("_last"))
+    late = (new.join(last, F.col("equipment_id").eqNullSafe(F.col("_k")))
+            .filter(F.struct("timestamp", "event_id") < F.col("_last")).select("_k").distinct())
+    of_late = F.col("equipment_id").eqNullSafe(F.col("_k"))
+    on_time = new.join(late, of_late, "left_anti").withColumn("_old", F.lit(False))
+    tails = carry.select(*PREV_COLUMNS).join(late, of_late, "left_anti").withColumn("_old", F.lit(True))
+    fast = add_prev_and_delta(on_time.unionByName(tails)).filter(~F.col("_old")).drop("_old")
+    if late.isEmpty():
+        return fast
+    before = [F.col(c).alias(f"_was_{c}") for c in _PREVS]
+    rows = (stored.join(late, of_late, "left_semi").select(*PREV_COLUMNS, *before, F.lit(True).alias("_old"))
+            .unionByName(new.join(late, of_late, "left_semi").withColumn("_old", F.lit(False)), allowMissingColumns=True))
+    again = add_prev_and_delta(rows)
+    same = F.col("_old")
+    for c in _PREVS:
+        same = same & F.col(c).eqNullSafe(F.col(f"_was_{c}"))
+    return fast.unionByName(again.filter(~same).select(*fast.columns))
 
 
 def start_stream_prev_delta(spark: SparkSession, source_dir: str, out_path: str, state_path: str,
                             checkpoint_dir: str, available_now: bool = True,
                             max_files_per_trigger: int | None = None,
-                            watermark: str = "1 day") -> StreamingQuery:
-    # Stateless rules first (a failing copy must not shadow a valid one),
-    # then ids already seen within the watermark are dropped across batches.
-    prefer_rocksdb_state(spark)
-    raw = read_sensor_stream(spark, source_dir, max_files_per_trigger)
-    stream = (drop_null_key(filter_quality(raw))
-              .withColumn("_event_time", parse_event_time("timestamp"))
-              .withWatermark("_event_time", watermark)
-              .dropDuplicatesWithinWatermark(["event_id"])
-              .drop("_event_time", "_quality_passed"))
-
+                            max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER) -> StreamingQuery:
     def run(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        carry = _carry_before(s, state_path, batch_id)
-        # Stage the cleaned batch as files: the operator reads them twice
-        # (one shuffle, reused), and a retried batch sees the same rows.
-        staged = f"{state_path}/_staging/_batch_id={batch_id}"
-        clean_batch(batch).write.mode("overwrite").parquet(staged)
-        out, new_carry = process_batch(s.read.parquet(staged), carry)
-        # carry first: it is what the next batch reads; both writes replace
-        # their batch-id folder, so a retry of this batch is idempotent.
-        new_carry.write.mode("overwrite").parquet(f"{state_path}/_batch_id={batch_id}")
-        out.write.mode("overwrite").parquet(f"{out_path}/_batch_id={batch_id}")
-        fs, p = _fs_path(s, staged)
-        fs.delete(p, True)
+        versions = read_versions(s, out_path, before=batch_id)
+        # Stage the new rows as files: the operator reads them several times,
+        # and every read must see the same rows.
+        staging = f"{state_path}/_staging/{BATCH_COL}={batch_id}"
+        new = clean_batch(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"))
+        if versions is not None:
+            new = new.join(versions.select("event_id").distinct(), "event_id", "left_anti")
+        new.write.mode("overwrite").parquet(staging)
+        try:
+            new = s.read.schema(new.schema).parquet(staging)
+            carry = _carry_before(s, state_path, batch_id)
+            if versions is None or carry is None:
+                out, tails = add_prev_and_delta(new), new
+            else:
+                out = process_batch(new, carry, newest_per_key(versions, ["event_id"]))
+                tails = new.unionByName(carry.select(*PREV_COLUMNS))
+            # both writes replace their folder, so a retry is harmless
+            write_batch(latest_per_key(tails), state_path, batch_id)
+            write_batch(out, out_path, batch_id)
+        finally:
+            remove_path(s, staging)
         retain_versions(s, state_path)
 
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
-    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
+    return start_batches(stream, run, checkpoint_dir, available_now)
 
 
 def read_prev_delta(spark: SparkSession, out_path: str) -> DataFrame:
-    return spark.read.parquet(out_path).drop("_batch_id")
+    """The newest version of every reading."""
+    return newest_per_key(read_versions(spark, out_path), ["event_id"]).drop(BATCH_COL)
+
+
+def compact_prev_delta(spark: SparkSession, out_path: str) -> int | None:
+    """Fold committed batch folders into one (see ``versions.compact_versions``)."""
+    return compact_versions(spark, out_path, lambda v: newest_per_key(v, ["event_id"]).drop(BATCH_COL))

@@ -1,32 +1,39 @@
-"""Streaming reads of raw sensor JSON files."""
+"""Streaming reads of raw sensor JSON files, and the micro-batch runner."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StringType, StructField, StructType
 
 from ..constants import SENSOR_SCHEMA
+from ..sources.json_source import CORRUPT
+
+MAX_BYTES_PER_TRIGGER = 10 << 30
 
 
 def read_sensor_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
-                       max_bytes_per_trigger: str | None = None) -> DataFrame:
-    """Line-delimited JSON files arriving in a folder, explicit schema. The
-    per-trigger limits bound each micro-batch, so per-batch state and tasks
-    stay bounded however large the backlog."""
-    reader = spark.readStream.schema(SENSOR_SCHEMA)
+                       max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER) -> DataFrame:
+    """Line-delimited JSON files arriving in a folder: the declared columns,
+    the text of records that did not parse, and ``_src``, the file of each
+    record. The limits bound a micro-batch however large the backlog: by bytes
+    unless told otherwise, or by files (Spark takes one of the two)."""
+    schema = StructType([*SENSOR_SCHEMA.fields, StructField(CORRUPT, StringType(), True)])
+    reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
-    return reader.json(source_dir)
-
-
-STATE_PROVIDER_CONF = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-
-
-def prefer_rocksdb_state(spark: SparkSession) -> None:
-    """Use the RocksDB state store (state on local disk, not in executor
-    heap) unless the session already chose a provider. De-duplication state
-    grows with the ids inside the watermark."""
-    if spark.conf.get(STATE_PROVIDER_CONF, None) is None:
-        spark.conf.set(STATE_PROVIDER_CONF, ROCKSDB_PROVIDER)
+    elif max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
+    return reader.json(source_dir).withColumn("_src", F.col("_metadata.file_path"))
+
+
+def start_batches(stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint_dir: str,
+                  available_now: bool) -> StreamingQuery:
+    """Run a function on every micro-batch. ``run`` must be repeatable: a batch
+    is run again after a failure, under the same id."""
+    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
+    writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
+    return writer.start()

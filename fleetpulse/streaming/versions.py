@@ -1,15 +1,21 @@
-"""Versioned batch folders of keyed streaming outputs, and their compaction.
-
-Update-mode streams here write each micro-batch's changed groups into
-``<out>/_batch_id=N``; readers keep the newest version per key. Compaction
-bounds the number of folders: the newest row per key over all *committed*
-versions below the latest one is written once, under the highest merged id,
-and the folders it replaces are removed. The latest version is left alone (a
-retried micro-batch may still rewrite it).
+"""Output of a stream as one folder per micro-batch, and its compaction.
+
+Every micro-batch writes ``<out>/_batch_id=N``, replaced if the batch is
+retried. Compaction folds the committed folders below the newest into
+``<out>/_merged/gen=K`` and then publishes them by creating one empty folder,
+``<out>/_published/gen=K,upto=N``: readers take the highest generation and the
+batch folders above its N. Before that folder exists they see the old state,
+afterwards the new one, with the same rows; a crash in between leaves files
+that nobody reads and that the next compaction replaces. Folders that a
+generation replaced are deleted by the compaction after it, so a reader that
+listed them just before can finish.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -22,17 +28,45 @@ def _fs(spark: SparkSession, path: str):
     return jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), jpath
 
 
-def batch_ids(spark: SparkSession, path: str) -> list[int]:
-    """Ids of the ``_batch_id=N`` folders under ``path`` (driver listing)."""
+def _names(spark: SparkSession, path: str) -> list[str]:
+    """Folder names under a path (a driver listing; compaction bounds it)."""
     fs, root = _fs(spark, path)
     if not fs.exists(root):
         return []
-    out = []
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith(f"{BATCH_COL}="):
-            out.append(int(name.split("=", 1)[1]))
-    return sorted(out)
+    return [st.getPath().getName() for st in fs.listStatus(root) if st.isDirectory()]
+
+
+def batch_ids(spark: SparkSession, path: str) -> list[int]:
+    prefix = f"{BATCH_COL}="
+    return sorted(int(n.removeprefix(prefix)) for n in _names(spark, path) if n.startswith(prefix))
+
+
+def published(spark: SparkSession, out_path: str) -> tuple[int, int]:
+    """(generation, highest batch id it holds) in force; (0, -1) for none."""
+    found = [re.fullmatch(r"gen=(\d+),upto=(\d+)", n) for n in _names(spark, f"{out_path}/_published")]
+    return max(((int(m[1]), int(m[2])) for m in found if m), default=(0, -1))
+
+
+def write_batch(df: DataFrame, out_path: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{out_path}/{BATCH_COL}={batch_id}")
+
+
+def read_versions(spark: SparkSession, out_path: str, before: int | None = None) -> DataFrame | None:
+    """The rows of all batches (below ``before``) with ``_batch_id``; None
+    where there is none yet. A retried batch passes its own id, so it reads
+    what its first attempt read."""
+    generation, upto = published(spark, out_path)
+    ids = [i for i in batch_ids(spark, out_path) if i > upto and (before is None or i < before)]
+    parts = []
+    if generation:
+        parts.append(spark.read.parquet(f"{out_path}/_merged/gen={generation}"))
+    if ids:
+        parts.append(spark.read.option("basePath", out_path)
+                     .parquet(*[f"{out_path}/{BATCH_COL}={i}" for i in ids])
+                     .withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")))
+    if not parts:
+        return None
+    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
 def newest_per_key(versions: DataFrame, keys: list[str]) -> DataFrame:
@@ -41,28 +75,34 @@ def newest_per_key(versions: DataFrame, keys: list[str]) -> DataFrame:
     return versions.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def compact_versions(spark: SparkSession, out_path: str, keys: list[str]) -> int | None:
-    """Merge every committed version below the newest into one folder.
-    Returns the id it was written under (None when there is nothing to do)."""
-    ids = batch_ids(spark, out_path)
-    older = ids[:-1]
+def compact_versions(spark: SparkSession, out_path: str, merge: Callable[[DataFrame], DataFrame]) -> int | None:
+    """Fold every committed batch below the newest into one generation and
+    publish it. ``merge`` maps the rows with ``_batch_id`` to the merged rows
+    (a ``_batch_id`` it leaves out is filled with the highest one). Returns the
+    new generation, or None when there is nothing to do."""
+    generation, upto = published(spark, out_path)
+    older = [i for i in batch_ids(spark, out_path) if i > upto][:-1]
     if len(older) < 2:
         return None
     top = older[-1]
-    paths = [f"{out_path}/{BATCH_COL}={i}" for i in older]
-    merged = newest_per_key(
-        spark.read.option("basePath", out_path).parquet(*paths), keys).drop(BATCH_COL)
-    staging = f"{out_path}/_compacting_{top}"            # '_' prefix: readers skip it
-    merged.write.mode("overwrite").parquet(staging)
-    fs, target = _fs(spark, f"{out_path}/{BATCH_COL}={top}")
-    _, parked = _fs(spark, f"{out_path}/_replaced_{top}")
-    _, staged = _fs(spark, staging)
-    # Swap: the merged rows carry the highest merged id, so readers prefer
-    # them over any older folder still present; then remove the old ones.
-    fs.rename(target, parked)
-    fs.rename(staged, target)
-    fs.delete(parked, True)
-    for i in older[:-1]:
-        _, p = _fs(spark, f"{out_path}/{BATCH_COL}={i}")
-        fs.delete(p, True)
-    return top
+    merged = merge(read_versions(spark, out_path, before=top + 1))
+    if BATCH_COL not in merged.columns:
+        merged = merged.withColumn(BATCH_COL, F.lit(top).cast("long"))
+    merged.write.mode("overwrite").parquet(f"{out_path}/_merged/gen={generation + 1}")
+    fs, marker = _fs(spark, f"{out_path}/_published/gen={generation + 1},upto={top}")
+    if not fs.mkdirs(marker):
+        raise OSError(f"could not publish {marker}")
+    # what the generation before this one replaced
+    for i in batch_ids(spark, out_path):
+        if i <= upto:
+            _delete(spark, f"{out_path}/{BATCH_COL}={i}")
+    for name in _names(spark, f"{out_path}/_merged"):
+        if int(name.removeprefix("gen=")) < generation:
+            _delete(spark, f"{out_path}/_merged/{name}")
+    return generation + 1
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    fs, p = _fs(spark, path)
+    if not fs.delete(p, True) and fs.exists(p):
+        raise OSError(f"could not delete {path}")

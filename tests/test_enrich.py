@@ -103,35 +103,25 @@ def test_range_lag_reuses_one_shuffle(spark):
     assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
 
 
-def test_auto_strategy_uses_size_estimate(spark, tmp_dir):
-    from fleetpulse.operators.enrich import WINDOW_MAX_BYTES_CONF, choose_lag_strategy
-    # an in-memory RDD has no size statistics: unbounded, so range
-    assert choose_lag_strategy(add_time_parts(to_df(spark, [reading()]))) == "range"
+def test_default_plan_does_not_depend_on_size(spark, tmp_dir):
     to_df(spark, [reading()]).write.parquet(tmp_dir)
-    df = add_time_parts(spark.read.parquet(tmp_dir))
-    assert choose_lag_strategy(df) == "window"
-    spark.conf.set(WINDOW_MAX_BYTES_CONF, "0")
-    try:
-        assert choose_lag_strategy(df) == "range"
-    finally:
-        spark.conf.unset(WINDOW_MAX_BYTES_CONF)
+    plan = add_previous_values(add_time_parts(spark.read.parquet(tmp_dir)))._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan
 
 
-def test_partition_count_follows_size_estimate(spark, tmp_dir):
-    from fleetpulse.sizing import MAX_PARTITIONS_CONF, TARGET_BYTES_CONF, partitions_for
-    to_df(spark, [reading(event_id=str(i)) for i in range(200)]).write.parquet(tmp_dir)
-    df = spark.read.parquet(tmp_dir)
-    assert partitions_for(df) == 8                      # small: the configured count
-    assert partitions_for(df, 3) == 3                   # explicit request wins
-    spark.conf.set(TARGET_BYTES_CONF, "100")
-    spark.conf.set(MAX_PARTITIONS_CONF, "50")
+def test_range_form_refuses_to_run_without_exchange_reuse(spark):
+    spark.conf.set("spark.sql.exchange.reuse", "false")
     try:
-        assert partitions_for(df) == 50                 # grows with size, capped
+        with pytest.raises(ValueError):
+            add_previous_values(add_time_parts(to_df(spark, [reading()])))
     finally:
-        spark.conf.unset(TARGET_BYTES_CONF)
-        spark.conf.unset(MAX_PARTITIONS_CONF)
-    # an in-memory RDD has no estimate: the configured count
-    assert partitions_for(to_df(spark, [reading()])) == 8
+        spark.conf.unset("spark.sql.exchange.reuse")
+
+
+def test_partition_count_is_the_setting_or_the_request(spark):
+    from fleetpulse.sizing import partitions_for
+    df = to_df(spark, [reading()])
+    assert partitions_for(df) == 8 and partitions_for(df, 3) == 3
 
 
 def test_range_partitions_split_a_hot_machine(spark, tmp_dir):

@@ -63,3 +63,18 @@ def test_gold_is_one_partial_hash_aggregate(spark):
     g = _gold(spark, [reading()])
     plan = g._jdf.queryExecution().executedPlan().toString()
     assert "partial_avg" in plan and "SortAggregate" not in plan
+
+
+def test_odd_values_are_not_left_out_of_sums_and_means(spark):
+    """NaN, infinity, huge and very fine values follow the double SUM and AVG."""
+    import math
+
+    from fleetpulse.operators.enrich import add_labels
+    from fleetpulse.operators.kpis import daily_kpis
+    cases = {"huge": [1e13, 2.0], "nan": [float("nan"), 2.0], "inf": [float("inf"), 2.0], "fine": [1.0000004, 1.0000004], "plain": [1.5, 2.5, None]}
+    rows = [reading(event_id=f"{k}{i}", ingestion_date=k, fuel_rate_lh=v, rpm=v) for k, vs in cases.items() for i, v in enumerate(vs)]
+    got = {r.ingestion_date: r for r in daily_kpis(add_labels(to_df(spark, rows))).collect()}
+    assert got["huge"].total_fuel_consumed_l == 1e13 + 2.0 and got["huge"].avg_rpm == 5e12 + 1
+    assert math.isnan(got["nan"].total_fuel_consumed_l) and math.isnan(got["nan"].avg_rpm)
+    assert math.isinf(got["inf"].total_fuel_consumed_l)
+    assert got["fine"].total_fuel_consumed_l == 2.0 and got["plain"].total_fuel_consumed_l == 4.0 and got["plain"].avg_rpm == 2.0

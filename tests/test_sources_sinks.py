@@ -143,20 +143,70 @@ def test_gold_sql_equals_dataframe_form(spark):
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
 
 
-def test_ingest_with_and_without_staging_agree(spark, tmp_dir):
-    from fleetpulse.plans.bronze import STAGE_MIN_BYTES_CONF
-    src = _local(tmp_dir) + "/src"
-    _write_ndjson(src, [reading(event_id="a"), reading(event_id="a"), reading(event_id="b")])
-    out = {}
-    for threshold in ("0", str(1 << 40)):                 # always stage / never stage
-        spark.conf.set(STAGE_MIN_BYTES_CONF, threshold)
-        bronze = scratch_path(spark, "bronze")
-        try:
-            assert ingest_to_bronze(spark, "file:" + src, bronze)["rows_written"] == 2
-        finally:
-            spark.conf.unset(STAGE_MIN_BYTES_CONF)
-        out[threshold] = sorted(r.event_id for r in read_layer(spark, bronze, BRONZE_SCHEMA).collect())
-    assert out["0"] == out[str(1 << 40)] == ["a", "b"]
+def test_ingest_quarantines_junk_once(spark, tmp_dir):
+    src, bronze = _local(tmp_dir) + "/src", scratch_path(spark, "bronze")
+    _write_ndjson(src, [reading(event_id="a"), reading(event_id="b", rpm=None)])
+    with open(os.path.join(src, "part.json"), "a") as f:
+        f.write('{not json\n{}\n[\n{"event_id": "c", "rpm": "fast"}\n')
+    for _ in range(2):
+        stats = ingest_to_bronze(spark, "file:" + src, bronze)
+        assert stats["quarantined"] == 4
+    bad = spark.read.parquet(bronze + "_quarantine").collect()
+    assert sorted(r.raw_record for r in bad) == ["[", '{"event_id": "c", "rpm": "fast"}', "{not json", "{}"]
+    assert all(r._source_path.endswith("part.json") for r in bad)
+    good = read_layer(spark, bronze, BRONZE_SCHEMA).collect()
+    assert sorted(r.event_id for r in good) == ["a", "b"] and all(r._source_path.endswith("part.json") for r in good)
+    other = scratch_path(spark, "bronze")
+    assert ingest_to_bronze(spark, "file:" + src, other, quarantine_path=None)["quarantined"] == 4
+    assert not os.path.exists(_local(other) + "_quarantine")
+
+
+def test_resent_ids_are_not_added_under_another_date(spark, tmp_dir):
+    base, bronze = _local(tmp_dir), scratch_path(spark, "bronze")
+    _write_ndjson(base + "/1", [reading(event_id="a", ingestion_date=None), reading(event_id="b")])
+    _write_ndjson(base + "/2", [reading(event_id="b", ingestion_date="2024-02-02"), reading(event_id="c", ingestion_date=None)])
+    written = [ingest_to_bronze(spark, f"file:{base}/{k}", bronze)["rows_written"] for k in (1, 1, 2, 2)]
+    assert written == [2, 0, 1, 0]
+
+
+def test_refreshed_silver_equals_a_full_build(spark, tmp_dir):
+    """Days in any order, an id that moves to another day, and a day whose only
+    row stops passing the rules."""
+    from fleetpulse.plans.silver import build_silver
+    from fleetpulse.sources.layers import SILVER_SCHEMA
+    base, bronze, silver = _local(tmp_dir), scratch_path(spark, "bronze"), scratch_path(spark, "silver")
+    day = lambda d, **kw: reading(timestamp=f"2024-01-{d:02d} 10:00:00", ingestion_date=f"2024-01-{d:02d}", rpm=1000.0 + d, **kw)
+    batches = [[day(1, event_id="a"), day(20, event_id="b")], [day(10, event_id="c")], [day(12, event_id="d"), day(5, event_id="e")],
+               [reading(event_id="d", timestamp="2024-01-02 10:00:00", ingestion_date="2024-01-20", rpm=1500.0)],
+               [reading(event_id="e", timestamp="2024-01-05 09:00:00", ingestion_date="2024-01-05", equipment_type="crane", rpm=1111.0)]]
+    for k, rows in enumerate(batches):
+        _write_ndjson(f"{base}/{k}", rows)
+        ingest_to_bronze(spark, f"file:{base}/{k}", bronze, idempotent=False)
+        transform_bronze_to_silver(spark, bronze, silver, dates=sorted({r["ingestion_date"] for r in rows}))
+        want = build_silver(read_layer(spark, bronze, BRONZE_SCHEMA))
+        cols = [c for c in want.columns if not c.startswith("_")]
+        have = read_layer(spark, silver, SILVER_SCHEMA).select(*cols)
+        assert have.exceptAll(want.select(*cols)).count() == 0 and want.select(*cols).exceptAll(have).count() == 0, k
+    assert not os.path.exists(_local(silver) + "/ingestion_date=2024-01-12/equipment_type=excavator")
+
+
+def test_partition_directory_names(spark, tmp_dir):
+    from fleetpulse.plans.silver import partition_dir
+    values = ["plain", "a b", "x/y", "50%", "q=1", "ü", 'quo"te', "[z]", None]
+    spark.createDataFrame([(v, 1) for v in values], "p string, x int").write.partitionBy("p").parquet(tmp_dir)
+    assert {n for n in os.listdir(_local(tmp_dir)) if n.startswith("p=")} == {partition_dir("p", v) for v in values}
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from types import SimpleNamespace
+
+    import pytest
+
+    from fleetpulse.session import ensure_checkpoint_dir
+    none = SimpleNamespace(get=lambda *a: None)
+    sc = SimpleNamespace(getCheckpointDir=lambda: None, getConf=lambda: none, master="yarn")
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(SimpleNamespace(sparkContext=sc, conf=none))
 
 
 def test_stored_keys_read_only_the_id_column(spark, tmp_dir):
@@ -168,7 +218,7 @@ def test_stored_keys_read_only_the_id_column(spark, tmp_dir):
     df = to_df(spark, [reading(event_id=f"e{i}") for i in range(5)]).withColumns(
         {"_ingested_at": F.current_timestamp(), "_source_path": F.lit("x"), "_pipeline_version": F.lit("1")})
     overwrite_partitioned(df.select(*BRONZE_SCHEMA.fieldNames()), tmp_dir, BRONZE_PARTITIONS)
-    out = new_rows_only(df, read_layer(spark, tmp_dir, BRONZE_SCHEMA), scope_values=["2024-01-01"])
+    out = new_rows_only(df, read_layer(spark, tmp_dir, BRONZE_SCHEMA), scope_column="ingestion_date", scope_values=["2024-01-01"])
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "struct<event_id:string>" in re.findall(r"ReadSchema: (struct<[^>]*>)", plan)
     assert "IsNull(event_id)" in plan and "ingestion_date" in "".join(re.findall(r"PartitionFilters: \[[^\]]*\]", plan))

@@ -7,7 +7,7 @@ from fleetpulse.session import scratch_path
 from fleetpulse.sources.layers import BRONZE_SCHEMA, read_layer
 from fleetpulse.streaming.daily_counts import read_daily_counts, start_daily_counts
 from fleetpulse.streaming.ingest import start_stream_ingest
-from fleetpulse.streaming.prev_delta import read_prev_delta, start_stream_prev_delta
+from fleetpulse.streaming.prev_delta import compact_prev_delta, read_prev_delta, start_stream_prev_delta
 
 
 def _local(p):
@@ -45,32 +45,48 @@ def test_stream_daily_counts_update_versions(spark):
     src = scratch_path(spark, "src")
     out, ckpt = scratch_path(spark, "daily"), scratch_path(spark, "ckpt")
     _drop(_local(src), "1.json", [reading(event_id="a", timestamp="2024-01-01 10:00:00", nox_ppm=400.0)])
-    _run(start_daily_counts(spark, src, out, ckpt, watermark="30 days"))
+    _run(start_daily_counts(spark, src, out, ckpt))
     _drop(_local(src), "2.json", [reading(event_id="b", timestamp="2024-01-01 11:00:00"),
                                   reading(event_id="c", timestamp="2024-01-02 01:00:00", is_anomaly=True)])
-    _run(start_daily_counts(spark, src, out, ckpt, watermark="30 days"))
+    _run(start_daily_counts(spark, src, out, ckpt))
     got = {(r.event_date, r.equipment_id): (r.total_readings, r.total_anomalies, r.nox_violations)
            for r in read_daily_counts(spark, out).collect()}
     assert got == {("2024-01-01", "EQ-001"): (2, 0, 1), ("2024-01-02", "EQ-001"): (0 + 1, 1, 0)}
 
 
-def test_stream_prev_delta_carries_across_batches(spark):
+def test_stream_prev_delta_corrects_late_rows(spark):
     src = scratch_path(spark, "src")
     out, state, ckpt = scratch_path(spark, "out"), scratch_path(spark, "state"), scratch_path(spark, "ckpt")
-    _drop(_local(src), "1.json", [reading(event_id="a", timestamp="2024-01-01 10:00:00", rpm=1000.0),
-                                  reading(event_id="b", timestamp="2024-01-01 10:00:05", rpm=1100.0)])
-    _run(start_stream_prev_delta(spark, src, out, state, ckpt))
-    _drop(_local(src), "2.json", [reading(event_id="c", timestamp="2024-01-01 10:00:09", rpm=1300.0),
-                                  reading(event_id="z", timestamp="2024-01-01 09:00:00", rpm=900.0),
-                                  reading(event_id="b", timestamp="2024-01-01 10:00:05", rpm=1100.0)])  # re-sent
-    _run(start_stream_prev_delta(spark, src, out, state, ckpt))
-    rows = read_prev_delta(spark, out).collect()
-    assert sorted(r.event_id for r in rows) == ["a", "b", "c", "z"]          # the re-sent id is dropped
-    got = {r.event_id: (r.rpm_prev, r.rpm_delta, r._late) for r in rows}
-    assert got["a"] == (None, None, False)
-    assert got["b"] == (1000.0, 100.0, False)
-    assert got["c"] == (1100.0, 200.0, False)      # previous reading came from the carried state
-    assert got["z"][2] is True                      # older than the carried reading: flagged late
+    batches = [[reading(event_id="a", timestamp="2024-01-01 10:00:00", rpm=1000.0),
+                reading(event_id="b", timestamp="2024-01-01 10:00:05", rpm=1100.0),
+                reading(event_id="x", equipment_id="EQ-002", timestamp="2024-01-01 10:00:00", rpm=500.0)],
+               [reading(event_id="c", timestamp="2024-01-01 10:00:09", rpm=1300.0),
+                reading(event_id="z", timestamp="2023-12-01 09:00:00", rpm=900.0),                  # a month late
+                reading(event_id="b", timestamp="2024-01-01 10:00:05", rpm=1100.0),                 # re-sent
+                reading(event_id="y", equipment_id="EQ-002", timestamp="2024-01-01 10:00:01", rpm=700.0)],
+               [reading(event_id="m", timestamp="2024-01-01 10:00:07", rpm=1200.0)]]
+    for k, rows in enumerate(batches):
+        _drop(_local(src), f"{k}.json", rows)
+        _run(start_stream_prev_delta(spark, src, out, state, ckpt))
+    got = {r.event_id: (r.rpm_prev, r.rpm_delta) for r in read_prev_delta(spark, out).collect()}
+    assert got == {"z": (None, None), "a": (900.0, 100.0), "b": (1000.0, 100.0), "m": (1100.0, 100.0), "c": (1200.0, 100.0),
+                   "x": (None, None), "y": (500.0, 200.0)}
+    before = sorted(map(tuple, read_prev_delta(spark, out).collect()))
+    assert compact_prev_delta(spark, out) == 1
+    assert sorted(map(tuple, read_prev_delta(spark, out).collect())) == before
+
+
+def test_late_rows_reach_bronze_and_the_counts(spark):
+    src = scratch_path(spark, "src")
+    bronze, out = scratch_path(spark, "bronze"), scratch_path(spark, "daily")
+    ckpts = scratch_path(spark, "ckpt"), scratch_path(spark, "ckpt")
+    for k, stamp in enumerate(["2024-03-01 10:00:00", "2024-01-01 10:00:00"]):
+        _drop(_local(src), f"{k}.json", [reading(event_id=f"e{k}", timestamp=stamp), {}, {"rpm": "x"}])
+        _run(start_stream_ingest(spark, src, bronze, ckpts[0]))
+        _run(start_daily_counts(spark, src, out, ckpts[1]))
+    assert sorted(r.event_id for r in read_layer(spark, bronze, BRONZE_SCHEMA).collect()) == ["e0", "e1"]
+    assert spark.read.parquet(bronze + "_quarantine").count() == 4
+    assert {r.event_date: r.total_readings for r in read_daily_counts(spark, out).collect()} == {"2024-03-01": 1, "2024-01-01": 1}
 
 
 def test_stream_daily_kpis_equal_batch_gold_across_batches(spark):
@@ -88,9 +104,9 @@ def test_stream_daily_kpis_equal_batch_gold_across_batches(spark):
           reading(event_id="c", timestamp="2024-01-01 12:00:00", rpm=700.0, temp_coolant_c=107.0),
           reading(event_id="d", timestamp="2024-01-02 01:00:00", ingestion_date="2024-01-02", rpm=9000.0)]
     _drop(_local(src), "1.json", b1)
-    _run(start_daily_kpis(spark, src, out, ckpt, watermark="30 days"))
+    _run(start_daily_kpis(spark, src, out, ckpt))
     _drop(_local(src), "2.json", b2)
-    _run(start_daily_kpis(spark, src, out, ckpt, watermark="30 days"))
+    _run(start_daily_kpis(spark, src, out, ckpt))
     got = read_daily_kpis(spark, out)
     want = build_gold(build_silver(to_df(spark, b1 + b2), with_lag=False))
     cols = want.columns
@@ -98,21 +114,46 @@ def test_stream_daily_kpis_equal_batch_gold_across_batches(spark):
     assert got.filter(F.col("ingestion_date") == "2024-01-01").first().total_readings == 3
 
 
-def test_compaction_keeps_reader_result(spark):
+def test_compaction_keeps_reader_result(spark, monkeypatch):
+    from fleetpulse.streaming import versions
     from fleetpulse.streaming.daily_counts import compact_daily_counts
-    from fleetpulse.streaming.versions import batch_ids
     src = scratch_path(spark, "src")
     out, ckpt = scratch_path(spark, "daily"), scratch_path(spark, "ckpt")
-    for i, day in enumerate(["01", "01", "02", "01"]):
+
+    def add(i, day):
         _drop(_local(src), f"{i}.json", [reading(event_id=f"e{i}", timestamp=f"2024-01-{day} 10:00:0{i}")])
-        _run(start_daily_counts(spark, src, out, ckpt, watermark="30 days"))
-    before = sorted(tuple(r) for r in read_daily_counts(spark, out).collect())
-    ids = batch_ids(spark, out)
-    assert len(ids) >= 4                                     # data batches (+ no-data watermark batches)
-    assert compact_daily_counts(spark, out) == ids[-2]
-    assert len(batch_ids(spark, out)) == 2                   # merged folder + the newest batch
-    assert sorted(tuple(r) for r in read_daily_counts(spark, out).collect()) == before
-    _drop(_local(src), "9.json", [reading(event_id="e9", timestamp="2024-01-02 11:00:00")])
-    _run(start_daily_counts(spark, src, out, ckpt, watermark="30 days"))   # stream continues after it
-    got = {r.event_date: r.total_readings for r in read_daily_counts(spark, out).collect()}
-    assert got == {"2024-01-01": 3, "2024-01-02": 2}
+        _run(start_daily_counts(spark, src, out, ckpt))
+
+    read = lambda: sorted(tuple(r) for r in read_daily_counts(spark, out).collect())
+    for i, day in enumerate(["01", "01", "02", "01"]):
+        add(i, day)
+    before = read()
+    # a crash after the merged rows are written and before they are published
+    fs = versions._fs
+    monkeypatch.setattr(versions, "_fs", lambda s, p: 1 / 0 if "_published/gen" in p else fs(s, p))
+    try:
+        compact_daily_counts(spark, out)
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    assert versions.published(spark, out) == (0, -1) and read() == before
+    # a crash after publishing and before old files are deleted
+    monkeypatch.setattr(versions, "_delete", lambda *a: 1 / 0)
+    assert compact_daily_counts(spark, out) == 1             # nothing old to delete yet
+    monkeypatch.undo()
+    assert versions.published(spark, out)[0] == 1 and read() == before
+    for i, day in ((4, "02"), (5, "02"), (6, "01")):
+        add(i, day)
+    after = read()
+    monkeypatch.setattr(versions, "_delete", lambda *a: 1 / 0)
+    try:
+        compact_daily_counts(spark, out)
+    except ZeroDivisionError:
+        pass
+    monkeypatch.undo()
+    assert versions.published(spark, out)[0] == 2 and read() == after
+    add(7, "03")
+    add(8, "03")
+    assert compact_daily_counts(spark, out) == 3
+    assert {r.event_date: r.total_readings for r in read_daily_counts(spark, out).collect()} == {
+        "2024-01-01": 4, "2024-01-02": 3, "2024-01-03": 2}
