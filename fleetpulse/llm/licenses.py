@@ -3,7 +3,8 @@
 A text is lower-cased (A-Z) and reduced to its words (letters, digits and other
 scripts) with one space between them. Every rule is a hand-written regular
 expression over these words with a keyword, a label, a priority and a
-confidence. A rule is tried only on texts that hold its keyword; texts without
+confidence. A rule is tried only on texts with a word that starts with its
+keyword; texts without
 any keyword are not normalised at all. All places of all rules are found, and a
 place is suppressed if a place of higher priority, or of the same priority and
 an earlier rule, contains its words. The labels of the places that stay are the
@@ -104,7 +105,7 @@ TEXTS = [
     ("lgpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu lesser general public license", NOTICE),
     ("agpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu affero general public license", NOTICE),
     ("mpl-2.0", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0", NOTICE),
-    ("unlicense", "encumbered", r"this is free and unencumbered software released into the public domain", NOTICE),
+    ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", NOTICE),
     ("apache-2.0", "apache", r"you may not use this file except in compliance with the license", NOTICE),
     ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", NOTICE),
     ("public-domain", "domain", r"(?:released|dedicated|placed) (?:in)?to the public domain", NOTICE),
@@ -151,6 +152,16 @@ def rules() -> list[tuple[str, str, str, int]]:
     return out + TEXTS
 
 
+def any_keyword() -> str:
+    """One expression for any keyword at the start of a word, grouped by first
+    letters, so that most places of a text fail on one character."""
+    by_letter: dict[str, list[str]] = {}
+    for k in sorted({k for _, k, _, _ in rules()} | {p.split()[0] for p in BASE}):
+        by_letter.setdefault(k[0], []).append(k[1:])
+    body = "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in by_letter.items())
+    return f"(?i)(?<![0-9A-Za-z\\x80-\\x{{10FFFF}}])(?:{body})"
+
+
 def _table() -> Column:
     """The rules as a constant array, in order."""
     return F.array(*[F.struct(F.lit(k).alias("rule"), F.lit(label).alias("label"), F.lit(keyword).alias("keyword"),
@@ -205,19 +216,17 @@ def scan(docs: DataFrame, text_col: str = "text") -> DataFrame:
     """``__d`` (the input row as a struct), n_words, base (start words and
     labels of the base phrases) and places (start, stop, label, priority of the
     rules' places that stay; stop exclusive)."""
-    keywords = sorted({k for _, k, _, _ in rules()} | {p.split()[0] for p in BASE})
-    any_key = "(?i)" + "|".join(keywords)
     text = F.coalesce(F.col(f"__d.{text_col}"), F.lit(""))
     rows = docs.select(F.struct("*").alias("__d"))
     rows = rows.withColumn("n_words", F.regexp_count(text, F.lit(WORD)).cast("long"))
     norm = F.concat(F.lit(" "), F.btrim(F.regexp_replace(F.translate(text, UPPER, LOWER), GAP, " ")), F.lit(" "))
-    rows = rows.withColumn("__norm", F.when(text.rlike(any_key), norm))
+    rows = rows.withColumn("__norm", F.when(text.rlike(any_keyword()), norm))
 
     def by_rule(n: Column) -> Column:
         def one(r: Column) -> Column:
             return _places(n, r["expr"], [(-r["priority"]).alias("neg_priority"), r["rule"].alias("rule"),
                                           r["label"].alias("label")])
-        return _swept(F.flatten(F.transform(F.filter(_table(), lambda r: F.contains(n, r["keyword"])), one)))
+        return _swept(F.flatten(F.transform(F.filter(_table(), lambda r: F.contains(n, F.concat(F.lit(" "), r["keyword"]))), one)))
 
     base = F.flatten(F.array(*[
         _places(F.col("__norm"), F.lit(f"(?<= ){phrase}(?= )"),
