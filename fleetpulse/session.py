@@ -65,8 +65,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or configured
 
 
+def _scratch_root(spark: SparkSession) -> str:
+    """This application's folder under the shared checkpoint root."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/fleetpulse/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder under the shared checkpoint root, for data a job
     writes and reads back (staged tables, stream sources, sink outputs)."""
-    root = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{root}/fleetpulse/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_scratch_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Delete everything this application staged. Lazy results that read staged
+    tables must be written first."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_scratch_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -235,3 +235,9 @@ def test_envelope_row_flags_and_long_form(spark):
     assert long.count() == 45
     r = long.filter("equipment_type = 'excavator' AND metric = 'rpm'").first()
     assert (r.lo, r.hi) == (600.0, 1800.0)
+
+
+def test_scratch_folders_are_unique_and_shared(spark):
+    a, b = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert a != b and a.startswith(spark.sparkContext.getCheckpointDir().rstrip("/"))
+    assert spark.sparkContext.applicationId in a
