@@ -20,7 +20,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     move to its smallest neighbour (or itself); small star: its smaller
     neighbours and itself do."""
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v"))) if large else edges
-    low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m"))
+    # staged, so that the join below has a shuffle (or a broadcast) of its own
+    # on either side, and AQE can split the edges of a vertex with very many
+    low = stage(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("m", "u").alias("m")), "components-low")
     moved = both.join(low, "u")
     if large:
         out = moved.filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
