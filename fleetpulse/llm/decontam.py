@@ -108,6 +108,8 @@ class Index:
         best segment on the diagonal, if it is long and equal enough."""
         ids = self.items[item]
         a, b = max(0, -offset), min(len(ids), len(doc) - offset)
+        if b <= a:  # the diagonal passes the document by
+            return None
         equal = doc[offset + a:offset + b] == ids[a:b]
         if equal.sum() < min(MIN_MATCHES, -(-len(ids) * 4 // 5)):
             return None

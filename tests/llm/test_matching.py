@@ -257,3 +257,17 @@ def test_blocks_of_the_benchmark_give_the_same(spark, monkeypatch):
     monkeypatch.setattr(decontam, "BLOCK_TOKENS", 50)
     assert sorted(decontam.leaks(docs, bench).collect()) == whole and len(whole) == 30
     assert [x.doc_id for x in decontam.drop_leaked(docs, bench).collect()] == [99]
+
+
+def test_a_document_that_starts_inside_an_item(spark):
+    """The item would start in the gap before the document, or in the one before that."""
+    item = [f"q{k}" for k in range(20)]
+    for cut in range(1, 8):
+        texts = [" ".join(f"p{k}" for k in range(10)), " ".join(item[cut:]), None, " ".join(item[cut:]) + " more", "end"]
+        index = decontam.Index([("i", [w.encode() for w in item])])
+        found = [(d, seg) for d, _, seg in index.search([t.encode() if t else t for t in texts])]
+        assert found == [(d, (20 - cut, 20 - cut, 0, cut)) for d in (1, 3)]
+    docs = spark.createDataFrame([row(k, t) for k, t in enumerate(texts)], SCHEMA).coalesce(1)
+    bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
+    assert sorted(x.doc_id for x in decontam.leaks(docs, bench).collect()) == [1, 3]
+    assert sorted(x.doc_id for x in decontam.drop_leaked(docs, bench).collect()) == [0, 2, 4]
