@@ -1,13 +1,16 @@
 """Benchmark decontamination by spaced seeds.
 
 Tokens are runs of letters and digits, A-Z lower-cased (bytes of other scripts
-count as letters). A seed is a fixed mask over consecutive tokens that hashes
-the positions marked 1 and ignores the others, so a substituted token at an
-ignored position leaves the hash unchanged; three masks complement each other.
-Seeds of the documents are joined to the seeds of the benchmark. Around every
-hit, the document and the item are compared token by token along the hit's
-diagonal: the best segment (match +1, substitution -2) must hold at least
-``MIN_MATCHES`` equal tokens, or 80 % of a shorter item, and be 80 % equal.
+count as letters). A document leaks an item if some segment of one diagonal
+(substitutions only) holds at least ``MIN_MATCHES`` equal tokens, or 80 % of a
+shorter item, and is 80 % equal. A seed is a fixed mask over consecutive tokens
+that hashes the positions marked 1 and ignores the others, so a substituted
+token at an ignored position leaves the hash unchanged. The masks of an item's
+length are chosen so that every such segment holds one of its seeds, wherever
+the substitutions are. Seeds of the documents are joined to the seeds of the
+benchmark, and the document and the item are compared token by token along the
+diagonal of every hit. The segment reported has the most equal tokens of all
+that are 80 % equal, without substitutions at its ends.
 
 Scale: the benchmark is the stated query set. It is read in blocks of at most
 ``BLOCK_TOKENS`` tokens; a block's index (documented bound, about 100 bytes a
@@ -17,8 +20,7 @@ are worked on in chunks of bounded size; a long text is never cut.
 
 Defined results: NULL and empty texts match nothing, and NULL or empty items
 too; items of fewer than ``MIN_ITEM`` tokens cannot tell a leak and are not
-searched; items shorter than a mask are searched as a whole; repeated items
-are reported each, repeated rows too; an empty benchmark or table gives no rows.
+searched; repeated items reported each, repeated rows too; an empty benchmark or table gives no rows.
 """
 
 from __future__ import annotations
@@ -34,13 +36,18 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .common import stage
 
-#: Fixed masks: 1 is hashed, 0 is ignored.
-MASKS = ("111010011", "1100101011", "11011000101")
+#: Fixed masks: 1 is hashed, 0 is ignored. Items of a length in SHORT_MASKS
+#: have masks of their own.
+MASKS = ("11111", "110111")
+SHORT_MASKS = {5: ("1111", "10111", "11011", "11101"), 6: ("1111", "11011"), 7: (*MASKS, "111011"),
+               10: (*MASKS, "11001011"), 11: (*MASKS, "11001011")}
 MIN_MATCHES = 12
 MIN_IDENTITY = 0.8
 MIN_ITEM = 5
 BLOCK_TOKENS = 500_000
 CHUNK_BYTES = 8_000_000
+#: Token pairs compared at a time when hits are counted.
+CELLS = 2_000_000
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
                  for c in range(256))
@@ -79,8 +86,7 @@ class Index:
                       for _, ws in items]
         found: dict[str, list] = {}
         for k, ids in enumerate(self.items):
-            fitting = [m for m in MASKS if len(m) <= len(ids)] or ["1" * len(ids)]
-            for m in fitting:
+            for m in SHORT_MASKS.get(len(ids), MASKS):
                 at, key = _seeds(ids, m)
                 found.setdefault(m, []).append((key, np.full(len(at), k), at))
         self.seeds = {}
@@ -88,6 +94,10 @@ class Index:
             key, item, at = (np.concatenate(x) for x in zip(*parts))
             order = np.argsort(key, kind="stable")
             self.seeds[m] = (key[order], item[order], at[order])
+        self.lens = np.array([len(ids) for ids in self.items], np.int64)
+        self.needs = np.minimum(MIN_MATCHES, -(-self.lens * 4 // 5))
+        self.starts = np.cumsum(self.lens) - self.lens
+        self.flat = np.concatenate([np.empty(0, np.int64), *self.items])
 
     def hits(self, ids: np.ndarray) -> np.ndarray:
         """Distinct (item, offset of the item's start in ``ids``)."""
@@ -103,6 +113,24 @@ class Index:
                 out.append(np.stack([item[row], np.repeat(pos, n) - at[row]], 1))
         return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
 
+    def enough(self, ids: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """The hits whose whole diagonals hold the equal tokens a leak needs."""
+        out, first = [], 0
+        ends = np.cumsum(self.lens[hits[:, 0]])
+        while first < len(hits):
+            done = ends[first - 1] if first else 0
+            last = max(first + 1, int(np.searchsorted(ends, done + CELLS, "right")))
+            part = hits[first:last]
+            n = self.lens[part[:, 0]]
+            rows = np.cumsum(n) - n
+            k = np.arange(n.sum()) - np.repeat(rows, n)
+            at = np.repeat(part[:, 1], n) + k
+            equal = ids[np.clip(at, 0, len(ids) - 1)] == self.flat[np.repeat(self.starts[part[:, 0]], n) + k]
+            equal &= (at >= 0) & (at < len(ids))
+            out.append(part[np.add.reduceat(equal.astype(np.int64), rows) >= self.needs[part[:, 0]]])
+            first = last
+        return np.concatenate(out) if out else hits
+
     def verify(self, doc: np.ndarray, item: int, offset: int) -> tuple[int, int, int, int] | None:
         """(equal tokens, segment length, start in doc, start in item) of the
         best segment on the diagonal, if it is long and equal enough."""
@@ -111,16 +139,22 @@ class Index:
         if b <= a:  # the diagonal passes the document by
             return None
         equal = doc[offset + a:offset + b] == ids[a:b]
-        if equal.sum() < min(MIN_MATCHES, -(-len(ids) * 4 // 5)):
+        if equal.sum() < self.needs[item]:
             return None
-        score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -2))])
-        low = np.minimum.accumulate(score)
-        end = int(np.argmax(score - low))
-        start = int(np.flatnonzero(score[:end + 1] == low[end])[-1])
-        same = int(equal[start:end].sum())
-        if same < min(MIN_MATCHES, -(-len(ids) * 4 // 5)) or same < MIN_IDENTITY * (end - start):
+        # match +1, substitution -4: a segment is 80 % equal where its sum is not
+        # negative; to every end belongs the earliest start that is no higher
+        score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -4))])
+        count = np.concatenate([[0], np.cumsum(equal)])
+        start = np.searchsorted(-np.minimum.accumulate(score), -score, "left")
+        same = count - count[start]
+        most = int(same.max())
+        if most < self.needs[item]:
             return None
-        return same, end - start, offset + a + start, a + start
+        places = np.flatnonzero(equal)
+        ends = np.flatnonzero(same == most)
+        first, last = places[count[start[ends]]], places[count[ends] - 1]
+        k = int(np.argmin(last - first))
+        return most, int(last[k] - first[k]) + 1, offset + a + int(first[k]), a + int(first[k])
 
     def search(self, texts: list[bytes | None]) -> Iterator[tuple[int, int, tuple[int, int, int, int]]]:
         """(text, item, best segment) for every verified pair."""
@@ -135,7 +169,7 @@ class Index:
             starts = np.concatenate([[0], np.cumsum([len(d) + len(gap) for d in docs])]).astype(np.int64)
             flat = np.concatenate([x for d in docs for x in (d, gap)])
             best: dict[tuple[int, int], tuple] = {}
-            hits = self.hits(flat)
+            hits = self.enough(flat, self.hits(flat))
             # an offset may lie before its document's start; the hit itself lies inside
             for item, offset in hits.tolist():
                 for d in range(max(0, int(np.searchsorted(starts, offset, "right")) - 1), len(docs)):

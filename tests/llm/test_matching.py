@@ -1,5 +1,6 @@
 """Substring dedup, near duplicates and decontamination against brute force."""
 
+import math
 import random
 from collections import Counter, defaultdict
 from itertools import combinations
@@ -271,3 +272,68 @@ def test_a_document_that_starts_inside_an_item(spark):
     bench = spark.createDataFrame([(1, " ".join(item))], "item_id long, text string")
     assert sorted(x.doc_id for x in decontam.leaks(docs, bench).collect()) == [1, 3]
     assert sorted(x.doc_id for x in decontam.drop_leaked(docs, bench).collect()) == [0, 2, 4]
+
+
+def plain_leak(doc, item):
+    """Whether a segment of a diagonal has the equal tokens at 80 %, and the most equal tokens of one."""
+    need, best = min(12, math.ceil(len(item) * 0.8 - 1e-9)), 0
+    for offset in range(-len(item), len(doc)):
+        eq = [doc[offset + k] == x if 0 <= offset + k < len(doc) else None for k, x in enumerate(item)]
+        eq = [e for e in eq if e is not None]
+        for i in range(len(eq)):
+            same = 0
+            for j in range(i, len(eq)):
+                same += eq[j]
+                if same * 5 >= (j - i + 1) * 4:
+                    best = max(best, same)
+    return best if best >= need else 0
+
+
+def found_leak(doc, item):
+    index = decontam.Index([(0, [w.encode() for w in item])])
+    return next((seg for _, _, seg in index.search([b"", " ".join(doc).encode()])), (0,))
+
+
+def test_leaks_by_definition():
+    item = [f"q{k}" for k in range(46)]
+    doc = [f"x{k}" if k in (12, 13, 14, 15, 16, 29, 30, 31, 32, 33) else w for k, w in enumerate(item)]
+    assert found_leak(doc, item) == (24, 29, 0, 0) and plain_leak(doc, item) == 24          # all three runs: 78 %
+    r = random.Random(12)
+    hits = 0
+    for k in range(300):
+        item = [f"q{j}" for j in range(r.choice([5, 7, 11, 15, 20, 40, 60]))]
+        doc = [f"x{j}" if r.random() < 0.22 else w for j, w in enumerate(item)]
+        doc = doc[r.randint(0, 3):len(doc) - r.randint(0, 2)] + ["y"] * r.randint(0, 4)
+        seg = found_leak(doc, item)
+        assert seg[0] == plain_leak(doc, item), (doc, seg)
+        if seg[0]:
+            n, size, d, i = seg
+            assert n * 5 >= size * 4 and n == sum(doc[d + x] == item[i + x] for x in range(size))
+            assert doc[d] == item[i] and doc[d + size - 1] == item[i + size - 1]
+            hits += 1
+    assert 100 < hits < 290
+
+
+@pytest.mark.parametrize("size", range(5, 16))
+def test_seeds_find_every_place_of_substitutions(size):
+    item = [f"q{k}" for k in range(size)]
+    need = min(12, math.ceil(size * 0.8 - 1e-9))
+    for places in combinations(range(size), size - need):
+        doc = ["x" if k in places else w for k, w in enumerate(item)]
+        assert found_leak(doc, item)[0] == need, places
+
+
+def test_seeds_of_long_items_miss_no_segment():
+    """The fewest substitutions of a string that no mask hits, by its length:
+    always more than a leak may have."""
+    masks = [int(m, 2) for m in decontam.MASKS]
+    fewest = {0: 0}
+    for size in range(1, 120):
+        step = {}
+        for state, n in fewest.items():
+            for bit in (0, 1):
+                s = (state << 1 | bit) & 63
+                if not any(s & m == m for m in masks):
+                    step[s] = min(step.get(s, size), n + 1 - bit)
+        fewest = step
+        assert size < 12 or min(fewest.values()) > min(size - 12, size // 5)
