@@ -8,22 +8,24 @@ repeated windows. The others become a vector of four transformed statistics,
 in thousandths: log of the mean word length, log(1 + 10 * symbols per word),
 share of words in repeated windows, share of capitals. For each (language,
 source) the minimum covariance determinant estimate of location and scatter is
-approached by concentration steps from the coordinate-wise median and quartile
-range: a step takes the ``H_SHARE`` of the vectors that lie nearest by the last
-estimate and re-estimates from them; a reweighted estimate from everything
+approached by concentration steps from the coordinate-wise median and median
+absolute deviation: a step takes the ``H_SHARE`` (half) of the vectors that lie
+nearest by the last estimate and re-estimates from them; a reweighted estimate from everything
 within the 97.5 % point follows. A text whose squared Mahalanobis distance is
 above ``CUTOFF`` is rejected.
 
 Vectors are integers, so sums over a subset are exact and reruns agree to the
 last digit. "Nearest" is decided on distance buckets of 2 % width: whole
-buckets are taken until they hold the share. The scatter's diagonal gets
+buckets are taken until they hold the share; a last bucket of more than
+``BORDER`` of the group (copies of one text) counts with a weight, so that the
+share is met. The scatter's diagonal gets
 ``FLOORS`` squared (a ridge): statistics that are constant in most texts would
 otherwise have no spread, and any deviation would reject.
 
 Scale: texts are read once, and what later steps need is staged (four numbers a
 text). A step is one partial aggregation to (language, source, bucket), at most
 2001 buckets a group, so a hot source is combined before the shuffle. The start's
-quartiles are exact percentiles of integers of at most about 15,000 values. Estimates
+medians are exact percentiles of integers (or halves) of at most about 15,000 values. Estimates
 are one row a group, staged and broadcast only below Spark's threshold.
 
 Defined results: NULL or empty text has zero words and fails the base rule;
@@ -43,7 +45,9 @@ from .common import SPACE_CHARS, let, stage, words
 MIN_WORDS = 50
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "".join(map(chr, [*range(0x41, 0x5B), *range(0xC0, 0xD7), *range(0xD8, 0xDF)]))
-H_SHARE = 0.75
+H_SHARE = 0.5
+#: A last bucket above this share of its group is weighted.
+BORDER = 0.125
 STEPS = 4
 #: Standard deviations (thousandths) added to the scatter's diagonal.
 FLOORS = (50.0, 100.0, 80.0, 15.0)
@@ -51,8 +55,8 @@ FLOORS = (50.0, 100.0, 80.0, 15.0)
 REWEIGHT = 11.143
 CUTOFF = 28.47
 #: share / P(chi-square with 6 degrees <= its 4-degree quantile): makes the
-#: scatter of a trimmed normal sample consistent (for 75 % and for 97.5 %).
-CONSISTENCY = {H_SHARE: 1.485, 0.975: 1.064}
+#: scatter of a trimmed normal sample consistent (for 50 % and for 97.5 %).
+CONSISTENCY = {H_SHARE: 2.109, 0.975: 1.064}
 _D = range(4)
 _PAIRS = [(i, j) for i in _D for j in range(i + 1)]
 
@@ -106,18 +110,22 @@ def _factor(est: DataFrame) -> DataFrame:
     return stage(est.select(*keep), "outlier-estimates")
 
 
+def _with_estimate(rows: DataFrame, est: DataFrame) -> DataFrame:
+    e = est.withColumnsRenamed({"g_lang": "e_lang", "g_source": "e_source"})
+    return rows.join(e, F.col("g_lang").eqNullSafe(F.col("e_lang")) & F.col("g_source").eqNullSafe(F.col("e_source")),
+                     "left").drop("e_lang", "e_source")
+
+
 def _with_distance(rows: DataFrame, est: DataFrame) -> DataFrame:
     """Adds d2, the squared Mahalanobis distance by the group's estimate."""
-    e = est.withColumnsRenamed({"g_lang": "e_lang", "g_source": "e_source"})
-    out = rows.join(e, F.col("g_lang").eqNullSafe(F.col("e_lang")) & F.col("g_source").eqNullSafe(F.col("e_source")),
-                    "left")
+    out = _with_estimate(rows, est)
     for i in _D:  # solve L y = x - m from the top
         y = F.col(f"x{i}") - F.col(f"m{i}")
         for k in range(i):
             y = y - F.col(f"l{i}{k}") * F.col(f"y{k}")
         out = out.withColumn(f"y{i}", y / F.col(f"l{i}{i}"))
     out = out.withColumn("d2", sum((F.col(f"y{i}") * F.col(f"y{i}") for i in _D), F.lit(0.0)))
-    return out.drop(*e.columns, *[f"y{i}" for i in _D])
+    return out.drop(*est.columns[2:], *[f"y{i}" for i in _D])
 
 
 def _estimate(rows: DataFrame, est: DataFrame, share: float | None) -> DataFrame:
@@ -136,9 +144,15 @@ def _estimate(rows: DataFrame, est: DataFrame, share: float | None) -> DataFrame
         sums = (sums.withColumn("before", F.coalesce(F.sum("n").over(before), F.lit(0)))
                 .withColumn("all", F.sum("n").over(group))
                 .filter(F.col("before") < F.col("all") * share))
+        over = (F.col("before") + F.col("n") > F.col("all") * share) & (F.col("n") > F.col("all") * BORDER)
+        sums = sums.withColumn("weight", F.when(over, (F.col("all") * share - F.col("before")) / F.col("n")))
+    else:
+        sums = sums.withColumn("weight", F.lit(None).cast("double"))
+    # whole buckets as exact sums, plus the one bucket that has a weight
+    total = lambda c: (F.coalesce(F.sum(F.when(F.col("weight").isNull(), F.col(c))), F.lit(0))
+                       + F.coalesce(F.max(F.col("weight") * F.col(c)), F.lit(0.0))).alias(c)
     tot = sums.groupBy("g_lang", "g_source").agg(
-        F.sum("n").alias("n"), *[F.sum(f"s{i}").alias(f"s{i}") for i in _D],
-        *[F.sum(f"q{i}{j}").alias(f"q{i}{j}") for i, j in _PAIRS])
+        total("n"), *[total(f"s{i}") for i in _D], *[total(f"q{i}{j}") for i, j in _PAIRS])
     mean = {f"m{i}": F.col(f"s{i}") / F.col("n") for i in _D}
     c = CONSISTENCY[share or 0.975]
     cov = {f"c{i}{j}": (F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")) * c
@@ -149,12 +163,13 @@ def _estimate(rows: DataFrame, est: DataFrame, share: float | None) -> DataFrame
 def fit(rows: DataFrame, steps: int = STEPS) -> DataFrame:
     """One estimate per (g_lang, g_source) from the vectors x0..x3."""
     rows = rows.filter("NOT base_failed").select("g_lang", "g_source", *[f"x{i}" for i in _D])
-    quartiles = rows.groupBy("g_lang", "g_source").agg(
-        *[F.percentile(f"x{i}", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p{i}") for i in _D])
-    est = quartiles.withColumns({f"m{i}": F.get(f"p{i}", F.lit(1)) for i in _D})
+    medians = stage(rows.groupBy("g_lang", "g_source").agg(
+        *[F.percentile(f"x{i}", F.lit(0.5)).alias(f"m{i}") for i in _D]), "outlier-medians")
+    est = _with_estimate(rows, medians).groupBy(*medians.columns).agg(
+        *[F.percentile(F.abs(F.col(f"x{i}") - F.col(f"m{i}")), F.lit(0.5)).alias(f"a{i}") for i in _D])
     est = _factor(est.withColumns({
-        f"c{i}{j}": F.pow((F.get(f"p{i}", F.lit(2)) - F.get(f"p{i}", F.lit(0))) / 1.349, F.lit(2)) + FLOORS[i] ** 2
-        if i == j else F.lit(0.0) for i, j in _PAIRS}))
+        f"c{i}{j}": F.pow(F.col(f"a{i}") * 1.4826, F.lit(2)) + FLOORS[i] ** 2 if i == j else F.lit(0.0)
+        for i, j in _PAIRS}))
     for _ in range(steps):
         est = _estimate(rows, est, H_SHARE)
     return _estimate(rows, est, None)

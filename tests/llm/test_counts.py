@@ -102,6 +102,23 @@ def test_outliers_match_concentration_steps(spark, docs):
     assert by_id[205] and by_id[0] and not by_id[206] and not by_id[200] and not by_id[203]
 
 
+@pytest.mark.parametrize("junk", ["copies", "one statistic", "varied"])
+def test_a_third_of_junk_is_rejected(spark, junk):
+    r = np.random.default_rng(7)
+    n, m, sd = 900, 306, np.array([60.0, 150.0, 30.0, 8.0])
+    x = r.normal(0, 1, (n, 4)) * sd
+    if junk == "copies":
+        x[:m] = r.uniform(7, 46, 4) * sd
+    elif junk == "one statistic":
+        x[:m] = [0, 30 * math.hypot(sd[1], outliers.FLOORS[1]), 0, 0]
+    else:
+        x[:m] = r.uniform(7, 46, (m, 4)) * sd
+    rows = [("en", "a", False, k < m, *map(int, np.round(v))) for k, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "g_lang string, g_source string, base_failed boolean, junk boolean, x0 long, x1 long, x2 long, x3 long")
+    out = outliers._with_distance(df, outliers.fit(df)).filter(F.col("d2") <= outliers.CUTOFF).groupBy("junk").count().collect()
+    assert {x.junk: x["count"] for x in out} == {False: n - m}
+
+
 def test_keep_good_returns_the_input_columns(spark, docs):
     df = spark.createDataFrame(docs, SCHEMA)
     kept = outliers.keep_good(df)
