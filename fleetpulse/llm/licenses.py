@@ -3,9 +3,10 @@
 A text is lower-cased (A-Z) and reduced to its words (letters, digits and other
 scripts) with one space between them. Every rule is a hand-written regular
 expression over these words with a keyword, a label, a priority and a
-confidence. A rule is tried only on texts with a word that starts with its
-keyword; texts without
-any keyword are not normalised at all. All places of all rules are found, and a
+confidence. A keyword is one or more words (the last may be cut short) that
+stand in everything the expression accepts; names with alternatives are a rule
+for every keyword. A rule is tried only on texts that hold its keyword at the
+start of a word; texts without any keyword are not normalised at all. All places of all rules are found, and a
 place is suppressed if a place of higher priority, or of the same priority and
 an earlier rule, contains its words. The labels of the places that stay are the
 method's; base phrases are counted on their own and never suppressed.
@@ -43,23 +44,37 @@ _V = r"(?: version| v)?"
 _LATER = r"(?: or(?: at your option)?(?: any)? later(?: version)?| plus)"
 _CC = r"(?:creative commons|cc)"
 
-#: label, keyword, expression of the name, SPDX words (or None).
+
+
+def _gpl(before: str, short: str, version: str) -> dict[str, str]:
+    """The long and the short name, by keyword."""
+    return {f"{before}general public": rf"(?:gnu )?{before}general public license{_V}{version}",
+            short: rf"(?:gnu )?{short}{_V}{version}"}
+
+
+def _clauses(digit: str, word: str, *names: str) -> dict[str, str]:
+    return {**{n: f"{n} license" for n in names},
+            **{f"{n} clause": rf"(?:bsd )?{n} clause(?: bsd)? license" for n in (digit, word)}}
+
+
+#: label, keyword, expression of the name (or a dict of both), SPDX words (or None).
 FAMILIES = [
-    ("gpl-2.0", "gnu", rf"(?:gnu )?(?:general public license|gpl){_V} ?2(?: 0)?", "gpl 2 0"),
-    ("gpl-3.0", "gnu", rf"(?:gnu )?(?:general public license|gpl){_V} ?3(?: 0)?", "gpl 3 0"),
-    ("gpl-2.0-or-later", "gnu", rf"(?:gnu )?(?:general public license|gpl){_V} ?2(?: 0)?{_LATER}", "gpl 2 0 or later"),
-    ("gpl-3.0-or-later", "gnu", rf"(?:gnu )?(?:general public license|gpl){_V} ?3(?: 0)?{_LATER}", "gpl 3 0 or later"),
-    ("lgpl-2.1", "lesser", rf"(?:gnu )?(?:lesser general public license|lgpl){_V} ?2 1", "lgpl 2 1"),
-    ("lgpl-3.0", "lesser", rf"(?:gnu )?(?:lesser general public license|lgpl){_V} ?3(?: 0)?", "lgpl 3 0"),
-    ("agpl-3.0", "affero", rf"(?:gnu )?(?:affero general public license|agpl){_V} ?3(?: 0)?", "agpl 3 0"),
-    ("gfdl-1.3", "documentation", rf"(?:gnu )?(?:free documentation license|gfdl){_V} ?1 3", "gfdl 1 3"),
+    ("gpl-2.0", _gpl("", "gpl", " ?2(?: 0)?"), "gpl 2 0"),
+    ("gpl-3.0", _gpl("", "gpl", " ?3(?: 0)?"), "gpl 3 0"),
+    ("gpl-2.0-or-later", _gpl("", "gpl", rf" ?2(?: 0)?{_LATER}"), "gpl 2 0 or later"),
+    ("gpl-3.0-or-later", _gpl("", "gpl", rf" ?3(?: 0)?{_LATER}"), "gpl 3 0 or later"),
+    ("lgpl-2.1", _gpl("lesser ", "lgpl", " ?2 1"), "lgpl 2 1"),
+    ("lgpl-3.0", _gpl("lesser ", "lgpl", " ?3(?: 0)?"), "lgpl 3 0"),
+    ("agpl-3.0", _gpl("affero ", "agpl", " ?3(?: 0)?"), "agpl 3 0"),
+    ("gfdl-1.3", {"free documentation": rf"(?:gnu )?free documentation license{_V} ?1 3", "gfdl": rf"(?:gnu )?gfdl{_V} ?1 3"},
+     "gfdl 1 3"),
     ("apache-2.0", "apache", rf"apache (?:software )?license{_V} ?2(?: 0)?", "apache 2 0"),
     ("apache-1.1", "apache", rf"apache (?:software )?license{_V} ?1 1", "apache 1 1"),
-    ("mit", "mit", r"(?:mit|expat) licen[sc]e", "mit"),
+    ("mit", {"mit": r"mit licen[sc]e", "expat": r"expat licen[sc]e"}, "mit"),
     ("mit-0", "mit", r"mit no attribution(?: license)?", "mit 0"),
-    ("bsd-2-clause", "bsd", r"(?:simplified bsd|freebsd|(?:bsd )?(?:2|two) clause(?: bsd)?) license", "bsd 2 clause"),
-    ("bsd-3-clause", "bsd", r"(?:new bsd|modified bsd|revised bsd|(?:bsd )?(?:3|three) clause(?: bsd)?) license", "bsd 3 clause"),
-    ("bsd-4-clause", "bsd", r"(?:original bsd|(?:bsd )?(?:4|four) clause(?: bsd)?) license", "bsd 4 clause"),
+    ("bsd-2-clause", _clauses("2", "two", "simplified bsd", "freebsd"), "bsd 2 clause"),
+    ("bsd-3-clause", _clauses("3", "three", "new bsd", "modified bsd", "revised bsd"), "bsd 3 clause"),
+    ("bsd-4-clause", _clauses("4", "four", "original bsd"), "bsd 4 clause"),
     ("isc", "isc", r"isc license", "isc"),
     ("mpl-2.0", "mozilla", rf"mozilla public license{_V} ?2(?: 0)?", "mpl 2 0"),
     ("mpl-1.1", "mozilla", rf"mozilla public license{_V} ?1 1", "mpl 1 1"),
@@ -106,7 +121,7 @@ TEXTS = [
     ("agpl", "redistribute", r"you can redistribute it and or modify it under the terms of the gnu affero general public license", NOTICE),
     ("mpl-2.0", "mozilla", r"this source code form is subject to the terms of the mozilla public license v 2 0", NOTICE),
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain", NOTICE),
-    ("apache-2.0", "apache", r"you may not use this file except in compliance with the license", NOTICE),
+    ("apache-2.0", "compliance", r"you may not use this file except in compliance with the license", NOTICE),
     ("zlib", "misrepresented", r"the origin of this software must not be misrepresented", NOTICE),
     ("public-domain", "domain", r"(?:released|dedicated|placed) (?:in)?to the public domain", NOTICE),
     ("public-domain", "domain", r"public domain", HINT),
@@ -132,14 +147,12 @@ def rules() -> list[tuple[str, str, str, int]]:
     """(label, keyword, expression, priority) in order: for every family its
     tag, its grant and its name; Creative Commons by terms and version."""
     out = []
-    for label, keyword, name, spdx in FAMILIES:
+    for label, *names, spdx in FAMILIES:
+        names = names[0] if len(names) == 1 else {names[0]: names[1]}
         if spdx:
             out.append((label, "spdx", rf"spdx license identifier {spdx}(?: only)?", TAG))
-        out.append((label, keyword, rf"{_GRANT} {name}", NOTICE))
-        out.append((label, keyword, name, NAME))
-        short = {"gnu": "gpl", "lesser": "lgpl", "affero": "agpl"}.get(keyword)
-        if short:
-            out.append((label, short, name, NAME))
+        out += [(label, keyword, rf"{_GRANT} {name}", NOTICE) for keyword, name in names.items()]
+        out += [(label, keyword, name, NAME) for keyword, name in names.items()]
     for part, short, long in CC_TERMS:
         for version in CC_VERSIONS:
             label = f"cc-{part}-{version.replace(' ', '.')}"
@@ -155,9 +168,10 @@ def rules() -> list[tuple[str, str, str, int]]:
 def any_keyword() -> str:
     """One expression for any keyword at the start of a word, grouped by first
     letters, so that most places of a text fail on one character."""
+    keys = {k for _, k, _, _ in rules()} | {p.split()[0] for p in BASE}
     by_letter: dict[str, list[str]] = {}
-    for k in sorted({k for _, k, _, _ in rules()} | {p.split()[0] for p in BASE}):
-        by_letter.setdefault(k[0], []).append(k[1:])
+    for k in sorted(keys):
+        by_letter.setdefault(k[0], []).append(k[1:].replace(" ", GAP))
     body = "|".join(f"{a}(?:{'|'.join(rest)})" for a, rest in by_letter.items())
     return f"(?i)(?<![0-9A-Za-z\\x80-\\x{{10FFFF}}])(?:{body})"
 

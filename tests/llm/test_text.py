@@ -165,6 +165,54 @@ def test_the_gate_loses_no_place(spark):
             assert keyword not in text or f" {keyword}" in text and gate.search(text), (expr, text)
 
 
+def every_form(parsed):
+    """Strings that a parsed expression accepts: all alternatives, optional parts
+    with and without, repeats at their least."""
+    from re import _constants as C
+    forms = [""]
+    for op, arg in parsed:
+        if op is C.LITERAL:
+            more = [chr(arg)]
+        elif op is C.ANY:
+            more = ["x"]
+        elif op is C.IN:
+            more = ["1" if k is C.CATEGORY and v is C.CATEGORY_DIGIT else "x" if k is C.CATEGORY else chr(v) for k, v in arg]
+        elif op is C.SUBPATTERN:
+            more = every_form(arg[3])
+        elif op is C.BRANCH:
+            more = [f for branch in arg[1] for f in every_form(branch)]
+        else:
+            assert op in (C.MAX_REPEAT, C.MIN_REPEAT), op
+            low, high, body = arg
+            more = [f * low for f in every_form(body)] + ([f for f in every_form(body)] if low == 0 else [])
+        forms = list(dict.fromkeys(a + b for a in forms for b in more))
+    return forms
+
+
+def test_no_accepted_string_misses_its_keyword():
+    gate = re.compile(licenses.any_keyword().replace(r"\x{10FFFF}", "\U0010ffff"))
+    n = 0
+    for label, keyword, expr, _ in licenses.rules():
+        for form in every_form(re._parser.parse(expr)):
+            assert re.fullmatch(expr, form)
+            assert f" {keyword}" in f" {form} " and gate.search(form.upper().replace(" ", "-\n")), (keyword, form)
+            n += 1
+    assert n > 10_000
+
+
+@pytest.mark.parametrize("part", [1, 2])
+def test_scan_without_a_gate(spark, part):
+    """Names that the keyword of their family is not part of."""
+    want = {"released under the FreeBSD license": "bsd-2-clause", "Expat license": "mit", "two clause license": "bsd-2-clause",
+            "GFDL v1.3": "gfdl-1.3", "General Public License version 3": "gpl-3.0", "LGPL 2.1": "lgpl-2.1", "gnu agpl v3": "agpl-3.0",
+            "You may not use this file except in compliance with the License.": "apache-2.0", "a 4-clause license": "bsd-4-clause",
+            "distributed under GPL-2.0 or later": "gpl-2.0-or-later"}
+    text = (lambda t: t) if part == 1 else lambda t: f"Some words; {t.upper()}!"
+    rows = [(k, text(t), "", "", "") for k, t in enumerate(want)]
+    got = {x["__d"].doc_id: x.labels for x in licenses.labelled(spark.createDataFrame(rows, DOCS)).collect()}
+    assert [got[k] for k in range(len(rows))] == list(want.values())
+
+
 def test_rules_compile_and_hold_their_keyword():
     rules = licenses.rules()
     assert len(rules) > 200
