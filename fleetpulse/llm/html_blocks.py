@@ -6,7 +6,9 @@ features are the tags, classes and ids on its path and its words, all hashed to
 rows of an embedding table, and a few numbers (length, link share, punctuation,
 place, same container as the neighbours). A bidirectional LSTM reads the blocks of the whole page in order
 and labels each as article or not; article blocks are joined by line feeds.
-Scripts, styles, comments and the head are no text and make no blocks.
+Scripts, styles, comments and the head are no text and make no blocks, nor do
+titles, templates, text areas and frames. Formulas (MathML) are inline; objects,
+noscript, drawings and xmp (whose tags are text) are containers like others.
 
 The model is written in numpy and trained by back-propagation on
 ``labelled_pages()``, pages made by rule in many layouts, so every block's label
@@ -19,7 +21,8 @@ most ``BATCH_BLOCKS`` blocks at a time unless one page has more; a page is read
 whole whatever its length.
 
 Defined results: NULL, empty and tag-only pages have the empty text; unclosed
-tags, comments and scripts end with the page; bytes that are no UTF-8 count as
+tags, comments, scripts and styles end with the page, other unclosed elements
+without blocks are passed over; bytes that are no UTF-8 count as
 one replacement character; repeated rows are extracted alike; an empty table
 gives an empty result. Other columns are not carried.
 """
@@ -49,9 +52,12 @@ _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)")
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
-                    "strike strong sub sup time tt u var wbr".split())
+                    "strike strong sub sup time tt u var wbr "
+                    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover "
+                    "mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext "
+                    "mtr munder munderover semantics".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-_RAW = frozenset("script style title textarea template noscript iframe svg math object xmp".split())
+_RAW = frozenset("script style title textarea template iframe xmp".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
            "th": {"td", "th"}, "option": {"option"}}
 _SCOPE = frozenset("ul ol dl table tbody thead select div section article body".split())
@@ -73,6 +79,7 @@ def blocks(page: str) -> list[Block]:
     path: tuple = ()
     links = linked = 0
     pos, n = 0, len(page)
+    unclosed: set[str] = set()
 
     def flush():
         nonlocal linked
@@ -127,8 +134,18 @@ def blocks(page: str) -> list[Block]:
                     break
             continue
         if tag in _RAW and not m[3].endswith("/"):
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
-            pos = end.end() if end else n
+            end = None if tag in unclosed else re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, pos)
+            if end and tag == "xmp":
+                stack.append((tag, ()))
+                add(html_lib.escape(page[pos:end.start()]))
+                flush()
+                stack.pop()
+            if end:
+                pos = end.end()
+            elif tag in ("script", "style"):
+                pos = n
+            else:
+                unclosed.add(tag)
             continue
         if tag in _VOID or m[3].endswith("/"):
             continue

@@ -239,6 +239,17 @@ def test_blocks_of_a_page():
         html_blocks.blocks(odd)
 
 
+def test_text_of_rare_elements_is_kept():
+    texts = lambda page: [b.text for b in html_blocks.blocks(page)]
+    assert texts("<p>so <math><mi>x</mi><mo>=</mo><mfrac><mn>1</mn><mn>2</mn></mfrac></math> holds</p>") == ["so x=12 holds"]
+    assert texts("<p>a</p><xmp>b <i>c</i> &amp;</xmp><p>d</p>") == ["a", "b <i>c</i> &amp;", "d"]
+    assert texts("<object data='x'><p>fallback</p></object><noscript>off</noscript><svg><text>drawn</text></svg>") == ["fallback", "off", "drawn"]
+    assert texts("<textarea>no</textarea><iframe>no</iframe><template><p>no</p></template><p>yes</p>") == ["yes"]
+    for tag in ("object", "noscript", "svg", "math", "xmp", "iframe", "textarea", "template", "title"):
+        assert texts(f"<p>a</p><{tag}><p>b</p><{tag}><p>c</p>") == ["a", "b", "c"], tag
+    assert texts("<p>a</p><script>x<p>b</p>") == ["a"] == texts("<p>a</p><style>x<p>b</p>")
+
+
 @pytest.fixture(scope="module")
 def labeller():
     return html_blocks.default_model()
