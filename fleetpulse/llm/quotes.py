@@ -1,10 +1,11 @@
 """Chat formatting by quotation linking (DataFrame functions only).
 
 A line's quote level is the number of > in its leading run of >, spaces and
-tabs. Quoted passages are every quoted line and all lines of one level joined;
-they are normalised (white space collapsed, trimmed, lower-cased), hashed and
-joined to the lines and whole texts that messages of the same conversation
-wrote themselves. A passage's original is the earliest message that wrote it,
+tabs. Quoted passages are every quoted line, every run of consecutive lines of
+one level, every paragraph of a run (lines between blank ones) and all lines of
+one level joined; they are normalised (white space collapsed, trimmed,
+lower-cased), hashed and joined to the lines, runs, paragraphs and whole texts
+that messages of the same conversation wrote themselves. A passage's original is the earliest message that wrote it,
 and must be earlier than the quoting one. A message replies to the original
 with the lowest quote level, then the most passages, then the latest turn. A
 thread is a message that replies to nothing and all that reply to it, directly
@@ -32,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import SPACE, stage
+from .common import SPACE, let, stage
 
 PART = 512
 
@@ -41,6 +42,21 @@ def _norm(s: Column) -> Column:
     return F.lower(F.btrim(F.regexp_replace(s, SPACE, " ")))
 
 
+def _runs(lines: Column, paragraphs: bool) -> Column:
+    """struct(level, s) of every run of consecutive lines of one level, cut
+    after blank lines for paragraphs; blank lines at the ends do not count."""
+    def starts(x, i):
+        before = F.get(lines, i - 1)
+        cut = (i == 0) | (before["level"] != x["level"])
+        return cut | (_norm(before["body"]) == "") if paragraphs else cut
+
+    at = F.filter(F.transform(lines, lambda x, i: F.when(F.coalesce(starts(x, i), F.lit(True)), i)), lambda i: i.isNotNull())
+    return let(at, lambda at: F.transform(at, lambda a, k: F.struct(
+        F.get(lines, a)["level"].alias("level"),
+        _norm(F.array_join(F.transform(F.slice(lines, a + 1, F.coalesce(F.get(at, k + 1), F.size(lines)) - a),
+                                       lambda x: x["body"]), " ")).alias("s"))))
+
+
 def parse(messages: DataFrame) -> DataFrame:
     """(conv_id, turn, role, own, n_quoted, own_keys, quoted): the text without
     quoted lines, hashes of what the message wrote, and struct(level, key) of
@@ -55,13 +71,18 @@ def parse(messages: DataFrame) -> DataFrame:
     own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["line"]), "\n")
     rows = rows.withColumn("own", own).withColumn("cited", F.filter("lines", lambda x: x["level"] > 0))
     some = lambda keys: F.transform(F.filter(keys, lambda s: s != ""), lambda s: F.xxhash64(s))
+    # the body of an own line has no leading blanks: the same when normalised
+    runs = F.concat(_runs(F.col("lines"), False), _runs(F.col("lines"), True))
+    rows = rows.withColumn("runs", F.when(F.size("lines") > 1, F.array_distinct(runs)).otherwise(F.array().cast("array<struct<level:int,s:string>>")))
     own_keys = F.array_distinct(some(F.concat(
-        F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: _norm(x["line"])), F.array(_norm(F.col("own"))))))
+        F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: _norm(x["line"])),
+        F.transform(F.filter("runs", lambda x: x["level"] == 0), lambda x: x["s"]), F.array(_norm(F.col("own"))))))
     levels = F.array_distinct(F.transform("cited", lambda x: x["level"]))
     single = F.transform("cited", lambda x: F.struct(x["level"].alias("level"), _norm(x["body"]).alias("s")))
     whole = F.transform(levels, lambda v: F.struct(v.alias("level"), _norm(F.array_join(F.transform(
         F.filter("cited", lambda x: x["level"] == v), lambda x: x["body"]), " ")).alias("s")))
-    quoted = F.array_distinct(F.transform(F.filter(F.concat(single, whole), lambda x: x["s"] != ""), lambda x: F.struct(
+    quoted = F.array_distinct(F.transform(F.filter(F.concat(
+        single, F.filter("runs", lambda x: x["level"] > 0), whole), lambda x: x["s"] != ""), lambda x: F.struct(
         x["level"].alias("level"), F.xxhash64(x["s"]).alias("key"))))
     return rows.select("conv_id", "turn", "role", "own", F.size("cited").cast("long").alias("n_quoted"),
                        own_keys.alias("own_keys"), quoted.alias("quoted"))

@@ -100,6 +100,18 @@ def test_conversations_in_reply_order(spark, messages):
     assert quotes.conversations(spark.createDataFrame([], MESSAGES)).count() == 0
 
 
+def test_interleaved_and_rewrapped_quotes(spark):
+    first = "intro here\n\nalpha beta gamma delta epsilon zeta\n\neta theta iota kappa\n\nlast words"
+    texts = [(1, 0, first),
+             (1, 1, "> alpha beta gamma\n> delta epsilon zeta\nanswer one\n> eta theta\n> iota kappa\nanswer two"),
+             (1, 2, ">> alpha beta\n>> gamma delta epsilon zeta\n> answer\n> one\nreply"),
+             (1, 3, "> answer\n> two\n>\n> something\n> else\nend"), (1, 4, "> never\n> said\nend"),
+             (2, 0, "one two\nthree four\n\nfive"), (2, 1, "> one\n> two three four\n>\n> five\nok"), (2, 2, "> one two three\n> four\nok")]
+    rows = [(c, t, "user", x, "", "") for c, t, x in texts]
+    got = {(x.conv_id, x.turn): x.reply_to for x in quotes.linked_messages(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert got == {(1, 0): None, (1, 1): 0, (1, 2): 1, (1, 3): 1, (1, 4): None, (2, 0): None, (2, 1): 0, (2, 2): 0}
+
+
 # --- license scan ----------------------------------------------------------
 
 DOCS = "doc_id long, text string, n_words string, base string, places string"
