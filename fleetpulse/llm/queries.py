@@ -36,7 +36,7 @@ def op2_substring_dedup(spark, sf_dir):
 
 @query
 def op3_quotation_linking(spark, sf_dir):
-    return quotes.conversations(read_table(spark, sf_dir, "conversations"))
+    return quotes.conversations(read_table(spark, sf_dir, "conversations")).drop("sub_part")
 
 
 @query

@@ -18,8 +18,10 @@ partial aggregation, so a line that everybody writes is one row and the join
 makes no pairs; a large conversation's join partition is split by AQE. Threads
 are found by pointer doubling over the links only, staged per round (rounds:
 logarithm of the longest reply chain). A conversation is emitted in parts of
-``PART`` turns by ``PART`` thread starts, which bounds a group by its turns,
-not by the conversation.
+``PART`` turns by ``PART`` thread starts. Of a part with more than ``LIMIT``
+messages (many at one turn, or without a turn), sub-parts follow each other in
+the same order, and a turn of more than ``LIMIT`` messages is dealt over
+sub-parts by a hash; so a group holds about 2 * ``LIMIT`` messages at most.
 
 Defined results: repeated rows are one message; different texts at the same
 turn share their reply; NULL text is an empty message; messages without a
@@ -30,12 +32,13 @@ text; an empty table gives an empty result. Other columns are not carried.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import SPACE, let, stage
 
 PART = 512
+LIMIT = 4096
 
 
 def _norm(s: Column) -> Column:
@@ -58,8 +61,8 @@ def _runs(lines: Column, paragraphs: bool) -> Column:
 
 
 def parse(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, own, n_quoted, own_keys, quoted): the text without
-    quoted lines, hashes of what the message wrote, and struct(level, key) of
+    """(conv_id, turn, role, own, mark, n_quoted, own_keys, quoted): the text without
+    quoted lines, a hash of the message, hashes of what the message wrote, and struct(level, key) of
     what it quotes."""
     rows = messages.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).distinct()
     lines = F.transform(F.split("text", "\n"), lambda x: F.struct(
@@ -84,7 +87,7 @@ def parse(messages: DataFrame) -> DataFrame:
     quoted = F.array_distinct(F.transform(F.filter(F.concat(
         single, F.filter("runs", lambda x: x["level"] > 0), whole), lambda x: x["s"] != ""), lambda x: F.struct(
         x["level"].alias("level"), F.xxhash64(x["s"]).alias("key"))))
-    return rows.select("conv_id", "turn", "role", "own", F.size("cited").cast("long").alias("n_quoted"),
+    return rows.select("conv_id", "turn", "role", "own", F.xxhash64("role", "text").alias("mark"), F.size("cited").cast("long").alias("n_quoted"),
                        own_keys.alias("own_keys"), quoted.alias("quoted"))
 
 
@@ -116,28 +119,53 @@ def threads(links: DataFrame) -> DataFrame:
 
 
 def linked_messages(messages: DataFrame) -> DataFrame:
-    """One row per message: conv_id, turn, role, text without quotes, n_quoted,
-    reply_to (NULL: to nothing), thread and depth."""
+    """One row per message: conv_id, turn, role, text without quotes, mark
+    (a hash of the message), n_quoted, reply_to (NULL: to nothing), thread and depth."""
     parsed = parse(messages)
     links = threads(reply_links(parsed))
     return parsed.join(links, ["conv_id", "turn"], "left").select(
-        "conv_id", "turn", "role", F.col("own").alias("text"), "n_quoted", "reply_to",
+        "conv_id", "turn", "role", F.col("own").alias("text"), "mark", "n_quoted", "reply_to",
         F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"))
 
 
-def conversations(messages: DataFrame, part: int = PART) -> DataFrame:
-    """(conv_id, thread_part, turn_part, n_messages, n_replies, n_quoted, chat):
+def _with_sub_part(rows: DataFrame, limit: int) -> DataFrame:
+    """Adds sub_part: 0, or the place within a part of more than ``limit``
+    messages, in thread and turn order."""
+    part = ["conv_id", "thread_part", "turn_part"]
+    rows = stage(rows, "messages")
+    known = rows.filter("conv_id IS NOT NULL")
+    large = stage(known.groupBy(*part).count().filter(F.col("count") > limit).drop("count"), "large-parts")
+    if large.isEmpty():
+        return rows.withColumn("sub_part", F.lit(0).cast("long"))
+    same = lambda a, b, names: [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in names]
+    turns = known.groupBy(*part, "thread", "turn").agg(F.count(F.lit(1)).alias("n"))
+    turns = turns.alias("t").join(large.alias("l"), same("t", "l", part), "left_semi")
+    # a turn above the limit takes the sub-parts first + 1 to first + deal
+    turns = turns.withColumn("deal", F.when(F.col("n") > limit, F.ceil(F.col("n") * 2 / limit)).otherwise(0).cast("long"))
+    size = F.when(F.col("deal") > 0, (F.col("deal") + 2) * limit).otherwise(F.col("n"))
+    before = Window.partitionBy(*part).orderBy(F.asc_nulls_last("thread"), F.asc_nulls_last("turn")).rowsBetween(
+        Window.unboundedPreceding, -1)
+    turns = turns.withColumn("first", F.floor(F.coalesce(F.sum(size).over(before), F.lit(0)) / limit).cast("long"))
+    turns = stage(turns.select(*part, "thread", "turn", "first", "deal"), "large-turns")
+    out = rows.alias("m").join(turns.alias("t"), same("m", "t", [*part, "thread", "turn"]), "left")
+    dealt = F.when(F.col("t.deal") > 0, F.lit(1) + F.pmod(F.col("m.mark"), F.col("t.deal"))).otherwise(0)
+    return out.select("m.*", F.coalesce(F.col("t.first") + dealt, F.lit(0)).cast("long").alias("sub_part"))
+
+
+def conversations(messages: DataFrame, part: int = PART, limit: int = LIMIT) -> DataFrame:
+    """(conv_id, thread_part, turn_part, sub_part, n_messages, n_replies, n_quoted, chat):
     conversations in reply order, as <|role|> blocks. Parts follow each other by
-    thread_part, then turn_part."""
+    thread_part, then turn_part, then sub_part."""
     rows = linked_messages(messages)
     alone = F.when(F.col("conv_id").isNull(), F.xxhash64("turn", "role", "text"))
     rows = (rows.withColumn("alone", alone)
             .withColumn("thread_part", F.floor(F.col("thread") / part).cast("long"))
             .withColumn("turn_part", F.floor(F.col("turn") / part).cast("long")))
+    rows = _with_sub_part(rows, limit)
     last = lambda c: F.struct(F.col(c).isNull(), F.col(c))
     entry = F.struct(last("thread").alias("a"), last("turn").alias("b"), F.coalesce("role", F.lit("")).alias("role"), "text")
-    out = rows.groupBy("conv_id", "alone", "thread_part", "turn_part").agg(
+    out = rows.groupBy("conv_id", "alone", "thread_part", "turn_part", "sub_part").agg(
         F.count(F.lit(1)).alias("n_messages"), F.count("reply_to").alias("n_replies"),
         F.sum("n_quoted").alias("n_quoted"), F.sort_array(F.collect_list(entry)).alias("entries"))
     chat = F.array_join(F.transform("entries", lambda e: F.concat(F.lit("<|"), e["role"], F.lit("|>\n"), e["text"])), "\n")
-    return out.select("conv_id", "thread_part", "turn_part", "n_messages", "n_replies", "n_quoted", chat.alias("chat"))
+    return out.select("conv_id", "thread_part", "turn_part", "sub_part", "n_messages", "n_replies", "n_quoted", chat.alias("chat"))

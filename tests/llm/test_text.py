@@ -100,6 +100,19 @@ def test_conversations_in_reply_order(spark, messages):
     assert quotes.conversations(spark.createDataFrame([], MESSAGES)).count() == 0
 
 
+def test_many_messages_without_a_turn_or_at_one(spark):
+    rows = [(1, None, "user", f"> {k}", "", "") for k in range(900)] + [(1, 3, "user", f"> step 2\ntied {k}", "", "") for k in range(400)]
+    rows += [(1, t, "user", (f"> step {t - 1}\n" if t not in (0, 4) else "> tied 7\n" if t else "") + f"step {t}", "", "") for t in range(60)]
+    out = quotes.conversations(spark.createDataFrame(rows, MESSAGES), limit=50).collect()
+    assert sum(x.n_messages for x in out) == len(rows) and max(x.n_messages for x in out) <= 110
+    assert len({(x.conv_id, x.thread_part, x.turn_part, x.sub_part) for x in out}) == len(out)
+    parts = sorted((x for x in out if x.turn_part is not None), key=lambda x: x.sub_part)
+    said = re.findall(r"(step|tied) (\d+)", "\n".join(x.chat for x in parts))
+    steps = [int(n) for w, n in said if w == "step"]
+    assert steps == list(range(60)) and sum(w == "tied" for w, _ in said) == 400
+    assert max(k for k, x in enumerate(said) if x[0] == "tied") < said.index(("step", "4"))
+
+
 def test_interleaved_and_rewrapped_quotes(spark):
     first = "intro here\n\nalpha beta gamma delta epsilon zeta\n\neta theta iota kappa\n\nlast words"
     texts = [(1, 0, first),
