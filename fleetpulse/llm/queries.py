@@ -8,7 +8,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, forest_join, html_blocks, licenses, line_dedup, mixing, outliers, pii_crf, quotes, substring_dedup, token_align
+from . import (
+    decontam,
+    forest_join,
+    html_blocks,
+    hyperminhash,
+    licenses,
+    line_dedup,
+    mixing,
+    outliers,
+    pii_crf,
+    quotes,
+    substring_dedup,
+    token_align,
+)
 from .common import read_table
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +104,11 @@ def op11_token_align(spark, sf_dir):
     return token_align.align_documents(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op12_hyperminhash(spark, sf_dir):
+    return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 ORACLE_SQL["op8_mix_sources"] = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
