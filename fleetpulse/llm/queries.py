@@ -18,6 +18,7 @@ from . import (
     mixing,
     outliers,
     pii_crf,
+    prefix_trie,
     quotes,
     substring_dedup,
     token_align,
@@ -109,6 +110,11 @@ def op12_hyperminhash(spark, sf_dir):
     return hyperminhash.near_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.prefix_nodes(read_table(spark, sf_dir, "conversations"))
+
+
 ORACLE_SQL["op8_mix_sources"] = r"""
 WITH d AS (
   SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size
