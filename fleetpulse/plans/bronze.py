@@ -9,7 +9,18 @@ from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION
 from ..functions.columns import ingested_at, pipeline_version, source_file
 from ..operators.checks import bronze_summary
 from ..session import scratch_path
-from ..sinks.writers import append_partitioned, new_rows_only, path_exists, rebalanced, remove_path
+from ..sinks import id_index
+from ..sinks.writers import (
+    INGEST_KEY,
+    append_partitioned,
+    ingest_key,
+    new_rows_only,
+    path_exists,
+    rebalanced,
+    remove_path,
+    stored_keys,
+    without_keys,
+)
 from ..sources.json_source import read_sensor_json, split_corrupt
 from ..sources.layers import BRONZE_SCHEMA, read_layer
 
@@ -30,9 +41,23 @@ def stamp_bronze(df: DataFrame, source: Column, version: str = PIPELINE_VERSION)
 
 def prepare_bronze_batch(spark: SparkSession, batch: DataFrame, bronze_path: str,
                          idempotent: bool = True, fmt: str = "parquet") -> DataFrame:
-    """The rows an append would add: batch deduped and minus stored ids."""
+    """The rows an append would add: batch deduped and minus stored ids. A
+    Parquet store has an index of its ids beside it (``sinks.id_index``): first
+    it is brought up to the files that it does not cover, those of the last
+    append, then only the buckets that may hold an id of the batch are read.
+    Other formats are read whole (their id column)."""
     if not idempotent:
         return batch
+    if fmt == "parquet":
+        index = bronze_path.rstrip("/") + id_index.BESIDE
+
+        def read_keys(files: list[str]) -> DataFrame:
+            rows = spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_path).parquet(*files)
+            return stored_keys(rows, columns=batch.columns)
+
+        id_index.refresh(spark, bronze_path, index, read_keys)
+        keys = batch.select(ingest_key(batch.columns).alias(INGEST_KEY))
+        return without_keys(batch, id_index.seen_keys(spark, keys, index))
     existing = read_layer(spark, bronze_path, BRONZE_SCHEMA, fmt) if path_exists(spark, bronze_path) else None
     return new_rows_only(batch, existing)
 

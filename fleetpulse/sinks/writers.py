@@ -96,16 +96,23 @@ def new_rows_only(batch: DataFrame, existing: DataFrame | None, key: str = "even
     Only where the caller knows that an id is never re-sent under another value
     of ``scope_column`` may ``scope_values`` limit the stored side (partition
     pruning; NULL is a value like any other)."""
-    cols = [c for c in batch.columns]
-    deduped = dedupe_events(batch.withColumn(INGEST_KEY, ingest_key(cols, key)), key=INGEST_KEY)
     if existing is None:
-        return deduped.drop(INGEST_KEY)
+        return without_keys(batch, None, key)
+    cols = [c for c in batch.columns]
     if scope_column is not None and scope_values is not None:
         inside = F.col(scope_column).isin([v for v in scope_values if v is not None])
         if any(v is None for v in scope_values):
             inside = inside | F.col(scope_column).isNull()
         existing = existing.filter(inside)
-    return deduped.join(stored_keys(existing, key, cols), INGEST_KEY, "left_anti").drop(INGEST_KEY)
+    return without_keys(batch, stored_keys(existing, key, cols), key)
+
+
+def without_keys(batch: DataFrame, stored: DataFrame | None, key: str = "event_id") -> DataFrame:
+    """One row per ingest key of the batch (keep-first), without those stored."""
+    deduped = dedupe_events(batch.withColumn(INGEST_KEY, ingest_key(batch.columns, key)), key=INGEST_KEY)
+    if stored is not None:
+        deduped = deduped.join(stored, INGEST_KEY, "left_anti")
+    return deduped.drop(INGEST_KEY)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
