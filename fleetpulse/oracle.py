@@ -338,6 +338,7 @@ ORACLE_SQL.update({
         "INTO NAME metric VALUE value) u JOIN env e ON u.equipment_type = e.equipment_type "
         "AND u.metric = e.metric GROUP BY u.equipment_type, u.metric"),
     "stream_ingest": _with(SENSORS) + "SELECT DISTINCT * FROM sensors",
+    "stream_ingest_state": _with(SENSORS) + "SELECT DISTINCT * FROM sensors",
     "stream_daily_counts": _with(SENSORS) + (
         "SELECT CAST(CAST(CAST(timestamp AS TIMESTAMP) AS DATE) AS VARCHAR) AS event_date, equipment_id, "
         "COUNT(event_id) AS total_readings, COUNT(CASE WHEN is_anomaly THEN 1 END) AS total_anomalies, "

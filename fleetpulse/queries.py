@@ -573,6 +573,23 @@ def stream_ingest(spark, sf_dir):
     return read_layer(spark, out, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
 
 
+@query
+def stream_ingest_state(spark, sf_dir):
+    """K1: ids re-sent in the next micro-batch, while the state still holds
+    them, and three batches later, when it has let them go."""
+    src = _stage_stream(spark, sf_dir)
+    sensors = _bronze(spark, sf_dir)
+    first = _edge_day(sensors, F.min)
+    again = sensors.filter(F.col("ingestion_date") < _day(first, 10))
+    root = src.removesuffix("/*")
+    again.write.mode("append").json(f"{root}/1")
+    again.write.mode("append").json(f"{root}/3")
+    out, ckpt = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-bronze-ckpt")
+    for _ in range(2):
+        _run(start_stream_ingest(spark, src, out, ckpt, max_files_per_trigger=1, state_lifetime="1 second"))
+    return read_layer(spark, out, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
+
+
 @query
 def stream_daily_counts(spark, sf_dir):
     """K2: per-day, per-machine counts from a stream, late rows included."""

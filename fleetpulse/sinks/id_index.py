@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -60,17 +61,14 @@ def _fs(spark: SparkSession, path: str):
 
 
 def data_files(spark: SparkSession, store: str) -> list[str]:
-    """The store's data files, relative to it (a driver listing, like Spark's own)."""
+    """The store's data files, relative to it (Spark's own listing)."""
     fs, root = _fs(spark, store)
     if not fs.exists(root):
         return []
-    prefix = fs.makeQualified(root).toString().rstrip("/") + "/"
-    found, out = fs.listFiles(root, True), []
-    while found.hasNext():
-        relative = found.next().getPath().toString().removeprefix(prefix)
-        if not any(part[0] in "_." for part in relative.split("/")):
-            out.append(relative)
-    return sorted(out)
+    plain = lambda uri: re.sub(r"^(\w+):/+", r"\1:/", uri)
+    prefix = plain(fs.makeQualified(root).toString()).rstrip("/") + "/"
+    found = spark.read.schema("_ int").parquet(store).inputFiles()
+    return sorted(plain(unquote(uri)).removeprefix(prefix) for uri in found)
 
 
 def segments(spark: SparkSession, index: str) -> list[Segment]:

@@ -13,6 +13,9 @@ from ..constants import SENSOR_SCHEMA
 from ..sources.json_source import CORRUPT
 
 MAX_BYTES_PER_TRIGGER = 10 << 30
+#: The state store of queries that keep state: on local disk, with its changes in the checkpoint.
+STATE_STORE = ("spark.sql.streaming.stateStore.providerClass",
+               "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
 
 
 def read_sensor_stream(spark: SparkSession, source_dir: str, max_files_per_trigger: int | None = None,
@@ -36,4 +39,11 @@ def start_batches(stream: DataFrame, run: Callable[[DataFrame, int], None], chec
     is run again after a failure, under the same id."""
     writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
-    return writer.start()
+    spark = stream.sparkSession
+    key, provider = STATE_STORE
+    before = spark.conf.get(key)
+    spark.conf.set(key, provider)   # a query takes the settings it finds when it starts
+    try:
+        return writer.start()
+    finally:
+        spark.conf.set(key, before)

@@ -41,6 +41,30 @@ def test_stream_ingest_exactly_once_and_dedupe(spark):
     assert got == ["a", "b", "c"]
 
 
+def test_state_drops_recent_copies_and_the_index_older_ones(spark):
+    src = scratch_path(spark, "src")
+    out, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "ckpt")
+    first = [reading(event_id=f"e{k}", timestamp="2020-01-01 00:00:00") for k in range(6)]
+    dropped, late = [], []
+    for name, rows, pause in (("a.json", first, 0), ("b.json", [*first, reading(event_id="new")], 0),
+                              ("c.json", [reading(event_id="other")], 3), ("d.json", [*first, reading(event_id="e0", rpm=7.0)], 3)):
+        time.sleep(pause)
+        _drop(_local(src), name, rows)
+        q = start_stream_ingest(spark, src, out, ckpt, state_lifetime="2 seconds")
+        _run(q)
+        state = [p["stateOperators"][0] for p in q.recentProgress if p["stateOperators"]]
+        dropped.append(sum(s["customMetrics"]["numDroppedDuplicateRows"] for s in state))
+        late.append(sum(s["numRowsDroppedByWatermark"] for s in state))
+        assert any("rocksdb" in k.lower() for k in state[-1]["customMetrics"])
+    assert dropped[1] == 6 and late == [0, 0, 0, 0]      # within the lifetime: the state; old event times are never late
+    assert dropped[3] == 0                               # beyond it: the exact way
+    got = sorted(r.event_id for r in read_layer(spark, out, BRONZE_SCHEMA).collect())
+    assert got == sorted([*(f"e{k}" for k in range(6)), "new", "other"])
+    # a new checkpoint reads all files again: nothing is added
+    _run(start_stream_ingest(spark, src, out, scratch_path(spark, "ckpt")))
+    assert read_layer(spark, out, BRONZE_SCHEMA).count() == 8
+
+
 def test_stream_daily_counts_update_versions(spark):
     src = scratch_path(spark, "src")
     out, ckpt = scratch_path(spark, "daily"), scratch_path(spark, "ckpt")
