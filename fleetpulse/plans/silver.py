@@ -37,16 +37,6 @@ def build_silver(bronze: DataFrame, rules: dict | None = None, with_lag: bool =
 
 # --- jobs (actions) --------------------------------------------------------
 
-def latest_per_key(df: DataFrame, key: str = "equipment_id",
-                   order: tuple[str, ...] = ("timestamp", "event_id")) -> DataFrame:
-    """The last row of every key in ``order`` (map-side top-1 before the
-    shuffle, so a hot key costs one row per task)."""
-    from pyspark.sql import Window
-    from pyspark.sql import functions as F
-    w = Window.partitionBy(key).orderBy(*[F.col(c).desc_nulls_last() for c in order])
-    return df.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
-
-
 #: What the previous-reading step needs of a silver row, and what it gives.
 _LIGHT = ["event_id", "equipment_id", "timestamp", "rpm", "temp_coolant_c", "ingestion_date", "equipment_type"]
 _PREVS = ["rpm_prev", "rpm_delta", "temp_coolant_prev", "temp_coolant_delta"]

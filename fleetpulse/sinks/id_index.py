@@ -139,34 +139,44 @@ def _read(spark: SparkSession, index: str, kind: str, paths: list[str]) -> DataF
             .parquet(*[f"{index}/{kind}/{p}" for p in paths]))
 
 
+def covered(spark: SparkSession, index: str) -> set[str]:
+    """The files (or other units) that the published segments cover."""
+    live = segments(spark, index)
+    rows = _read(spark, index, "files", [f"seg={s.number}" for s in live]).select("file").collect() if live else []
+    return {r[0] for r in rows}
+
+
+def cover(spark: SparkSession, index: str, units: list[str], read_keys: Callable[[list[str]], DataFrame],
+          keys_per_bucket: int = KEYS_PER_BUCKET) -> None:
+    """Add a segment that covers ``units``, and fold segments of one size class."""
+    if units:
+        _write_segment(spark, index, read_keys(units), spark.createDataFrame([(u,) for u in units], "file string"),
+                       keys_per_bucket=keys_per_bucket)
+    while True:
+        by_class: dict[int, list[Segment]] = {}
+        for s in segments(spark, index):
+            by_class.setdefault(s.size_class, []).append(s)
+        fold = next((v for v in by_class.values() if len(v) >= FAN), None)
+        if fold is None:
+            return
+        paths = [f"seg={s.number}" for s in fold]
+        _write_segment(spark, index, _read(spark, index, "keys", paths), _read(spark, index, "files", paths).select("file"),
+                       fold, keys_per_bucket)
+
+
 def refresh(spark: SparkSession, store: str, index: str, read_keys: Callable[[list[str]], DataFrame],
             keys_per_bucket: int = KEYS_PER_BUCKET) -> dict:
     """Bring the index up to the store's files. ``read_keys`` gives the ingest
     keys of some files. Returns how many files were read, and whether the
     index was built anew."""
-    stored, live = data_files(spark, store), segments(spark, index)
-    covered = {r[0] for r in _read(spark, index, "files", [f"seg={s.number}" for s in live]).select("file").collect()} if live else set()
-    anew = not covered <= set(stored)
+    stored, known = data_files(spark, store), covered(spark, index)
+    anew = not known <= set(stored)
     if anew:
         remove_path(spark, f"{index}/_published")   # first: without markers the rest is not read
         remove_path(spark, index)
-        live, covered = [], set()
-    new = [f for f in stored if f not in covered]
-    if new:
-        files = spark.createDataFrame([(f,) for f in new], "file string")
-        live.append(_write_segment(spark, index, read_keys([f"{store.rstrip('/')}/{f}" for f in new]), files,
-                                   keys_per_bucket=keys_per_bucket))
-    while True:
-        by_class: dict[int, list[Segment]] = {}
-        for s in live:
-            by_class.setdefault(s.size_class, []).append(s)
-        fold = next((v for v in by_class.values() if len(v) >= FAN), None)
-        if fold is None:
-            break
-        paths = [f"seg={s.number}" for s in fold]
-        merged = _write_segment(spark, index, _read(spark, index, "keys", paths),
-                                _read(spark, index, "files", paths).select("file"), fold, keys_per_bucket)
-        live = [s for s in live if s not in fold] + [merged]
+        known = set()
+    new = [f for f in stored if f not in known]
+    cover(spark, index, new, lambda files: read_keys([f"{store.rstrip('/')}/{f}" for f in files]), keys_per_bucket)
     return {"files_read": len(new), "rebuilt": anew}
 
 

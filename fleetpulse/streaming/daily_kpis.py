@@ -20,9 +20,11 @@ from ..functions.columns import anomaly_rate_pct, compliance_score, health_statu
 from ..operators.enrich import add_labels
 from ..operators.kpis import ENGINE_ISSUES, GOLD_MEASURES, GOLD_SCORES, MEASURES, exact_sql, inexact_sql
 from ..plans.silver import clean_readings
+from ..session import scratch_path
+from ..sinks.writers import remove_path
 from ..sources.json_source import CORRUPT, bad_record
 from .sources import MAX_BYTES_PER_TRIGGER, read_sensor_stream, start_batches
-from .versions import BATCH_COL, compact_versions, read_versions, write_batch
+from .versions import BATCH_COL, compact_versions, read_versions, seen_before, write_batch
 
 _ALL = [*MEASURES, ENGINE_ISSUES]
 _SUMMED = list(dict.fromkeys(arg for _, kind, arg, _ in _ALL if kind in ("avg", "sum")))
@@ -57,12 +59,14 @@ def start_daily_kpis(spark: SparkSession, source_dir: str, out_path: str, checkp
     def run(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
         clean = clean_readings(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"))
-        seen = read_versions(s, ids_path, before=batch_id)
-        if seen is not None:
-            clean = clean.join(seen.select("event_id"), "event_id", "left_anti")
+        staging = scratch_path(s, "stream-kpis")
+        clean.write.parquet(staging)        # read for the ids, the aggregates and the ids to store
+        clean = s.read.schema(clean.schema).parquet(staging)
+        clean = clean.join(seen_before(s, clean, ids_path, batch_id), "event_id", "left_anti")
         # the partial aggregates first: ids without them would lose their rows
         write_batch(partial_kpis(clean), out_path, batch_id)
         write_batch(clean.select("event_id"), ids_path, batch_id)
+        remove_path(s, staging)
 
     stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
     return start_batches(stream, run, checkpoint_dir, available_now)

@@ -19,6 +19,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..sinks import id_index
+from ..sinks.writers import INGEST_KEY
+
 BATCH_COL = "_batch_id"
 
 
@@ -47,21 +50,48 @@ def published(spark: SparkSession, out_path: str) -> tuple[int, int]:
     return max(((int(m[1]), int(m[2])) for m in found if m), default=(0, -1))
 
 
-def write_batch(df: DataFrame, out_path: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{out_path}/{BATCH_COL}={batch_id}")
+def write_batch(df: DataFrame, out_path: str, batch_id: int, partition_by: tuple[str, ...] = ()) -> None:
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{out_path}/{BATCH_COL}={batch_id}")
+
+
+def seen_before(spark: SparkSession, ids: DataFrame, out_path: str, batch_id: int) -> DataFrame:
+    """The ``event_id`` of ``ids`` that earlier batches stored under
+    ``out_path``, by an index of ids beside it (``sinks.id_index``): the batches
+    since the last call are read, and the buckets that may hold one of the ids.
+    A retried batch passes its own id, so it does not see its first attempt."""
+    index = out_path.rstrip("/") + "_index"
+    known = id_index.covered(spark, index)
+    new = [i for i in range(batch_id) if str(i) not in known]
+
+    def read_keys(units: list[str]) -> DataFrame:
+        numbers = {int(u) for u in units}
+        if min(numbers) <= published(spark, out_path)[1]:       # folded before it was indexed: read all
+            rows = read_versions(spark, out_path, before=batch_id)
+        else:
+            paths = [f"{out_path}/{BATCH_COL}={i}" for i in batch_ids(spark, out_path) if i in numbers]
+            rows = spark.read.schema("event_id string").parquet(*paths) if paths else None
+        if rows is None:
+            return spark.createDataFrame([], f"{INGEST_KEY} string")
+        return rows.filter("event_id IS NOT NULL").select(F.col("event_id").alias(INGEST_KEY))
+
+    id_index.cover(spark, index, [str(i) for i in new], read_keys)
+    keys = ids.filter("event_id IS NOT NULL").select(F.col("event_id").alias(INGEST_KEY))
+    return id_index.seen_keys(spark, keys, index).select(F.col(INGEST_KEY).alias("event_id"))
 
 
-def read_versions(spark: SparkSession, out_path: str, before: int | None = None) -> DataFrame | None:
+def read_versions(spark: SparkSession, out_path: str, before: int | None = None,
+                  schema: str | None = None) -> DataFrame | None:
     """The rows of all batches (below ``before``) with ``_batch_id``; None
     where there is none yet. A retried batch passes its own id, so it reads
     what its first attempt read."""
     generation, upto = published(spark, out_path)
     ids = [i for i in batch_ids(spark, out_path) if i > upto and (before is None or i < before)]
+    reader = lambda: spark.read.schema(schema) if schema else spark.read
     parts = []
     if generation:
-        parts.append(spark.read.parquet(f"{out_path}/_merged/gen={generation}"))
+        parts.append(reader().parquet(f"{out_path}/_merged/gen={generation}"))
     if ids:
-        parts.append(spark.read.option("basePath", out_path)
+        parts.append(reader().option("basePath", out_path)
                      .parquet(*[f"{out_path}/{BATCH_COL}={i}" for i in ids])
                      .withColumn(BATCH_COL, F.col(BATCH_COL).cast("long")))
     if not parts:
@@ -75,7 +105,8 @@ def newest_per_key(versions: DataFrame, keys: list[str]) -> DataFrame:
     return versions.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
 
 
-def compact_versions(spark: SparkSession, out_path: str, merge: Callable[[DataFrame], DataFrame]) -> int | None:
+def compact_versions(spark: SparkSession, out_path: str, merge: Callable[[DataFrame], DataFrame],
+                     partition_by: tuple[str, ...] = (), schema: str | None = None) -> int | None:
     """Fold every committed batch below the newest into one generation and
     publish it. ``merge`` maps the rows with ``_batch_id`` to the merged rows
     (a ``_batch_id`` it leaves out is filled with the highest one). Returns the
@@ -85,10 +116,10 @@ def compact_versions(spark: SparkSession, out_path: str, merge: Callable[[DataFr
     if len(older) < 2:
         return None
     top = older[-1]
-    merged = merge(read_versions(spark, out_path, before=top + 1))
+    merged = merge(read_versions(spark, out_path, before=top + 1, schema=schema))
     if BATCH_COL not in merged.columns:
         merged = merged.withColumn(BATCH_COL, F.lit(top).cast("long"))
-    merged.write.mode("overwrite").parquet(f"{out_path}/_merged/gen={generation + 1}")
+    merged.write.mode("overwrite").partitionBy(*partition_by).parquet(f"{out_path}/_merged/gen={generation + 1}")
     fs, marker = _fs(spark, f"{out_path}/_published/gen={generation + 1},upto={top}")
     if not fs.mkdirs(marker):
         raise OSError(f"could not publish {marker}")

@@ -100,6 +100,42 @@ def test_stream_prev_delta_corrects_late_rows(spark):
     assert sorted(map(tuple, read_prev_delta(spark, out).collect())) == before
 
 
+def test_prev_delta_reads_only_the_days_around_late_rows(spark):
+    """Random arrival over many days: equal to one batch, and the stored rows
+    read are those of the late rows' own machines and days."""
+    import random
+
+    from conftest import to_df
+    from fleetpulse.operators.enrich import add_prev_and_delta
+    from fleetpulse.streaming import prev_delta as K
+    src = scratch_path(spark, "src")
+    out, state, ckpt = scratch_path(spark, "out"), scratch_path(spark, "state"), scratch_path(spark, "ckpt")
+    rng = random.Random(3)
+    rows = [reading(event_id=f"e{k}", equipment_id=rng.choice(["EQ-1", "EQ-2", None]), rpm=float(rng.randrange(700, 2000)),
+                    timestamp="not a time" if k % 19 == 0 else f"2024-01-{rng.randrange(1, 9):02} {rng.randrange(24):02}:00:{rng.randrange(60):02}")
+            for k in range(60)]
+    for k in range(3):
+        _drop(_local(src), f"{k}.json", rows[20 * k:20 * (k + 1)] + rows[:3])
+        _run(start_stream_prev_delta(spark, src, out, state, ckpt))
+        if k == 1:
+            assert compact_prev_delta(spark, out) is None
+    columns = ["event_id", "rpm_prev", "rpm_delta", "temp_coolant_prev"]
+    result = lambda df: sorted(map(repr, df.select(*columns).collect()))
+    want = result(add_prev_and_delta(K.clean_batch(to_df(spark, rows))))
+    assert result(read_prev_delta(spark, out)) == want
+    assert compact_prev_delta(spark, out) == 1 and result(read_prev_delta(spark, out)) == want
+    # one late row: a plan that names its day, and rows of its machine only
+    versions = K.read_versions(spark, out, schema=K.OUT_SCHEMA)
+    bounds = K.merge_boundaries(K.read_versions(spark, state))
+    late = K.with_day(K.clean_batch(to_df(spark, [reading(event_id="late", equipment_id="EQ-1", timestamp="2024-01-03 00:00:00")])))
+    near = K.around(late, bounds)
+    got = K.stored_rows(versions, near)
+    assert {(r.equipment_id, str(r.timestamp)[:10]) for r in got.collect()} == {("EQ-1", "2024-01-03")}
+    assert "PartitionFilters: [_day" in got._jdf.queryExecution().toString().replace("isnotnull(_day#", "_day#")
+    on_time = K.with_day(K.clean_batch(to_df(spark, [reading(event_id="on time", equipment_id="EQ-1", timestamp="2025-01-01 00:00:00")])))
+    assert K.stored_rows(versions, K.around(on_time, bounds)) is None
+
+
 def test_late_rows_reach_bronze_and_the_counts(spark):
     src = scratch_path(spark, "src")
     bronze, out = scratch_path(spark, "bronze"), scratch_path(spark, "daily")
