@@ -46,16 +46,20 @@ WIDTH = 32
 HIDDEN = 24
 NUMBERS = 9
 BATCH_BLOCKS = 20_000
-PATH = 16                # path elements read from the top and from the leaf
 
 _TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+)>""")
 _LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)([^>]*)(?:>|$)")
 _ATTRIBUTE = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span "
-                    "strike strong sub sup time tt u var wbr "
-                    "math annotation annotation-xml maction menclose merror mfenced mfrac mi mmultiscripts mn mo mover "
-                    "mpadded mphantom mprescripts mroot mrow ms mspace msqrt mstyle msub msubsup msup mtable mtd mtext "
-                    "mtr munder munderover semantics".split())
+#: Elements that begin and end a block of text; all others stand in the line.
+_BLOCK = frozenset("address article aside blockquote body caption center col colgroup dd details dialog dir div dl dt "
+                   "fieldset figcaption figure footer form frame frameset h1 h2 h3 h4 h5 h6 head header hgroup hr html "
+                   "legend li listing main menu nav noframes ol optgroup option p plaintext pre search section select "
+                   "summary table tbody td tfoot th thead title tr ul xmp iframe textarea template".split())
+#: In the line, but worth knowing of a block that begins inside them.
+_CONTEXT = frozenset("button object noscript video audio canvas map applet embed picture".split())
+#: What may stand in a head; anything else ends it.
+_HEAD = frozenset("base basefont bgsound head link meta noframes noscript script style template title".split())
+_COMMENT_END = re.compile(r"--!?>")
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style title textarea template iframe xmp".split())
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
@@ -80,6 +84,7 @@ def blocks(page: str) -> list[Block]:
     links = linked = 0
     pos, n = 0, len(page)
     unclosed: set[str] = set()
+    in_head = False
 
     def flush():
         nonlocal linked
@@ -89,9 +94,19 @@ def blocks(page: str) -> list[Block]:
             out.append(Block(path, text, linked))
         linked = 0
 
+    def end_head():
+        nonlocal in_head
+        in_head = False
+        for k, (t, _) in enumerate(stack):
+            if t == "head":
+                del stack[k:]
+                break
+
     def add(s: str):
         nonlocal path, linked
         if s:
+            if in_head and stack and stack[-1][0] == "head" and not s.isspace():
+                end_head()
             if not parts:
                 path = tuple(stack)
             parts.append(s)
@@ -105,8 +120,8 @@ def blocks(page: str) -> list[Block]:
             break
         add(page[pos:lt])
         if page.startswith("<!--", lt):
-            end = page.find("-->", lt + 4)
-            pos = n if end < 0 else end + 3
+            end = _COMMENT_END.search(page, lt + 2)     # <!--> is a whole comment
+            pos = end.end() if end else n
             continue
         if page.startswith(("<!", "<?"), lt):
             end = page.find(">", lt)
@@ -119,14 +134,18 @@ def blocks(page: str) -> list[Block]:
             continue
         pos = m.end()
         closing, tag = bool(m[1]), m[2].lower()
-        if tag in _INLINE:
+        if in_head and not closing and tag not in _HEAD:
+            flush()
+            end_head()
+        if tag not in _BLOCK and tag not in _CONTEXT and tag not in _RAW:
             if tag == "br":
                 add(" ")
             elif tag == "a":
                 links = max(0, links - 1) if closing else links + 1
             continue
-        flush()
-        links = 0
+        if tag in _BLOCK:
+            flush()
+            links = 0
         if closing:
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == tag:
@@ -151,7 +170,7 @@ def blocks(page: str) -> list[Block]:
             continue
         if tag == "body":  # what an unclosed head left open
             stack.clear()
-        if stack and stack[-1][0] == "p":
+        if tag in _BLOCK and stack and stack[-1][0] == "p":
             stack.pop()
         for k in range(len(stack) - 1, -1, -1):
             if stack[k][0] in _CLOSES.get(tag, ()):
@@ -161,6 +180,7 @@ def blocks(page: str) -> list[Block]:
                 break
         names = " ".join(a or b or c for a, b, c in _ATTRIBUTE.findall(m[3])).lower() if m[3] else ""
         stack.append((tag, tuple(re.findall(r"[a-z]+", names))))
+        in_head = in_head or tag == "head"
     flush()
     return [b for b in out if not any(t == "head" for t, _ in b.path)]
 
@@ -177,7 +197,7 @@ def features(page: list[Block]) -> tuple[list[list[int]], list[list[float]], np.
     ids, weights = [], []
     numbers = np.zeros((len(page), NUMBERS), np.float32)
     for k, b in enumerate(page):
-        path = b.path if len(b.path) <= 2 * PATH else b.path[:PATH] + b.path[-PATH:]
+        path = b.path
         row = [_row("t", t) for t, _ in path] + [_row("c", c) for _, cs in path for c in cs]
         leaf = path[-1][0] if path else ""
         row += [_row("leaf", leaf), _row("pair", f"{path[-2][0] if len(path) > 1 else ''}>{leaf}"),
