@@ -43,7 +43,8 @@ from .common import stage
 
 A_PATH = "/opt/tokenizers/byte_bpe_50k.json"
 B_PATH = "/opt/tokenizers/piece_bpe_32k.model"
-CHUNK_BYTES = 16_000_000
+CHUNK_BYTES = 8_000_000     # text a memo is kept for
+SLICE_BYTES = 500_000       # text encoded at a time; a longer text is a slice
 #: FIXED VALUE: the split pattern of the byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 _CHUNK_BITS = 24
@@ -82,58 +83,26 @@ class Encoders:
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode()
                         for i, p in enumerate(pieces)]
-        self.len_a, self.len_b = ([len(t) for t in x] for x in (self.bytes_a, self.bytes_b))
-        self.size_a, self.size_b = np.array(self.len_a), np.array(self.len_b)
+        self.size_a, self.size_b = (np.array([len(t) for t in x]) for x in (self.bytes_a, self.bytes_b))
+        #: every id with a comma, a bar and a semicolon behind it
+        self.written = [f"{i}{sign}" for i in range(max(len(self.bytes_a), len(self.bytes_b))) for sign in ",|;"]
         self.space_a, self.space_b = (np.array([t[:1] == b" " for t in x]) for x in (self.bytes_a, self.bytes_b))
 
-    def encode(self, texts: list[bytes | None]) -> Iterator[tuple[np.ndarray, np.ndarray] | None]:
+    def encode(self, texts: list[bytes | None]) -> list[tuple[list[int], list[int]] | None]:
         """(A ids, B ids) of every text; None where it has no tokens."""
-        plain: list[str] = []
+        plain, out = [], []
         for t in texts:
             try:
                 plain.append(t.decode() if t else "")
             except UnicodeDecodeError:
                 plain.append("")
         for text, b in zip(plain, self.b.encode(plain, num_threads=1)):
-            if not text:
-                yield None
-                continue
-            a = self.a.encode_ordinary(" " + text)
             whole = (" " + text).encode()
-            if (b"".join(map(self.bytes_a.__getitem__, a)) != whole
-                    or b"".join(map(self.bytes_b.__getitem__, b)) != whole):
-                yield None
-                continue
-            yield np.array(a, np.uint32), np.array(b, np.uint32)
-
-    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The first token of every window in a and in b, and their ends."""
-        end_a, end_b = np.cumsum(self.size_a[a]), np.cumsum(self.size_b[b])
-        at_a, at_b = np.flatnonzero(self.space_a[a[1:]]) + 1, np.flatnonzero(self.space_b[b[1:]]) + 1
-        _, i, j = np.intersect1d(end_a[at_a - 1], end_b[at_b - 1], assume_unique=True, return_indices=True)
-        return (np.concatenate([[0], at_a[i], [len(a)]]), np.concatenate([[0], at_b[j], [len(b)]]))
-
-    def align(self, a: list[int], b: list[int]) -> tuple[str, int, list[int]]:
-        """One window: its groups as text, their number, and its links as
-        pair codes (A id * 2^32 + B id) in order."""
-        groups, codes = [], []
-        i = j = first_a = first_b = 0
-        end_a, end_b = self.len_a[a[0]], self.len_b[b[0]]
-        while True:
-            codes.append(a[i] << 32 | b[j])
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, a[first_a:i + 1]))}|{','.join(map(str, b[first_b:j + 1]))}")
-                i, j = i + 1, j + 1
-                if i == len(a):
-                    return ";".join(groups), len(groups), codes
-                first_a, first_b = i, j
-                end_a, end_b = end_a + self.len_a[a[i]], end_b + self.len_b[b[j]]
-            elif end_a < end_b:
-                i += 1
-                end_a += self.len_a[a[i]]
-            else:
-                j += 1
-                end_b += self.len_b[b[j]]
+            a = self.a.encode_ordinary(" " + text) if text else []
+            same = (text and b"".join(map(self.bytes_a.__getitem__, a)) == whole
+                    and b"".join(map(self.bytes_b.__getitem__, b)) == whole)
+            out.append((a, b) if same else None)
+        return out
 
 
 _ENCODERS: dict[str, Encoders] = {}
@@ -148,28 +117,63 @@ def encoders(a: bytes, b: bytes) -> Encoders:
 
 
 class Memo:
-    """The window alignments of one chunk, by the tuple of their ids."""
+    """The window alignments of one chunk, by the tuple of their ids. Texts that
+    follow each other are read as one: both encoders begin every text with a
+    space, so that its first tokens are an anchor."""
 
     def __init__(self, enc: Encoders):
-        self.enc, self.number, self.text, self.n_groups, self.codes = enc, {}, [], [], []
+        self.enc, self.number, self.text = enc, {}, []
+        self.n_groups = self.n_links = np.zeros(0, np.int64)
+        self.codes: list[np.ndarray] = []
 
-    def of(self, a: np.ndarray, b: np.ndarray) -> list[int]:
-        """The numbers of a document's windows, in order."""
-        starts_a, starts_b = self.enc.windows(a, b)
-        ids_a, ids_b, out = a.tobytes(), b.tobytes(), []
+    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The first tokens of all windows in a and in b, and their ends."""
+        end_a, end_b = np.cumsum(self.enc.size_a[a]), np.cumsum(self.enc.size_b[b])
+        at_a, at_b = np.flatnonzero(self.enc.space_a[a[1:]]) + 1, np.flatnonzero(self.enc.space_b[b[1:]]) + 1
+        _, i, j = np.intersect1d(end_a[at_a - 1], end_b[at_b - 1], assume_unique=True, return_indices=True)
+        return np.concatenate([[0], at_a[i], [len(a)]]), np.concatenate([[0], at_b[j], [len(b)]])
+
+    def add(self, found: list[tuple[list[int], list[int]]]) -> list[np.ndarray]:
+        """The numbers of every text's windows, in order."""
+        a, b = (np.fromiter((i for f in found for i in f[k]), np.uint32) for k in range(2))
+        starts_a, starts_b = self.windows(a, b)
+        ids_a, ids_b, out, new = a.tobytes(), b.tobytes(), [], []
         at_a, at_b = (starts_a * 4).tolist(), (starts_b * 4).tolist()
+        number = self.number
         for s, e, u, v in zip(at_a, at_a[1:], at_b, at_b[1:]):
             key = ids_a[s:e], ids_b[u:v]
-            k = self.number.get(key)
+            k = number.get(key)
             if k is None:
-                k = self.number[key] = len(self.text)
-                text, n, codes = self.enc.align(np.frombuffer(key[0], np.uint32).tolist(),
-                                                np.frombuffer(key[1], np.uint32).tolist())
-                self.text.append(text)
-                self.n_groups.append(n)
-                self.codes.append(codes)
+                k = number[key] = len(number)
+                new.append(key)
             out.append(k)
-        return out
+        if new:
+            self._align(new)
+        firsts = np.cumsum([0, *(len(f[0]) for f in found[:-1])])
+        return np.split(np.array(out), np.searchsorted(starts_a, firsts[1:]))
+
+    def _align(self, keys: list[tuple[bytes, bytes]]) -> None:
+        """Windows that are not known yet, all at once: both sides of a window
+        have the same bytes, so offsets run on from window to window. Between two
+        neighbouring ends, of whichever side, lies exactly one link."""
+        a, b = (np.frombuffer(b"".join(k[side] for k in keys), np.uint32).astype(np.int64) for side in range(2))
+        n_a, n_b = (np.array([len(k[side]) for k in keys]) // 4 for side in range(2))
+        end_a, end_b = np.cumsum(self.enc.size_a[a]), np.cumsum(self.enc.size_b[b])
+        window_ends = end_a[np.cumsum(n_a) - 1]
+        both, cuts = np.intersect1d(end_a, end_b, assume_unique=True), np.union1d(end_a, end_b)
+        self.codes.append(a[np.searchsorted(end_a, cuts)] << 32 | b[np.searchsorted(end_b, cuts)])
+        inside = lambda ends: np.diff(np.searchsorted(ends, window_ends, "right"), prepend=0)
+        self.n_groups = np.concatenate([self.n_groups, inside(both)])
+        self.n_links = np.concatenate([self.n_links, inside(cuts)])
+        # the ids in the order of groups, A before B, each with what follows it
+        place = np.concatenate([2 * np.searchsorted(both, end_a), 2 * np.searchsorted(both, end_b) + 1])
+        order = np.argsort(place, kind="stable")
+        place = place[order]
+        last = np.diff(place, append=-1) != 0
+        sign = np.where(last, 1 + place % 2, 0)
+        parts = list(map(self.enc.written.__getitem__, (3 * np.concatenate([a, b])[order] + sign).tolist()))
+        ends = np.cumsum(n_a + n_b).tolist()
+        self.text += ["".join(parts[s:e]) for s, e in zip([0, *ends], ends)]
 
 
 def pack(numbers: np.ndarray, counts: np.ndarray) -> bytes:
@@ -202,45 +206,47 @@ def _encode_task(a: bytes, b: bytes, id_type: pa.DataType, chunk_bytes: int, wit
         total = np.zeros(0, np.int64)
 
         def dictionary() -> pa.RecordBatch:
-            sizes = np.array([len(c) for c in memo.codes], np.uint32)
-            flat = np.fromiter((c for codes in memo.codes for c in codes), np.int64, int(sizes.sum()))
+            flat = np.concatenate([np.zeros(0, np.int64), *memo.codes])
             pairs, place = np.unique(flat, return_inverse=True)
-            links = np.bincount(place, np.repeat(total, sizes), len(pairs)).astype(np.int64)
-            blob = np.concatenate([sizes, place.astype(np.uint32)]).tobytes()
-            row = {"chunk": chunk, "pairs": pairs, "links": links, "sizes": blob, "n_a": len(sizes)}
+            links = np.bincount(place, np.repeat(total, memo.n_links), len(pairs)).astype(np.int64)
+            blob = np.concatenate([memo.n_links, place]).astype(np.uint32).tobytes()
+            row = {"chunk": chunk, "pairs": pairs, "links": links, "sizes": blob, "n_a": len(memo.text)}
             return pa.RecordBatch.from_pylist([row], schema)
 
+        def aligned(ids: pa.Array, texts: list[bytes | None]) -> pa.RecordBatch:
+            nonlocal total
+            found = enc.encode(texts)
+            some = [f for f in found if f is not None]
+            numbers = iter(memo.add(some) if some else [])
+            total = np.concatenate([total, np.zeros(len(memo.text) - len(total), np.int64)])
+            rows = []
+            for f in found:
+                if f is None:
+                    rows.append((0, 0, 0, 0, "", "" if with_groups else None, b""))
+                    continue
+                at = next(numbers)
+                text = "".join(map(memo.text.__getitem__, at.tolist()))[:-1]
+                known, times = np.unique(at, return_counts=True)
+                total[known] += times
+                rows.append((len(f[0]), len(f[1]), int(memo.n_groups[at].sum()), int(memo.n_links[at].sum()),
+                             hashlib.sha256(text.encode()).hexdigest(), text if with_groups else None, pack(known, times)))
+            columns = dict(zip(schema.names[2:9], zip(*rows)))
+            columns |= {"chunk": [chunk] * len(rows)}
+            return pa.RecordBatch.from_arrays(
+                [ids.cast(id_type) if f.name == "doc_id" else pa.array(columns[f.name], f.type) if f.name in columns
+                 else pa.nulls(len(rows), f.type) for f in schema], schema=schema)
+
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             done = 0
             while done < batch.num_rows:
-                upto, more = done, 0
-                while upto < batch.num_rows and (upto == done or size + more < chunk_bytes):
-                    more += len(texts[upto].as_py() or b"")
-                    upto += 1
-                rows = []
-                for found in enc.encode(texts.slice(done, upto - done).to_pylist()):
-                    if found is None:
-                        rows.append({"n_a": 0, "n_b": 0, "n_groups": 0, "n_links": 0, "groups_sha256": "",
-                                     "groups": "" if with_groups else None, "windows": b""})
-                        continue
-                    at = np.array(memo.of(*found))
-                    text = ";".join(map(memo.text.__getitem__, at))
-                    numbers, counts = np.unique(at, return_counts=True)
-                    total = np.concatenate([total, np.zeros(len(memo.text) - len(total), np.int64)])
-                    total[numbers] += counts
-                    rows.append({
-                        "n_a": len(found[0]), "n_b": len(found[1]),
-                        "n_groups": sum(memo.n_groups[k] * n for k, n in zip(numbers.tolist(), counts.tolist())),
-                        "n_links": sum(len(memo.codes[k]) * n for k, n in zip(numbers.tolist(), counts.tolist())),
-                        "groups_sha256": hashlib.sha256(text.encode()).hexdigest(),
-                        "groups": text if with_groups else None, "windows": pack(numbers, counts)})
-                columns = {name: pa.array([r[name] for r in rows], schema.field(name).type) for name in rows[0]}
-                columns |= {"chunk": pa.array([chunk] * len(rows), pa.int64()),
-                            "doc_id": ids.slice(done, len(rows)).cast(id_type)}
-                yield pa.RecordBatch.from_arrays(
-                    [columns[f.name] if f.name in columns else pa.nulls(len(rows), f.type) for f in schema], schema=schema)
-                size, done = size + more, upto
+                part: list[bytes | None] = []
+                more = 0
+                while done + len(part) < batch.num_rows and (not part or more < min(SLICE_BYTES, chunk_bytes - size)):
+                    part.append(texts[done + len(part)].as_py())
+                    more += len(part[-1] or b"")
+                yield aligned(ids.slice(done, len(part)), part)
+                size, done = size + more, done + len(part)
                 if size >= chunk_bytes:
                     yield dictionary()
                     memo, size, chunk = Memo(enc), 0, chunk + 1
