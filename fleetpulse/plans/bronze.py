@@ -46,10 +46,13 @@ def prepare_bronze_batch(spark: SparkSession, batch: DataFrame, bronze_path: str
     it is brought up to the files that it does not cover, those of the last
     append, then only the buckets that may hold an id of the batch are read.
     Other formats are read whole (their id column)."""
+    index = bronze_path.rstrip("/") + id_index.BESIDE
     if not idempotent:
+        id_index.mark_unique(spark, index, False)
         return batch
     if fmt == "parquet":
-        index = bronze_path.rstrip("/") + id_index.BESIDE
+        if not id_index.data_files(spark, bronze_path):
+            id_index.mark_unique(spark, index, True)
 
         def read_keys(files: list[str]) -> DataFrame:
             rows = spark.read.schema(BRONZE_SCHEMA).option("basePath", bronze_path).parquet(*files)

@@ -7,11 +7,14 @@ before the lag means a duplicate can never be its own "previous reading".
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from ..operators.dedupe import dedupe_events
 from ..operators.enrich import add_labels, add_prev_and_delta, add_time_parts
 from ..operators.quality import drop_null_key, filter_quality
+from ..sinks import id_index
+from . import edges
 
 
 def clean_readings(bronze: DataFrame, rules: dict | None = None) -> DataFrame:
@@ -30,7 +33,6 @@ def build_silver(bronze: DataFrame, rules: dict | None = None, with_lag: bool =
         out = add_prev_and_delta(out, strategy=strategy, num_partitions=num_partitions)
     out = add_labels(out)
     if transformed_at:
-        from pyspark.sql import functions as F
         out = out.withColumn("_transformed_at", F.current_timestamp())
     return out
 
@@ -42,6 +44,30 @@ _LIGHT = ["event_id", "equipment_id", "timestamp", "rpm", "temp_coolant_c", "ing
 _PREVS = ["rpm_prev", "rpm_delta", "temp_coolant_prev", "temp_coolant_delta"]
 
 
+def _in(values: list[str | None]) -> Column:
+    """Whether the ingestion date is one of the values; never NULL."""
+    some = F.coalesce(F.col("ingestion_date").isin([d for d in values if d is not None]), F.lit(False))
+    return some | F.col("ingestion_date").isNull() if None in values else some
+
+
+def _only_around(lagged: DataFrame, near: DataFrame) -> DataFrame:
+    """Of machines with changed readings, rows from the first changed place to the next row after the
+    last one have new previous values; all others keep theirs (what comes
+    before them need not have been read)."""
+    place = edges.at()
+    spans = near.groupBy("_k").agg(F.collect_list(F.struct("lo", "hi")).alias("spans"))     # at most two
+    rows = lagged.join(spans, F.col("equipment_id").eqNullSafe(F.col("_k")), "left")
+    after = (rows.filter("spans IS NOT NULL").select(F.col("_k").alias("_a"), place.alias("place"), F.explode("spans").alias("s"))
+             .filter("place > s.hi").groupBy("_a", "s").agg(F.min("place").alias("next"))
+             .groupBy("_a").agg(F.collect_list("next").alias("nexts")))
+    rows = rows.join(after, F.col("_k").eqNullSafe(F.col("_a")) & F.col("spans").isNotNull(), "left")
+    inside = F.exists("spans", lambda s: (place >= s["lo"]) & (place <= s["hi"]))
+    next_one = F.exists("nexts", lambda n: place.eqNullSafe(n))
+    anew = F.col("_fresh") | F.coalesce(inside, F.lit(False)) | F.coalesce(next_one, F.lit(False))
+    return rows.select(*[F.when(anew, F.col(c)).otherwise(F.col(f"_old_{c}")).alias(c) if c in _PREVS else F.col(c)
+                         for c in lagged.columns])
+
+
 def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: str = "parquet",
                                dates: list[str | None] | None = None, strategy: str = "range",
                                num_partitions: int | None = None) -> dict:
@@ -53,13 +79,17 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
 
     * ids in the refreshed dates, in bronze or in silver, are cleaned again from
       all their bronze copies, so an id stays unique over all dates;
-    * previous values are computed over seven columns of all readings, and rows
-      elsewhere whose previous reading changed are corrected;
+    * rows elsewhere whose previous reading changed are corrected;
     * only the dates that hold such rows are rewritten, and partitions that end
       up without rows are removed.
+
+    What a refresh reads: if every id is known to be in bronze once (it was only
+    appended to through the id index), the refreshed dates, and of silver the dates
+    that reach into the time of the changed readings of a machine, or come next; what
+    lies before them is in the table of edges (``plans.edges``). Otherwise an id may have
+    copies under any date: the ids and seven columns of all readings are read.
     """
     from pyspark.sql import Observation
-    from pyspark.sql import functions as F
 
     from ..constants import SILVER_PARTITIONS
     from ..operators.enrich import add_prev_and_delta
@@ -68,11 +98,13 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
     from ..sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer
 
     bronze = read_layer(spark, bronze_path, BRONZE_SCHEMA, fmt)
+    edges_path = silver_path.rstrip("/") + edges.BESIDE
     obs = Observation("silver")
     columns = SILVER_SCHEMA.fieldNames()
     if dates is None or not path_exists(spark, silver_path):
         silver = build_silver(bronze, strategy=strategy, num_partitions=num_partitions, transformed_at=True)
         silver = silver.observe(obs, F.count(F.lit(1)).alias("rows_written"))
+        edges.invalidate(spark, edges_path)
         overwrite_partitioned(silver.select(*columns), silver_path, SILVER_PARTITIONS, fmt, dynamic=False)
         return dict(obs.get)
 
@@ -83,19 +115,43 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
         return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
     def in_dates(df: DataFrame, values: list[str | None]) -> DataFrame:
-        some = F.col("ingestion_date").isin([d for d in values if d is not None])
-        return df.filter(some | F.col("ingestion_date").isNull() if None in values else some)
+        return df.filter(_in(values))
 
+    unique = fmt == "parquet" and id_index.is_unique(spark, bronze_path, bronze_path.rstrip("/") + id_index.BESIDE)
+    prevs_of = [F.col(c).alias(f"_old_{c}") for c in _PREVS]
     try:
         stored = read_layer(spark, silver_path, SILVER_SCHEMA, fmt)
-        ids = staged(in_dates(bronze, dates).select("event_id")
-                     .unionByName(in_dates(stored, dates).select("event_id"))
-                     .filter("event_id IS NOT NULL").distinct(), "ids")
-        fresh = staged(add_time_parts(clean_readings(bronze.join(ids, "event_id", "left_semi"))), "fresh")
-        kept = stored.join(ids, "event_id", "left_anti")
-        light = kept.select(*_LIGHT, *[F.col(c).alias(f"_old_{c}") for c in _PREVS], F.lit(False).alias("_fresh"))
-        light = light.unionByName(fresh.select(*_LIGHT, F.lit(True).alias("_fresh")), allowMissingColumns=True)
+        if unique:
+            known = edges.read(spark, edges_path)
+            if known is None:
+                known = staged(edges.edges_of(stored), "edges")
+            fresh = staged(add_time_parts(clean_readings(in_dates(bronze, dates))), "fresh")
+            old = in_dates(stored, dates)
+            changed = fresh.select(*_LIGHT).unionByName(old.select(*_LIGHT))
+            others = known.filter(~_in(dates))
+            near = staged(edges.surroundings(changed, others), "near")
+            # dates to read: partition names, not rows
+            read = [r[0] for r in near.select(F.explode("dates").alias("d")).select("d.date").distinct().collect()]
+            stored = in_dates(stored, [*dates, *read])
+            kept = stored.filter(~_in(dates))
+            light = kept.select(*_LIGHT, *prevs_of, F.lit(False).alias("_fresh"))
+            ahead = near.filter("before IS NOT NULL").select(
+                F.col("_k").alias("equipment_id"), "before.timestamp", "before.event_id", "before.rpm", "before.temp_coolant_c")
+            light = (light.unionByName(fresh.select(*_LIGHT, F.lit(True).alias("_fresh")), allowMissingColumns=True)
+                     .unionByName(ahead.distinct().join(kept.select("event_id"), "event_id", "left_anti"), allowMissingColumns=True))
+            gone = old.select("ingestion_date")
+        else:
+            ids = staged(in_dates(bronze, dates).select("event_id")
+                         .unionByName(in_dates(stored, dates).select("event_id"))
+                         .filter("event_id IS NOT NULL").distinct(), "ids")
+            fresh = staged(add_time_parts(clean_readings(bronze.join(ids, "event_id", "left_semi"))), "fresh")
+            kept = stored.join(ids, "event_id", "left_anti")
+            light = kept.select(*_LIGHT, *prevs_of, F.lit(False).alias("_fresh"))
+            light = light.unionByName(fresh.select(*_LIGHT, F.lit(True).alias("_fresh")), allowMissingColumns=True)
+            gone = stored.join(ids, "event_id", "left_semi").select("ingestion_date")
         lagged = add_prev_and_delta(light, strategy=strategy, num_partitions=num_partitions)
+        if unique:
+            lagged = _only_around(lagged.filter("_fresh IS NOT NULL"), near)
         same = F.lit(True)
         for c in _PREVS:
             same = same & F.col(c).eqNullSafe(F.col(f"_old_{c}"))
@@ -103,7 +159,7 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
                         "lagged")
         # the table's partition dates that change: directory names, not rows
         touched = {r[0] for r in lagged.filter("_changed").select("ingestion_date")
-                   .unionByName(stored.join(ids, "event_id", "left_semi").select("ingestion_date")).distinct().collect()}
+                   .unionByName(gone).distinct().collect()}
         touched |= set(dates)
         part = in_dates(kept, list(touched)).drop(*_PREVS)
         new = (add_labels(fresh).withColumn("_transformed_at", F.current_timestamp())
@@ -112,10 +168,15 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
         silver = staged(new.join(prevs, "event_id").select(*columns), "silver")
         before = {tuple(r) for r in in_dates(stored, list(touched)).select(*SILVER_PARTITIONS).distinct().collect()}
         after = {tuple(r) for r in silver.select(*SILVER_PARTITIONS).distinct().collect()}
+        if unique:
+            generation = edges.write(spark, edges_path, known.filter(~_in(list(touched))).unionByName(edges.edges_of(silver)))
+        edges.invalidate(spark, edges_path)     # from here on until all is written
         overwrite_partitioned(silver.observe(obs, F.count(F.lit(1)).alias("rows_written")), silver_path,
                               SILVER_PARTITIONS, fmt, dynamic=True)
         for values in before - after:
             remove_path(spark, "/".join([silver_path.rstrip("/"), *map(partition_dir, SILVER_PARTITIONS, values)]))
+        if unique:
+            edges.publish(spark, edges_path, generation)
         return dict(obs.get)
     finally:
         remove_path(spark, scratch)

@@ -180,6 +180,24 @@ def refresh(spark: SparkSession, store: str, index: str, read_keys: Callable[[li
     return {"files_read": len(new), "rebuilt": anew}
 
 
+def mark_unique(spark: SparkSession, index: str, unique: bool) -> None:
+    """Note that every key of the store is stored once (it was only ever appended
+    to through this index, from empty), or that it may not be."""
+    if not unique:
+        remove_path(spark, f"{index}/_unique")
+        return
+    fs, marker = _fs(spark, f"{index}/_unique")
+    if not fs.mkdirs(marker):
+        raise OSError(f"could not write {marker}")
+
+
+def is_unique(spark: SparkSession, store: str, index: str) -> bool:
+    """Whether every key is known to be stored once: it is marked so, and
+    no file that the index covers is gone (which a rewrite would leave)."""
+    fs, marker = _fs(spark, f"{index}/_unique")
+    return fs.exists(marker) and covered(spark, index) <= set(data_files(spark, store))
+
+
 def seen_keys(spark: SparkSession, batch: DataFrame, index: str, read: dict | None = None) -> DataFrame:
     """The batch's ingest keys that the index holds, exactly. ``read`` gets
     the numbers of bucket folders read (at most the batch's keys times the
