@@ -338,6 +338,11 @@ ORACLE_SQL.update({
         "INTO NAME metric VALUE value) u JOIN env e ON u.equipment_type = e.equipment_type "
         "AND u.metric = e.metric GROUP BY u.equipment_type, u.metric"),
     "stream_ingest": _with(SENSORS) + "SELECT DISTINCT * FROM sensors",
+    "distinct_by_sketch": _with(SENSORS) + (
+        "SELECT substr(ingestion_date, 1, 7) AS month, "
+        "COUNT(DISTINCT equipment_id) + MAX(CASE WHEN equipment_id IS NULL THEN 1 ELSE 0 END) AS machines, TRUE AS machines_near, "
+        "COUNT(DISTINCT event_id) + MAX(CASE WHEN event_id IS NULL THEN 1 ELSE 0 END) AS events, TRUE AS events_near "
+        "FROM sensors GROUP BY substr(ingestion_date, 1, 7)"),
     "stream_ingest_state": _with(SENSORS) + "SELECT DISTINCT * FROM sensors",
     "stream_daily_counts": _with(SENSORS) + (
         "SELECT CAST(CAST(CAST(timestamp AS TIMESTAMP) AS DATE) AS VARCHAR) AS event_date, equipment_id, "

@@ -31,6 +31,7 @@ from .operators.quality import (
     split_quality,
     with_failed_rules,
 )
+from .operators.sketches import ERROR, distinct, store_sketches
 from .plans.bronze import ingest_to_bronze
 from .plans.gold import build_gold, build_gold_compact, build_report, materialize_gold
 from .plans.silver import build_silver, clean_readings, transform_bronze_to_silver
@@ -243,6 +244,26 @@ def distinct_equipment(spark, sf_dir):
     return _bronze(spark, sf_dir).select("equipment_id").distinct()
 
 
+@query
+def distinct_by_sketch(spark, sf_dir):
+    """distinct machines and events of every month from stored day
+    sketches, held against the exact counts."""
+    sensors = _bronze(spark, sf_dir)
+    path = scratch_path(spark, "sketches")
+    store_sketches(sensors, path)
+    month = F.substring("ingestion_date", 1, 7).alias("month")
+    days = spark.read.parquet(path)
+    days = days.withColumn("ingestion_date", F.col("ingestion_date").cast("string"))
+    values = ("equipment_id", "event_id")
+    guess = days.groupBy(month).agg(*[distinct(v).alias(f"g_{v}") for v in values])
+    exact = sensors.groupBy(month).agg(*[
+        (F.count_distinct(v) + F.max(F.col(v).isNull()).cast("long")).alias(f"n_{v}") for v in values])
+    both = guess.join(exact.withColumnRenamed("month", "m"), F.col("month").eqNullSafe(F.col("m")))
+    near = lambda v: F.abs(F.col(f"g_{v}") - F.col(f"n_{v}")) <= F.greatest(F.lit(ERROR) * F.col(f"n_{v}"), F.lit(0.5))
+    return both.select("month", F.col("n_equipment_id").alias("machines"), near("equipment_id").alias("machines_near"),
+                       F.col("n_event_id").alias("events"), near("event_id").alias("events_near"))
+
+
 @query
 def layer_row_counts(spark, sf_dir):
     """rows per layer (bronze, silver, gold)."""
