@@ -421,4 +421,9 @@ ORACLE_SQL.update({
         .replace("equipment_health_status", "equipment_health_status AS equipment_health"),
     "sample_by_id": _with(SENSORS, CLEAN) + "SELECT * FROM clean ORDER BY event_id LIMIT 20",
     "stream_ingest": _with(SENSORS) + f"SELECT DISTINCT * FROM sensors WHERE NOT {_JUNK}",
+    "bronze_drift": _with(SENSORS) + (
+        f"SELECT event_id, CASE WHEN {_NUMBER} % 22 = 0 THEN 'firmware,vibration_mm_s' ELSE 'vibration_mm_s' END AS fields, "
+        f"{_NUMBER} % 37 AS vibration_mm_s, "
+        f"CASE WHEN {_NUMBER} % 22 = 0 THEN 'v' || CAST({_NUMBER} % 5 AS VARCHAR) END AS firmware, equipment_id "
+        f"FROM (SELECT DISTINCT * FROM sensors) WHERE event_id IS NOT NULL AND {_NUMBER} % 11 = 0"),
 })

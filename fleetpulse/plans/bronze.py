@@ -21,6 +21,7 @@ from ..sinks.writers import (
     stored_keys,
     without_keys,
 )
+from ..sources.drift import store_drift
 from ..sources.json_source import read_sensor_json, split_corrupt
 from ..sources.layers import BRONZE_SCHEMA, read_layer
 
@@ -96,7 +97,7 @@ def append_batch(spark: SparkSession, staged: DataFrame, bronze_path: str, quara
 
 def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
                      quarantine_path: str | None = BESIDE, multi_line: bool = False,
-                     fmt: str = "parquet", idempotent: bool = True) -> dict:
+                     fmt: str = "parquet", idempotent: bool = True, drift_path: str | None = None) -> dict:
     """Read raw JSON, stamp it and append it to bronze in one write action.
 
     The JSON is parsed once, into typed columnar staging under the shared
@@ -104,7 +105,11 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
     read that copy. Records that do not parse go to the quarantine, by default
     beside the bronze folder; ``quarantine_path=None`` drops them, and
     ``quarantined`` counts them either way. Re-running the same files appends
-    nothing to either (``idempotent``)."""
+    nothing to either (``idempotent``).
+
+    With ``drift_path`` records that have fields beside the declared ones are also kept
+    whole there (``sources.drift``), at the price of a second read of the text, and
+    ``drifting`` counts the new ones."""
     if quarantine_path == BESIDE:
         quarantine_path = bronze_path.rstrip("/") + BESIDE
     staging = scratch_path(spark, "bronze-staging")
@@ -112,7 +117,8 @@ def ingest_to_bronze(spark: SparkSession, source_path: str, bronze_path: str,
         raw = read_sensor_json(spark, source_path, multi_line=multi_line).withColumn("_src", source_file())
         raw.write.parquet(staging)
         staged = spark.read.schema(raw.schema).parquet(staging)
-        return append_batch(spark, staged, bronze_path, quarantine_path, fmt, idempotent)
+        drift = {} if drift_path is None else {"drifting": store_drift(spark, source_path, drift_path)}
+        return append_batch(spark, staged, bronze_path, quarantine_path, fmt, idempotent) | drift
     finally:
         remove_path(spark, staging)
 

@@ -37,6 +37,7 @@ from .plans.gold import build_gold, build_gold_compact, build_report, materializ
 from .plans.silver import build_silver, clean_readings, transform_bronze_to_silver
 from .session import scratch_path
 from .sinks.writers import save_as_table
+from .sources.drift import field, read_drift
 from .sources.fixture import load_sensors
 from .sources.json_source import read_sensor_json, split_corrupt
 from .sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer, read_table
@@ -372,6 +373,25 @@ def idempotent_append_resent(spark, sf_dir):
     return read_layer(spark, bronze, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
 
 
+@query
+def bronze_drift(spark, sf_dir):
+    """A1/A2: records with fields that the schema does not declare, ingested
+    twice: bronze as ever, the records kept whole and their new fields read back."""
+    n = _number()
+    extra = [F.when(n % 11 == 0, n % 37).alias("vibration_mm_s"),
+             F.when(n % 22 == 0, F.concat(F.lit("v"), (n % 5).cast("string"))).alias("firmware")]
+    lines = _bronze(spark, sf_dir).select(F.to_json(F.struct(*SENSOR_COLUMNS, *extra)).alias("value"))
+    src, bronze, drift = (scratch_path(spark, p) for p in ("json-drift", "bronze", "bronze-drift"))
+    lines.write.text(src)
+    for _ in range(2):
+        ingest_to_bronze(spark, src, bronze, drift_path=drift)
+    kept = read_drift(spark, drift).select(
+        "event_id", F.array_join("fields", ",").alias("fields"), field("vibration_mm_s", "long").alias("vibration_mm_s"),
+        field("firmware", "string").alias("firmware"), field("equipment_id", "string").alias("equipment_id"))
+    ids = read_layer(spark, bronze, BRONZE_SCHEMA).select(F.col("event_id").alias("_id")).filter("_id IS NOT NULL")
+    return kept.join(ids, F.col("event_id") == F.col("_id"), "left_semi")
+
+
 def _with_junk(sensors: DataFrame) -> DataFrame:
     """One JSON line a reading, some replaced by junk by a rule on the event
     number: cut off, of the wrong type, empty, only a bracket."""
