@@ -2,10 +2,11 @@
 small-star steps.
 
 Every step is a partial aggregation (the smallest neighbour of each vertex)
-and a join back, so a vertex with very many edges is neither collected nor
-kept in one task; AQE splits its join partition. Steps are staged as files in
-the shared folder; the number of rounds grows with the logarithm of the
-longest chain."""
+and a join back, so the edges of a vertex are never collected. A hub's edges do
+stream through one join task, though: the smallest neighbours come from an
+aggregate in the same stage, so AQE cannot split that partition (rows are two
+keys). Steps are staged as files in the shared folder; the number of rounds
+grows with the logarithm of the longest chain."""
 
 from __future__ import annotations
 

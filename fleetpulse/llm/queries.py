@@ -210,3 +210,48 @@ SELECT conv_id, floor(thread / 512)::BIGINT AS thread_part, floor(turn / 512)::B
                   ORDER BY thread NULLS LAST, turn NULLS LAST, coalesce(role, ''), own) AS chat
 FROM placed GROUP BY conv_id, alone, floor(thread / 512), floor(turn / 512)
 """
+
+ORACLE_SQL["op13_prefix_trie"] = r"""
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (
+  SELECT conv_id, xor(list_reduce(
+           [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+           lambda crc, b: list_reduce([xor(crc, b)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+             lambda v, z: CASE WHEN v % 2 = 1 THEN xor(v >> 1, 3988292384::BIGINT) ELSE v >> 1 END)),
+           4294967295::BIGINT) % 4 AS h
+  FROM (SELECT DISTINCT conv_id FROM turns)),
+heads AS (
+  SELECT i.conv_id, t.p AS d, t.role, t.text
+  FROM ids i JOIN turns t ON t.conv_id = i.conv_id - i.conv_id % 20 AND t.p <= i.h),
+copied AS (SELECT conv_id, count(*) AS n FROM heads GROUP BY conv_id),
+rebuilt AS (
+  SELECT * FROM heads
+  UNION ALL
+  SELECT t.conv_id, t.p - i.h + coalesce(c.n, 0), t.role, t.text
+  FROM turns t JOIN ids i USING (conv_id) LEFT JOIN copied c USING (conv_id) WHERE t.p > i.h),
+listed AS (
+  SELECT conv_id, d, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS w,
+         list(md5(role || chr(1) || text)) OVER (PARTITION BY conv_id ORDER BY d) AS path
+  FROM rebuilt),
+prefixes AS (
+  SELECT conv_id, d::BIGINT AS d, w::BIGINT AS w, array_to_string(path, ',') AS k, array_to_string(path[:-2], ',') AS up FROM listed
+  UNION ALL
+  SELECT conv_id, 0, 0, '', NULL FROM ids),
+nodes AS (
+  SELECT k, d, any_value(up) AS up, max(w) AS w, min(conv_id) AS conv_id, count(*) AS n FROM prefixes GROUP BY k, d),
+children AS (SELECT up AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY up),
+pairs AS (
+  SELECT DISTINCT a.k AS top, b.k AS k FROM prefixes a JOIN prefixes b ON a.conv_id = b.conv_id AND a.d <= b.d),
+below AS (
+  SELECT p.top, count(*) FILTER (c.k IS NULL) AS n_leaves, sum((n.n - 1) * n.w)::BIGINT AS saved_tokens
+  FROM pairs p JOIN nodes n ON n.k = p.k LEFT JOIN children c ON c.k = p.k GROUP BY p.top),
+lengths AS (SELECT conv_id, arg_max(k, d) AS k FROM prefixes GROUP BY conv_id),
+ends AS (SELECT k, string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) AS ids FROM lengths GROUP BY k)
+SELECT n.conv_id, n.d AS depth, u.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n_children, 0) AS n_children,
+       b.n_leaves, b.saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+FROM nodes n JOIN below b ON b.top = n.k LEFT JOIN nodes u ON u.k = n.up AND n.d > 0
+LEFT JOIN children c ON c.k = n.k LEFT JOIN ends e ON e.k = n.k
+"""
