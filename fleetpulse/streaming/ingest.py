@@ -60,7 +60,9 @@ def start_stream_ingest(spark: SparkSession, source_dir: str, bronze_path: str,
         staging = scratch_path(s, "stream-staging")
         try:
             batch.write.parquet(staging)
-            append_batch(s, s.read.schema(batch.schema).parquet(staging), bronze_path, quarantine_path)
+            staged = s.read.schema(batch.schema).parquet(staging)
+            if not staged.isEmpty():    # a batch may only let state go
+                append_batch(s, staged, bronze_path, quarantine_path)
         finally:
             remove_path(s, staging)
 
