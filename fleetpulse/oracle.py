@@ -350,6 +350,15 @@ ORACLE_SQL.update({
         "COUNT(CASE WHEN nox_ppm > 350 THEN 1 END) AS nox_violations, "
         "COUNT(CASE WHEN temp_coolant_c > 105 THEN 1 END) AS overheating_events "
         "FROM sensors GROUP BY 1, 2"),
+    "stream_windowed_counts": _with(SENSORS) + (
+        "SELECT CAST(CAST(CAST(timestamp AS TIMESTAMP) AS DATE) AS VARCHAR) AS event_date, equipment_id, "
+        "COUNT(event_id) AS total_readings, COUNT(CASE WHEN is_anomaly THEN 1 END) AS total_anomalies, "
+        "COUNT(CASE WHEN nox_ppm > 350 THEN 1 END) AS nox_violations, "
+        "COUNT(CASE WHEN temp_coolant_c > 105 THEN 1 END) AS overheating_events, "
+        # the last file holds every 17th reading of the first ten days, whose windows are closed by then
+        "COUNT(CASE WHEN CAST(substr(event_id, 3) AS BIGINT) % 17 = 0 AND CAST(ingestion_date AS DATE) < "
+        "(SELECT CAST(min(ingestion_date) AS DATE) FROM sensors) + 10 THEN 1 END) AS late_readings "
+        "FROM sensors GROUP BY 1, 2"),
     "stream_daily_kpis": _with(SENSORS, CLEAN, SILVER, KPI) + f"SELECT {GOLD_COLS}, engine_issues FROM kpi",
     "stream_prev_delta": _with(SENSORS, CLEAN, SILVER) + (
         "SELECT event_id, equipment_id, timestamp, rpm, rpm_prev, rpm_delta, temp_coolant_c, "

@@ -45,6 +45,7 @@ from .streaming.daily_counts import read_daily_counts, start_daily_counts
 from .streaming.daily_kpis import read_daily_kpis, start_daily_kpis
 from .streaming.ingest import start_stream_ingest
 from .streaming.prev_delta import read_prev_delta, start_stream_prev_delta
+from .streaming.windowed_counts import read_windowed_counts, start_windowed_counts
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -640,6 +641,16 @@ def stream_daily_counts(spark, sf_dir):
     return read_daily_counts(spark, out)
 
 
+@query
+def stream_windowed_counts(spark, sf_dir):
+    """K2: the same counts by event-time windows with a watermark; readings that
+    come after their window has closed are counted in the side table."""
+    src = _stage_stream(spark, sf_dir)
+    out, ckpt = scratch_path(spark, "stream-windows"), scratch_path(spark, "stream-windows-ckpt")
+    _run(start_windowed_counts(spark, src, out, ckpt, max_files_per_trigger=1))
+    return read_windowed_counts(spark, out)
+
+
 @query
 def stream_daily_kpis(spark, sf_dir):
     """Streaming gold: the full daily KPI table from partial aggregates that

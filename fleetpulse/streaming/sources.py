@@ -34,10 +34,10 @@ def read_sensor_stream(spark: SparkSession, source_dir: str, max_files_per_trigg
 
 
 def start_batches(stream: DataFrame, run: Callable[[DataFrame, int], None], checkpoint_dir: str,
-                  available_now: bool) -> StreamingQuery:
+                  available_now: bool, output_mode: str = "append") -> StreamingQuery:
     """Run a function on every micro-batch. ``run`` must be repeatable: a batch
     is run again after a failure, under the same id."""
-    writer = stream.writeStream.foreachBatch(run).option("checkpointLocation", checkpoint_dir)
+    writer = stream.writeStream.foreachBatch(run).outputMode(output_mode).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     spark = stream.sparkSession
     key, provider = STATE_STORE
