@@ -403,6 +403,7 @@ ORACLE_SQL.update({
     "incremental_middle_day": _SILVER_FULL,
     "incremental_split_dates": _SILVER_FULL,
     "incremental_resent_id": _with(SENSORS, _RESENT, *_over("resent", CLEAN), SILVER) + "SELECT * FROM silver",
+    "gold_by_deltas": _with(SENSORS, _RESENT, *_over("resent", CLEAN), SILVER, KPI) + f"SELECT {GOLD_COLS} FROM kpi",
     "bronze_quarantine": _with(SENSORS) + (
         f"SELECT DISTINCT 'good' AS kind, event_id, NULL AS raw_record FROM sensors WHERE NOT {_JUNK} UNION ALL "
         f"SELECT DISTINCT 'quarantined', NULL, CASE WHEN {_NUMBER} % 101 = 0 "

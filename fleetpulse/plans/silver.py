@@ -14,6 +14,7 @@ from ..operators.dedupe import dedupe_events
 from ..operators.enrich import add_labels, add_prev_and_delta, add_time_parts
 from ..operators.quality import drop_null_key, filter_quality
 from ..sinks import id_index
+from . import changes as change_log
 from . import edges
 
 
@@ -50,6 +51,10 @@ def _in(values: list[str | None]) -> Column:
     return some | F.col("ingestion_date").isNull() if None in values else some
 
 
+def in_dates(df: DataFrame, values: list[str | None]) -> DataFrame:
+    return df.filter(_in(values))
+
+
 def _only_around(lagged: DataFrame, near: DataFrame) -> DataFrame:
     """Of machines with changed readings, rows from the first changed place to the next row after the
     last one have new previous values; all others keep theirs (what comes
@@ -70,7 +75,7 @@ def _only_around(lagged: DataFrame, near: DataFrame) -> DataFrame:
 
 def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: str = "parquet",
                                dates: list[str | None] | None = None, strategy: str = "range",
-                               num_partitions: int | None = None) -> dict:
+                               num_partitions: int | None = None, changes: bool = False) -> dict:
     """Bronze -> silver in one write action; counts from an Observation.
 
     ``dates=None`` rebuilds silver (static overwrite). With ``dates`` (ingestion
@@ -88,6 +93,9 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
     that reach into the time of the changed readings of a machine, or come next; what
     lies before them is in the table of edges (``plans.edges``). Otherwise an id may have
     copies under any date: the ids and seven columns of all readings are read.
+
+    ``changes`` begins a log of what refreshes change (``plans.changes``), from which gold
+    is kept up to date; a log that exists is always continued.
     """
     from pyspark.sql import Observation
 
@@ -101,11 +109,17 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
     edges_path = silver_path.rstrip("/") + edges.BESIDE
     obs = Observation("silver")
     columns = SILVER_SCHEMA.fieldNames()
+    log = silver_path.rstrip("/") + change_log.BESIDE
+    number = change_log.begin(spark, log) if changes or path_exists(spark, log) else None
     if dates is None or not path_exists(spark, silver_path):
         silver = build_silver(bronze, strategy=strategy, num_partitions=num_partitions, transformed_at=True)
         silver = silver.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         edges.invalidate(spark, edges_path)
+        if number is not None:
+            change_log.record_full(spark, log, number)
         overwrite_partitioned(silver.select(*columns), silver_path, SILVER_PARTITIONS, fmt, dynamic=False)
+        if number is not None:
+            change_log.complete(spark, log, number)
         return dict(obs.get)
 
     scratch = scratch_path(spark, "silver-refresh")
@@ -114,9 +128,6 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
         df.write.parquet(f"{scratch}/{name}")
         return spark.read.schema(df.schema).parquet(f"{scratch}/{name}")
 
-    def in_dates(df: DataFrame, values: list[str | None]) -> DataFrame:
-        return df.filter(_in(values))
-
     unique = fmt == "parquet" and id_index.is_unique(spark, bronze_path, bronze_path.rstrip("/") + id_index.BESIDE)
     prevs_of = [F.col(c).alias(f"_old_{c}") for c in _PREVS]
     try:
@@ -170,6 +181,8 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
         after = {tuple(r) for r in silver.select(*SILVER_PARTITIONS).distinct().collect()}
         if unique:
             generation = edges.write(spark, edges_path, known.filter(~_in(list(touched))).unionByName(edges.edges_of(silver)))
+        if number is not None:
+            change_log.record(spark, log, number, in_dates(stored, list(touched)), silver)
         edges.invalidate(spark, edges_path)     # from here on until all is written
         overwrite_partitioned(silver.observe(obs, F.count(F.lit(1)).alias("rows_written")), silver_path,
                               SILVER_PARTITIONS, fmt, dynamic=True)
@@ -177,6 +190,8 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
             remove_path(spark, "/".join([silver_path.rstrip("/"), *map(partition_dir, SILVER_PARTITIONS, values)]))
         if unique:
             edges.publish(spark, edges_path, generation)
+        if number is not None:
+            change_log.complete(spark, log, number)
         return dict(obs.get)
     finally:
         remove_path(spark, scratch)

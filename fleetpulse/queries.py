@@ -34,6 +34,7 @@ from .operators.quality import (
 from .operators.sketches import ERROR, distinct, store_sketches
 from .plans.bronze import ingest_to_bronze
 from .plans.gold import build_gold, build_gold_compact, build_report, materialize_gold
+from .plans.gold_deltas import update_gold
 from .plans.silver import build_silver, clean_readings, transform_bronze_to_silver
 from .session import scratch_path
 from .sinks.writers import save_as_table
@@ -495,16 +496,20 @@ def incremental_split_dates(spark, sf_dir):
     return _refreshed(spark, [(sensors.filter(~F.col("ingestion_date").isin(days)), None), (sensors, days)])
 
 
+def _moved(sensors: DataFrame, first: date) -> DataFrame:
+    """Some readings of the third day, under the sixth and an hour earlier."""
+    return sensors.filter((_number() % 7 == 0) & (F.col("ingestion_date") == _day(first, 2))).withColumns({
+        "timestamp": (F.to_timestamp("timestamp") - F.expr("INTERVAL 1 HOUR")).cast("string"),
+        "ingestion_date": F.lit(_day(first, 5))})
+
+
 @query
 def incremental_resent_id(spark, sf_dir):
     """Ids re-sent under another ingestion date with an earlier event time
     move there and stay unique."""
     sensors = _bronze(spark, sf_dir)
     first = _edge_day(sensors, F.min)
-    again = sensors.filter((_number() % 7 == 0) & (F.col("ingestion_date") == _day(first, 2))).withColumns({
-        "timestamp": (F.to_timestamp("timestamp") - F.expr("INTERVAL 1 HOUR")).cast("string"),
-        "ingestion_date": F.lit(_day(first, 5))})
-    return _refreshed(spark, [(sensors, None), (again, [_day(first, 5)])], idempotent=False)
+    return _refreshed(spark, [(sensors, None), (_moved(sensors, first), [_day(first, 5)])], idempotent=False)
 
 
 @query
@@ -568,6 +573,24 @@ def gold_table(spark, sf_dir):
     return read_layer(spark, gold, schema).drop("_updated_at")
 
 
+@query
+def gold_by_deltas(spark, sf_dir):
+    """Gold kept up to date from silver's change log: a day that was not
+    there yet, then ids re-sent under another date with an earlier time."""
+    sensors = _bronze(spark, sf_dir)
+    first = _edge_day(sensors, F.min)
+    bronze, silver, gold = (scratch_path(spark, p) for p in ("bronze", "silver", "gold"))
+    steps = [(sensors.filter(F.col("ingestion_date") != _day(first, 8)), None),
+             (sensors.filter(F.col("ingestion_date") == _day(first, 8)), [_day(first, 8)]),
+             (_moved(sensors, first), [_day(first, 5)])]
+    for readings, dates in steps:
+        ingest_to_bronze(spark, _stage_json(spark, readings, "json-step"), bronze, idempotent=False)
+        transform_bronze_to_silver(spark, bronze, silver, dates=dates, changes=True)
+        update_gold(spark, silver, gold)
+    schema = build_gold(read_layer(spark, silver, SILVER_SCHEMA), updated_at=True).schema
+    return read_layer(spark, gold, schema).drop("_updated_at")
+
+
 @query
 def type_envelope_check(spark, sf_dir):
     """Clean readings against their type's normal operating envelope."""

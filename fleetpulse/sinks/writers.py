@@ -127,3 +127,17 @@ def remove_path(spark: SparkSession, path: str) -> None:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
     jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(jpath, True)
+
+
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right under a path; none where it does not exist."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [st.getPath().getName() for st in fs.listStatus(jpath) if st.isDirectory()] if fs.exists(jpath) else []
+
+
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Create an empty folder, used as a marker that a step is done."""
+    jpath = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not jpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(jpath):
+        raise OSError(f"could not create {path}")

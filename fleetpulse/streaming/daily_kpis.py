@@ -12,13 +12,9 @@ it comes.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..constants import GROUP_KEYS
-from ..functions.columns import anomaly_rate_pct, compliance_score, health_status
-from ..operators.enrich import add_labels
-from ..operators.kpis import ENGINE_ISSUES, GOLD_MEASURES, GOLD_SCORES, MEASURES, exact_sql, inexact_sql
+from ..operators.partials import kpis_of_partials, merge_partials, partial_kpis
 from ..plans.silver import clean_readings
 from ..session import scratch_path
 from ..sinks.writers import remove_path
@@ -26,30 +22,6 @@ from ..sources.json_source import CORRUPT, bad_record
 from .sources import MAX_BYTES_PER_TRIGGER, read_sensor_stream, start_batches
 from .versions import BATCH_COL, compact_versions, read_versions, seen_before, write_batch
 
-_ALL = [*MEASURES, ENGINE_ISSUES]
-_SUMMED = list(dict.fromkeys(arg for _, kind, arg, _ in _ALL if kind in ("avg", "sum")))
-
-
-def partial_kpis(clean: DataFrame) -> DataFrame:
-    """Partial aggregates per gold key: counts and extremes under their own
-    names; per metric the exact sum, the double sum, the number of values and
-    of values that the exact sum does not hold."""
-    aggs = [F.expr(arg if kind == "count" else f"{kind.upper()}({arg})").alias(name)
-            for name, kind, arg, _ in _ALL if kind in ("count", "max", "min")]
-    for m in _SUMMED:
-        aggs += [F.expr(f"SUM({exact_sql(m)})").alias(f"exact_{m}"), F.sum(m).alias(f"double_{m}"),
-                 F.count(m).alias(f"n_{m}"), F.expr(inexact_sql(m)).alias(f"odd_{m}")]
-    return add_labels(clean).groupBy(*GROUP_KEYS).agg(*aggs)
-
-
-def merge_partials(parts: DataFrame) -> DataFrame:
-    aggs = [{"count": F.sum, "max": F.max, "min": F.min}[kind](name).alias(name)
-            for name, kind, _, _ in _ALL if kind in ("count", "max", "min")]
-    for m in _SUMMED:
-        aggs += [F.sum(f"exact_{m}").alias(f"exact_{m}"), F.sum(f"double_{m}").alias(f"double_{m}"),
-                 F.sum(f"n_{m}").alias(f"n_{m}"), F.sum(f"odd_{m}").alias(f"odd_{m}")]
-    return parts.groupBy(*GROUP_KEYS).agg(*aggs)
-
 
 def start_daily_kpis(spark: SparkSession, source_dir: str, out_path: str, checkpoint_dir: str,
                      available_now: bool = True, max_files_per_trigger: int | None = None,
@@ -74,24 +46,7 @@ def start_daily_kpis(spark: SparkSession, source_dir: str, out_path: str, checkp
 
 def read_daily_kpis(spark: SparkSession, out_path: str) -> DataFrame:
     """The gold KPI table (SQL model columns plus ``engine_issues``)."""
-    g = merge_partials(read_versions(spark, out_path).drop(BATCH_COL))
-    derived = {}
-    for name, kind, arg, places in _ALL:
-        if kind == "count":
-            derived[name] = F.col(name).cast("long")
-        elif kind in ("max", "min"):
-            derived[name] = F.round(F.col(name), places)
-        else:
-            # the mean at the scale a decimal AVG uses (input scale + 4), then
-            # rounded: the value the batch layer's AVG gives
-            exact = (f"CAST(try_divide(exact_{arg}, n_{arg}) AS DECIMAL(22,10))" if kind == "avg" else f"exact_{arg}")
-            double = f"try_divide(double_{arg}, n_{arg})" if kind == "avg" else f"double_{arg}"
-            derived[name] = F.expr(f"CASE WHEN odd_{arg} = 0 THEN CAST(ROUND({exact}, {places}) AS DOUBLE) "
-                                   f"ELSE ROUND({double}, {places}) END")
-    g = g.withColumns(derived).withColumn("anomaly_rate_pct", anomaly_rate_pct())
-    g = g.withColumns({"compliance_score": compliance_score(),
-                       "equipment_health_status": health_status("anomaly_rate_pct")})
-    return g.select(*GROUP_KEYS, *GOLD_MEASURES, *GOLD_SCORES, "engine_issues")
+    return kpis_of_partials(merge_partials(read_versions(spark, out_path).drop(BATCH_COL)))
 
 
 def compact_daily_kpis(spark: SparkSession, out_path: str) -> int | None:
