@@ -37,7 +37,8 @@ from .plans.gold import build_gold, build_gold_compact, build_report, materializ
 from .plans.gold_deltas import update_gold
 from .plans.silver import build_silver, clean_readings, transform_bronze_to_silver
 from .session import scratch_path
-from .sinks.writers import save_as_table
+from .sinks.bucketed import new_rows, save_bucketed
+from .sinks.writers import INGEST_KEY, save_as_table
 from .sources.drift import field, read_drift
 from .sources.fixture import load_sensors
 from .sources.json_source import read_sensor_json, split_corrupt
@@ -523,6 +524,18 @@ def catalog_roundtrip(spark, sf_dir):
     return read_table(spark, name)
 
 
+@query
+def bucketed_append(spark, sf_dir):
+    """All readings against those of the first ten days, both in tables
+    bucketed by the ingest key: the unique new ones, without an exchange."""
+    sensors, tag = _bronze(spark, sf_dir), uuid.uuid4().hex[:8]
+    day = _day(_edge_day(sensors, F.min), 10)
+    stored, batch = f"fleetpulse_stored_{tag}", f"fleetpulse_batch_{tag}"
+    save_bucketed(sensors.filter(F.col("ingestion_date") < day), stored, unique=True, location=scratch_path(spark, "bucketed"))
+    save_bucketed(sensors, batch, location=scratch_path(spark, "bucketed"))
+    return new_rows(spark, batch, stored).drop(INGEST_KEY)
+
+
 @query
 def layer_stamps(spark, sf_dir):
     """Rows of every layer with each stamp present, and with the
