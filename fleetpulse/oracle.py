@@ -416,6 +416,7 @@ ORACLE_SQL.update({
     "data_checks_tampered": _with(SENSORS, LABELLED, _TAMPERED) + _checks_report("tampered"),
     "catalog_roundtrip": _with(SENSORS, CLEAN) + "SELECT * FROM clean",
     "bucketed_append": _with(SENSORS) + f"SELECT DISTINCT * FROM sensors WHERE CAST(ingestion_date AS DATE) >= {_FIRST_DAY} + 10",
+    "zordered_table": _with(SENSORS, CLEAN) + "SELECT * FROM clean",
     "layer_stamps": _with(SENSORS, CLEAN, SILVER, KPI) + (
         "SELECT 'bronze' AS layer, n AS \"rows\", n AS ingested, n AS sourced, n AS versioned, "
         "CAST(0 AS BIGINT) AS transformed, CAST(0 AS BIGINT) AS updated "

@@ -39,6 +39,7 @@ from .plans.silver import build_silver, clean_readings, transform_bronze_to_silv
 from .session import scratch_path
 from .sinks.bucketed import new_rows, save_bucketed
 from .sinks.writers import INGEST_KEY, save_as_table
+from .sinks.zorder import write_zordered
 from .sources.drift import field, read_drift
 from .sources.fixture import load_sensors
 from .sources.json_source import read_sensor_json, split_corrupt
@@ -536,6 +537,14 @@ def bucketed_append(spark, sf_dir):
     return new_rows(spark, batch, stored).drop(INGEST_KEY)
 
 
+@query
+def zordered_table(spark, sf_dir):
+    """Clean readings in files that are boxes of machine, type and time, read back."""
+    clean, path = clean_readings(_bronze(spark, sf_dir)), scratch_path(spark, "zorder")
+    write_zordered(clean, path, ["equipment_id", "equipment_type", "timestamp"])
+    return read_layer(spark, path, clean.schema)
+
+
 @query
 def layer_stamps(spark, sf_dir):
     """Rows of every layer with each stamp present, and with the
