@@ -34,7 +34,7 @@ class Check:
         return f"{self.kind}:{self.column}"
 
 
-def _failing_condition(check: Check) -> Column:
+def failing_condition(check: Check) -> Column:
     """Row-level failure predicate (two-valued: NULL never counts as failing,
     except for not_null)."""
     c = F.col(check.column)
@@ -48,16 +48,16 @@ def _failing_condition(check: Check) -> Column:
 
 
 def check_not_null(df: DataFrame, column: str) -> DataFrame:
-    return df.filter(_failing_condition(Check("not_null", column)))
+    return df.filter(failing_condition(Check("not_null", column)))
 
 
 def check_accepted_values(df: DataFrame, column: str, values: list) -> DataFrame:
-    return df.filter(_failing_condition(Check("accepted_values", column, tuple(values))))
+    return df.filter(failing_condition(Check("accepted_values", column, tuple(values))))
 
 
 def check_expression(df: DataFrame, column: str, expression: str) -> DataFrame:
     """Rows where ``<column> <expression>`` is false (e.g. ``">= 0"``)."""
-    return df.filter(_failing_condition(Check("expression_is_true", column, expression=expression)))
+    return df.filter(failing_condition(Check("expression_is_true", column, expression=expression)))
 
 
 def check_unique(df: DataFrame, column: str) -> DataFrame:
@@ -91,7 +91,7 @@ def run_checks(df: DataFrame, checks: list[Check] | None = None) -> DataFrame:
     row_checks = [(i, c) for i, c in enumerate(checks) if c.kind != "unique"]
     parts: list[DataFrame] = []
     if row_checks:
-        wide = df.agg(*[F.count_if(_failing_condition(c)).alias(f"c{i}") for i, c in row_checks])
+        wide = df.agg(*[F.count_if(failing_condition(c)).alias(f"c{i}") for i, c in row_checks])
         stacked = wide.select(F.explode(F.array(*[
             F.struct(F.lit(i).alias("pos"), F.lit(c.kind).alias("check"), F.lit(c.column).alias("column"),
                      F.col(f"c{i}").alias("failing_rows"))

@@ -414,6 +414,7 @@ ORACLE_SQL.update({
         "SELECT DISTINCT * REPLACE (CASE WHEN event_id IS NOT NULL AND "
         f"{_NUMBER} % 13 = 0 THEN NULL ELSE ingestion_date END AS ingestion_date) FROM sensors"),
     "data_checks_tampered": _with(SENSORS, LABELLED, _TAMPERED) + _checks_report("tampered"),
+    "data_checks_incremental": _with(SENSORS, LABELLED, _TAMPERED) + _checks_report("tampered"),
     "catalog_roundtrip": _with(SENSORS, CLEAN) + "SELECT * FROM clean",
     "bucketed_append": _with(SENSORS) + f"SELECT DISTINCT * FROM sensors WHERE CAST(ingestion_date AS DATE) >= {_FIRST_DAY} + 10",
     "zordered_table": _with(SENSORS, CLEAN) + "SELECT * FROM clean",

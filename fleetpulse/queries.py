@@ -36,9 +36,10 @@ from .plans.bronze import ingest_to_bronze
 from .plans.gold import build_gold, build_gold_compact, build_report, materialize_gold
 from .plans.gold_deltas import update_gold
 from .plans.silver import build_silver, clean_readings, transform_bronze_to_silver
+from .plans.stored_checks import stored_report, update_checks
 from .session import scratch_path
 from .sinks.bucketed import new_rows, save_bucketed
-from .sinks.writers import INGEST_KEY, save_as_table
+from .sinks.writers import INGEST_KEY, overwrite_partitioned, rebalanced, save_as_table
 from .sinks.zorder import write_zordered
 from .sources.drift import field, read_drift
 from .sources.fixture import load_sensors
@@ -315,10 +316,7 @@ def data_checks_bronze(spark, sf_dir):
 def data_checks_tampered(spark, sf_dir):
     """M1-M4: the twelve tests on readings whose labels were tampered with, so
     that every test has failing rows."""
-    df = add_labels(_bronze(spark, sf_dir))
-    return C.run_checks(df.withColumns({
-        "emissions_severity": F.when(F.col("nox_ppm") > 440, F.lit("EXTREME")).otherwise(F.col("emissions_severity")),
-        "engine_status": F.when(F.col("rpm") > 2900, F.lit("RUNAWAY")).otherwise(F.col("engine_status"))}))
+    return C.run_checks(_tampered(add_labels(_bronze(spark, sf_dir))))
 
 
 @query
@@ -328,6 +326,30 @@ def data_checks_silver(spark, sf_dir):
     return C.run_checks(_silver_no_lag(spark, sf_dir))
 
 
+def _tampered(labelled: DataFrame) -> DataFrame:
+    return labelled.withColumns({
+        "emissions_severity": F.when(F.col("nox_ppm") > 440, F.lit("EXTREME")).otherwise(F.col("emissions_severity")),
+        "engine_status": F.when(F.col("rpm") > 2900, F.lit("RUNAWAY")).otherwise(F.col("engine_status"))})
+
+
+@query
+def data_checks_incremental(spark, sf_dir):
+    """M1-M4: the tampered readings again, as a layer that is written in three steps; after
+    each the stored checks scan the changed days. Copies of a day's ids come under another
+    day and go again."""
+    labelled = add_labels(_bronze(spark, sf_dir))
+    first, day = _edge_day(labelled, F.min), F.col("ingestion_date")
+    copies = labelled.filter(day == _day(first, 3)).withColumn("ingestion_date", F.lit(_day(first, 6)))
+    path = scratch_path(spark, "checked")
+    steps = [labelled.filter(day < _day(first, 20)).unionByName(copies),
+             _tampered(labelled).filter(day < _day(first, 10)),
+             _tampered(labelled).filter(day >= _day(first, 10))]
+    for rows in steps:
+        overwrite_partitioned(rebalanced(rows, ["ingestion_date"]), path, ["ingestion_date"], dynamic=True)
+        update_checks(spark, path, schema=labelled.schema)
+    return stored_report(spark, path)
+
+
 # --- sources and sinks on staged files ----------------------------------------
 # These write data Spark derives from ``events`` under the shared checkpoint
 # root (a new folder per call), run the layer jobs, and read the result back.
