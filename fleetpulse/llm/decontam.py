@@ -16,11 +16,16 @@ Scale: the benchmark is the stated query set. It is read in blocks of at most
 ``BLOCK_TOKENS`` tokens; a block's index (documented bound, about 100 bytes a
 token) is broadcast and every document is read once per block, inside tasks,
 with no shuffle of documents and no join rows but the verified ones. Documents
-are worked on in chunks of bounded size; a long text is never cut.
+are worked on in chunks of bounded size; a long text is never cut. Where a document and an item
+repeat the same tokens, the diagonals are marked by whole runs, compared in slices of
+``CELLS`` tokens, and those with the same equal places are judged once: memory is bounded, time grows
+with the product of the two lengths at a few nanoseconds a pair of tokens.
 
 Defined results: NULL and empty texts match nothing, and NULL or empty items
-too; items of fewer than ``MIN_ITEM`` tokens cannot tell a leak and are not
-searched; repeated items reported each, repeated rows too; an empty benchmark or table gives no rows.
+too; items of one to four tokens are leaked where they stand whole (80 % of them is all
+of them), so a benchmark of single common words marks many documents; repeated items
+reported each, repeated rows too; an empty benchmark or table gives no rows. Extra
+columns of any name are not looked at, and ``drop_leaked`` keeps them.
 """
 
 from __future__ import annotations
@@ -39,15 +44,16 @@ from .common import stage
 #: Fixed masks: 1 is hashed, 0 is ignored. Items of a length in SHORT_MASKS
 #: have masks of their own.
 MASKS = ("11111", "110111")
-SHORT_MASKS = {5: ("1111", "10111", "11011", "11101"), 6: ("1111", "11011"), 7: (*MASKS, "111011"),
+SHORT_MASKS = {1: ("1",), 2: ("11",), 3: ("111",), 4: ("1111",), 5: ("1111", "10111", "11011", "11101"), 6: ("1111", "11011"), 7: (*MASKS, "111011"),
                10: (*MASKS, "11001011"), 11: (*MASKS, "11001011")}
 MIN_MATCHES = 12
 MIN_IDENTITY = 0.8
-MIN_ITEM = 5
 BLOCK_TOKENS = 500_000
 CHUNK_BYTES = 8_000_000
-#: Token pairs compared at a time when hits are counted.
-CELLS = 2_000_000
+#: Token pairs compared, and pairs of seed places written out, at a time.
+CELLS = 1_000_000
+#: Pairs of places of one seed in one document above which they are not written out.
+HEAVY = 100_000
 
 _LETTERS = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32
                  for c in range(256))
@@ -82,7 +88,7 @@ class Index:
     def __init__(self, items: list[tuple[object, list[bytes]]]):
         self.names = [name for name, _ in items]
         self.vocab: dict[bytes, int] = {}
-        self.items = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws], np.int64)
+        self.items = [np.array([self.vocab.setdefault(w, len(self.vocab) + 1) for w in ws], np.int32)
                       for _, ws in items]
         found: dict[str, list] = {}
         for k, ids in enumerate(self.items):
@@ -97,99 +103,186 @@ class Index:
         self.lens = np.array([len(ids) for ids in self.items], np.int64)
         self.needs = np.minimum(MIN_MATCHES, -(-self.lens * 4 // 5))
         self.starts = np.cumsum(self.lens) - self.lens
-        self.flat = np.concatenate([np.empty(0, np.int64), *self.items])
+        self.flat = np.concatenate([np.empty(0, np.int32), *self.items])
 
-    def hits(self, ids: np.ndarray) -> np.ndarray:
-        """Distinct (item, offset of the item's start in ``ids``)."""
-        out = []
-        for m, (keys, item, at) in self.seeds.items():
-            pos, key = _seeds(ids, m)
+    def candidates(self, flat: np.ndarray, starts: np.ndarray, lens: np.ndarray) -> Iterator[tuple[int, int, np.ndarray]]:
+        """(document, item, offsets of the item's start in the document): the diagonals that
+        hold a seed and enough equal tokens. The documents lie in ``flat`` at ``starts``."""
+        light, heavy = [], {}
+        for m, a in ((m, a) for m in self.seeds for a in range(0, len(flat) - len(m) + 1, CELLS)):
+            keys, item, at = self.seeds[m]
+            pos, key = _seeds(flat[a:a + CELLS + len(m) - 1], m)
+            pos += a
             lo = np.searchsorted(keys, key, "left")
             n = np.searchsorted(keys, key, "right") - lo
             hit = n > 0
-            if hit.any():
-                pos, lo, n = pos[hit], lo[hit], n[hit]
-                row = np.repeat(lo - np.concatenate([[0], np.cumsum(n)[:-1]]), n) + np.arange(n.sum())
-                out.append(np.stack([item[row], np.repeat(pos, n) - at[row]], 1))
-        return np.unique(np.concatenate(out), axis=0) if out else np.empty((0, 2), np.int64)
-
-    def enough(self, ids: np.ndarray, hits: np.ndarray) -> np.ndarray:
-        """The hits whose whole diagonals hold the equal tokens a leak needs."""
+            pos, key, lo, n = pos[hit], key[hit], lo[hit], n[hit]
+            doc = np.searchsorted(starts, pos, "right") - 1
+            if n.sum() > HEAVY:
+                order = np.lexsort((doc, key))
+                k, d = key[order], doc[order]
+                runs = np.flatnonzero(np.concatenate([[True], (k[1:] != k[:-1]) | (d[1:] != d[:-1])]))
+                size = np.diff(np.append(runs, len(k)))
+                rest = np.ones(len(pos), bool)
+                for r in np.flatnonzero(size * n[order[runs]] > HEAVY):
+                    rows = order[runs[r]:runs[r] + size[r]]
+                    rest[rows] = False
+                    x, first = int(doc[rows[0]]), lo[rows[0]]
+                    here = pos[rows] - starts[x]
+                    owners = item[first:first + n[rows[0]]]
+                    cuts = np.append(np.flatnonzero(np.diff(owners, prepend=-1)), len(owners))
+                    for c, e in zip(cuts[:-1], cuts[1:]):
+                        heavy.setdefault((x, int(owners[c])), []).append((here, at[first + c:first + e]))
+                pos, lo, n, doc = pos[rest], lo[rest], n[rest], doc[rest]
+            ends, done = np.cumsum(n), 0
+            while done < len(n):
+                last = max(done + 1, int(np.searchsorted(ends, (ends[done - 1] if done else 0) + CELLS, "right")))
+                c = n[done:last]
+                row = np.repeat(lo[done:last] - (np.cumsum(c) - c), c) + np.arange(c.sum())
+                where = np.repeat(doc[done:last], c)
+                light.append(_distinct(np.stack([where, item[row], np.repeat(pos[done:last], c) - at[row] - starts[where]])))
+                done = last
+        if light:
+            found = self.enough(flat, starts, lens, _distinct(np.concatenate(light, axis=1)))
+            cuts = np.flatnonzero(np.concatenate([[True], (np.diff(found[:2], axis=1) != 0).any(0)])) if found.size else []
+            for a, b in zip(cuts, [*cuts[1:], found.shape[1]]):
+                yield int(found[0, a]), int(found[1, a]), found[2, a:b]
+        for (d, k), parts in heavy.items():
+            yield d, k, self.diagonals(int(lens[d]), k, parts)
+
+    def diagonals(self, n: int, k: int, parts: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """The distinct differences of places (ascending) in a document of ``n`` tokens and in item
+        ``k``, marked by whole runs: no pair of places is written out."""
+        size = int(self.lens[k])
+        marks = np.zeros(n + size, bool)                # offset + size
+        for here, there in parts:
+            low, wide = int(here[0]), int(here[-1] - here[0]) + 1
+            if len(there) * wide <= len(here) * size:
+                held = np.zeros(wide, bool)
+                held[here - low] = True
+                for a in there.tolist():
+                    marks[low + size - a:low + size - a + wide] |= held
+            else:
+                held = np.zeros(size, bool)
+                held[size - 1 - there] = True
+                for p in here.tolist():
+                    marks[p + 1:p + 1 + size] |= held
+        return np.flatnonzero(marks) - size
+
+    def enough(self, flat: np.ndarray, starts: np.ndarray, lens: np.ndarray, hits: np.ndarray) -> np.ndarray:
+        """The hits (document, item, offset) whose whole diagonals hold the equal tokens a leak needs."""
         out, first = [], 0
-        ends = np.cumsum(self.lens[hits[:, 0]])
-        while first < len(hits):
+        ends = np.cumsum(self.lens[hits[1]])
+        while first < hits.shape[1]:
             done = ends[first - 1] if first else 0
             last = max(first + 1, int(np.searchsorted(ends, done + CELLS, "right")))
-            part = hits[first:last]
-            n = self.lens[part[:, 0]]
+            doc, item, offset = part = hits[:, first:last]
+            n = self.lens[item]
             rows = np.cumsum(n) - n
             k = np.arange(n.sum()) - np.repeat(rows, n)
-            at = np.repeat(part[:, 1], n) + k
-            equal = ids[np.clip(at, 0, len(ids) - 1)] == self.flat[np.repeat(self.starts[part[:, 0]], n) + k]
-            equal &= (at >= 0) & (at < len(ids))
-            out.append(part[np.add.reduceat(equal.astype(np.int64), rows) >= self.needs[part[:, 0]]])
+            at = np.repeat(offset, n) + k
+            inside = (at >= 0) & (at < np.repeat(lens[doc], n))
+            at = np.where(inside, at + np.repeat(starts[doc], n), 0)
+            equal = inside & (flat[at] == self.flat[np.repeat(self.starts[item], n) + k])
+            out.append(part[:, np.add.reduceat(equal.astype(np.int64), rows) >= self.needs[item]])
             first = last
-        return np.concatenate(out) if out else hits
-
-    def verify(self, doc: np.ndarray, item: int, offset: int) -> tuple[int, int, int, int] | None:
-        """(equal tokens, segment length, start in doc, start in item) of the
-        best segment on the diagonal, if it is long and equal enough."""
-        ids = self.items[item]
-        a, b = max(0, -offset), min(len(ids), len(doc) - offset)
-        if b <= a:  # the diagonal passes the document by
-            return None
-        equal = doc[offset + a:offset + b] == ids[a:b]
-        if equal.sum() < self.needs[item]:
-            return None
-        # match +1, substitution -4: a segment is 80 % equal where its sum is not
-        # negative; to every end belongs the earliest start that is no higher
-        score = np.concatenate([[0], np.cumsum(np.where(equal, 1, -4))])
-        count = np.concatenate([[0], np.cumsum(equal)])
-        start = np.searchsorted(-np.minimum.accumulate(score), -score, "left")
-        same = count - count[start]
-        most = int(same.max())
-        if most < self.needs[item]:
-            return None
-        places = np.flatnonzero(equal)
-        ends = np.flatnonzero(same == most)
-        first, last = places[count[start[ends]]], places[count[ends] - 1]
-        k = int(np.argmin(last - first))
-        return most, int(last[k] - first[k]) + 1, offset + a + int(first[k]), a + int(first[k])
+        return np.concatenate(out, axis=1) if out else hits
+
+    def best(self, doc: np.ndarray, k: int, offsets: np.ndarray) -> tuple[int, int, int, int] | None:
+        """(equal tokens, segment length, start in doc, start in item) of the best segment on any of the
+        diagonals (ascending), if one is long and equal enough; the greatest of equally good ones."""
+        need, best = int(self.needs[k]), None
+        step = max(1, CELLS // int(self.lens[k]))
+        for first in range(0, len(offsets), step):
+            off = offsets[first:first + step]
+            equal = _equal(doc, self.items[k], off)
+            able = equal.sum(1, dtype=np.int32) >= max(need, best[0] if best else 0)
+            equal, off = equal[able], off[able]
+            if len(off) > 1:            # of diagonals with the same equal places the last one counts
+                bits = np.ascontiguousarray(np.packbits(equal, axis=1)[::-1])
+                row = len(off) - 1 - np.unique(bits.view(f"V{bits.shape[1]}").ravel(), return_index=True)[1]
+                equal, off = equal[row], off[row]
+            if len(off):
+                most, size, start = _segments(equal)
+                top = max(zip(most.tolist(), size.tolist(), (off + start).tolist(), start.tolist()))
+                if top[0] >= need and (best is None or top > best):
+                    best = top
+        return best
 
     def search(self, texts: list[bytes | None]) -> Iterator[tuple[int, int, tuple[int, int, int, int]]]:
         """(text, item, best segment) for every verified pair."""
-        gap = np.zeros(max(map(len, self.seeds), default=0), np.int64)
+        gap = np.zeros(max(map(len, self.seeds), default=0), np.int32)
         first = 0
         while first < len(texts):
             size, last = 0, first
             while last < len(texts) and (last == first or size + len(texts[last] or b"") <= CHUNK_BYTES):
                 size += len(texts[last] or b"")
                 last += 1
-            docs = [np.array([self.vocab.get(w, 0) for w in tokens(t)], np.int64) for t in texts[first:last]]
-            starts = np.concatenate([[0], np.cumsum([len(d) + len(gap) for d in docs])]).astype(np.int64)
+            docs = [np.fromiter((self.vocab.get(w, 0) for w in tokens(t)), np.int32) for t in texts[first:last]]
+            lens = np.array([len(d) for d in docs], np.int64)
+            starts = np.cumsum(lens + len(gap)) - lens - len(gap)
             flat = np.concatenate([x for d in docs for x in (d, gap)])
             best: dict[tuple[int, int], tuple] = {}
-            hits = self.enough(flat, self.hits(flat))
-            # an offset may lie before its document's start; the hit itself lies inside
-            for item, offset in hits.tolist():
-                for d in range(max(0, int(np.searchsorted(starts, offset, "right")) - 1), len(docs)):
-                    if starts[d] > offset + len(self.items[item]):
-                        break
-                    seg = self.verify(docs[d], item, offset - int(starts[d]))
-                    if seg and seg > best.get((d, item), (0,)):
-                        best[d, item] = seg
+            for d, item, offsets in self.candidates(flat, starts, lens):
+                seg = self.best(docs[d], item, offsets)
+                if seg and seg > best.get((d, item), (0,)):
+                    best[d, item] = seg
             for (d, item), seg in sorted(best.items()):
                 yield first + d, item, seg
             first = last
 
 
+def _distinct(hits: np.ndarray) -> np.ndarray:
+    """The distinct columns, in order."""
+    hits = hits[:, np.lexsort(hits[::-1])]
+    return hits[:, np.concatenate([[True], (np.diff(hits, axis=1) != 0).any(0)])] if hits.size else hits
+
+
+def _equal(doc: np.ndarray, item: np.ndarray, off: np.ndarray) -> np.ndarray:
+    """Per offset (ascending) and token of the item: is it the document's token there?"""
+    lo, hi = int(off[0]), int(off[-1]) + len(item)
+    if hi - lo <= 4 * (len(off) + len(item)):       # close together: windows over one stretch
+        part = np.zeros(hi - lo, doc.dtype)
+        a, b = max(lo, 0), min(hi, len(doc))
+        if b > a:
+            part[a - lo:b - lo] = doc[a:b]
+        rows = np.lib.stride_tricks.sliding_window_view(part, len(item))
+        return (rows if len(rows) == len(off) else rows[off - lo]) == item
+    at = off[:, None] + np.arange(len(item))
+    return (doc[np.clip(at, 0, len(doc) - 1)] == item) & (at >= 0) & (at < len(doc))
+
+
+def _segments(equal: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(equal tokens, length, start) of the best segment of every row that is 80 % equal: the
+    most equal tokens, then the shortest, then the first."""
+    rows, n = equal.shape
+    edge = np.zeros((rows, 1), np.int64)
+    # match +1, substitution -4: a segment is 80 % equal where its sum is not
+    # negative; to every end belongs the earliest start that is no higher
+    score = np.concatenate([edge, np.cumsum(np.where(equal, 1, -4), axis=1)], axis=1)
+    count = np.concatenate([edge, np.cumsum(equal, axis=1)], axis=1)
+    row = np.arange(rows)[:, None]
+    apart = row * (5 * n + 1)                       # the rows as one ascending sequence
+    low = (apart - np.minimum.accumulate(score, axis=1)).ravel()
+    start = np.searchsorted(low, (apart - score).ravel(), "left").reshape(rows, n + 1) - row * (n + 1)
+    same = count - np.take_along_axis(count, start, axis=1)
+    most = same.max(1)
+    place = np.arange(n)
+    after = np.minimum.accumulate(np.where(equal, place, n)[:, ::-1], axis=1)[:, ::-1]
+    after = np.take_along_axis(np.concatenate([after, edge + n], axis=1), start, axis=1)
+    before = np.concatenate([edge - 1, np.maximum.accumulate(np.where(equal, place, -1), axis=1)], axis=1)
+    size = np.where(same == most[:, None], before - after + 1, n + 1)
+    end = size.argmin(1)
+    return most, size[np.arange(rows), end], after[np.arange(rows), end]
+
+
 def _blocks(bench: DataFrame, id_col: str, text_col: str) -> Iterator[list]:
     """The searchable items in blocks, streamed from the table."""
     block, size = [], 0
     rows = bench.select(F.col(id_col), F.col(text_col).cast("binary"))
     for name, text in rows.toLocalIterator():
         ws = tokens(bytes(text) if text is not None else None)
-        if len(ws) < MIN_ITEM:
+        if not ws:
             continue
         if block and size + len(ws) > BLOCK_TOKENS:
             yield block

@@ -1,7 +1,10 @@
 """Substring dedup, near duplicates and decontamination against brute force."""
 
 import math
+import os
 import random
+import subprocess
+import sys
 from collections import Counter, defaultdict
 from itertools import combinations
 
@@ -314,7 +317,44 @@ def test_leaks_by_definition():
     assert 100 < hits < 290
 
 
-@pytest.mark.parametrize("size", range(5, 16))
+@pytest.mark.parametrize("heavy, cells", [(0, 50), (3, 7), (10**6, 10**6)])
+def test_repeating_tokens_and_short_items(monkeypatch, heavy, cells):
+    """Few different tokens: many diagonals hold seeds, by runs or written out."""
+    monkeypatch.setattr(decontam, "HEAVY", heavy)
+    monkeypatch.setattr(decontam, "CELLS", cells)
+    r = random.Random(3)
+    hits = 0
+    for k in range(250):
+        words = ["a"] * r.choice([1, 4]) + [f"b{j}" for j in range(r.choice([0, 1, 2, 30]))]
+        items = [[r.choice(words) for _ in range(r.choice([1, 2, 3, 4, 6, 12, 25]))] for _ in range(r.choice([1, 3]))]
+        docs = [[r.choice(words) for _ in range(r.choice([0, 3, 20, 60]))] for _ in range(3)]
+        index = decontam.Index([(j, [w.encode() for w in x]) for j, x in enumerate(items)])
+        found = {(d, j): seg for d, j, seg in index.search([" ".join(d).encode() for d in docs])}
+        assert {key: seg[0] for key, seg in found.items()} == {
+            (d, j): best for d in range(3) for j in range(len(items)) if (best := plain_leak(docs[d], items[j]))}
+        for (d, j), (n, size, a, b) in found.items():
+            assert n * 5 >= size * 4 and n == sum(docs[d][a + x] == items[j][b + x] for x in range(size))
+        hits += len(found)
+    assert hits > 400
+
+
+def test_ten_megabytes_of_one_token():
+    """Seconds and memory of a process of its own."""
+    code = """
+import resource, time
+from fleetpulse.llm import decontam
+index = decontam.Index([(0, [b"a"] * 300), (1, [b"a"])])
+start = time.monotonic()
+found = list(index.search([b"a " * 5_000_000, b"b " * 10]))
+assert found == [(0, 0, (300, 300, 4_999_700, 0)), (0, 1, (1, 1, 4_999_999, 0))], found
+print(time.monotonic() - start, resource.getrusage(resource.RUSAGE_SELF).ru_maxrss)
+"""
+    root = os.path.dirname(os.path.dirname(decontam.__file__)) + "/.."
+    spent, peak = subprocess.run([sys.executable, "-c", code], cwd=root, check=True, capture_output=True, text=True).stdout.split()
+    assert float(spent) < 60 and int(peak) < 500_000        # kB
+
+
+@pytest.mark.parametrize("size", range(1, 16))
 def test_seeds_find_every_place_of_substitutions(size):
     item = [f"q{k}" for k in range(size)]
     need = min(12, math.ceil(size * 0.8 - 1e-9))
