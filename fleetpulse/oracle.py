@@ -398,7 +398,26 @@ narrow AS (SELECT {SENSOR_COLS} FROM (
         ORDER BY CAST(timestamp AS TIMESTAMP) ASC NULLS LAST, {PAYLOAD_ORDER}) AS rn
     FROM sensors WHERE {" AND ".join(_rule(*r) for r in NB_RULES)} AND event_id IS NOT NULL) WHERE rn = 1)"""
 
+_INT, _TEXT, _BOOL = ("equipment_year",), ("event_id", "equipment_id", "equipment_type", "equipment_model", "timestamp",
+                                           "anomaly_flags", "ingestion_date"), ("is_anomaly",)
+
+
+def _profile() -> str:
+    kind = lambda c: "int" if c in _INT else "string" if c in _TEXT else "boolean" if c in _BOOL else "double"
+    return " UNION ALL ".join(
+        f"SELECT CAST({k} AS INTEGER) AS position, '{c}' AS \"column\", '{kind(c)}' AS type, "
+        f"COUNT(*) AS \"rows\", COUNT(*) - COUNT({c}) AS nulls FROM sensors" for k, c in enumerate(SENSOR_COLS.split(", ")))
+
+
 ORACLE_SQL.update({
+    "catalog_tables": _with(SENSORS, CLEAN, SILVER, KPI) + (
+        "SELECT 'bronze' AS table_name, COUNT(*) AS \"rows\" FROM sensors UNION ALL "
+        "SELECT 'silver', COUNT(*) FROM clean UNION ALL SELECT 'gold', COUNT(*) FROM kpi"),
+    "layer_profile": _with(SENSORS) + _profile(),
+    "records_by_client": _with(SENSORS) + (
+        f"SELECT {SENSOR_COLS} FROM (SELECT *, row_number() OVER (PARTITION BY event_id "
+        f"ORDER BY CAST(timestamp AS TIMESTAMP) ASC NULLS LAST, {PAYLOAD_ORDER}) AS rn "
+        "FROM sensors WHERE event_id IS NOT NULL) WHERE rn = 1 ORDER BY event_id DESC LIMIT 20"),
     "incremental_gap": _with(SENSORS, _GAPPED, *_over("gapped", CLEAN), SILVER) + "SELECT * FROM silver",
     "incremental_middle_day": _SILVER_FULL,
     "incremental_split_dates": _SILVER_FULL,

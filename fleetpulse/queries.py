@@ -11,6 +11,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, PIPELINE_VERSION, SENSOR_COLUMNS, SIX_METRIC_QUALITY_RULES
 from .functions.columns import anomaly_flag_array
 from .operators import checks as C
+from .operators.checks import row_count
 from .operators.dedupe import dedupe_events as dedupe
 from .operators.enrich import add_labels, add_prev_and_delta, add_time_parts
 from .operators.envelope import envelope_summary
@@ -44,7 +46,15 @@ from .sinks.zorder import write_zordered
 from .sources.drift import field, read_drift
 from .sources.fixture import load_sensors
 from .sources.json_source import read_sensor_json, split_corrupt
-from .sources.layers import BRONZE_SCHEMA, SILVER_SCHEMA, read_layer, read_table
+from .sources.layers import (
+    BRONZE_SCHEMA,
+    SILVER_SCHEMA,
+    list_tables,
+    profile,
+    read_layer,
+    read_table,
+    readings_from_records,
+)
 from .streaming.daily_counts import read_daily_counts, start_daily_counts
 from .streaming.daily_kpis import read_daily_kpis, start_daily_kpis
 from .streaming.ingest import start_stream_ingest
@@ -547,6 +557,33 @@ def catalog_roundtrip(spark, sf_dir):
     return read_table(spark, name)
 
 
+@query
+def catalog_tables(spark, sf_dir):
+    """The layers saved as tables of a database of their own, listed, with their rows."""
+    clean, database = clean_readings(_bronze(spark, sf_dir)), f"fleetpulse_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{scratch_path(spark, 'database')}'")
+    save_as_table(_bronze(spark, sf_dir), f"{database}.bronze")
+    save_as_table(clean, f"{database}.silver")
+    save_as_table(build_gold(add_labels(add_time_parts(clean))), f"{database}.gold")
+    names = [r.tableName for r in list_tables(spark, database).collect()]
+    counts = [row_count(read_table(spark, f"{database}.{n}")).select(F.lit(n).alias("table_name"), "rows") for n in names]
+    return reduce(DataFrame.unionByName, counts)
+
+
+@query
+def layer_profile(spark, sf_dir):
+    """Columns, types and NULLs of the raw readings."""
+    return profile(_bronze(spark, sf_dir))
+
+
+@query
+def records_by_client(spark, sf_dir):
+    """A3: the twenty readings of the greatest ids, fetched as records by a client, as a
+    DataFrame under the declared schema again."""
+    last = dedupe(drop_null_key(_bronze(spark, sf_dir))).orderBy(F.desc("event_id")).limit(20)
+    return readings_from_records(spark, [r.asDict() for r in last.collect()])
+
+
 @query
 def bucketed_append(spark, sf_dir):
     """All readings against those of the first ten days, both in tables

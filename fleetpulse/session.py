@@ -22,6 +22,31 @@ DEFAULT_CONF = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+# What a session needs for a table format whose jar is on its class path
+# (``spark.jars`` or ``spark.jars.packages`` among the caller's options).
+TABLE_FORMATS = {
+    "parquet": {},
+    "delta": {
+        "spark.sql.extensions": "io.delta.sql.DeltaSparkSessionExtension",
+        "spark.sql.catalog.spark_catalog": "org.apache.spark.sql.delta.catalog.DeltaCatalog",
+    },
+    "iceberg": {
+        "spark.sql.extensions": "org.apache.iceberg.spark.extensions.IcebergSparkSessionExtensions",
+        "spark.sql.catalog.spark_catalog": "org.apache.iceberg.spark.SparkSessionCatalog",
+    },
+}
+
+
+def session_options(table_format: str = "parquet", extra: dict | None = None) -> dict[str, str]:
+    """All options of a session: the defaults, those of the table format, and the
+    caller's, which win; extensions of both are kept."""
+    of_format = TABLE_FORMATS[table_format]
+    options = {**DEFAULT_CONF, **of_format, **{k: str(v) for k, v in (extra or {}).items()}}
+    names = [o.get("spark.sql.extensions") for o in (of_format, extra or {})]
+    if any(names):
+        options["spark.sql.extensions"] = ",".join(dict.fromkeys(n for part in names if part for n in part.split(",")))
+    return options
+
 
 def _driver_memory() -> str:
     """Local driver heap: 60% of physical memory, at most 8 GB."""
@@ -33,13 +58,13 @@ def _driver_memory() -> str:
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "fleetpulse",
-                  extra: dict | None = None) -> SparkSession:
-    """A local session for tests and benchmarks. On a cluster use the
-    session the platform hands you; the library never builds its own."""
+                  extra: dict | None = None, table_format: str = "parquet") -> SparkSession:
+    """A local session for tests and benchmarks, with ``session_options``. On a cluster use
+    the session the platform hands you; the library never builds its own."""
     builder = (SparkSession.builder.master(f"local[{cores}]").appName(app)
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
                .config("spark.driver.memory", _driver_memory()))
-    for k, v in {**DEFAULT_CONF, **(extra or {})}.items():
+    for k, v in session_options(table_format, extra).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import (
     BooleanType,
     DoubleType,
@@ -67,6 +68,18 @@ def inspect(df: DataFrame, n: int = 5) -> tuple[str, DataFrame]:
     return df.schema.treeString(), df.limit(n)
 
 
+def profile(df: DataFrame) -> DataFrame:
+    """(position, column, type, rows, nulls) of every column, in one aggregate over the table; of an
+    empty table zeros."""
+    fields = df.schema.fields
+    wide = df.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(F.col(f"`{f.name}`").isNull()).alias(f"n{k}")
+                                                     for k, f in enumerate(fields)])
+    each = F.array(*[F.struct(F.lit(k).alias("position"), F.lit(f.name).alias("column"),
+                              F.lit(f.dataType.simpleString()).alias("type"), "rows", F.col(f"n{k}").alias("nulls"))
+                     for k, f in enumerate(fields)])
+    return wide.select(F.explode(each).alias("r")).select("r.*")
+
+
 @dataclass(frozen=True)
 class LayerRegistry:
     """Maps layer names to storage paths under one root (shared storage on a

@@ -132,6 +132,14 @@ def test_catalog_table_roundtrip(spark):
     assert read_table(spark, "fp_test_bronze").count() == 1
 
 
+def test_profile_counts_nulls_of_every_column(spark):
+    from fleetpulse.sources.layers import profile
+    df = spark.createDataFrame([(1, None), (2, "x"), (None, None)], "`a.b` int, c string")
+    want = [(0, "a.b", "int", 3, 1), (1, "c", "string", 3, 2)]
+    assert [tuple(r) for r in profile(df).orderBy("position").collect()] == want
+    assert [tuple(r)[3:] for r in profile(df.limit(0)).collect()] == [(0, 0), (0, 0)]
+
+
 def test_gold_sql_equals_dataframe_form(spark):
     from fleetpulse.plans.gold import build_gold
     from fleetpulse.plans.gold_sql import gold_kpis_sql
