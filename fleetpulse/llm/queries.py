@@ -50,7 +50,7 @@ def op2_substring_dedup(spark, sf_dir):
 
 @query
 def op3_quotation_linking(spark, sf_dir):
-    return quotes.conversations(read_table(spark, sf_dir, "conversations")).drop("sub_part")
+    return quotes.conversations(read_table(spark, sf_dir, "conversations"))
 
 
 @query
@@ -164,33 +164,37 @@ FROM kept
 
 ORACLE_SQL["op3_quotation_linking"] = r"""
 WITH RECURSIVE
-msgs AS (SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations),
+msgs AS (SELECT *, ('0x' || substr(md5(md5(coalesce('s' || role, 'n')) || text), 1, 15))::BIGINT AS mark
+         FROM (SELECT DISTINCT conv_id, turn, role, coalesce(text, '') AS text FROM conversations)),
 numbered AS (SELECT *, string_split(text, chr(10)) AS ls FROM msgs),
-lines AS (
-  SELECT conv_id, turn, role, text, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS k FROM numbered),
-parsed AS (
-  SELECT *, regexp_extract(line, '^[ \t>]*', 0) AS lead FROM lines),
+lines AS (SELECT conv_id, turn, role, mark, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS k FROM numbered),
+parsed AS (SELECT *, regexp_extract(line, '^[ \t>]*', 0) AS lead FROM lines),
 leveled AS (
   SELECT *, length(lead) - length(replace(lead, '>', '')) AS lvl, substr(line, length(lead) + 1) AS body FROM parsed),
+beside AS (
+  SELECT *, lag(lvl) OVER m IS DISTINCT FROM lvl AS other, lag(lower(trim(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g'))) = '') OVER m AS after_blank
+  FROM leveled WHERE conv_id IS NOT NULL AND turn IS NOT NULL WINDOW m AS (PARTITION BY conv_id, turn, mark ORDER BY k)),
+cut AS (
+  SELECT *, count(*) FILTER (other) OVER m AS run, count(*) FILTER (other OR after_blank) OVER m AS par
+  FROM beside WINDOW m AS (PARTITION BY conv_id, turn, mark ORDER BY k)),
+passages AS (
+  SELECT conv_id, turn, mark, lvl, lower(trim(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g'))) AS s, [k] AS places FROM cut
+  UNION ALL SELECT conv_id, turn, mark, lvl, lower(trim(regexp_replace(string_agg(body, ' ' ORDER BY k), '[\x20\x09-\x0D]+', ' ', 'g'))), list(k) FROM cut GROUP BY conv_id, turn, mark, lvl, run
+  UNION ALL SELECT conv_id, turn, mark, lvl, lower(trim(regexp_replace(string_agg(body, ' ' ORDER BY k), '[\x20\x09-\x0D]+', ' ', 'g'))), list(k) FROM cut GROUP BY conv_id, turn, mark, lvl, par
+  UNION ALL SELECT conv_id, turn, mark, lvl, lower(trim(regexp_replace(string_agg(body, ' ' ORDER BY k), '[\x20\x09-\x0D]+', ' ', 'g'))), list(k) FROM cut GROUP BY conv_id, turn, mark, lvl),
+originals AS (SELECT conv_id, s, min(turn) AS wrote FROM passages WHERE lvl = 0 AND s <> '' GROUP BY conv_id, s),
+met AS (
+  SELECT q.*, o.wrote FROM passages q JOIN originals o ON q.conv_id = o.conv_id AND q.s = o.s
+  WHERE q.lvl > 0 AND o.wrote < q.turn),
+gone AS (SELECT DISTINCT conv_id, turn, mark, unnest(places) AS k FROM met),
 built AS (
-  SELECT conv_id, turn, role, text, coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (lvl = 0), '') AS own,
-         count(*) FILTER (lvl > 0) AS n_quoted
-  FROM leveled GROUP BY conv_id, turn, role, text),
-own_keys AS (
-  SELECT conv_id, turn, lower(trim(regexp_replace(line, '[\x20\x09-\x0D]+', ' ', 'g'))) AS s FROM leveled WHERE lvl = 0
-  UNION SELECT conv_id, turn, lower(trim(regexp_replace(own, '[\x20\x09-\x0D]+', ' ', 'g'))) FROM built),
-originals AS (SELECT conv_id, s, min(turn) AS wrote FROM own_keys
-              WHERE s <> '' AND conv_id IS NOT NULL AND turn IS NOT NULL GROUP BY conv_id, s),
-quoted AS (
-  SELECT conv_id, turn, lvl, lower(trim(regexp_replace(body, '[\x20\x09-\x0D]+', ' ', 'g'))) AS s
-  FROM leveled WHERE lvl > 0
-  UNION
-  SELECT conv_id, turn, lvl, lower(trim(regexp_replace(string_agg(body, ' ' ORDER BY k), '[\x20\x09-\x0D]+', ' ', 'g')))
-  FROM leveled WHERE lvl > 0 GROUP BY conv_id, turn, role, text, lvl),
+  SELECT l.conv_id, l.turn, l.role, l.mark, count(g.k) AS n_quoted,
+         coalesce(string_agg(l.line, chr(10) ORDER BY l.k) FILTER (g.k IS NULL), '') AS own
+  FROM leveled l LEFT JOIN gone g ON l.conv_id = g.conv_id AND l.turn = g.turn AND l.mark = g.mark AND l.k = g.k
+  GROUP BY l.conv_id, l.turn, l.role, l.mark),
 found AS (
-  SELECT q.conv_id, q.turn, q.lvl, o.wrote, count(*) AS n
-  FROM quoted q JOIN originals o ON q.conv_id = o.conv_id AND q.s = o.s
-  WHERE q.s <> '' AND o.wrote < q.turn GROUP BY q.conv_id, q.turn, q.lvl, o.wrote),
+  SELECT conv_id, turn, lvl, wrote, count(*) AS n FROM (SELECT DISTINCT conv_id, turn, lvl, s, wrote FROM met)
+  GROUP BY conv_id, turn, lvl, wrote),
 links AS (
   SELECT conv_id, turn, wrote AS reply_to FROM found
   QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY lvl, n DESC, wrote DESC) = 1),
@@ -200,15 +204,30 @@ climb AS (
   SELECT c.conv_id, c.turn, l.reply_to FROM climb c JOIN links l ON c.conv_id = l.conv_id AND c.top = l.turn),
 tops AS (SELECT conv_id, turn, min(top) AS thread FROM climb GROUP BY conv_id, turn),
 placed AS (
-  SELECT b.conv_id, b.turn, b.role, b.own, b.n_quoted, l.reply_to, coalesce(t.thread, b.turn) AS thread,
-         CASE WHEN b.conv_id IS NULL THEN md5(concat_ws(':', b.turn, b.role, b.own)) END AS alone
+  SELECT b.conv_id, b.turn, b.role, b.own, b.mark, b.n_quoted, l.reply_to, coalesce(t.thread, b.turn) AS thread,
+         floor(coalesce(t.thread, b.turn) / 512)::BIGINT AS thread_part, floor(b.turn / 512)::BIGINT AS turn_part,
+         CASE WHEN b.conv_id IS NULL THEN b.mark || ':' || coalesce(b.turn, -1) END AS alone
   FROM built b LEFT JOIN links l ON b.conv_id = l.conv_id AND b.turn = l.turn
-  LEFT JOIN tops t ON b.conv_id = t.conv_id AND b.turn = t.turn)
-SELECT conv_id, floor(thread / 512)::BIGINT AS thread_part, floor(turn / 512)::BIGINT AS turn_part,
+  LEFT JOIN tops t ON b.conv_id = t.conv_id AND b.turn = t.turn),
+turns AS (
+  SELECT *, CASE WHEN n > 4096 THEN ceil(n * 2 / 4096)::BIGINT ELSE 0 END AS deal,
+         sum(n) OVER (PARTITION BY conv_id, thread_part, turn_part) AS n_part
+  FROM (SELECT conv_id, thread_part, turn_part, thread, turn, count(*) AS n FROM placed WHERE conv_id IS NOT NULL
+        GROUP BY conv_id, thread_part, turn_part, thread, turn)),
+dealt AS (
+  SELECT *, floor(coalesce(sum(CASE WHEN deal > 0 THEN (deal + 2) * 4096 ELSE n END) OVER (
+           PARTITION BY conv_id, thread_part, turn_part ORDER BY thread NULLS LAST, turn NULLS LAST
+           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 4096)::BIGINT AS first
+  FROM turns WHERE n_part > 4096),
+parts AS (
+  SELECT p.*, coalesce(d.first + CASE WHEN d.deal > 0 THEN 1 + p.mark % d.deal ELSE 0 END, 0)::BIGINT AS sub_part
+  FROM placed p LEFT JOIN dealt d ON p.conv_id = d.conv_id AND p.thread_part IS NOT DISTINCT FROM d.thread_part
+  AND p.turn_part IS NOT DISTINCT FROM d.turn_part AND p.thread IS NOT DISTINCT FROM d.thread AND p.turn IS NOT DISTINCT FROM d.turn)
+SELECT conv_id, thread_part, turn_part, sub_part,
        count(*) AS n_messages, count(reply_to) AS n_replies, sum(n_quoted)::BIGINT AS n_quoted,
        string_agg('<|' || coalesce(role, '') || '|>' || chr(10) || own, chr(10)
                   ORDER BY thread NULLS LAST, turn NULLS LAST, coalesce(role, ''), own) AS chat
-FROM placed GROUP BY conv_id, alone, floor(thread / 512), floor(turn / 512)
+FROM parts GROUP BY conv_id, alone, thread_part, turn_part, sub_part
 """
 
 ORACLE_SQL["op13_prefix_trie"] = r"""

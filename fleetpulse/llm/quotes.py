@@ -13,7 +13,7 @@ or over others. Conversations list their threads by the turn of the first
 message, and a thread's messages by turn, so that a reply always follows what
 it quotes; quoted lines are left out.
 
-Scale: originals are reduced to (conversation, hash) -> earliest turn by a
+Scale: only conversations with a line that begins with > are parsed, once. Originals are reduced to (conversation, hash) -> earliest turn by a
 partial aggregation, so a line that everybody writes is one row and the join
 makes no pairs; a large conversation's join partition is split by AQE. Threads
 are found by pointer doubling over the links only, staged per round (rounds:
@@ -26,7 +26,7 @@ sub-parts by a hash; so a group holds about 2 * ``LIMIT`` messages at most.
 Defined results: repeated rows are one message; different texts at the same
 turn share their reply; NULL text is an empty message; messages without a
 conversation id stand alone, each a conversation of its own; messages without
-a turn link to nothing and come last; a message of quotes only has an empty
+a turn link to nothing and come last, and keep their lines; a message of linked quotes only has an empty
 text; an empty table gives an empty result. Other columns are not carried.
 """
 
@@ -46,64 +46,85 @@ def _norm(s: Column) -> Column:
 
 
 def _runs(lines: Column, paragraphs: bool) -> Column:
-    """struct(level, s) of every run of consecutive lines of one level, cut
-    after blank lines for paragraphs; blank lines at the ends do not count."""
+    """struct(level, s, places) of every run of consecutive lines of one level, cut
+    after blank lines for paragraphs; blank lines at the ends do not count in s."""
     def starts(x, i):
         before = F.get(lines, i - 1)
         cut = (i == 0) | (before["level"] != x["level"])
         return cut | (_norm(before["body"]) == "") if paragraphs else cut
 
     at = F.filter(F.transform(lines, lambda x, i: F.when(F.coalesce(starts(x, i), F.lit(True)), i)), lambda i: i.isNotNull())
-    return let(at, lambda at: F.transform(at, lambda a, k: F.struct(
+    return let(at, lambda at: F.transform(at, lambda a, k: let(F.coalesce(F.get(at, k + 1), F.size(lines)), lambda end: F.struct(
         F.get(lines, a)["level"].alias("level"),
-        _norm(F.array_join(F.transform(F.slice(lines, a + 1, F.coalesce(F.get(at, k + 1), F.size(lines)) - a),
-                                       lambda x: x["body"]), " ")).alias("s"))))
+        _norm(F.array_join(F.transform(F.slice(lines, a + 1, end - a), lambda x: x["body"]), " ")).alias("s"),
+        F.sequence(a, end - 1).alias("places")))))
 
 
-def parse(messages: DataFrame) -> DataFrame:
-    """(conv_id, turn, role, own, mark, n_quoted, own_keys, quoted): the text without
-    quoted lines, a hash of the message, hashes of what the message wrote, and struct(level, key) of
-    what it quotes."""
+def distinct_messages(messages: DataFrame) -> DataFrame:
+    """(conv_id, turn, role, text, mark, quotes): every message once, a hash of it, and
+    whether a line of it begins with >."""
     rows = messages.select("conv_id", "turn", "role", F.coalesce("text", F.lit("")).alias("text")).distinct()
+    whole = F.md5(F.concat(F.md5(F.coalesce(F.concat(F.lit("s"), "role"), F.lit("n"))), F.col("text")))
+    return rows.withColumns({"mark": F.conv(F.substring(whole, 1, 15), 16, 10).cast("long"),
+                             "quotes": F.col("text").rlike(r"(^|\n)[ \t]*>")})
+
+
+def parse(rows: DataFrame) -> DataFrame:
+    """(conv_id, turn, mark, lines, own_keys, quoted): the lines of a message that quotes, hashes of what
+    the message wrote, and struct(level, key, places) of the passages it quotes."""
     lines = F.transform(F.split("text", "\n"), lambda x: F.struct(
         F.regexp_extract(x, r"^[ \t>]*", 0).alias("lead"), x.alias("line")))
     lines = F.transform(lines, lambda x: F.struct(
         F.length(F.regexp_replace(x["lead"], "[^>]", "")).alias("level"), x["line"].alias("line"),
         F.substring(x["line"], F.length(x["lead"]) + 1, F.length(x["line"])).alias("body")))
     rows = rows.withColumn("lines", lines)
-    own = F.array_join(F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: x["line"]), "\n")
-    rows = rows.withColumn("own", own).withColumn("cited", F.filter("lines", lambda x: x["level"] > 0))
-    some = lambda keys: F.transform(F.filter(keys, lambda s: s != ""), lambda s: F.xxhash64(s))
-    # the body of an own line has no leading blanks: the same when normalised
+    # a message of one line is its own run
     runs = F.concat(_runs(F.col("lines"), False), _runs(F.col("lines"), True))
-    rows = rows.withColumn("runs", F.when(F.size("lines") > 1, F.array_distinct(runs)).otherwise(F.array().cast("array<struct<level:int,s:string>>")))
-    own_keys = F.array_distinct(some(F.concat(
-        F.transform(F.filter("lines", lambda x: x["level"] == 0), lambda x: _norm(x["line"])),
-        F.transform(F.filter("runs", lambda x: x["level"] == 0), lambda x: x["s"]), F.array(_norm(F.col("own"))))))
-    levels = F.array_distinct(F.transform("cited", lambda x: x["level"]))
-    single = F.transform("cited", lambda x: F.struct(x["level"].alias("level"), _norm(x["body"]).alias("s")))
-    whole = F.transform(levels, lambda v: F.struct(v.alias("level"), _norm(F.array_join(F.transform(
-        F.filter("cited", lambda x: x["level"] == v), lambda x: x["body"]), " ")).alias("s")))
-    quoted = F.array_distinct(F.transform(F.filter(F.concat(
-        single, F.filter("runs", lambda x: x["level"] > 0), whole), lambda x: x["s"] != ""), lambda x: F.struct(
-        x["level"].alias("level"), F.xxhash64(x["s"]).alias("key"))))
-    return rows.select("conv_id", "turn", "role", "own", F.xxhash64("role", "text").alias("mark"), F.size("cited").cast("long").alias("n_quoted"),
-                       own_keys.alias("own_keys"), quoted.alias("quoted"))
-
-
-def reply_links(parsed: DataFrame) -> DataFrame:
-    """(conv_id, turn, reply_to) of every message that quotes an earlier one."""
-    quotes = (parsed.filter(F.size("quoted") > 0).select("conv_id", "turn", F.explode("quoted").alias("q"))
-              .select("conv_id", "turn", "q.level", "q.key").distinct())
-    originals = (parsed.filter("conv_id IS NOT NULL AND turn IS NOT NULL")
-                 .select("conv_id", "turn", F.explode("own_keys").alias("key"))
+    single = F.transform("lines", lambda x, i: F.struct(x["level"].alias("level"), _norm(x["body"]).alias("s"), F.array(i).alias("places")))
+    levels = F.array_distinct(F.transform("lines", lambda x: x["level"]))
+    numbered = F.transform("lines", lambda x, i: F.struct(x["level"].alias("level"), x["body"].alias("body"), i.alias("i")))
+    whole = let(numbered, lambda n: F.transform(levels, lambda v: let(F.filter(n, lambda x: x["level"] == v), lambda part: F.struct(
+        v.alias("level"), _norm(F.array_join(F.transform(part, lambda x: x["body"]), " ")).alias("s"),
+        F.transform(part, lambda x: x["i"]).alias("places")))))
+    passages = F.when(F.size("lines") > 1, F.concat(single, runs, whole)).otherwise(single)
+    rows = rows.withColumn("passages", F.filter(passages, lambda p: p["s"] != ""))
+    own = F.array_distinct(F.transform(F.filter("passages", lambda p: p["level"] == 0), lambda p: F.xxhash64(p["s"])))
+    quoted = F.array_distinct(F.transform(F.filter("passages", lambda p: p["level"] > 0), lambda p: F.struct(
+        p["level"].alias("level"), F.xxhash64(p["s"]).alias("key"), p["places"].alias("places"))))
+    return rows.select("conv_id", "turn", "mark", F.when(F.col("quotes"), F.transform("lines", lambda x: x["line"])).alias("lines"),
+                       own.alias("own_keys"), quoted.alias("quoted"))
+
+
+def met_passages(parsed: DataFrame) -> DataFrame:
+    """(conv_id, turn, mark, level, key, places, wrote): the quoted passages that an earlier message
+    wrote, with its turn."""
+    quotes = parsed.select("conv_id", "turn", "mark", F.explode("quoted").alias("q")).select("conv_id", "turn", "mark", "q.*")
+    originals = (parsed.select("conv_id", "turn", F.explode("own_keys").alias("key"))
                  .groupBy("conv_id", "key").agg(F.min("turn").alias("wrote")))
-    found = (quotes.join(originals, ["conv_id", "key"]).filter("wrote < turn")
+    return quotes.join(originals, ["conv_id", "key"]).filter("wrote < turn")
+
+
+def reply_links(met: DataFrame) -> DataFrame:
+    """(conv_id, turn, reply_to) of every message that quotes an earlier one."""
+    found = (met.select("conv_id", "turn", "level", "key", "wrote").distinct()
              .groupBy("conv_id", "turn", "level", "wrote").agg(F.count(F.lit(1)).alias("n")))
     best = F.max(F.struct((-F.col("level")).alias("level"), "n", "wrote")).alias("best")
     return found.groupBy("conv_id", "turn").agg(best).select("conv_id", "turn", F.col("best.wrote").alias("reply_to"))
 
 
+def without_quotes(parsed: DataFrame, met: DataFrame) -> DataFrame:
+    """(conv_id, turn, mark, own, n_quoted) of the messages with met passages: the text
+    without their lines, and how many these are."""
+    message = ["conv_id", "turn", "mark"]
+    gone = met.select(*message, F.explode("places").alias("i")).distinct()
+    counts = gone.groupBy(*message).agg(F.count(F.lit(1)).alias("n_quoted"))
+    lines = parsed.join(counts, message, "left_semi").select(*message, F.posexplode("lines").alias("i", "line"))
+    kept = F.sort_array(F.collect_list(F.struct("i", "line")))
+    own = lines.join(gone, [*message, "i"], "left_anti").groupBy(*message).agg(
+        F.array_join(F.transform(kept, lambda x: x["line"]), "\n").alias("own"))
+    return counts.join(own, message, "left").withColumn("own", F.coalesce("own", F.lit("")))
+
+
 def threads(links: DataFrame) -> DataFrame:
     """(conv_id, turn, reply_to, thread, depth): pointer doubling to the first
     message of the thread."""
@@ -121,11 +142,14 @@ def threads(links: DataFrame) -> DataFrame:
 def linked_messages(messages: DataFrame) -> DataFrame:
     """One row per message: conv_id, turn, role, text without quotes, mark
     (a hash of the message), n_quoted, reply_to (NULL: to nothing), thread and depth."""
-    parsed = parse(messages)
-    links = threads(reply_links(parsed))
-    return parsed.join(links, ["conv_id", "turn"], "left").select(
-        "conv_id", "turn", "role", F.col("own").alias("text"), "mark", "n_quoted", "reply_to",
-        F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"))
+    rows = stage(distinct_messages(messages), "messages")
+    quoting = rows.filter("quotes AND turn IS NOT NULL AND conv_id IS NOT NULL").select("conv_id").distinct()
+    parsed = stage(parse(rows.filter("turn IS NOT NULL").join(quoting, "conv_id", "left_semi")), "parsed")
+    met = stage(met_passages(parsed), "met")
+    links = threads(reply_links(met))
+    return rows.join(links, ["conv_id", "turn"], "left").join(without_quotes(parsed, met), ["conv_id", "turn", "mark"], "left").select(
+        "conv_id", "turn", "role", F.coalesce("own", "text").alias("text"), "mark", F.coalesce("n_quoted", F.lit(0)).alias("n_quoted"),
+        "reply_to", F.coalesce("thread", "turn").alias("thread"), F.coalesce("depth", F.lit(0)).alias("depth"))
 
 
 def _with_sub_part(rows: DataFrame, limit: int) -> DataFrame:

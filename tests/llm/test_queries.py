@@ -47,6 +47,9 @@ def test_op3_oracle_on_quotes(spark, tmp_path):
     rows = [(c, t, "user" if t % 2 == 0 else "assistant",
              "\n".join([f"> line {c}", *([f">> line {c}"] if t > 3 else []), f"> other {t - 2}"][: t % 4] + [f"line {c}" if t == 0 else f"other {t}"]), "", "")
             for c in range(12) for t in range(9)] + [(None, 0, "user", "> x", "", ""), (1, None, None, None, "", "")]
+    rows += [(70, 3, "user", f"> line one\n> two\nmessage {k}", "", "") for k in range(5000)] + [(70, 2, "user", "line one two", "", "")]
+    rows += [(70, 4, "user", f"> message {k}\nok {k}\n> not said", "", "") for k in range(3)] + [(None, None, None, "> x", "", "")]
+    rows += [(71, 0, "user", "a b\nc\n\nd e", "", ""), (71, 1, None, "> a\n> b c\nand\n> d\n>  E\n>> ab\n", "", "")]
     spark.createDataFrame(rows, MESSAGES).select("conv_id", "turn", "role", "text").toPandas().to_parquet(tmp_path / "conversations.parquet")
     want = duck(str(tmp_path)).execute(queries.ORACLE_SQL["op3_quotation_linking"])
     names = [d[0] for d in want.description]

@@ -19,32 +19,43 @@ def norm(s):
     return re.sub(r"[\x20\x09-\x0D]+", " ", s).strip(" ").lower()
 
 
+def passages(lines):
+    """(level, normalised text, places) of lines, runs, paragraphs and whole levels, by loops."""
+    groups = [[i] for i in range(len(lines))]
+    for paragraphs in (False, True):
+        start = 0
+        for i in range(1, len(lines) + 1):
+            if i == len(lines) or lines[i][0] != lines[i - 1][0] or paragraphs and not norm(lines[i - 1][1]):
+                groups.append(list(range(start, i)))
+                start = i
+    groups += [[i for i, x in enumerate(lines) if x[0] == level] for level in {x[0] for x in lines}]
+    found = {(lines[g[0]][0], norm(" ".join(lines[i][1] for i in g)), tuple(g)) for g in groups}
+    return [p for p in found if p[1]]
+
+
 def plain_conversations(rows):
-    """(conv_id, turn, role, text without quotes, reply_to, thread) by loops."""
+    """(conv_id, turn, role, text without linked quotes, reply_to, thread) by loops."""
     msgs = sorted({(c, t, r, x or "") for c, t, r, x, *_ in rows}, key=repr)
-    wrote, cites = defaultdict(list), defaultdict(set)
-    own_of = {}
+    parts, wrote = {}, {}
+    for m in msgs:
+        c, t, _, x = m
+        lines = [(lead.count(">"), line[len(lead):]) for line in x.split("\n") for lead in [re.match(r"[ \t>]*", line)[0]]]
+        parts[m] = passages(lines) if c is not None and t is not None else []
+        for level, s, _ in parts[m]:
+            if level == 0:
+                wrote[c, s] = min(t, wrote.get((c, s), t))
+    cites, own_of = defaultdict(set), {}
     for m in msgs:
-        c, t, r, x = m
-        own, levels = [], defaultdict(list)
-        for line in x.split("\n"):
-            lead = re.match(r"[ \t>]*", line)[0]
-            if ">" in lead:
-                levels[lead.count(">")].append(line[len(lead):])
-            else:
-                own.append(line)
-        own_of[m] = "\n".join(own)
-        if c is not None and t is not None:
-            for s in {norm(z) for z in own} | {norm(own_of[m])}:
-                wrote[c, s].append(t)
-        for level, body in levels.items():
-            cites[c, t] |= {(level, norm(z)) for z in body} | {(level, norm(" ".join(body)))}
+        c, t, _, x = m
+        met = [p for p in parts[m] if p[0] > 0 and wrote.get((c, p[1]), t) < t]
+        cites[c, t] |= {(level, s) for level, s, _ in met}
+        gone = {i for *_, g in met for i in g}
+        own_of[m] = "\n".join(line for i, line in enumerate(x.split("\n")) if i not in gone)
     reply = {}
     for (c, t), keys in cites.items():
         votes = defaultdict(int)
         for level, s in keys:
-            if s and c is not None and t is not None and (c, s) in wrote and min(wrote[c, s]) < t:
-                votes[-level, min(wrote[c, s])] += 1
+            votes[-level, wrote[c, s]] += 1
         if votes:
             level = max(v[0] for v in votes)
             reply[c, t] = max((n, o) for (lv, o), n in votes.items() if lv == level)[1]
@@ -113,6 +124,15 @@ def test_many_messages_without_a_turn_or_at_one(spark):
     assert max(k for k, x in enumerate(said) if x[0] == "tied") < said.index(("step", "4"))
 
 
+def test_lines_that_quote_nothing_stay(spark):
+    texts = [(1, 0, ">>> print(1)\n1"), (1, 1, "> 1\nyes\n> from a book\n>\n> more of it\n- x\n>+ y"), (1, 2, "> yes\n> no"),
+             (1, None, "> yes"), (2, 1, "> yes"), (None, 3, "> yes")]
+    rows = [(c, t, "user", x, "", "") for c, t, x in texts]
+    got = {(x.conv_id, x.turn): (x.text, x.n_quoted) for x in quotes.linked_messages(spark.createDataFrame(rows, MESSAGES)).collect()}
+    assert got == {(1, 0): (texts[0][2], 0), (1, 1): ("yes\n> from a book\n>\n> more of it\n- x\n>+ y", 1), (1, 2): ("> no", 1),
+                   (1, None): ("> yes", 0), (2, 1): ("> yes", 0), (None, 3): ("> yes", 0)}
+
+
 def test_interleaved_and_rewrapped_quotes(spark):
     first = "intro here\n\nalpha beta gamma delta epsilon zeta\n\neta theta iota kappa\n\nlast words"
     texts = [(1, 0, first),
@@ -122,7 +142,8 @@ def test_interleaved_and_rewrapped_quotes(spark):
              (2, 0, "one two\nthree four\n\nfive"), (2, 1, "> one\n> two three four\n>\n> five\nok"), (2, 2, "> one two three\n> four\nok")]
     rows = [(c, t, "user", x, "", "") for c, t, x in texts]
     got = {(x.conv_id, x.turn): x.reply_to for x in quotes.linked_messages(spark.createDataFrame(rows, MESSAGES)).collect()}
-    assert got == {(1, 0): None, (1, 1): 0, (1, 2): 1, (1, 3): 1, (1, 4): None, (2, 0): None, (2, 1): 0, (2, 2): 0}
+    want = {x[:2]: x[4] for x in plain_conversations(rows)}
+    assert got == want == {(1, 0): None, (1, 1): 0, (1, 2): 1, (1, 3): 1, (1, 4): None, (2, 0): None, (2, 1): 0, (2, 2): 0}
 
 
 # --- license scan ----------------------------------------------------------
