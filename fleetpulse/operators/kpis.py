@@ -78,31 +78,41 @@ MEASURES: list[tuple[str, str, str, int | None]] = [
 ]
 ENGINE_ISSUES = ("engine_issues", "count", "COUNT_IF(engine_status <> 'NORMAL')", None)
 
-_DEC = "DECIMAL(18,6)"
+def scaled_sql(column: str) -> str:
+    """The metric in millionths, a whole number; NULL for NaN, infinity, and 1e9 or more."""
+    return f"CASE WHEN ABS({column}) < 1e9D THEN CAST(RINT({column} * 1e6D) AS BIGINT) END"
 
 
-def exact_sql(column: str) -> str:
-    """The metric as a decimal; sums of decimals do not depend on row order."""
-    return f"TRY_CAST({column} AS {_DEC})"
+def inexact_sql(column: str) -> str:
+    """Values that are not a whole number of millionths below 1e9, where a double tells each from
+    its neighbours: NaN, infinity, 1e9 or more, more than six decimals."""
+    return f"COUNT_IF(NOT ({column} <=> CAST({scaled_sql(column)} AS DOUBLE) / 1e6D))"
 
 
-def inexact_sql(column: str) -> str:
-    """Values the decimal does not hold exactly: NaN, infinity, 1e12 or more,
-    more than six decimals."""
-    return f"COUNT_IF(NOT ({column} <=> CAST({exact_sql(column)} AS DOUBLE)))"
+def exact_sum_sql(column: str) -> str:
+    """The sum of the values of a group without inexact ones, as a decimal. It does not
+    depend on row order; the upper and lower bits are added apart, so no sum of longs overflows."""
+    high, low = f"SUM(SHIFTRIGHT({scaled_sql(column)}, 24))", f"SUM(({scaled_sql(column)}) & 16777215L)"
+    return f"CAST(0.000001BD * (CAST({high} AS DECIMAL(20,0)) * 16777216BD + {low}) AS DECIMAL(28,6))"
+
+
+def mean_sql(exact_sum: str, n: str) -> str:
+    """The mean at the scale that a decimal AVG has (input scale + 4)."""
+    return f"CAST(try_divide({exact_sum}, {n}) AS DECIMAL(22,10))"
 
 
 def measure_sql(kind: str, arg: str, places: int | None) -> str:
-    """SQL of one measure. Means and sums are computed in decimal, exactly,
-    where every value of the group fits; a group with any other value gets the
-    double AVG or SUM, so nothing is left out or cut."""
+    """SQL of one measure. Means and sums are computed exactly, in longs, where every value of the
+    group fits; a group with any other value gets the double AVG or SUM, so nothing is left out or cut."""
     if kind == "count":
         return arg
     if kind in ("max", "min"):
         return f"ROUND({kind.upper()}({arg}), {places})"
-    fn = kind.upper()
-    return (f"CASE WHEN {inexact_sql(arg)} = 0 THEN CAST(ROUND({fn}({exact_sql(arg)}), {places}) AS DOUBLE) "
-            f"ELSE ROUND({fn}({arg}), {places}) END")
+    exact, double = exact_sum_sql(arg), f"{kind.upper()}({arg})"
+    if kind == "avg":
+        exact = mean_sql(exact, f"COUNT({arg})")
+    return (f"CASE WHEN {inexact_sql(arg)} = 0 THEN CAST(ROUND({exact}, {places}) AS DOUBLE) "
+            f"ELSE ROUND({double}, {places}) END")
 
 
 def _measures(columns: list[str]) -> list:

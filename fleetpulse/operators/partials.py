@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ..constants import GROUP_KEYS
 from ..functions.columns import anomaly_rate_pct, compliance_score, health_status
 from .enrich import add_labels
-from .kpis import ENGINE_ISSUES, GOLD_MEASURES, GOLD_SCORES, MEASURES, exact_sql, inexact_sql
+from .kpis import ENGINE_ISSUES, GOLD_MEASURES, GOLD_SCORES, MEASURES, exact_sum_sql, inexact_sql, mean_sql
 
 _ALL = [*MEASURES, ENGINE_ISSUES]
 _SUMMED = list(dict.fromkeys(arg for _, kind, arg, _ in _ALL if kind in ("avg", "sum")))
@@ -31,7 +31,7 @@ def partial_kpis(clean: DataFrame) -> DataFrame:
     aggs = [F.expr(arg if kind == "count" else f"{kind.upper()}({arg})").alias(name)
             for name, kind, arg, _ in _ALL if kind in ("count", "max", "min")]
     for m in _SUMMED:
-        aggs += [F.expr(f"SUM({exact_sql(m)})").alias(f"exact_{m}"), F.sum(m).alias(f"double_{m}"),
+        aggs += [F.expr(exact_sum_sql(m)).alias(f"exact_{m}"), F.sum(m).alias(f"double_{m}"),
                  F.count(m).alias(f"n_{m}"), F.expr(inexact_sql(m)).alias(f"odd_{m}")]
     return add_labels(clean).groupBy(*GROUP_KEYS).agg(*aggs)
 
@@ -54,9 +54,7 @@ def kpis_of_partials(partials: DataFrame, kept: tuple[str, ...] = ()) -> DataFra
         elif kind in ("max", "min"):
             derived[name] = F.round(F.col(name), places)
         else:
-            # the mean at the scale a decimal AVG uses (input scale + 4), then
-            # rounded: the value the batch layer's AVG gives
-            exact = (f"CAST(try_divide(exact_{arg}, n_{arg}) AS DECIMAL(22,10))" if kind == "avg" else f"exact_{arg}")
+            exact = mean_sql(f"exact_{arg}", f"n_{arg}") if kind == "avg" else f"exact_{arg}"
             double = f"try_divide(double_{arg}, n_{arg})" if kind == "avg" else f"double_{arg}"
             derived[name] = F.expr(f"CASE WHEN odd_{arg} = 0 THEN CAST(ROUND({exact}, {places}) AS DOUBLE) "
                                    f"ELSE ROUND({double}, {places}) END")

@@ -1,6 +1,7 @@
 from pyspark.sql import functions as F
 
 from conftest import reading, to_df
+from fleetpulse.operators.enrich import add_labels
 from fleetpulse.operators.kpis import GOLD_MEASURES, daily_kpis, gold_view
 from fleetpulse.plans.silver import build_silver
 
@@ -78,3 +79,21 @@ def test_odd_values_are_not_left_out_of_sums_and_means(spark):
     assert math.isnan(got["nan"].total_fuel_consumed_l) and math.isnan(got["nan"].avg_rpm)
     assert math.isinf(got["inf"].total_fuel_consumed_l)
     assert got["fine"].total_fuel_consumed_l == 2.0 and got["plain"].total_fuel_consumed_l == 4.0 and got["plain"].avg_rpm == 2.0
+
+
+def test_sums_are_exact_and_fall_back_to_doubles(spark):
+    """Sums and means of decimals in any order; other values by the double SUM and AVG."""
+    from decimal import ROUND_HALF_UP, Decimal
+    cases = {"cents": [0.1] * 3 + [0.2, -0.3, None, 999999999.999999], "zero": [-0.0, 0.0], "half": [0.15, 0.15, 0.45, 0.25],
+             "large": [1e9, 0.1], "fine": [0.1234567, 1.0], "nan": [float("nan"), 1.0], "inf": [float("inf"), 1.0],
+             "many": [999999999.123456, -999999999.123457] * 50, "none": [None]}
+    rows = [reading(equipment_id=k, fuel_rate_lh=v) for k, vs in cases.items() for v in vs]
+    got = {r.equipment_id: r for r in daily_kpis(add_labels(to_df(spark, rows))).collect()}
+    cent = lambda d: float(d.quantize(Decimal("0.01"), ROUND_HALF_UP))
+    for k in ("cents", "zero", "half", "many"):
+        vs = [Decimal(repr(v)) for v in cases[k] if v is not None]
+        assert got[k].total_fuel_consumed_l == cent(sum(vs)), k
+        assert got[k].avg_fuel_rate_lh == cent((sum(vs) / len(vs)).quantize(Decimal("1e-10"), ROUND_HALF_UP)), k
+    assert (got["large"].total_fuel_consumed_l, got["fine"].avg_fuel_rate_lh) == (1000000000.1, 0.56)
+    assert str(got["nan"].avg_fuel_rate_lh) == "nan" and got["inf"].total_fuel_consumed_l == float("inf")
+    assert got["none"].total_fuel_consumed_l is None and got["none"].avg_fuel_rate_lh is None
