@@ -690,6 +690,15 @@ def _run(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
+#: Readings of a stream's file (half a gigabyte or so of JSON), and so of a micro-batch.
+STREAM_FILE_ROWS = 2_000_000
+
+
+def _in_stream_files(rows: DataFrame, n: int) -> DataFrame:
+    """``n`` rows dealt over as many files as their number asks for, however many tasks read them."""
+    return rows.repartition(max(1, -(-n // STREAM_FILE_ROWS)))
+
+
 def _stage_stream(spark, sf_dir, junk: bool = False) -> str:
     """Readings as files in the order of their days: three stretches, and last
     the late readings of the first stretch. Streams read one file a
@@ -699,8 +708,10 @@ def _stage_stream(spark, sf_dir, junk: bool = False) -> str:
     early = day < _day(first, 10)
     late = early & F.coalesce(_number() % 17 == 0, F.lit(False))
     root = scratch_path(spark, "json-stream")
-    for k, rows in enumerate([early & ~late, ~early & (day < _day(first, 20)), day >= _day(first, 20), late]):
-        part = sensors.filter(rows)
+    stretches = [early & ~late, ~early & (day < _day(first, 20)), day >= _day(first, 20), late]
+    counts = sensors.agg(*[F.count_if(rows).alias(str(k)) for k, rows in enumerate(stretches)]).first()
+    for k, rows in enumerate(stretches):
+        part = _in_stream_files(sensors.filter(rows), counts[k])
         if junk:
             _with_junk(part).write.text(f"{root}/{k}")
         else:
@@ -727,6 +738,7 @@ def stream_ingest_state(spark, sf_dir):
     sensors = _bronze(spark, sf_dir)
     first = _edge_day(sensors, F.min)
     again = sensors.filter(F.col("ingestion_date") < _day(first, 10))
+    again = _in_stream_files(again, again.count())
     root = src.removesuffix("/*")
     again.write.mode("append").json(f"{root}/1")
     again.write.mode("append").json(f"{root}/3")

@@ -29,16 +29,19 @@ def start_daily_kpis(spark: SparkSession, source_dir: str, out_path: str, checkp
     ids_path = f"{out_path.rstrip('/')}_ids"
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        clean = clean_readings(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"))
-        staging = scratch_path(s, "stream-kpis")
-        clean.write.parquet(staging)        # read for the ids, the aggregates and the ids to store
-        clean = s.read.schema(clean.schema).parquet(staging)
-        clean = clean.join(seen_before(s, clean, ids_path, batch_id), "event_id", "left_anti")
+        staging = scratch_path(spark, "stream-kpis")
+
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{staging}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
+
+        readings = staged(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"), "raw")
+        clean = staged(clean_readings(readings), "clean")   # read for the ids, the aggregates and the ids to store
+        clean = clean.join(seen_before(spark, clean, ids_path, batch_id), "event_id", "left_anti")
         # the partial aggregates first: ids without them would lose their rows
         write_batch(partial_kpis(clean), out_path, batch_id)
         write_batch(clean.select("event_id"), ids_path, batch_id)
-        remove_path(s, staging)
+        remove_path(spark, staging)
 
     stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
     return start_batches(stream, run, checkpoint_dir, available_now)

@@ -56,15 +56,14 @@ def start_stream_ingest(spark: SparkSession, source_dir: str, bronze_path: str,
         quarantine_path = bronze_path.rstrip("/") + BESIDE
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        staging = scratch_path(s, "stream-staging")
+        staging = scratch_path(spark, "stream-staging")
         try:
             batch.write.parquet(staging)
-            staged = s.read.schema(batch.schema).parquet(staging)
+            staged = spark.read.schema(batch.schema).parquet(staging)
             if not staged.isEmpty():    # a batch may only let state go
-                append_batch(s, staged, bronze_path, quarantine_path)
+                append_batch(spark, staged, bronze_path, quarantine_path)
         finally:
-            remove_path(s, staging)
+            remove_path(spark, staging)
 
     stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
     if state_lifetime is not None:

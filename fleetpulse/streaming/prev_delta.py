@@ -126,19 +126,19 @@ def start_stream_prev_delta(spark: SparkSession, source_dir: str, out_path: str,
                             max_files_per_trigger: int | None = None,
                             max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER) -> StreamingQuery:
     def run(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
         # Staged as files: read several times, and every read must see the same rows.
         staging = f"{state_path}/_staging/{BATCH_COL}={batch_id}"
 
         def staged(df: DataFrame, name: str) -> DataFrame:
             df.write.mode("overwrite").parquet(f"{staging}/{name}")
-            return s.read.schema(df.schema).parquet(f"{staging}/{name}")
+            return spark.read.schema(df.schema).parquet(f"{staging}/{name}")
 
         try:
-            new = staged(with_day(clean_batch(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"))), "clean")
-            new = new.join(seen_before(s, new, out_path, batch_id), "event_id", "left_anti")
-            versions = read_versions(s, out_path, before=batch_id, schema=OUT_SCHEMA)
-            bounds = read_versions(s, state_path, before=batch_id)
+            readings = staged(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"), "raw")
+            new = staged(with_day(clean_batch(readings)), "clean")
+            new = new.join(seen_before(spark, new, out_path, batch_id), "event_id", "left_anti")
+            versions = read_versions(spark, out_path, before=batch_id, schema=OUT_SCHEMA)
+            bounds = read_versions(spark, state_path, before=batch_id)
             if versions is None or bounds is None:
                 out = add_prev_and_delta(new.select(*PREV_COLUMNS))
             else:
@@ -151,9 +151,9 @@ def start_stream_prev_delta(spark: SparkSession, source_dir: str, out_path: str,
             write_batch(out.hint("rebalance", F.col(DAY)).sortWithinPartitions(DAY, "equipment_id", "timestamp"),
                         out_path, batch_id, (DAY,))
         finally:
-            remove_path(s, staging)
-        if len([i for i in batch_ids(s, state_path) if i > published(s, state_path)[1]]) > FOLD_BOUNDS:
-            compact_versions(s, state_path, merge_boundaries)
+            remove_path(spark, staging)
+        if len([i for i in batch_ids(spark, state_path) if i > published(spark, state_path)[1]]) > FOLD_BOUNDS:
+            compact_versions(spark, state_path, merge_boundaries)
 
     stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
     return start_batches(stream, run, checkpoint_dir, available_now)

@@ -67,12 +67,11 @@ def start_windowed_counts(spark: SparkSession, source_dir: str, out_path: str, c
                           available_now: bool = True, max_files_per_trigger: int | None = None,
                           max_bytes_per_trigger: int | None = MAX_BYTES_PER_TRIGGER) -> StreamingQuery:
     def run(batch: DataFrame, batch_id: int) -> None:
-        s = batch.sparkSession
-        staging = scratch_path(s, "stream-windows")
+        staging = scratch_path(spark, "stream-windows")
         try:
             # one action runs the stateful plan; both halves are reduced before the shuffle
             batch.groupBy("_half", *DAILY_KEYS).agg(*_sums()).write.parquet(staging)
-            staged = s.read.schema(f"_half string, {SCHEMA}").parquet(staging)
+            staged = spark.read.schema(f"_half string, {SCHEMA}").parquet(staging)
             if staged.isEmpty():        # a batch may only let state go
                 return
             windows, rows = (staged.filter(F.col("_half") == half).drop("_half") for half in ("window", "row"))
@@ -82,7 +81,7 @@ def start_windowed_counts(spark: SparkSession, source_dir: str, out_path: str, c
             write_batch(windows, f"{out_path}/windows", batch_id)
             write_batch(late, f"{out_path}/late", batch_id)
         finally:
-            remove_path(s, staging)
+            remove_path(spark, staging)
 
     stream = read_sensor_stream(spark, source_dir, max_files_per_trigger, max_bytes_per_trigger)
     return start_batches(windows_and_rows(stream.filter(~bad_record(stream)), delay), run, checkpoint_dir,
