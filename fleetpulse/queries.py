@@ -690,8 +690,8 @@ def _run(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-#: Readings of a stream's file (half a gigabyte or so of JSON), and so of a micro-batch.
-STREAM_FILE_ROWS = 2_000_000
+#: Readings of a stream's file (two gigabytes or so of JSON), and so of a micro-batch.
+STREAM_FILE_ROWS = 4_000_000
 
 
 def _in_stream_files(rows: DataFrame, n: int) -> DataFrame:

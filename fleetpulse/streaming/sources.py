@@ -38,10 +38,10 @@ def start_batches(stream: DataFrame, run: Callable[[DataFrame, int], None], chec
     """Run a function on every micro-batch. ``run`` must be repeatable: a batch
     is run again after a failure, under the same id.
 
-    The session of a micro-batch has adaptive execution off, whatever the caller's has: there
-    every exchange keeps its full partition count, and a rebalance before a partitioned write does
-    nothing, so that every task writes a file into every folder. ``run`` therefore stages the
-    batch and works on the staged copy in the caller's session."""
+    Of a stream that keeps state, the session of a micro-batch has adaptive execution off, whatever
+    the caller's has: there every exchange keeps its full partition count, and a rebalance before a
+    partitioned write does nothing, so that every task writes a file into every folder. ``run`` of
+    such a stream stages the batch and works on the staged copy in the caller's session."""
     writer = stream.writeStream.foreachBatch(run).outputMode(output_mode).option("checkpointLocation", checkpoint_dir)
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     spark = stream.sparkSession
