@@ -41,7 +41,7 @@ from .plans.silver import build_silver, clean_readings, transform_bronze_to_silv
 from .plans.stored_checks import stored_report, update_checks
 from .session import scratch_path
 from .sinks.bucketed import new_rows, save_bucketed
-from .sinks.writers import INGEST_KEY, overwrite_partitioned, rebalanced, save_as_table
+from .sinks.writers import INGEST_KEY, overwrite_partitioned, rebalanced, remove_path, save_as_table
 from .sinks.zorder import write_zordered
 from .sources.drift import field, read_drift
 from .sources.fixture import load_sensors
@@ -599,8 +599,10 @@ def bucketed_append(spark, sf_dir):
 @query
 def zordered_table(spark, sf_dir):
     """Clean readings in files that are boxes of machine, type and time, read back."""
-    clean, path = clean_readings(_bronze(spark, sf_dir)), scratch_path(spark, "zorder")
-    write_zordered(clean, path, ["equipment_id", "equipment_type", "timestamp"])
+    clean, staging, path = clean_readings(_bronze(spark, sf_dir)), scratch_path(spark, "clean"), scratch_path(spark, "zorder")
+    clean.write.parquet(staging)        # read for the bounds, the range sample and the write
+    write_zordered(spark.read.schema(clean.schema).parquet(staging), path, ["equipment_id", "equipment_type", "timestamp"])
+    remove_path(spark, staging)
     return read_layer(spark, path, clean.schema)
 
 

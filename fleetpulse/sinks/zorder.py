@@ -46,27 +46,36 @@ def _as_number(df: DataFrame, columns: list[str]) -> dict[str, Column]:
 
 
 def _rank(number: Column, bounds: list[float]) -> Column:
-    limits = F.array(*[F.lit(b) for b in bounds]).cast("array<double>")
-    return F.size(F.filter(limits, lambda b: b < number)).cast("long")
+    """How many bounds lie below the number, found by halving (NULL: none)."""
+    def among(lo: int, hi: int) -> Column:
+        if lo == hi:
+            return F.lit(lo).cast("long")
+        mid = (lo + hi) // 2
+        return F.when(number > F.lit(bounds[mid]), among(mid + 1, hi)).otherwise(among(lo, mid))
 
+    return among(0, len(bounds))
 
-def z_key(df: DataFrame, columns: list[str], bits: int = BITS) -> Column:
-    """The interleaved ranks of the columns as one long (``bits`` times columns at most 62)."""
+
+def z_key(df: DataFrame, columns: list[str], bits: int = BITS) -> DataFrame:
+    """The rows with the interleaved ranks of the columns as one long, ``_z`` (``bits`` times columns
+    at most 62). Numbers and ranks are columns of their own on the way: each is computed once a row."""
     if bits * len(columns) > 62:
         raise ValueError("bits times columns must be at most 62")
+    at = range(len(columns))
     numbers = _as_number(df, columns)
+    numbered = df.withColumns({f"_number_{j}": numbers[c] for j, c in enumerate(columns)})
     shares = [k / 2 ** bits for k in range(1, 2 ** bits)]
-    bounds = df.agg(*[F.percentile_approx(numbers[c], shares, 1000).alias(c) for c in columns]).first()
-    parts = []
-    for j, c in enumerate(columns):
-        rank = _rank(numbers[c], bounds[c] or [])
-        parts += [F.shiftleft(F.shiftright(rank, i).bitwiseAND(F.lit(1).cast("long")), i * len(columns) + j) for i in range(bits)]
-    return reduce(lambda a, b: a.bitwiseOR(b), parts)
+    bounds = numbered.agg(*[F.percentile_approx(f"_number_{j}", shares, 1000) for j in at]).first()
+    ranked = numbered.withColumns({f"_rank_{j}": _rank(F.col(f"_number_{j}"), bounds[j] or []) for j in at})
+    parts = [F.shiftleft(F.shiftright(f"_rank_{j}", i).bitwiseAND(F.lit(1).cast("long")), i * len(columns) + j)
+             for j in at for i in range(bits)]
+    keyed = ranked.withColumn("_z", reduce(lambda a, b: a.bitwiseOR(b), parts))
+    return keyed.drop(*[f"_{what}_{j}" for what in ("number", "rank") for j in at])
 
 
 def write_zordered(df: DataFrame, path: str, columns: list[str], partition_by: tuple[str, ...] = (), fmt: str = "parquet",
                    num_partitions: int | None = None, bits: int = BITS) -> None:
     """Overwrite a table whose files are boxes of ``columns`` (inside ``partition_by`` directories)."""
-    keyed = df.withColumn("_z", z_key(df, columns, bits))
+    keyed = z_key(df, columns, bits)
     laid = keyed.repartitionByRange(partitions_for(df, num_partitions), *partition_by, "_z").sortWithinPartitions(*partition_by, "_z")
     laid.drop("_z").write.format(fmt).mode("overwrite").partitionBy(*partition_by).save(path)

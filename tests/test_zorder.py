@@ -3,7 +3,7 @@
 import pytest
 from conftest import reading, to_df
 from fleetpulse.session import scratch_path
-from fleetpulse.sinks.zorder import write_zordered, z_key
+from fleetpulse.sinks.zorder import _rank, write_zordered, z_key
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,15 @@ def test_nulls_empty_tables_and_too_many_bits(spark):
             assert spark.read.parquet(path).count() == 6
     with pytest.raises(ValueError):
         z_key(to_df(spark, rows), ["rpm"] * 11)
+
+
+def test_ranks_count_the_bounds_below_and_are_computed_once(spark, capfd):
+    values = [None, float("nan"), float("-inf"), -1.0, 0.0, 0.5, 1.0, 1.5, 2.0, 3.0, float("inf")]
+    df = spark.createDataFrame([(v,) for v in values], "x double")
+    for bounds in ([], [1.0], [0.0, 1.0, 1.0, 2.0], [0.0, 1.0, 2.0, float("nan")]):
+        below = lambda v: sum(v is not None and (b < v or (v != v and b == b)) for b in bounds)
+        assert [r[0] for r in df.select(_rank(F.col("x"), bounds)).collect()] == [below(v) for v in values]
+    rows = spark.createDataFrame([(f"m{k}", float(k)) for k in range(100)], "m string, x double")
+    z_key(rows, ["m", "x"]).explain()
+    plan = capfd.readouterr().out
+    assert plan.count("conv(") == 1 and "lambda" not in plan    # not for every bit and bound
