@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import reading, to_df
+from conftest import SMOKE, reading, to_df
 from fleetpulse import queries as Q
 from fleetpulse.session import scratch_path
 from fleetpulse.streaming.ingest import start_stream_ingest
@@ -33,3 +33,11 @@ def test_files_of_a_stream_follow_its_rows_not_the_tasks(spark, monkeypatch):
     monkeypatch.setattr(Q, "STREAM_FILE_ROWS", 300)
     assert Q._in_stream_files(rows, 1000).rdd.getNumPartitions() == 4
     assert Q._in_stream_files(rows, 0).rdd.getNumPartitions() == 1
+
+
+def test_a_stream_has_a_file_for_a_small_stretch_however_many_tasks_read_it(spark):
+    src = scratch_path(spark, "events-parts")
+    spark.read.parquet(f"{SMOKE}/events.parquet").repartition(6).write.parquet(f"{src}/events.parquet")
+    for junk in (False, True):
+        root = Q._stage_stream(spark, src, junk).removesuffix("/*").removeprefix("file:")
+        assert [sum(f.startswith("part-") for f in os.listdir(f"{root}/{k}")) for k in range(4)] == [1, 1, 1, 1]
