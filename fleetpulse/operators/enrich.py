@@ -58,9 +58,9 @@ def _delta_name(c: str) -> str:
     return f"{c.removesuffix('_c')}_delta" if c == "temp_coolant_c" else f"{c}_delta"
 
 
-def _local_lag_fn(key: str, metrics: Sequence[str], prev_names: Sequence[str], packed: str = "_row"):
-    """Arrow kernel run once per range partition, batches in sorted order.
-    Emits the in-partition previous value (NULL across a machine change) and
+def _local_lag_fn(prev_names: Sequence[str]):
+    """Arrow kernel over the key and the metrics of one range partition, batches in sorted
+    order. Gives the in-partition previous values (NULL across a machine change) and
     marks the partition's first row for the cross-partition patch."""
 
     def same_key(a: pa.Array, b: pa.Array) -> pa.Array:
@@ -68,33 +68,28 @@ def _local_lag_fn(key: str, metrics: Sequence[str], prev_names: Sequence[str], p
         both_null = pc.and_(pc.is_null(a), pc.is_null(b))
         return pc.or_(eq, both_null)
 
-    def shifted(arr: pa.Array) -> pa.Array:
-        """arr[i-1] at position i, NULL at position 0."""
-        return pa.concat_arrays([pa.nulls(1, type=arr.type), arr.slice(0, len(arr) - 1)])
+    def shifted(arr: pa.Array, before: pa.Array) -> pa.Array:
+        """arr[i-1] at position i, ``before`` (one value) at position 0."""
+        return pa.concat_arrays([before, arr.slice(0, len(arr) - 1)])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        carry: pa.RecordBatch | None = None  # last row of the previous batch
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
+        carry: list[pa.Array] | None = None     # the last row of the previous batch
         for batch in batches:
-            n = batch.num_rows
-            if n == 0:
-                continue
+            n = len(batch[0])
             head = np.zeros(n, dtype=bool)
-            if carry is None:
-                ext, offset = batch, 0
-                head[0] = True
+            if n:
+                if carry is None:
+                    head[0] = True
+                    carry = [pa.nulls(1, type=col.type) for col in batch]
+                prevs = [shifted(col, last) for col, last in zip(batch, carry)]
+                carry = [col.slice(n - 1, 1) for col in batch]
+                same = same_key(batch[0], prevs[0])
+                if head[0]:
+                    same = pc.and_(same, pa.array(~head))
+                cols = [pc.if_else(same, p, pa.nulls(n, type=p.type)) for p in prevs[1:]]
             else:
-                ext, offset = pa.concat_batches([carry, batch]), 1
-            row = ext.column(packed)
-            keys = row.field(key)
-            same = same_key(keys, shifted(keys))
-            cols = {name: batch.column(i) for i, name in enumerate(batch.schema.names)}
-            for c, p in zip(metrics, prev_names):
-                vals = row.field(c)
-                prev = pc.if_else(same, shifted(vals), pa.nulls(len(vals), type=vals.type))
-                cols[p] = prev.slice(offset)
-            cols[_HEAD] = pa.array(head)
-            carry = batch.slice(n - 1, 1)
-            yield pa.RecordBatch.from_pydict(cols)
+                cols = list(batch[1:])
+            yield pa.StructArray.from_arrays([*cols, pa.array(head)], names=[*prev_names, _HEAD])
 
     return run
 
@@ -159,12 +154,15 @@ def add_previous_values(df: DataFrame, key: str = "equipment_id",
             *[F.when(same, F.lag(row.getField(c), 1).over(w)).alias(p) for c, p in zip(metrics, prev_names)],
             (F.row_number().over(w) == 1).alias(_HEAD))
     else:
-        # 1) previous value inside each range partition (sorted, Arrow kernel)
+        # 1) previous value inside each range partition (sorted, Arrow kernel): only the key
+        #    and the metrics go to Python, the rows wait in the JVM. Not deterministic: the
+        #    values hang on the order of the rows, so no rule may move it below the sort.
         tagged = ranged.sortWithinPartitions(*sort_cols).withColumn(_PID, F.spark_partition_id())
-        out_schema = StructType(list(tagged.schema.fields)
-                                + [StructField(p, metric_types[c], True) for c, p in zip(metrics, prev_names)]
-                                + [StructField(_HEAD, BooleanType(), False)])
-        local = tagged.mapInArrow(_local_lag_fn(key, list(metrics), prev_names, _ROW), out_schema)
+        out = StructType([StructField(p, metric_types[c], True) for c, p in zip(metrics, prev_names)]
+                         + [StructField(_HEAD, BooleanType(), False)])
+        lagged = F.arrow_udf(_local_lag_fn(prev_names), returnType=out).asNondeterministic()
+        local = (tagged.withColumn("_l", lagged(row.getField(key), *[row.getField(c) for c in metrics]))
+                 .select(_ROW, _PID, *[F.col("_l").getField(c).alias(c) for c in (*prev_names, _HEAD)]))
 
     # 2) first and last row of every partition, read from the same shuffle
     #    output without sorting it. mode(pid) is a typed aggregate: with it

@@ -44,7 +44,7 @@ from .sinks.bucketed import new_rows, save_bucketed
 from .sinks.writers import INGEST_KEY, overwrite_partitioned, rebalanced, remove_path, save_as_table
 from .sinks.zorder import write_zordered
 from .sources.drift import field, read_drift
-from .sources.fixture import load_sensors
+from .sources.fixture import load_sensors, sensors_from_events
 from .sources.json_source import read_sensor_json, split_corrupt
 from .sources.layers import (
     BRONZE_SCHEMA,
@@ -692,43 +692,60 @@ def _run(q) -> None:
         raise RuntimeError(str(q.exception()))
 
 
-#: Readings of a stream's file (two gigabytes or so of JSON), and so of a micro-batch.
+#: Readings of a micro-batch (two gigabytes or so of JSON) at most.
 STREAM_FILE_ROWS = 4_000_000
+#: Readings from which a micro-batch has one file more, and files of one at most.
+ROWS_PER_TASK, TASKS_PER_BATCH = 250_000, 16
 
 
-def _in_stream_files(rows: DataFrame, n: int) -> DataFrame:
-    """``n`` rows dealt over as many files as their number asks for, however many tasks read them."""
-    return rows.repartition(max(1, -(-n // STREAM_FILE_ROWS)))
+def _in_stream_files(rows: DataFrame, n: int, per_batch: int = 1) -> DataFrame:
+    """``n`` rows dealt over ``per_batch`` files for every micro-batch that their number asks for,
+    however many tasks read them."""
+    return rows.repartition(max(1, -(-n // STREAM_FILE_ROWS)) * per_batch)
+
+
+def _files_per_batch(counts: list[int]) -> int:
+    """One file per micro-batch for small stretches, so that one task writes each. Large ones are
+    written by several tasks; no stretch may be so small that one of its files gets no row."""
+    return max(1, min(TASKS_PER_BATCH, max(counts) // ROWS_PER_TASK, min(counts) // 1000))
 
 
 def _stage_stream(spark, sf_dir, junk: bool = False) -> str:
+    """See ``_stage_batches``."""
+    return _stage_batches(spark, sf_dir, junk)[0]
+
+
+def _stage_batches(spark, sf_dir, junk: bool = False) -> tuple[str, int]:
     """Readings as files in the order of their days: three stretches, and last
-    the late readings of the first stretch. Streams read one file a
-    micro-batch."""
-    sensors = _bronze(spark, sf_dir)
+    the late readings of the first stretch. Also the number of files that streams read
+    a micro-batch: that of every stretch is a multiple of it, so no batch holds two stretches."""
+    events = spark.read.parquet(f"{sf_dir.rstrip('/')}/events.parquet")
+    sensors = sensors_from_events(events)
     first, day = _edge_day(sensors, F.min), F.col("ingestion_date")
     early = day < _day(first, 10)
     late = early & F.coalesce(_number() % 17 == 0, F.lit(False))
     root = scratch_path(spark, "json-stream")
     stretches = [early & ~late, ~early & (day < _day(first, 20)), day >= _day(first, 20), late]
     counts = sensors.agg(*[F.count_if(rows).alias(str(k)) for k, rows in enumerate(stretches)]).first()
+    per_batch = _files_per_batch(list(counts))
     for k, rows in enumerate(stretches):
-        part = _in_stream_files(sensors.filter(rows), counts[k])
+        # the events are dealt over the files, and the readings derived by the tasks that write them
+        part = sensors_from_events(_in_stream_files(events, counts[k], per_batch)).filter(rows)
         if junk:
             _with_junk(part).write.text(f"{root}/{k}")
         else:
             part.write.json(f"{root}/{k}")
-    return f"{root}/*"
+    return f"{root}/*", per_batch
 
 
 @query
 def stream_ingest(spark, sf_dir):
     """K1: streaming bronze ingest run twice over the same files, junk lines
     and late readings among them; the same rows as a batch ingest."""
-    src = _stage_stream(spark, sf_dir, junk=True)
+    src, per_batch = _stage_batches(spark, sf_dir, junk=True)
     out, ckpt = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-bronze-ckpt")
     for _ in range(2):
-        _run(start_stream_ingest(spark, src, out, ckpt, max_files_per_trigger=1))
+        _run(start_stream_ingest(spark, src, out, ckpt, max_files_per_trigger=per_batch))
     return read_layer(spark, out, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
 
 
@@ -736,26 +753,26 @@ def stream_ingest(spark, sf_dir):
 def stream_ingest_state(spark, sf_dir):
     """K1: ids re-sent in the next micro-batch, while the state still holds
     them, and three batches later, when it has let them go."""
-    src = _stage_stream(spark, sf_dir)
+    src, per_batch = _stage_batches(spark, sf_dir)
     sensors = _bronze(spark, sf_dir)
     first = _edge_day(sensors, F.min)
     again = sensors.filter(F.col("ingestion_date") < _day(first, 10))
-    again = _in_stream_files(again, again.count())
+    again = _in_stream_files(again, again.count(), per_batch)
     root = src.removesuffix("/*")
     again.write.mode("append").json(f"{root}/1")
     again.write.mode("append").json(f"{root}/3")
     out, ckpt = scratch_path(spark, "stream-bronze"), scratch_path(spark, "stream-bronze-ckpt")
     for _ in range(2):
-        _run(start_stream_ingest(spark, src, out, ckpt, max_files_per_trigger=1, state_lifetime="1 second"))
+        _run(start_stream_ingest(spark, src, out, ckpt, max_files_per_trigger=per_batch, state_lifetime="1 second"))
     return read_layer(spark, out, BRONZE_SCHEMA).select(*SENSOR_COLUMNS)
 
 
 @query
 def stream_daily_counts(spark, sf_dir):
     """K2: per-day, per-machine counts from a stream, late rows included."""
-    src = _stage_stream(spark, sf_dir)
+    src, per_batch = _stage_batches(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-daily"), scratch_path(spark, "stream-daily-ckpt")
-    _run(start_daily_counts(spark, src, out, ckpt, max_files_per_trigger=1))
+    _run(start_daily_counts(spark, src, out, ckpt, max_files_per_trigger=per_batch))
     return read_daily_counts(spark, out)
 
 
@@ -763,9 +780,9 @@ def stream_daily_counts(spark, sf_dir):
 def stream_windowed_counts(spark, sf_dir):
     """K2: the same counts by event-time windows with a watermark; readings that
     come after their window has closed are counted in the side table."""
-    src = _stage_stream(spark, sf_dir)
+    src, per_batch = _stage_batches(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-windows"), scratch_path(spark, "stream-windows-ckpt")
-    _run(start_windowed_counts(spark, src, out, ckpt, max_files_per_trigger=1))
+    _run(start_windowed_counts(spark, src, out, ckpt, max_files_per_trigger=per_batch))
     return read_windowed_counts(spark, out)
 
 
@@ -773,19 +790,19 @@ def stream_windowed_counts(spark, sf_dir):
 def stream_daily_kpis(spark, sf_dir):
     """Streaming gold: the full daily KPI table from partial aggregates that
     every micro-batch adds, merged by the reader."""
-    src = _stage_stream(spark, sf_dir)
+    src, per_batch = _stage_batches(spark, sf_dir)
     out, ckpt = scratch_path(spark, "stream-kpis"), scratch_path(spark, "stream-kpis-ckpt")
-    _run(start_daily_kpis(spark, src, out, ckpt, max_files_per_trigger=1))
+    _run(start_daily_kpis(spark, src, out, ckpt, max_files_per_trigger=per_batch))
     return read_daily_kpis(spark, out)
 
 
 @query
 def stream_prev_delta(spark, sf_dir):
     """K3: previous-reading deltas on a stream, corrected for late readings."""
-    src = _stage_stream(spark, sf_dir)
+    src, per_batch = _stage_batches(spark, sf_dir)
     out, state = scratch_path(spark, "stream-prev"), scratch_path(spark, "stream-prev-state")
     ckpt = scratch_path(spark, "stream-prev-ckpt")
-    _run(start_stream_prev_delta(spark, src, out, state, ckpt, max_files_per_trigger=1))
+    _run(start_stream_prev_delta(spark, src, out, state, ckpt, max_files_per_trigger=per_batch))
     return read_prev_delta(spark, out).select(
         "event_id", "equipment_id", "timestamp", "rpm", "rpm_prev", "rpm_delta",
         "temp_coolant_c", "temp_coolant_prev", "temp_coolant_delta")

@@ -103,6 +103,11 @@ def test_range_lag_reuses_one_shuffle(spark):
     assert "ObjectHashAggregate" in plan and "SortAggregate" not in plan
 
 
+def test_only_the_key_and_the_metrics_go_to_python(spark):
+    plan = add_previous_values(add_time_parts(to_df(spark, [reading()])))._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" not in plan and plan.count("+- ArrowEvalPython") == 1
+
+
 def test_default_plan_does_not_depend_on_size(spark, tmp_dir):
     to_df(spark, [reading()]).write.parquet(tmp_dir)
     plan = add_previous_values(add_time_parts(spark.read.parquet(tmp_dir)))._jdf.queryExecution().executedPlan().toString()

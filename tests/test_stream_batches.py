@@ -41,3 +41,25 @@ def test_a_stream_has_a_file_for_a_small_stretch_however_many_tasks_read_it(spar
     for junk in (False, True):
         root = Q._stage_stream(spark, src, junk).removesuffix("/*").removeprefix("file:")
         assert [sum(f.startswith("part-") for f in os.listdir(f"{root}/{k}")) for k in range(4)] == [1, 1, 1, 1]
+
+
+def test_large_stretches_are_written_by_several_tasks_and_read_in_one_batch(spark, monkeypatch):
+    assert Q._files_per_batch([2_000_000, 1_900_000, 1_900_000, 120_000]) == 8
+    assert Q._files_per_batch([12_000_000, 12_000_000, 12_000_000, 700_000]) == 16
+    assert Q._files_per_batch([2_000_000, 0, 10, 5]) == Q._files_per_batch([300, 300, 300, 20]) == 1
+    assert Q._in_stream_files(spark.range(1000), 1000, 3).rdd.getNumPartitions() == 3
+    whole = spark.read.json(Q._stage_stream(spark, SMOKE)).groupBy("event_id", "rpm", "timestamp").count()
+    monkeypatch.setattr(Q, "_files_per_batch", lambda counts: 3)
+    src, per_batch = Q._stage_batches(spark, SMOKE)
+    assert per_batch == 3
+    root = src.removesuffix("/*").removeprefix("file:")
+    assert [sum(f.startswith("part-") for f in os.listdir(f"{root}/{k}")) for k in range(4)] == [3, 3, 3, 3]
+    again = spark.read.json(src).groupBy("event_id", "rpm", "timestamp").count()
+    assert whole.exceptAll(again).isEmpty() and again.exceptAll(whole).isEmpty()
+
+
+def test_the_events_are_dealt_over_the_files_before_the_readings_are_derived(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(Q, "_in_stream_files", lambda rows, n, per_batch=1: seen.append(rows.columns) or rows)
+    Q._stage_stream(spark, SMOKE)
+    assert seen == [["event_id", "ts", "user_id", "event_type", "value", "props"]] * 4
