@@ -15,6 +15,7 @@ from ..sinks.writers import (
     append_partitioned,
     ingest_key,
     new_rows_only,
+    only_keys,
     path_exists,
     rebalanced,
     remove_path,
@@ -27,6 +28,8 @@ from ..sources.layers import BRONZE_SCHEMA, read_layer
 
 #: Default quarantine folder: the bronze folder's name with this suffix.
 BESIDE = "_quarantine"
+#: So many keys (some hundred bytes each in memory) are broadcast at most.
+BROADCAST_KEYS = 1_000_000
 QUARANTINE_SCHEMA = "raw_record string, _source_path string"
 
 
@@ -61,7 +64,22 @@ def prepare_bronze_batch(spark: SparkSession, batch: DataFrame, bronze_path: str
 
         id_index.refresh(spark, bronze_path, index, read_keys)
         keys = batch.select(ingest_key(batch.columns).alias(INGEST_KEY))
-        return without_keys(batch, id_index.seen_keys(spark, keys, index))
+        if not id_index.segments(spark, index):
+            return without_keys(batch, None)
+
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            path = scratch_path(spark, name)
+            df.write.parquet(path)
+            return spark.read.schema(f"{INGEST_KEY} string").parquet(path)
+
+        keys = staged(keys.distinct(), "batch-keys")
+        seen = id_index.seen_keys(spark, keys, index)
+        new = staged(keys.join(seen, INGEST_KEY, "left_anti"), "new-keys")
+        # Where few of the batch's keys are new, the rows of the others go before any row is
+        # sorted or shipped; the keys of many new ones are not broadcast.
+        if new.count() <= BROADCAST_KEYS:
+            return only_keys(batch, F.broadcast(new))
+        return without_keys(batch, seen)
     existing = read_layer(spark, bronze_path, BRONZE_SCHEMA, fmt) if path_exists(spark, bronze_path) else None
     return new_rows_only(batch, existing)
 

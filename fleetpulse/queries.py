@@ -13,7 +13,7 @@ from collections.abc import Callable
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .constants import ACCEPTED_EQUIPMENT_IDS, GROUP_KEYS, PIPELINE_VERSION, SENSOR_COLUMNS, SIX_METRIC_QUALITY_RULES
@@ -462,16 +462,26 @@ def _day(first: date, offset: int) -> str:
     return (first + timedelta(days=offset)).isoformat()
 
 
-def _refreshed(spark, steps: list[tuple[DataFrame, list[str] | None]], idempotent: bool = True) -> DataFrame:
+def _refreshed(spark, steps: list[tuple[DataFrame, list[str] | None]], idempotent: bool = True,
+               cumulative: bool = False) -> DataFrame:
     """Bronze ingest and silver refresh per step: (readings, dates to refresh;
-    None for a full build). Returns the stored silver."""
-    bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
-    for readings, dates in steps:
-        ingest_to_bronze(spark, _stage_json(spark, readings, "json-step"), bronze, idempotent=idempotent)
+    None for a full build). Returns the stored silver. With ``cumulative`` a step's files come
+    beside those of the steps before it, and it ingests them all."""
+    bronze, silver, root = (scratch_path(spark, p) for p in ("bronze", "silver", "json-steps"))
+    for k, (readings, dates) in enumerate(steps):
+        readings.write.json(f"{root}/{k}")
+        ingest_to_bronze(spark, f"{root}/*" if cumulative else f"{root}/{k}", bronze, idempotent=idempotent)
         transform_bronze_to_silver(spark, bronze, silver, dates=dates)
     return read_layer(spark, silver, SILVER_SCHEMA).select(*_SILVER_OUT)
 
 
+def _refreshed_after(spark, sensors: DataFrame, first: Column, dates: list[str]) -> DataFrame:
+    """A full build from the readings where ``first`` holds; then all readings are ingested and the
+    dates refreshed. The first readings are staged once, the second ingest reads their files again."""
+    rest = ~F.coalesce(first, F.lit(False))
+    return _refreshed(spark, [(sensors.filter(first), None), (sensors.filter(rest), dates)], cumulative=True)
+
+
 def _ingested_layers(spark, sf_dir):
     """Bronze and silver jobs on staged JSON."""
     bronze, silver = scratch_path(spark, "bronze"), scratch_path(spark, "silver")
@@ -498,7 +508,7 @@ def incremental_refresh(spark, sf_dir):
     sensors = _bronze(spark, sf_dir)
     last = _edge_day(sensors, F.max)
     new = [_day(last, k) for k in (-2, -1, 0)]
-    return _refreshed(spark, [(sensors.filter(F.col("ingestion_date") < new[0]), None), (sensors, new)])
+    return _refreshed_after(spark, sensors, F.col("ingestion_date") < new[0], new)
 
 
 @query
@@ -518,7 +528,7 @@ def incremental_middle_day(spark, sf_dir):
     right previous value."""
     sensors = _bronze(spark, sf_dir)
     middle = _day(_edge_day(sensors, F.min), 10)
-    return _refreshed(spark, [(sensors.filter(F.col("ingestion_date") != middle), None), (sensors, [middle])])
+    return _refreshed_after(spark, sensors, F.col("ingestion_date") != middle, [middle])
 
 
 @query
@@ -527,7 +537,7 @@ def incremental_split_dates(spark, sf_dir):
     sensors = _bronze(spark, sf_dir)
     first = _edge_day(sensors, F.min)
     days = [_day(first, 4), _day(first, 12)]
-    return _refreshed(spark, [(sensors.filter(~F.col("ingestion_date").isin(days)), None), (sensors, days)])
+    return _refreshed_after(spark, sensors, ~F.col("ingestion_date").isin(days), days)
 
 
 def _moved(sensors: DataFrame, first: date) -> DataFrame:

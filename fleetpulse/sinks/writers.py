@@ -115,6 +115,12 @@ def without_keys(batch: DataFrame, stored: DataFrame | None, key: str = "event_i
     return deduped.drop(INGEST_KEY)
 
 
+def only_keys(batch: DataFrame, keys: DataFrame, key: str = "event_id") -> DataFrame:
+    """One row per ingest key of the batch that is among ``keys`` (keep-first)."""
+    keyed = batch.withColumn(INGEST_KEY, ingest_key(batch.columns, key)).join(keys, INGEST_KEY, "left_semi")
+    return dedupe_events(keyed, key=INGEST_KEY).drop(INGEST_KEY)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     jvm = spark.sparkContext._jvm
     jpath = jvm.org.apache.hadoop.fs.Path(path)
