@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..constants import BRONZE_PARTITIONS, PIPELINE_VERSION
 from ..functions.columns import ingested_at, pipeline_version, source_file
 from ..operators.checks import bronze_summary
+from ..operators.dedupe import dedupe_stored
 from ..session import scratch_path
 from ..sinks import id_index
 from ..sinks.writers import (
@@ -20,7 +21,6 @@ from ..sinks.writers import (
     rebalanced,
     remove_path,
     stored_keys,
-    without_keys,
 )
 from ..sources.drift import store_drift
 from ..sources.json_source import read_sensor_json, split_corrupt
@@ -43,13 +43,21 @@ def stamp_bronze(df: DataFrame, source: Column, version: str = PIPELINE_VERSION)
     })
 
 
+def first_copies(batch: DataFrame) -> DataFrame:
+    """One row per ingest key of a staged batch (keep-first), with the key. Of most rows the key
+    is the id; the others, and ids that look like their keys, are compared by the key."""
+    keyed = batch.withColumn(INGEST_KEY, ingest_key(batch.columns))
+    return dedupe_stored(keyed, INGEST_KEY, F.when(~F.col("event_id").startswith("#"), F.col("event_id")), BROADCAST_KEYS)
+
+
 def prepare_bronze_batch(spark: SparkSession, batch: DataFrame, bronze_path: str,
                          idempotent: bool = True, fmt: str = "parquet") -> DataFrame:
     """The rows an append would add: batch deduped and minus stored ids. A
     Parquet store has an index of its ids beside it (``sinks.id_index``): first
     it is brought up to the files that it does not cover, those of the last
     append, then only the buckets that may hold an id of the batch are read.
-    Other formats are read whole (their id column)."""
+    Other formats are read whole (their id column). The batch should be staged:
+    it is read for its keys, for those that repeat, and for the rows."""
     index = bronze_path.rstrip("/") + id_index.BESIDE
     if not idempotent:
         id_index.mark_unique(spark, index, False)
@@ -63,23 +71,22 @@ def prepare_bronze_batch(spark: SparkSession, batch: DataFrame, bronze_path: str
             return stored_keys(rows, columns=batch.columns)
 
         id_index.refresh(spark, bronze_path, index, read_keys)
-        keys = batch.select(ingest_key(batch.columns).alias(INGEST_KEY))
         if not id_index.segments(spark, index):
-            return without_keys(batch, None)
+            return first_copies(batch).drop(INGEST_KEY)
 
         def staged(df: DataFrame, name: str) -> DataFrame:
             path = scratch_path(spark, name)
             df.write.parquet(path)
             return spark.read.schema(f"{INGEST_KEY} string").parquet(path)
 
-        keys = staged(keys.distinct(), "batch-keys")
-        seen = id_index.seen_keys(spark, keys, index)
+        keys = staged(batch.select(ingest_key(batch.columns).alias(INGEST_KEY)).distinct(), "batch-keys")
+        seen = id_index.seen_keys(spark, keys, index, distinct=True)
         new = staged(keys.join(seen, INGEST_KEY, "left_anti"), "new-keys")
         # Where few of the batch's keys are new, the rows of the others go before any row is
         # sorted or shipped; the keys of many new ones are not broadcast.
         if new.count() <= BROADCAST_KEYS:
             return only_keys(batch, F.broadcast(new))
-        return without_keys(batch, seen)
+        return first_copies(batch).join(seen, INGEST_KEY, "left_anti").drop(INGEST_KEY)
     existing = read_layer(spark, bronze_path, BRONZE_SCHEMA, fmt) if path_exists(spark, bronze_path) else None
     return new_rows_only(batch, existing)
 

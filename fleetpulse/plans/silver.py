@@ -7,29 +7,39 @@ before the lag means a duplicate can never be its own "previous reading".
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import dedupe_events
+from ..operators.dedupe import dedupe_events, dedupe_stored
 from ..operators.enrich import add_labels, add_prev_and_delta, add_time_parts
 from ..operators.quality import drop_null_key, filter_quality
 from ..sinks import id_index
+from ..sizing import partitions_for
 from . import changes as change_log
 from . import edges
 
 
-def clean_readings(bronze: DataFrame, rules: dict | None = None) -> DataFrame:
+def passing_readings(bronze: DataFrame, rules: dict | None = None) -> DataFrame:
+    """Rows passing every range rule, with an id."""
+    return drop_null_key(filter_quality(bronze, rules))
+
+
+def clean_readings(bronze: DataFrame, rules: dict | None = None,
+                   dedupe: Callable[[DataFrame], DataFrame] = dedupe_events) -> DataFrame:
     """Rows passing every range rule, with an id, one per id."""
-    return dedupe_events(drop_null_key(filter_quality(bronze, rules)))
+    return dedupe(passing_readings(bronze, rules))
 
 
 def build_silver(bronze: DataFrame, rules: dict | None = None, with_lag: bool = True,
                  strategy: str = "range", num_partitions: int | None = None,
-                 transformed_at: bool = False) -> DataFrame:
+                 transformed_at: bool = False,
+                 dedupe: Callable[[DataFrame], DataFrame] = dedupe_events) -> DataFrame:
     """The silver layout: bronze columns (timestamp parsed in place),
     ``_quality_passed``, ``hour_of_day``, ``day_of_week``, previous values and
     deltas (when ``with_lag``), ``emissions_severity``, ``engine_status``."""
-    out = add_time_parts(clean_readings(bronze, rules))
+    out = add_time_parts(clean_readings(bronze, rules, dedupe))
     if with_lag:
         out = add_prev_and_delta(out, strategy=strategy, num_partitions=num_partitions)
     out = add_labels(out)
@@ -43,6 +53,14 @@ def build_silver(bronze: DataFrame, rules: dict | None = None, with_lag: bool =
 #: What the previous-reading step needs of a silver row, and what it gives.
 _LIGHT = ["event_id", "equipment_id", "timestamp", "rpm", "temp_coolant_c", "ingestion_date", "equipment_type"]
 _PREVS = ["rpm_prev", "rpm_delta", "temp_coolant_prev", "temp_coolant_delta"]
+#: Readings of a range of the previous-reading step, until their number asks for more ranges than
+#: ``spark.sql.shuffle.partitions``: a range costs a task with a Python worker, and files of its own.
+ROWS_PER_RANGE = 100_000
+
+
+def _ranges(rows: DataFrame, requested: int | None) -> int:
+    """Partitions of the previous-reading step over stored rows."""
+    return requested or max(1, min(partitions_for(rows), -(-rows.count() // ROWS_PER_RANGE)))
 
 
 def _in(values: list[str | None]) -> Column:
@@ -112,7 +130,8 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
     log = silver_path.rstrip("/") + change_log.BESIDE
     number = change_log.begin(spark, log) if changes or path_exists(spark, log) else None
     if dates is None or not path_exists(spark, silver_path):
-        silver = build_silver(bronze, strategy=strategy, num_partitions=num_partitions, transformed_at=True)
+        silver = build_silver(bronze, strategy=strategy, num_partitions=_ranges(bronze, num_partitions),
+                              transformed_at=True, dedupe=dedupe_stored)
         silver = silver.observe(obs, F.count(F.lit(1)).alias("rows_written"))
         edges.invalidate(spark, edges_path)
         if number is not None:
@@ -136,7 +155,7 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
             known = edges.read(spark, edges_path)
             if known is None:
                 known = staged(edges.edges_of(stored), "edges")
-            fresh = staged(add_time_parts(clean_readings(in_dates(bronze, dates))), "fresh")
+            fresh = staged(add_time_parts(clean_readings(in_dates(bronze, dates), dedupe=dedupe_stored)), "fresh")
             old = in_dates(stored, dates)
             changed = fresh.select(*_LIGHT).unionByName(old.select(*_LIGHT))
             others = known.filter(~_in(dates))
@@ -160,7 +179,7 @@ def transform_bronze_to_silver(spark, bronze_path: str, silver_path: str, fmt: s
             light = kept.select(*_LIGHT, *prevs_of, F.lit(False).alias("_fresh"))
             light = light.unionByName(fresh.select(*_LIGHT, F.lit(True).alias("_fresh")), allowMissingColumns=True)
             gone = stored.join(ids, "event_id", "left_semi").select("ingestion_date")
-        lagged = add_prev_and_delta(light, strategy=strategy, num_partitions=num_partitions)
+        lagged = add_prev_and_delta(light, strategy=strategy, num_partitions=_ranges(light, num_partitions))
         if unique:
             lagged = _only_around(lagged.filter("_fresh IS NOT NULL"), near)
         same = F.lit(True)

@@ -34,6 +34,9 @@ KEYS_PER_BUCKET = 1_000_000
 BITS_PER_KEY = 16
 BITS_SET = 4
 FAN = 4
+#: A batch with at least a quarter of the stored keys is joined with all of them: most buckets
+#: would be read anyway, and the Bloom words test every key once more for every segment.
+STORED_PER_KEY = 4
 
 
 @dataclass(frozen=True)
@@ -198,17 +201,37 @@ def is_unique(spark: SparkSession, store: str, index: str) -> bool:
     return fs.exists(marker) and covered(spark, index) <= set(data_files(spark, store))
 
 
-def seen_keys(spark: SparkSession, batch: DataFrame, index: str, read: dict | None = None) -> DataFrame:
+def _filled(spark: SparkSession, index: str, live: list[Segment], kind: str) -> set[str]:
+    """The bucket folders of the segments; a bucket may have got no key."""
+    out = set()
+    for s in live:
+        fs, root = _fs(spark, f"{index}/{kind}/seg={s.number}")
+        out |= {f"seg={s.number}/{st.getPath().getName()}" for st in fs.listStatus(root) if st.isDirectory()}
+    return out
+
+
+def seen_keys(spark: SparkSession, batch: DataFrame, index: str, read: dict | None = None,
+              distinct: bool = False) -> DataFrame:
     """The batch's ingest keys that the index holds, exactly. ``read`` gets
     the numbers of bucket folders read (at most the batch's keys times the
-    segments, however large the store)."""
+    segments, however large the store). ``distinct``: the batch is staged and holds every key once."""
     live = segments(spark, index)
-    keys = batch.select(INGEST_KEY).distinct()
+    keys = batch.select(INGEST_KEY)
     none = spark.createDataFrame([], keys.schema)
     read = {} if read is None else read
     read |= {"word_buckets": 0, "key_buckets": 0}
     if not live:
         return none
+    if not distinct:
+        path = scratch_path(spark, "id-batch")
+        keys.distinct().write.parquet(path)
+        keys = spark.read.schema(keys.schema).parquet(path)
+    if sum(s.keys for s in live) <= STORED_PER_KEY * keys.count():
+        possible = sorted(_filled(spark, index, live, "keys"))
+        read |= {"key_buckets": len(possible)}
+        if not possible:
+            return none
+        return keys.join(_read(spark, index, "keys", possible).select(INGEST_KEY), INGEST_KEY, "left_semi")
     at = F.explode(F.array(*[F.struct(F.lit(s.number).alias("seg"), F.lit(s.buckets).alias("buckets"), F.lit(s.words).alias("words"))
                              for s in live])).alias("s")
     probes = keys.select(INGEST_KEY, at).select(
@@ -218,10 +241,7 @@ def seen_keys(spark: SparkSession, batch: DataFrame, index: str, read: dict | No
     probes.write.parquet(staged)
     probes = spark.read.schema(probes.schema).parquet(staged)
 
-    filled = set()
-    for s in live:      # a bucket may have got no key
-        fs, root = _fs(spark, f"{index}/words/seg={s.number}")
-        filled |= {f"seg={s.number}/{st.getPath().getName()}" for st in fs.listStatus(root)}
+    filled = _filled(spark, index, live, "words")
 
     def folders(df: DataFrame) -> list[str]:
         # bounded by the number of buckets, not of keys
