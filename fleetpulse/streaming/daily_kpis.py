@@ -14,8 +14,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..operators.dedupe import dedupe_stored
 from ..operators.partials import kpis_of_partials, merge_partials, partial_kpis
-from ..plans.silver import clean_readings
+from ..operators.quality import QUALITY_FLAG
+from ..plans.silver import clean_readings, passing_readings
 from ..session import scratch_path
 from ..sinks.writers import remove_path
 from ..sources.json_source import CORRUPT, bad_record
@@ -30,11 +32,16 @@ def start_daily_kpis(spark: SparkSession, source_dir: str, out_path: str, checkp
 
     def run(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        clean = clean_readings(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src"))
         staging = scratch_path(s, "stream-kpis")
-        clean.write.parquet(staging)        # read for the ids, the aggregates and the ids to store
-        clean = s.read.schema(clean.schema).parquet(staging)
-        clean = clean.join(seen_before(s, clean, ids_path, batch_id), "event_id", "left_anti")
+
+        def staged(df: DataFrame, name: str) -> DataFrame:
+            df.write.parquet(f"{staging}/{name}")
+            return s.read.schema(df.schema).parquet(f"{staging}/{name}")
+
+        # the passing rows as they come: only those whose id repeats are sorted and shipped
+        rows = staged(passing_readings(batch.filter(~bad_record(batch)).drop(CORRUPT, "_src")).drop(QUALITY_FLAG), "rows")
+        seen = staged(seen_before(s, rows, ids_path, batch_id), "seen")
+        clean = clean_readings(rows, dedupe=dedupe_stored).join(seen, "event_id", "left_anti")
         # the partial aggregates first: ids without them would lose their rows
         write_batch(partial_kpis(clean), out_path, batch_id)
         write_batch(clean.select("event_id"), ids_path, batch_id)

@@ -10,6 +10,7 @@ from fleetpulse.plans import silver as S
 from fleetpulse.session import scratch_path
 from fleetpulse.sinks import id_index as I
 from fleetpulse.sinks.writers import INGEST_KEY, without_keys
+from fleetpulse.streaming import daily_kpis as K
 
 
 def optimized(df):
@@ -74,3 +75,13 @@ def test_ranges_follow_the_rows(spark, monkeypatch):
     S.transform_bronze_to_silver(spark, bronze, silver)
     S.transform_bronze_to_silver(spark, bronze, silver, num_partitions=5)
     assert asked == [1, 3, int(spark.conf.get("spark.sql.shuffle.partitions")), 5]
+
+
+def test_streaming_kpis_sort_only_repeated_rows(spark, tmp_dir, sorted_rows):
+    good = to_df(spark, [r for r in rows() if r["event_id"] is not None])
+    good.coalesce(1).write.json(f"{tmp_dir}/src")
+    good.filter("event_id < 'E-2'").coalesce(1).write.mode("append").json(f"{tmp_dir}/src")
+    K.start_daily_kpis(spark, f"{tmp_dir}/src", f"{tmp_dir}/out", f"{tmp_dir}/ckpt", max_files_per_trigger=1).awaitTermination()
+    assert sorted_rows == [6, 4] or sorted_rows == [4, 6]
+    kept = K.read_daily_kpis(spark, f"{tmp_dir}/out")
+    assert kept.agg(F.sum("total_readings")).first()[0] == 40
